@@ -3,10 +3,12 @@
 ``row_number().over(Window.orderBy(k))`` moves every member into one task.
 Here the members are range-partitioned on the order columns, sorted inside
 each partition and checkpointed, so partition boundaries are fixed on
-reliable storage. Each row's number is its position inside its partition plus
-the number of rows in all earlier partitions. The per-partition sizes are one
-row per partition, so the table they form is bounded by the partition count,
-not by the data, and is safe to broadcast.
+reliable storage (a recomputation after executor loss reads the same files,
+so numbers cannot shift). Each row's number is its position inside its
+partition plus the number of rows in all earlier partitions. The partition
+sizes are one integer per partition, bounded by the partition count and not
+by the data, the same bookkeeping ``zipWithIndex`` does; they become a
+literal offset array, so the numbering itself is a narrow projection.
 
 The result equals ``row_number() OVER (ORDER BY order_cols)`` as long as the
 order columns identify a member (ties would be numbered in an arbitrary but
@@ -15,12 +17,14 @@ fixed order).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-_PART, _POS, _N, _OFF = "_sl_part", "_sl_pos", "_sl_n", "_sl_offset"
+_PART, _POS = "_sl_part", "_sl_pos"
 
 
 def _buckets(df: DataFrame, num_buckets: int | None) -> int:
@@ -45,15 +49,13 @@ def number_rows(members: DataFrame, order_cols: list[str | Column], id_col: str,
     tagged = (ranged.withColumn(_PART, F.spark_partition_id())
                     .withColumn(_POS, F.monotonically_increasing_id()
                                 - F.shiftleft(F.col(_PART).cast("long"), 33)))
-    sizes = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_N))
-    # <= n rows: a single-partition running sum over partition sizes is cheap
-    offsets = sizes.select(
-        _PART,
-        F.coalesce(F.sum(_N).over(Window.orderBy(_PART).rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF))
-    return (tagged.join(F.broadcast(offsets), _PART)
-                  .withColumn(id_col, (F.col(_OFF) + F.col(_POS) + 1).cast("int"))
-                  .drop(_PART, _POS, _OFF))
+    parts = ranged.rdd.getNumPartitions()
+    sizes = dict(tagged.groupBy(_PART).count().collect())  # <= one row per partition
+    offsets = [0] + list(accumulate(sizes.get(i, 0) for i in range(parts)))[:-1]
+    offset_of = F.array(*[F.lit(o) for o in offsets])
+    return (tagged.withColumn(id_col, (F.element_at(offset_of, F.col(_PART) + 1)
+                                       + F.col(_POS) + 1).cast("int"))
+                  .drop(_PART, _POS))
 
 
 def dense_key(df: DataFrame, key_cols: list[str], id_col: str, *,

@@ -41,6 +41,12 @@ def orders_from_tables(spark: SparkSession, sf_dir: str, dirty: bool = False) ->
     c = _read(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
     p = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_brand", "p_retailprice"])
     s = _read(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+    # A small file with one row group is one scan task; everything up to the
+    # next shuffle would run on one core. Spread it round-robin (immune to key
+    # skew) only then: a large input already has many more splits than cores.
+    cores = spark.sparkContext.defaultParallelism
+    if li.rdd.getNumPartitions() < cores:
+        li = li.repartition(cores)
 
     # Plain inner equi-joins; Catalyst picks broadcast or sort-merge from the
     # scan statistics and AQE re-plans at runtime.
