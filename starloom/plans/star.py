@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
@@ -24,7 +25,8 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
                status_default: str | None = "Unknown status",
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                salt_buckets: int | None = None, persist_clean: bool = False,
-               num_buckets: int | None = None) -> dict[str, DataFrame]:
+               num_buckets: int | None = None,
+               parallel_dims: bool = True) -> dict[str, DataFrame]:
     """Build the seven tables (lazily, except the checkpointed key numbering).
 
     ``persist_clean`` keeps the cleaned rows (memory, then disk) for the five
@@ -37,16 +39,29 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
     clean = preprocess(raw)
     if persist_clean:
         clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
+        if parallel_dims:
+            clean.count()  # fill the cache once, before concurrent readers start
     common = dict(run_ts=run_ts, audit=audit, num_buckets=num_buckets)
     seen = ["order_date", "order_number"]
-    dims = {
-        "dim_date": build_dim_date(clean, week_start=week_start),
-        "dim_cust": build_dim_cust(clean, key_order=person_key_order, seen_cols=seen, **common),
-        "dim_geo": build_dim_geo(spark, key=geo_key),
-        "dim_prod": build_dim_prod(clean, **common),
-        "dim_ostatus": build_dim_status(clean, default=status_default, **common),
-        "dim_emp": build_dim_emp(clean, key_order=person_key_order, seen_cols=seen, **common),
+    builders = {
+        "dim_date": lambda: build_dim_date(clean, week_start=week_start),
+        "dim_cust": lambda: build_dim_cust(clean, key_order=person_key_order, seen_cols=seen,
+                                           **common),
+        "dim_geo": lambda: build_dim_geo(spark, key=geo_key),
+        "dim_prod": lambda: build_dim_prod(clean, **common),
+        "dim_ostatus": lambda: build_dim_status(clean, default=status_default, **common),
+        "dim_emp": lambda: build_dim_emp(clean, key_order=person_key_order, seen_cols=seen,
+                                         **common),
     }
+    if parallel_dims:
+        # The keyed dimensions run a few small jobs each (range sample,
+        # checkpoint, partition sizes); submitted from threads they share the
+        # executors instead of queueing one after another.
+        with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+            futures = {name: pool.submit(fn) for name, fn in builders.items()}
+            dims = {name: f.result() for name, f in futures.items()}
+    else:
+        dims = {name: fn() for name, fn in builders.items()}
     fact = build_fact_orders(clean, dims, country=country, product_match=product_match,
                              margin=margin, broadcast_max_rows=broadcast_max_rows,
                              salt_buckets=salt_buckets)
