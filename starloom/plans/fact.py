@@ -18,7 +18,8 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
                       country: str = "India", product_match: str = "triple",
                       margin: str = "guarded", sentinel: int = -1, fill: bool = True,
                       broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                      salt_buckets: int | None = None) -> DataFrame:
+                      salt_buckets: int | None = None,
+                      dim_rows: dict[str, int] | None = None) -> DataFrame:
     """Fact rows with surrogate keys and measures, conformed to the contract.
 
     product_match
@@ -29,31 +30,39 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
     Unmatched keys become ``sentinel`` (``'-1'`` for the text state key) and
     NULL or NaN measures 0, after profit and margin are computed. The geography
     lookup is restricted to ``country`` because state codes repeat across
-    countries.
+    countries. ``dim_rows`` (exact row counts of the dimensions, when the
+    caller has them) saves the size check a count job per dimension; a
+    filtered dimension's count is an upper bound of the filtered rows.
     """
     require_columns(clean, ["customer_name", "state_code", "product", "category", "brand",
                             "status", "assigned supervisor", "cost", "sales", "quantity",
                             "total_cost", "total_sales", "order_number", "order_date"])
     kw = dict(broadcast_max_rows=broadcast_max_rows, salt_buckets=salt_buckets)
+    rows = dim_rows or {}
     f = clean
-    f = lookup_key(f, dims["dim_cust"], {"customer_name": "customer_name"}, "customer_id", **kw)
+    f = lookup_key(f, dims["dim_cust"], {"customer_name": "customer_name"}, "customer_id",
+                   known_rows=rows.get("dim_cust"), **kw)
     geo = dims["dim_geo"].filter(F.col("country") == country)
-    f = lookup_key(f, geo, {"state_code": "state_code"}, "state_id", **kw)
+    f = lookup_key(f, geo, {"state_code": "state_code"}, "state_id",
+                   known_rows=rows.get("dim_geo"), **kw)
     prod = dims["dim_prod"]
     if product_match == "triple":
         f = lookup_key(f, prod, {"product": "product_name", "category": "category",
-                                 "brand": "brand"}, "product_id", **kw)
+                                 "brand": "brand"}, "product_id",
+                       known_rows=rows.get("dim_prod"), **kw)
     elif product_match == "last_wins":
         f = lookup_key(f, last_wins(prod, "product_name", "product_id"),
-                       {"product": "product_name"}, "product_id", **kw)
+                       {"product": "product_name"}, "product_id",
+                       known_rows=rows.get("dim_prod"), **kw)
     elif product_match == "name":
         f = f.join(prod.select(F.col("product_name").alias("product"), "product_id"),
                    "product", "left")
     else:
         raise ValueError(f"unknown product_match {product_match!r}")
-    f = lookup_key(f, dims["dim_ostatus"], {"status": "status_name"}, "status_id", **kw)
+    f = lookup_key(f, dims["dim_ostatus"], {"status": "status_name"}, "status_id",
+                   known_rows=rows.get("dim_ostatus"), **kw)
     f = lookup_key(f, dims["dim_emp"], {"assigned supervisor": "employee_name"},
-                   "employee_id", **kw)
+                   "employee_id", known_rows=rows.get("dim_emp"), **kw)
 
     ts, tc = F.col("total_sales"), F.col("total_cost")
     q = F.col("quantity")

@@ -53,16 +53,23 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
         "dim_emp": lambda: build_dim_emp(clean, key_order=person_key_order, seen_cols=seen,
                                          **common),
     }
+    def built(fn):
+        # the exact row count of each materialized dimension decides broadcast
+        df = fn()
+        return df, df.count()
+
     if parallel_dims:
         # The keyed dimensions run a few small jobs each (range sample,
-        # checkpoint, partition sizes); submitted from threads they share the
-        # executors instead of queueing one after another.
+        # checkpoint, partition sizes, row count); submitted from threads they
+        # share the executors instead of queueing one after another.
         with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-            futures = {name: pool.submit(fn) for name, fn in builders.items()}
-            dims = {name: f.result() for name, f in futures.items()}
+            futures = {name: pool.submit(built, fn) for name, fn in builders.items()}
+            results = {name: f.result() for name, f in futures.items()}
     else:
-        dims = {name: fn() for name, fn in builders.items()}
+        results = {name: built(fn) for name, fn in builders.items()}
+    dims = {name: r[0] for name, r in results.items()}
+    dim_rows = {name: r[1] for name, r in results.items()}
     fact = build_fact_orders(clean, dims, country=country, product_match=product_match,
                              margin=margin, broadcast_max_rows=broadcast_max_rows,
-                             salt_buckets=salt_buckets)
+                             salt_buckets=salt_buckets, dim_rows=dim_rows)
     return {**dims, "fact_orders": fact}
