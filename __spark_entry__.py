@@ -176,6 +176,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "product_last_wins": partial(q_fact, product_match="last_wins"),
         "fact_orders": q_fact,
         "fact_orders_dirty": partial(q_fact, dirty=True),
+        # the large-dimension paths, forced at test scale: same result as fact_orders
+        "fact_orders_shuffled": partial(q_fact, broadcast_max_rows=0),
+        "fact_orders_salted": partial(q_fact, dirty=True, broadcast_max_rows=0, salt_buckets=8),
         "fact_margin_unguarded": q_fact_margin_unguarded,
         "fact_preview": q_fact_preview,
         "key_uniqueness": q_key_uniqueness,
@@ -187,6 +190,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_foreign_keys": partial(q_check, fn=Q.check_foreign_keys),
         "check_ranges": partial(q_check, fn=Q.check_ranges),
         "check_lengths": partial(q_check, fn=Q.check_lengths),
+        "check_all": partial(q_check, fn=Q.check_all),
     }
 
 
@@ -504,6 +508,8 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {fact_cols} FROM fact_orders",
         "fact_orders": star_clean + f"SELECT {fact_cols} FROM fact_orders",
         "fact_orders_dirty": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
+        "fact_orders_shuffled": star_clean + f"SELECT {fact_cols} FROM fact_orders",
+        "fact_orders_salted": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "fact_margin_unguarded": _ctes(True, fact=_sql_fact(margin="unguarded", fill=False)) +
         f"SELECT {fact_cols} FROM fact_orders",
         "fact_preview": star_clean + f"SELECT {fact_cols} FROM fact_orders ORDER BY "
@@ -518,4 +524,8 @@ def oracle_sql() -> dict[str, str]:
         "check_foreign_keys": star_dirty + _sql_foreign_keys(),
         "check_ranges": star_dirty + _sql_ranges(),
         "check_lengths": star_dirty + _sql_lengths(),
+        "check_all": star_dirty + "\nUNION ALL ".join(
+            f"SELECT * FROM ({q})" for q in (_sql_not_null(), _sql_primary_key(),
+                                             _sql_foreign_keys(), _sql_ranges(),
+                                             _sql_lengths())),
     }

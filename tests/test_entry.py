@@ -55,3 +55,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(sdf.columns) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert _bag(sdf.columns, s_rows) == _bag(d_cols, d_rows)
+
+
+def test_dense_keys_have_no_single_partition_stage(spark):
+    for name in ("dim_cust", "dim_prod", "surrogate_key_scalable"):
+        df = E.queries()[name](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "Window" not in plan, name

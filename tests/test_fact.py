@@ -62,3 +62,28 @@ def test_broadcast_plan_for_small_dims(make_raw):
     plan = fact._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_sort_merge_and_salted_paths_match_broadcast(spark, make_raw):
+    rows = [raw_row(float(i), customer=None if i % 5 == 0 else ("Hot Key" if i % 3 else f"C {i}"),
+                    product=f"P{i % 7}", status="Order" if i % 2 else "Shipped")
+            for i in range(1, 120)]
+    ref = sorted(tuple(r) for r in _star(make_raw, rows)["fact_orders"].collect())
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        for kw in ({}, {"salt_buckets": 4}):
+            fact = _star(make_raw, rows, broadcast_max_rows=0, **kw)["fact_orders"]
+            plan = fact._jdf.queryExecution().executedPlan().toString()
+            got = sorted(tuple(r) for r in fact.collect())
+            final = fact._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan + final
+            assert got == ref
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
