@@ -71,6 +71,23 @@ def dense_key(df: DataFrame, key_cols: list[str], id_col: str, *,
     return number_rows(members.distinct(), key_cols, id_col, num_buckets)
 
 
+FIRST_SEEN = "_sl_first"
+
+
+def first_seen_agg(seen_cols: list[str]) -> Column:
+    """Aggregate: the earliest ``struct(seen_cols)`` of a member. Rows with a
+    NULL "seen" value are no appearance; a member seen only so gets NULL and
+    sorts first."""
+    seen_ok = F.lit(True)
+    for c in seen_cols:
+        seen_ok = seen_ok & F.col(c).isNotNull()
+    return F.min(F.when(seen_ok, F.struct(*seen_cols))).alias(FIRST_SEEN)
+
+
+def first_seen_order(seen_cols: list[str], key_cols: list[str]) -> list[Column]:
+    return [F.col(f"{FIRST_SEEN}.{c}") for c in seen_cols] + [F.col(k) for k in key_cols]
+
+
 def first_seen_key(df: DataFrame, key_cols: list[str], seen_cols: list[str], id_col: str, *,
                    drop_null: bool = True, num_buckets: int | None = None) -> DataFrame:
     """Keys in order of first appearance, where ``seen_cols`` say when a row
@@ -79,16 +96,9 @@ def first_seen_key(df: DataFrame, key_cols: list[str], seen_cols: list[str], id_
     cheap before the shuffle.
     """
     src = df.dropna(how="any", subset=key_cols) if drop_null else df
-    first = "_sl_first"
-    # rows with a NULL "seen" value are no appearance; members seen only so
-    # get a NULL first appearance and sort first
-    seen_ok = F.lit(True)
-    for c in seen_cols:
-        seen_ok = seen_ok & F.col(c).isNotNull()
-    members = src.groupBy(*key_cols).agg(
-        F.min(F.when(seen_ok, F.struct(*seen_cols))).alias(first))
-    order = [F.col(f"{first}.{c}") for c in seen_cols] + [F.col(k) for k in key_cols]
-    return number_rows(members, order, id_col, num_buckets).drop(first)
+    members = src.groupBy(*key_cols).agg(first_seen_agg(seen_cols))
+    return number_rows(members, first_seen_order(seen_cols, key_cols), id_col,
+                       num_buckets).drop(FIRST_SEEN)
 
 
 def extend_key(existing: DataFrame, candidates: DataFrame, key_cols: list[str], id_col: str, *,

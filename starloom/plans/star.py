@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS
 from .dims import (build_dim_cust, build_dim_date, build_dim_emp, build_dim_geo,
-                   build_dim_prod, build_dim_status)
+                   build_dim_prod, build_dim_status, dimension_members)
 from .fact import build_fact_orders
 from .prep import preprocess
 
@@ -26,32 +26,46 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                salt_buckets: int | None = None, persist_clean: bool = False,
                num_buckets: int | None = None,
-               parallel_dims: bool = True) -> dict[str, DataFrame]:
+               parallel_dims: bool = True,
+               member_pass: str = "shared") -> dict[str, DataFrame]:
     """Build the seven tables (lazily, except the checkpointed key numbering).
 
     ``persist_clean`` keeps the cleaned rows (memory, then disk) for the five
     readers of it; worth it when the source is expensive to re-read (a join,
     compressed CSV), not for a plain columnar scan. A lost cached block is
     recomputed from lineage, so executor loss costs time, not correctness.
+
+    ``member_pass="shared"`` finds the members of all five data-derived
+    dimensions in one grouping-sets aggregation (one scan, one shuffle of
+    the cleaned rows); ``"per_dimension"`` lets every builder scan on its own
+    (cheaper only when the source is cached or columnar and tiny).
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     spark = raw.sparkSession
     clean = preprocess(raw)
+    seen = ["order_date", "order_number"]
+    if member_pass not in ("shared", "per_dimension"):
+        raise ValueError(f"unknown member_pass {member_pass!r}")
     if persist_clean:
         clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
-        if parallel_dims:
+        if parallel_dims and member_pass == "per_dimension":
             clean.count()  # fill the cache once, before concurrent readers start
+    members: dict[str, DataFrame] = {}
+    if member_pass == "shared":
+        members = dimension_members(
+            clean, seen_cols=seen if person_key_order == "first_seen" else None)
     common = dict(run_ts=run_ts, audit=audit, num_buckets=num_buckets)
-    seen = ["order_date", "order_number"]
     builders = {
-        "dim_date": lambda: build_dim_date(clean, week_start=week_start),
+        "dim_date": lambda: build_dim_date(clean, week_start=week_start,
+                                           members=members.get("dim_date")),
         "dim_cust": lambda: build_dim_cust(clean, key_order=person_key_order, seen_cols=seen,
-                                           **common),
+                                           members=members.get("dim_cust"), **common),
         "dim_geo": lambda: build_dim_geo(spark, key=geo_key),
-        "dim_prod": lambda: build_dim_prod(clean, **common),
-        "dim_ostatus": lambda: build_dim_status(clean, default=status_default, **common),
+        "dim_prod": lambda: build_dim_prod(clean, members=members.get("dim_prod"), **common),
+        "dim_ostatus": lambda: build_dim_status(clean, default=status_default,
+                                                members=members.get("dim_ostatus"), **common),
         "dim_emp": lambda: build_dim_emp(clean, key_order=person_key_order, seen_cols=seen,
-                                         **common),
+                                         members=members.get("dim_emp"), **common),
     }
     def built(fn):
         # the exact row count of each materialized dimension decides broadcast

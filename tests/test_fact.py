@@ -87,3 +87,19 @@ def test_sort_merge_and_salted_paths_match_broadcast(spark, make_raw):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_shared_member_pass_equals_per_dimension(make_raw):
+    rows = [raw_row(float(i), customer=None if i % 9 == 0 else f"C {i % 11}",
+                    supervisor=f"S {i % 4}", status=["Order", "Shipped", None, "Returned"][i % 4],
+                    product=f"P{i % 5}", brand=None if i % 13 == 0 else "B",
+                    cost=None if i % 7 == 0 else float(i % 3),
+                    date=None if i % 10 == 0 else f"{1 + i % 28:02d}/0{1 + i % 9}/2024")
+            for i in range(1, 150)]
+    for order in ("sorted", "first_seen"):
+        a = _star(make_raw, rows, member_pass="shared", person_key_order=order)
+        b = _star(make_raw, rows, member_pass="per_dimension", person_key_order=order)
+        for name in a:
+            ra = sorted((tuple(r) for r in a[name].collect()), key=repr)
+            rb = sorted((tuple(r) for r in b[name].collect()), key=repr)
+            assert ra == rb, (order, name)
