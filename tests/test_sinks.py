@@ -59,3 +59,31 @@ def test_ddl_and_managed_tables(spark, make_raw):
             spark.sql("DESCRIBE TABLE EXTENDED sl_star.fact_orders").collect()}
     assert desc.get("Num Buckets") == "4"
     assert spark.table("sl_star.fact_orders").count() == star["fact_orders"].count()
+
+
+def test_pipeline_run_end_to_end(spark, make_raw, tmp_dir):
+    from starloom.plans.pipeline import run
+    rows = [raw_row(float(i), customer=f"Cust {i % 5}", status="Order" if i % 2 else "Returned")
+            for i in range(1, 40)] + [raw_row(None)]
+    src = os.path.join(tmp_dir, "extract")
+    make_raw(rows).coalesce(2).write.option("header", True).csv(src)
+    out = os.path.join(tmp_dir, "out")
+    result = run(spark, src, out)
+    assert result["raw_rows"] == 40 and result["fact_rows"] == 39
+    assert spark.read.parquet(f"{out}/fact_orders").count() == 39
+    checks = spark.read.option("header", True).csv(f"{out}/_reports/checks")
+    pk = checks.filter("table_name = 'dim_cust' AND rule = 'primary_key'").first()
+    assert pk.violations == "0"
+    comp = spark.read.option("header", True).csv(f"{out}/_reports/completeness")
+    assert comp.count() == 30
+
+
+def test_cli(spark, make_raw, tmp_dir):
+    from starloom.__main__ import main
+    src = os.path.join(tmp_dir, "extract")
+    make_raw([raw_row(float(i)) for i in range(1, 6)]).write.option("header", True).csv(src)
+    result = main(["--source", src, "--target", os.path.join(tmp_dir, "o"), "--no-reports",
+                   "--target-format", "csv", "--week-start", "sunday"])
+    assert result["fact_rows"] == 5
+    dd = spark.read.option("header", True).csv(os.path.join(tmp_dir, "o", "dim_date")).first()
+    assert dd.day_of_week == "3"      # 2024-03-05 is a Tuesday; Sunday = 1
