@@ -87,3 +87,13 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
                              margin=margin, broadcast_max_rows=broadcast_max_rows,
                              salt_buckets=salt_buckets, dim_rows=dim_rows)
     return {**dims, "fact_orders": fact}
+
+
+def register_views(star: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Expose the tables to ``spark.sql`` as temporary views (``prefix`` +
+    table name); returns the view names."""
+    names = []
+    for name, df in star.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names
