@@ -5,10 +5,14 @@ that a hot key could overload:
 
 * path datasets: rows are sorted inside each write task on the table's sort
   keys, so Parquet row groups carry tight min/max ranges (date pruning);
-* managed tables: tables distributed by key are bucketed on it
-  (``bucketBy``), with the sort keys inside each bucket; a later join on the
-  key reads co-located buckets without a shuffle. Bucketed writes need no
-  exchange: every task writes its own bucket files.
+* managed tables: with ``bucketed=True`` the tables distributed by key are
+  bucketed on it (``bucketBy``), with the sort keys inside each bucket; a
+  later join on the key reads co-located buckets without a shuffle, and the
+  write itself needs no exchange (every task writes its own bucket files).
+  Off by default: a key holding a large share of the rows (one product with a
+  third of all orders) makes one bucket that large, and a bucketed scan is
+  one task per bucket, out of reach of AQE's skew splitting. Unbucketed
+  files are split by size on read.
 """
 
 from __future__ import annotations
@@ -39,8 +43,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_managed(df: DataFrame, table: str, contract: C.Contract | None, *,
-                  mode: str = "overwrite", buckets: int = 16) -> None:
-    """A catalog table; key-distributed contracts become bucketed tables."""
+                  mode: str = "overwrite", buckets: int = 16, bucketed: bool = False) -> None:
+    """A catalog table; with ``bucketed`` key-distributed contracts become
+    bucketed tables, otherwise rows are sorted within each write task."""
+    if not bucketed:
+        _laid_out(df, contract).write.mode(mode).format("parquet").saveAsTable(table)
+        return
     w = df.write.mode(mode).format("parquet")
     if contract is not None and contract.distribution == "key" and contract.dist_key:
         w = w.bucketBy(buckets, contract.dist_key)
@@ -51,7 +59,7 @@ def write_managed(df: DataFrame, table: str, contract: C.Contract | None, *,
 
 def write_star(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", *,
                mode: str = "overwrite", database: str | None = None,
-               buckets: int = 16) -> dict[str, str]:
+               buckets: int = 16, bucketed: bool = False) -> dict[str, str]:
     """Write every table under ``root/<name>`` (or as ``database.<name>``).
 
     Dimensions are written before the fact. ``fmt="both"`` writes Parquet
@@ -68,7 +76,7 @@ def write_star(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", *,
         df = tables[name]
         if fmt == "table":
             target = f"{database}.{name}" if database else name
-            write_managed(df, target, contract, mode=mode, buckets=buckets)
+            write_managed(df, target, contract, mode=mode, buckets=buckets, bucketed=bucketed)
             written[name] = target
         elif fmt == "both":
             write_table(df, f"{root}/parquet/{name}", "parquet", mode, contract=contract)
@@ -96,7 +104,8 @@ def _sql_type(col: C.Col) -> str:
 
 
 def create_table_ddl(contract: C.Contract, *, database: str | None = None,
-                     buckets: int = 16, location: str | None = None) -> str:
+                     buckets: int = 16, location: str | None = None,
+                     bucketed: bool = True) -> str:
     """``CREATE TABLE`` for a contract: NOT NULL, VARCHAR(n), DEFAULT
     CURRENT_TIMESTAMP on audit columns, bucketing for key-distributed tables.
     Spark does not enforce the keys or CHECK rules on Parquet tables; run
@@ -111,7 +120,7 @@ def create_table_ddl(contract: C.Contract, *, database: str | None = None,
         cols.append(spec)
     name = f"{database}.{contract.name}" if database else contract.name
     ddl = f"CREATE TABLE IF NOT EXISTS {name} (\n" + ",\n".join(cols) + "\n) USING parquet"
-    if contract.distribution == "key" and contract.dist_key:
+    if bucketed and contract.distribution == "key" and contract.dist_key:
         ddl += f"\nCLUSTERED BY ({contract.dist_key})"
         if contract.sort_keys:
             ddl += f" SORTED BY ({', '.join(contract.sort_keys)})"

@@ -54,11 +54,16 @@ def test_ddl_and_managed_tables(spark, make_raw):
     assert {r.tableName for r in spark.sql("SHOW TABLES IN sl_ddl").collect()} == set(C.STAR)
     spark.sql("CREATE DATABASE IF NOT EXISTS sl_star")
     star = _star(make_raw)
-    write_star(star, "", "table", database="sl_star", buckets=4)
+    write_star(star, "", "table", database="sl_star", buckets=4, bucketed=True)
     desc = {r.col_name: r.data_type for r in
             spark.sql("DESCRIBE TABLE EXTENDED sl_star.fact_orders").collect()}
     assert desc.get("Num Buckets") == "4"
     assert spark.table("sl_star.fact_orders").count() == star["fact_orders"].count()
+    spark.sql("CREATE DATABASE IF NOT EXISTS sl_plain")
+    write_star(star, "", "table", database="sl_plain")
+    plain = {r.col_name: r.data_type for r in
+             spark.sql("DESCRIBE TABLE EXTENDED sl_plain.fact_orders").collect()}
+    assert "Num Buckets" not in plain
 
 
 def test_pipeline_run_end_to_end(spark, make_raw, tmp_dir):
