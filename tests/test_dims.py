@@ -110,3 +110,21 @@ def test_dim_geo_seed(spark):
     # stable: same ids on a second build
     assert {r.iso_code: r.state_id for r in build_dim_geo(spark).collect()} == \
         {r.iso_code: r.state_id for r in rows}
+
+
+def test_preprocess_text_typed_source(spark):
+    import datetime as dt
+    df = spark.createDataFrame(
+        [("12.0", "AP", "A B", "05/03/2024", "Order", "Pen", "Office", "Acme", "1.5", "2", "3.0",
+          "4.5", "6", "S T"),
+         ("x", "AP", "A B", "05/03/2024", "Order", "Pen", "Office", "Acme", "1", "2", "3", "4",
+          "5", "S T")],
+        ", ".join(f"`{c}` string" for c in [
+            "Order_Number", "State_Code", "Customer_Name", "Order_Date", "Status", "Product",
+            "Category", "Brand", "Cost", "Sales", "Quantity", "Total_Cost", "Total_Sales",
+            "Assigned Supervisor"]))
+    rows = preprocess(df).collect()
+    assert len(rows) == 1 and rows[0].order_number == 12.0 and rows[0].cost == 1.5
+    assert rows[0].order_date == dt.date(2024, 3, 5)
+    typed = spark.createDataFrame([(1.0, dt.date(2024, 1, 2))], "Order_Number double, Order_Date date")
+    assert preprocess(typed).first().order_date == dt.date(2024, 1, 2)
