@@ -1,4 +1,4 @@
-"""Reference rows shipped with the package (geography members)."""
+"""Seed rows shipped with the package (geography members)."""
 
 from __future__ import annotations
 
