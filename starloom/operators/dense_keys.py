@@ -52,7 +52,8 @@ def number_rows(members: DataFrame, order_cols: list[str | Column], id_col: str,
     parts = ranged.rdd.getNumPartitions()
     sizes = dict(tagged.groupBy(_PART).count().collect())  # <= one row per partition
     offsets = [0] + list(accumulate(sizes.get(i, 0) for i in range(parts)))[:-1]
-    offset_of = F.array(*[F.lit(o) for o in offsets])
+    # one SQL literal (constant-folded), not one driver round trip per partition
+    offset_of = F.expr("array(" + ", ".join(f"{o}L" for o in offsets) + ")")
     return (tagged.withColumn(id_col, (F.element_at(offset_of, F.col(_PART) + 1)
                                        + F.col(_POS) + 1).cast("int"))
                   .drop(_PART, _POS))

@@ -81,3 +81,11 @@ def test_bounded_broadcast_checks_size(spark):
 def test_last_wins(spark):
     dim = spark.createDataFrame([("pen", 1), ("pen", 4), ("cup", 2)], "name string, id int")
     assert {r.name: r.id for r in last_wins(dim, "name", "id").collect()} == {"pen": 4, "cup": 2}
+
+
+def test_number_rows_many_ranges(spark):
+    df = spark.range(0, 3000, 3).select((F.col("id") * 7 % 10007).alias("k"))
+    got = number_rows(df, ["k"], "id", num_buckets=257)
+    ref = df.withColumn("rid", F.row_number().over(Window.orderBy("k")))
+    assert got.join(ref, "k").filter("id <> rid").count() == 0
+    assert got.count() == 1000
