@@ -27,7 +27,8 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
                salt_buckets: int | None = None, persist_clean: bool = False,
                num_buckets: int | None = None,
                parallel_dims: bool = True,
-               member_pass: str = "shared") -> dict[str, DataFrame]:
+               member_pass: str = "shared", strict_dates: bool = False,
+               sentinel: int = -1) -> dict[str, DataFrame]:
     """Build the seven tables (lazily, except the checkpointed key numbering).
 
     ``persist_clean`` keeps the cleaned rows (memory, then disk) for the five
@@ -39,10 +40,12 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
     dimensions in one grouping-sets aggregation (one scan, one shuffle of
     the cleaned rows); ``"per_dimension"`` lets every builder scan on its own
     (cheaper only when the source is cached or columnar and tiny).
+    ``strict_dates`` raises on an unparsable order date instead of NULL;
+    ``sentinel`` is the key given to rows without a dimension member.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     spark = raw.sparkSession
-    clean = preprocess(raw)
+    clean = preprocess(raw, strict_dates=strict_dates)
     seen = ["order_date", "order_number"]
     if member_pass not in ("shared", "per_dimension"):
         raise ValueError(f"unknown member_pass {member_pass!r}")
@@ -85,7 +88,7 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
     dim_rows = {name: r[1] for name, r in results.items()}
     fact = build_fact_orders(clean, dims, country=country, product_match=product_match,
                              margin=margin, broadcast_max_rows=broadcast_max_rows,
-                             salt_buckets=salt_buckets, dim_rows=dim_rows)
+                             salt_buckets=salt_buckets, dim_rows=dim_rows, sentinel=sentinel)
     return {**dims, "fact_orders": fact}
 
 

@@ -103,3 +103,13 @@ def test_shared_member_pass_equals_per_dimension(make_raw):
             ra = sorted((tuple(r) for r in a[name].collect()), key=repr)
             rb = sorted((tuple(r) for r in b[name].collect()), key=repr)
             assert ra == rb, (order, name)
+
+
+def test_sentinel_and_strict_options(make_raw):
+    import pytest
+    rows = [raw_row(1.0, customer=None), raw_row(2.0, date="31/02/2024")]
+    fact = _star(make_raw, rows, sentinel=0)["fact_orders"]
+    got = {r.order_number: (r.customer_id, r.state_id) for r in fact.collect()}
+    assert got[1][0] == 0
+    with pytest.raises(Exception):
+        _star(make_raw, rows, strict_dates=True)["fact_orders"].collect()

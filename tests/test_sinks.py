@@ -93,3 +93,18 @@ def test_cli(spark, make_raw, tmp_dir):
     assert result["fact_rows"] == 5
     dd = spark.read.option("header", True).csv(os.path.join(tmp_dir, "o", "dim_date")).first()
     assert dd.day_of_week == "3"      # 2024-03-05 is a Tuesday; Sunday = 1
+
+
+def test_catalog_table_source(spark, make_raw, tmp_dir):
+    from starloom.plans.dims import build_dim_geo
+    from starloom.plans.pipeline import run
+    from starloom.sources.raw import read_raw_table
+    spark.sql("CREATE DATABASE IF NOT EXISTS sl_raw")
+    make_raw([raw_row(float(i)) for i in range(1, 4)]).write.mode("overwrite") \
+        .saveAsTable("sl_raw.online_orders")
+    assert read_raw_table(spark, "sl_raw", "online_orders").count() == 3
+    result = run(spark, "sl_raw.online_orders", os.path.join(tmp_dir, "o"),
+                 source_format="table", reports=False)
+    assert result["raw_rows"] == 3 and result["fact_rows"] == 3
+    ids = [r.state_id for r in build_dim_geo(spark, key="random").collect()]
+    assert len(set(ids)) == 107 and all(len(i) == 36 for i in ids)
