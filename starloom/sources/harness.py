@@ -29,18 +29,31 @@ from .raw import RAW_COLUMNS
 STATE_CODES = ["AP", "TN", "MH", "GA", "TX"]
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
+# The columns the adapter reads, with their types. A reader given the schema
+# skips the footer-reading inference job and reads only these columns.
+SOURCE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, "
+                "l_linestatus string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_brand string, "
+            "p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string",
+}
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def orders_from_tables(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem", [
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_linestatus"])
-    o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
-    c = _read(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
-    p = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_brand", "p_retailprice"])
-    s = _read(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+    li = _read(spark, sf_dir, "lineitem")
+    o = _read(spark, sf_dir, "orders")
+    c = _read(spark, sf_dir, "customer")
+    p = _read(spark, sf_dir, "part")
+    s = _read(spark, sf_dir, "supplier")
     # A small file with one row group is one scan task; everything up to the
     # next shuffle would run on one core. Spread it round-robin (immune to key
     # skew) only then: a large input already has many more splits than cores.
