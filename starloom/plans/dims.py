@@ -108,12 +108,15 @@ def build_dim_geo(spark: SparkSession, *, key: str = "stable") -> DataFrame:
     """
     seed = geo_seed(spark)
     if key == "stable":
-        state_id = stable_uuid("country", "iso_code")
-    elif key == "random":
-        state_id = F.expr("uuid()")
-    else:
-        raise ValueError(f"unknown key {key!r}")
-    return C.conform(seed.withColumn("state_id", state_id), C.DIM_GEO)
+        return C.conform(seed.withColumn("state_id", stable_uuid("country", "iso_code")),
+                         C.DIM_GEO)
+    if key == "random":
+        # uuid() is drawn anew on every evaluation: checkpoint once, so the
+        # dimension and every fact lookup see the same ids
+        ensure_checkpoint_dir(spark)
+        return C.conform(seed.withColumn("state_id", F.expr("uuid()")), C.DIM_GEO) \
+            .checkpoint(eager=True)
+    raise ValueError(f"unknown key {key!r}")
 
 
 def build_dim_prod(clean: DataFrame | None, *, run_ts=None, audit: bool = True,

@@ -113,3 +113,11 @@ def test_sentinel_and_strict_options(make_raw):
     assert got[1][0] == 0
     with pytest.raises(Exception):
         _star(make_raw, rows, strict_dates=True)["fact_orders"].collect()
+
+
+def test_random_geo_keys_are_fixed_once_built(make_raw):
+    star = _star(make_raw, [raw_row(1.0, state="AP")], geo_key="random")
+    geo = {r.state_code: r.state_id for r in star["dim_geo"].filter("country = 'India'").collect()}
+    again = {r.state_code: r.state_id for r in star["dim_geo"].filter("country = 'India'").collect()}
+    assert geo == again
+    assert star["fact_orders"].first().state_id == geo["AP"]
