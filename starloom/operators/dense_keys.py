@@ -27,24 +27,21 @@ from ..session import ensure_checkpoint_dir
 _PART, _POS = "_sl_part", "_sl_pos"
 
 
-def _buckets(df: DataFrame, num_buckets: int | None) -> int:
-    if num_buckets:
-        return num_buckets
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def number_rows(members: DataFrame, order_cols: list[str | Column], id_col: str,
                 num_buckets: int | None = None) -> DataFrame:
     """Add ``id_col`` = 1..n in ``order_cols`` order (ascending, NULLs first).
 
-    ``members`` must already hold one row per member.
+    ``members`` must already hold one row per member. Without
+    ``num_buckets`` the range count starts at the shuffle partitions and AQE
+    coalesces adjacent ranges to its advisory size, so it follows the data
+    (a handful for a few thousand members, thousands for billions); ranges
+    stay in order either way.
     """
     spark = members.sparkSession
     ensure_checkpoint_dir(spark)
-    n = _buckets(members, num_buckets)
-    ranged = (members.repartitionByRange(n, *order_cols)
-                     .sortWithinPartitions(*order_cols)
-                     .checkpoint(eager=True))
+    by_range = (members.repartitionByRange(num_buckets, *order_cols) if num_buckets
+                else members.repartitionByRange(*order_cols))
+    ranged = by_range.sortWithinPartitions(*order_cols).checkpoint(eager=True)
     # monotonically_increasing_id = (partition index << 33) + position in partition
     tagged = (ranged.withColumn(_PART, F.spark_partition_id())
                     .withColumn(_POS, F.monotonically_increasing_id()
