@@ -195,6 +195,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # the large-dimension paths, forced at test scale: same result as fact_orders
         "fact_orders_shuffled": partial(q_fact, broadcast_max_rows=0),
         "fact_orders_salted": partial(q_fact, dirty=True, broadcast_max_rows=0, salt_buckets=8),
+        "fact_orders_hot_salted": partial(q_fact, dirty=True, broadcast_max_rows=0,
+                                          salt_buckets=8, hot_share=0.05),
         "fact_margin_unguarded": q_fact_margin_unguarded,
         "incremental_fact": q_incremental_fact,
         "fact_preview": q_fact_preview,
@@ -527,6 +529,7 @@ def oracle_sql() -> dict[str, str]:
         "fact_orders_dirty": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "fact_orders_shuffled": star_clean + f"SELECT {fact_cols} FROM fact_orders",
         "fact_orders_salted": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
+        "fact_orders_hot_salted": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "incremental_fact": star_clean + f"SELECT {fact_cols} FROM fact_orders",
         "fact_margin_unguarded": _ctes(True, fact=_sql_fact(margin="unguarded", fill=False)) +
         f"SELECT {fact_cols} FROM fact_orders",

@@ -36,23 +36,55 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
     return dim, False
 
 
+def hot_keys(fact: DataFrame, cols: list[str], share: float) -> DataFrame:
+    """Natural keys that may hold at least ``share`` of the fact's rows.
+
+    One pass with Spark's frequent-items sketch; the answer has at most
+    1/``share`` entries by construction (a proven bound), may contain false
+    positives (harmless: they are only salted) and never misses a key above
+    the share. NULL keys are left out: they never match a dimension.
+    """
+    key = F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_sl_k")
+    items = fact.select(key).freqItems(["_sl_k"], share).first()[0]
+    rows = [tuple(k) for k in items if k is not None and all(v is not None for v in k)]
+    schema = fact.select(*[F.col(f"`{c}`") for c in cols]).schema
+    return fact.sparkSession.createDataFrame(rows, schema)
+
+
 def lookup_key(fact: DataFrame, dim: DataFrame, on: dict[str, str], key_col: str, *,
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                known_rows: int | None = None,
-               salt_buckets: int | None = None) -> DataFrame:
+               salt_buckets: int | None = None,
+               hot_share: float | None = None) -> DataFrame:
     """Add ``key_col`` to ``fact``; ``on`` maps fact column -> dimension column.
 
-    ``dim`` must be unique on the ``on`` columns (dimensions are).
+    ``dim`` must be unique on the ``on`` columns (dimensions are). For a
+    dimension too large to broadcast, ``salt_buckets`` spreads each natural
+    key over that many tasks; with ``hot_share`` only the keys found by
+    :func:`hot_keys` are spread (and only their dimension rows replicated),
+    the rest join unsalted.
     """
     dim_k = dim.select(*[F.col(d).alias(f) for f, d in on.items()], F.col(key_col))
     fact_cols = list(on)
     dim_k, small = bounded_broadcast(dim_k, broadcast_max_rows, known_rows)
     if small or not salt_buckets or salt_buckets <= 1:
         return fact.join(dim_k, fact_cols, "left")
-    # Salted join: deterministic salt from the row content, so a recomputed
-    # task assigns the same salt again.
-    salted_fact = fact.withColumn(_SALT, F.pmod(F.xxhash64(*fact.columns), F.lit(salt_buckets)))
-    salted_dim = dim_k.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    # Deterministic salt from the row content, so a recomputed task assigns
+    # the same salt again.
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salt_buckets))
+    all_salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
+    if hot_share is None:
+        salted_fact = fact.withColumn(_SALT, spread)
+        salted_dim = dim_k.withColumn(_SALT, F.explode(all_salts))
+    else:
+        hot = F.broadcast(hot_keys(fact, fact_cols, hot_share).withColumn("_sl_hot", F.lit(True)))
+        salted_fact = (fact.join(hot, fact_cols, "left")
+                       .withColumn(_SALT, F.when(F.col("_sl_hot"), spread).otherwise(0))
+                       .drop("_sl_hot"))
+        salted_dim = (dim_k.join(hot, fact_cols, "left")
+                      .withColumn(_SALT, F.explode(F.when(F.col("_sl_hot"), all_salts)
+                                                   .otherwise(F.array(F.lit(0)))))
+                      .drop("_sl_hot"))
     return salted_fact.join(salted_dim, fact_cols + [_SALT], "left").drop(_SALT)
 
 

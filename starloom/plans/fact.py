@@ -18,7 +18,7 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
                       country: str = "India", product_match: str = "triple",
                       margin: str = "guarded", sentinel: int = -1, fill: bool = True,
                       broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                      salt_buckets: int | None = None,
+                      salt_buckets: int | None = None, hot_share: float | None = None,
                       dim_rows: dict[str, int] | None = None) -> DataFrame:
     """Fact rows with surrogate keys and measures, conformed to the contract.
 
@@ -37,7 +37,8 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
     require_columns(clean, ["customer_name", "state_code", "product", "category", "brand",
                             "status", "assigned supervisor", "cost", "sales", "quantity",
                             "total_cost", "total_sales", "order_number", "order_date"])
-    kw = dict(broadcast_max_rows=broadcast_max_rows, salt_buckets=salt_buckets)
+    kw = dict(broadcast_max_rows=broadcast_max_rows, salt_buckets=salt_buckets,
+              hot_share=hot_share)
     rows = dim_rows or {}
     f = clean
     f = lookup_key(f, dims["dim_cust"], {"customer_name": "customer_name"}, "customer_id",

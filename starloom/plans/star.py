@@ -28,7 +28,7 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
                num_buckets: int | None = None,
                parallel_dims: bool = True,
                member_pass: str = "shared", strict_dates: bool = False,
-               sentinel: int = -1) -> dict[str, DataFrame]:
+               sentinel: int = -1, hot_share: float | None = None) -> dict[str, DataFrame]:
     """Build the seven tables (lazily, except the checkpointed key numbering).
 
     ``persist_clean`` keeps the cleaned rows (memory, then disk) for the five
@@ -88,7 +88,8 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
     dim_rows = {name: r[1] for name, r in results.items()}
     fact = build_fact_orders(clean, dims, country=country, product_match=product_match,
                              margin=margin, broadcast_max_rows=broadcast_max_rows,
-                             salt_buckets=salt_buckets, dim_rows=dim_rows, sentinel=sentinel)
+                             salt_buckets=salt_buckets, hot_share=hot_share,
+                             dim_rows=dim_rows, sentinel=sentinel)
     return {**dims, "fact_orders": fact}
 
 

@@ -89,3 +89,18 @@ def test_number_rows_many_ranges(spark):
     ref = df.withColumn("rid", F.row_number().over(Window.orderBy("k")))
     assert got.join(ref, "k").filter("id <> rid").count() == 0
     assert got.count() == 1000
+
+
+def test_hot_key_salting(spark):
+    from starloom.operators import hot_keys
+    # key 1 holds half of the rows; NULL keys are never hot
+    rows = [(1, i) for i in range(500)] + [(k % 50 + 2, i) for k, i in zip(range(400), range(400))] \
+        + [(None, i) for i in range(100)]
+    fact = spark.createDataFrame(rows, "code int, v int")
+    hot = {r.code for r in hot_keys(fact, ["code"], 0.2).collect()}
+    assert 1 in hot and None not in hot and len(hot) <= 5
+    dim = spark.createDataFrame([(k, k * 10) for k in range(1, 60)], "c int, key int")
+    ref = sorted((tuple(r) for r in lookup_key(fact, dim, {"code": "c"}, "key").collect()), key=repr)
+    got = lookup_key(fact, dim, {"code": "c"}, "key", broadcast_max_rows=0, salt_buckets=4,
+                     hot_share=0.2)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == ref
