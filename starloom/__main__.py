@@ -19,6 +19,8 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--database", default=None)
     p.add_argument("--master", default=None, help="leave unset under spark-submit")
     p.add_argument("--no-reports", action="store_true")
+    p.add_argument("--fact-by-year", action="store_true",
+                   help="one fact directory per order year (partition pruning)")
     p.add_argument("--week-start", default="monday", choices=["monday", "sunday"])
     p.add_argument("--product-match", default="triple", choices=["triple", "last_wins", "name"])
     p.add_argument("--key-order", default="sorted", choices=["sorted", "first_seen"])
@@ -26,7 +28,8 @@ def main(argv: list[str] | None = None) -> dict:
     spark = get_session(a.master)
     result = run(spark, a.source, a.target, source_format=a.source_format,
                  target_format=a.target_format, database=a.database,
-                 reports=not a.no_reports, week_start=a.week_start,
+                 reports=not a.no_reports, fact_by_year=a.fact_by_year,
+                 week_start=a.week_start,
                  product_match=a.product_match, person_key_order=a.key_order)
     print(json.dumps(result, default=str))
     return result

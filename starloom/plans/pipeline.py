@@ -32,7 +32,7 @@ def read_source(spark: SparkSession, source: str, fmt: str = "csv") -> DataFrame
 
 def run(spark: SparkSession, source: str, target: str, *, source_format: str = "csv",
         target_format: str = "parquet", database: str | None = None,
-        reports: bool = True, **star_options) -> dict:
+        reports: bool = True, fact_by_year: bool = False, **star_options) -> dict:
     """Build and write the star; optionally write the completeness and rule
     reports next to it. Returns locations and row counts."""
     raw_obs, clean_obs = Observation("raw"), Observation("clean")
@@ -40,7 +40,8 @@ def run(spark: SparkSession, source: str, target: str, *, source_format: str = "
     run_ts = star_options.pop("run_ts", None) or datetime.now(timezone.utc)
     star = build_star(raw, run_ts=run_ts, **star_options)
     fact = star["fact_orders"].observe(clean_obs, F.count(F.lit(1)).alias("rows"))
-    written = write_star({**star, "fact_orders": fact}, target, target_format, database=database)
+    written = write_star({**star, "fact_orders": fact}, target, target_format, database=database,
+                         fact_by_year=fact_by_year)
     result = {"written": written, "raw_rows": raw_obs.get.get("rows"),
               "fact_rows": clean_obs.get.get("rows")}
     if reports:

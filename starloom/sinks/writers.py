@@ -18,6 +18,7 @@ that a hot key could overload:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import contracts as C
 
@@ -30,26 +31,44 @@ def _laid_out(df: DataFrame, contract: C.Contract | None) -> DataFrame:
     return df.sortWithinPartitions(*contract.sort_keys)
 
 
+YEAR_PARTITION = "order_year"
+
+
+def _year_partitioned(df: DataFrame, date_col: str) -> DataFrame:
+    return df.withColumn(YEAR_PARTITION, F.year(date_col))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", *,
-                contract: C.Contract | None = None) -> None:
-    """One dataset at ``path``: Snappy Parquet or headered CSV."""
+                contract: C.Contract | None = None, partition_by: list[str] | None = None) -> None:
+    """One dataset at ``path``: Snappy Parquet or headered CSV, optionally in
+    one directory per value of ``partition_by`` (readers filtering on it skip
+    the other directories)."""
     out = _laid_out(df, contract)
+    w = out.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if fmt == "parquet":
-        out.write.mode(mode).option("compression", "snappy").parquet(path)
+        w.option("compression", "snappy").parquet(path)
     elif fmt == "csv":
-        out.write.mode(mode).option("header", True).csv(path)
+        w.option("header", True).csv(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
 
 
 def write_managed(df: DataFrame, table: str, contract: C.Contract | None, *,
-                  mode: str = "overwrite", buckets: int = 16, bucketed: bool = False) -> None:
+                  mode: str = "overwrite", buckets: int = 16, bucketed: bool = False,
+                  partition_by: list[str] | None = None) -> None:
     """A catalog table; with ``bucketed`` key-distributed contracts become
     bucketed tables, otherwise rows are sorted within each write task."""
     if not bucketed:
-        _laid_out(df, contract).write.mode(mode).format("parquet").saveAsTable(table)
+        w = _laid_out(df, contract).write.mode(mode).format("parquet")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.saveAsTable(table)
         return
     w = df.write.mode(mode).format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if contract is not None and contract.distribution == "key" and contract.dist_key:
         w = w.bucketBy(buckets, contract.dist_key)
         if contract.sort_keys:
@@ -59,13 +78,16 @@ def write_managed(df: DataFrame, table: str, contract: C.Contract | None, *,
 
 def write_star(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", *,
                mode: str = "overwrite", database: str | None = None,
-               buckets: int = 16, bucketed: bool = False) -> dict[str, str]:
+               buckets: int = 16, bucketed: bool = False,
+               fact_by_year: bool = False) -> dict[str, str]:
     """Write every table under ``root/<name>`` (or as ``database.<name>``).
 
     Dimensions are written before the fact. ``fmt="both"`` writes Parquet
-    under ``root/parquet`` and CSV under ``root/csv``. Each table is its own
-    job; a failure leaves earlier tables written and the rest untouched.
-    Returns the locations written.
+    under ``root/parquet`` and CSV under ``root/csv``. ``fact_by_year`` adds
+    ``order_year`` to the fact and writes one directory per year, so
+    date-filtered readers prune whole years (no shuffle: every task writes
+    the years it holds). Each table is its own job; a failure leaves earlier
+    tables written and the rest untouched. Returns the locations written.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
@@ -74,16 +96,22 @@ def write_star(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", *,
     for name in order:
         contract = C.STAR.get(name)
         df = tables[name]
+        parts = None
+        if fact_by_year and name.startswith("fact"):
+            df, parts = _year_partitioned(df, "order_date"), [YEAR_PARTITION]
         if fmt == "table":
             target = f"{database}.{name}" if database else name
-            write_managed(df, target, contract, mode=mode, buckets=buckets, bucketed=bucketed)
+            write_managed(df, target, contract, mode=mode, buckets=buckets, bucketed=bucketed,
+                          partition_by=parts)
             written[name] = target
         elif fmt == "both":
-            write_table(df, f"{root}/parquet/{name}", "parquet", mode, contract=contract)
-            write_table(df, f"{root}/csv/{name}", "csv", mode, contract=contract)
+            write_table(df, f"{root}/parquet/{name}", "parquet", mode, contract=contract,
+                        partition_by=parts)
+            write_table(df, f"{root}/csv/{name}", "csv", mode, contract=contract,
+                        partition_by=parts)
             written[name] = f"{root}/parquet/{name}"
         else:
-            write_table(df, f"{root}/{name}", fmt, mode, contract=contract)
+            write_table(df, f"{root}/{name}", fmt, mode, contract=contract, partition_by=parts)
             written[name] = f"{root}/{name}"
     return written
 

@@ -89,10 +89,11 @@ def test_cli(spark, make_raw, tmp_dir):
     src = os.path.join(tmp_dir, "extract")
     make_raw([raw_row(float(i)) for i in range(1, 6)]).write.option("header", True).csv(src)
     result = main(["--source", src, "--target", os.path.join(tmp_dir, "o"), "--no-reports",
-                   "--target-format", "csv", "--week-start", "sunday"])
+                   "--target-format", "csv", "--week-start", "sunday", "--fact-by-year"])
     assert result["fact_rows"] == 5
     dd = spark.read.option("header", True).csv(os.path.join(tmp_dir, "o", "dim_date")).first()
     assert dd.day_of_week == "3"      # 2024-03-05 is a Tuesday; Sunday = 1
+    assert os.path.isdir(os.path.join(tmp_dir, "o", "fact_orders", "order_year=2024"))
 
 
 def test_catalog_table_source(spark, make_raw, tmp_dir):
@@ -108,3 +109,14 @@ def test_catalog_table_source(spark, make_raw, tmp_dir):
     assert result["raw_rows"] == 3 and result["fact_rows"] == 3
     ids = [r.state_id for r in build_dim_geo(spark, key="random").collect()]
     assert len(set(ids)) == 107 and all(len(i) == 36 for i in ids)
+
+
+def test_fact_partitioned_by_year_prunes(spark, make_raw, tmp_dir):
+    rows = [raw_row(float(i), date=f"01/0{1 + i % 3}/20{21 + i % 3}") for i in range(1, 31)]
+    star = build_star(make_raw(rows))
+    write_star(star, tmp_dir, "parquet", fact_by_year=True)
+    years = sorted(d for d in os.listdir(f"{tmp_dir}/fact_orders") if d.startswith("order_year="))
+    assert years == ["order_year=2021", "order_year=2022", "order_year=2023"]
+    back = spark.read.parquet(f"{tmp_dir}/fact_orders").filter("order_year = 2022")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_year" in plan and back.count() == 10
