@@ -39,3 +39,18 @@ def test_replayed_batch_is_idempotent(spark, make_raw, tmp_dir):
     assert read_fact(spark, root).count() == 2
     assert spark.read.parquet(f"{root}/dim_cust").count() == 2
     assert spark.read.parquet(f"{root}/dim_ostatus").count() == 1
+
+
+def test_one_run_many_micro_batches(spark, make_raw, tmp_dir):
+    src, root, ck = (os.path.join(tmp_dir, x) for x in ("src", "star", "ck"))
+    make_raw([raw_row(1.0, customer="Mo Ng"), raw_row(2.0, customer="Bo Ax")]).coalesce(1) \
+        .write.parquet(os.path.join(src, "p1"))
+    make_raw([raw_row(3.0, customer="Al Cy"), raw_row(4.0, customer="Mo Ng")]).coalesce(1) \
+        .write.parquet(os.path.join(src, "p2"))
+    run_incremental(spark, os.path.join(src, "*"), root, ck, source_format="parquet",
+                    max_files_per_trigger=1)
+    fact = read_fact(spark, root)
+    batches = {r.batch_id for r in spark.read.parquet(f"{root}/fact_orders").select("batch_id").collect()}
+    assert fact.count() == 4 and len(batches) == 2
+    ids = sorted(r.customer_id for r in spark.read.parquet(f"{root}/dim_cust").collect())
+    assert ids == [1, 2, 3]
