@@ -46,8 +46,8 @@ def number_rows(members: DataFrame, order_cols: list[str | Column], id_col: str,
     tagged = (ranged.withColumn(_PART, F.spark_partition_id())
                     .withColumn(_POS, F.monotonically_increasing_id()
                                 - F.shiftleft(F.col(_PART).cast("long"), 33)))
-    parts = ranged.rdd.getNumPartitions()
     sizes = dict(tagged.groupBy(_PART).count().collect())  # <= one row per partition
+    parts = max(sizes) + 1 if sizes else 0  # empty trailing partitions need no offset
     offsets = [0] + list(accumulate(sizes.get(i, 0) for i in range(parts)))[:-1]
     # one SQL literal (constant-folded), not one driver round trip per partition
     offset_of = F.expr("array(" + ", ".join(f"{o}L" for o in offsets) + ")")
