@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from .plans.pipeline import run
+from .plans.job import run
 from .session import get_session
 
 

@@ -67,8 +67,8 @@ def test_ddl_and_managed_tables(spark, make_raw):
     assert "Num Buckets" not in plain
 
 
-def test_pipeline_run_end_to_end(spark, make_raw, tmp_dir):
-    from starloom.plans.pipeline import run
+def test_job_run_end_to_end(spark, make_raw, tmp_dir):
+    from starloom.plans.job import run
     rows = [raw_row(float(i), customer=f"Cust {i % 5}", status="Order" if i % 2 else "Returned")
             for i in range(1, 40)] + [raw_row(None)]
     src = os.path.join(tmp_dir, "extract")
@@ -98,7 +98,7 @@ def test_cli(spark, make_raw, tmp_dir):
 
 def test_catalog_table_source(spark, make_raw, tmp_dir):
     from starloom.plans.dims import build_dim_geo
-    from starloom.plans.pipeline import run
+    from starloom.plans.job import run
     from starloom.sources.raw import read_raw_table
     spark.sql("CREATE DATABASE IF NOT EXISTS sl_raw")
     make_raw([raw_row(float(i)) for i in range(1, 4)]).write.mode("overwrite") \
