@@ -49,6 +49,9 @@ def _bag(cols, rows):
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     s_rows = [tuple(r) for r in sdf.collect()]
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    assert not any(p in plan for p in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython",
+                                       "MapInPandas", "FlatMapGroupsInPandas")), name
     res = duck.execute(E.oracle_sql()[name])
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
