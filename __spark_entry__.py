@@ -35,6 +35,13 @@ from starloom.session import ensure_checkpoint_dir  # noqa: E402
 from starloom.sources.harness import STATE_CODES, orders_from_tables  # noqa: E402
 from starloom.sources.seeds import geo_rows  # noqa: E402
 
+try:  # the one place that allows for the subpackage being taken out
+    from starloom.llm import queries as _llm
+except ModuleNotFoundError as _missing:
+    if not (_missing.name or "").startswith("starloom.llm"):
+        raise
+    _llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -210,6 +217,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "check_ranges": partial(q_check, fn=Q.check_ranges),
         "check_lengths": partial(q_check, fn=Q.check_lengths),
         "check_all": partial(q_check, fn=Q.check_all),
+        **(_llm.QUERIES if _llm else {}),
     }
 
 
@@ -549,4 +557,5 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT * FROM ({q})" for q in (_sql_not_null(), _sql_primary_key(),
                                              _sql_foreign_keys(), _sql_ranges(),
                                              _sql_lengths())),
+        **(_llm.ORACLE_SQL if _llm else {}),
     }
