@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import functools
 import hashlib
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +19,26 @@ from ..session import ensure_checkpoint_dir
 #: A word is a run of characters other than blank, \t, \n, \v, \f and \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_SHIPPED: dict[str, str] = {}
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Make the library importable in Python workers, once per application. (A
+    job submitted with --py-files has it anyway.)"""
+    context = spark.sparkContext
+    if _SHIPPED.get("app") != context.applicationId:
+        package = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="starloom-code-")) / "starloom_code.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*")):
+                if f.suffix in (".py", ".csv"):
+                    z.write(f, f"{package.name}/{f.relative_to(package)}")
+        context.addPyFile(str(target))
+        _SHIPPED["app"] = context.applicationId
+    return spark
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared checkpoint folder."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/starloom-{name}-{uuid.uuid4().hex}"

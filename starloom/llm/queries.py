@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_lines
+from . import mixing, packing, quality_lines, sharding, token_files
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op2_pack(spark: SparkSession, d: str) -> DataFrame:
+    packed = packing.pack_documents(_table(spark, d, "documents"), length=2048, end_id=0)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "sequence_id", "offset")
+
+
+def op3_token_files(spark: SparkSession, d: str) -> DataFrame:
+    files = token_files.write_token_files(_table(spark, d, "documents"), end_id=2)
+    return files.read().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_mix(spark: SparkSession, d: str) -> DataFrame:
     mix = mixing.mix_sources(_table(spark, d, "documents"))
     return mix.select("doc_id", "size", "source_size", "target",
@@ -24,6 +35,13 @@ def op9_quality(spark: SparkSession, d: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
-QUERIES = {"op8_mix": op8_mix, "op9_quality": op9_quality}
+def op10_shard(spark: SparkSession, d: str) -> DataFrame:
+    return sharding.shard_rows(_table(spark, d, "documents"), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {"op2_pack": op2_pack, "op3_token_files": op3_token_files, "op8_mix": op8_mix,
+           "op9_quality": op9_quality, "op10_shard": op10_shard}
 
 ORACLE_SQL: dict[str, str] = {}
