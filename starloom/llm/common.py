@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import functools
 import hashlib
+import math
 import tempfile
 import uuid
 import zipfile
@@ -125,13 +126,81 @@ def _weights(n: int) -> np.ndarray:
 
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all runs of ``n`` neighbouring words (64 bits, so that two
-    different runs share one with probability 2**-64)."""
+    """Hashes of all runs of ``n`` neighbouring words, from the words' hashes
+    (64 bits: two different runs share one with probability 2**-64)."""
     m = len(hashes) - n + 1
     if m <= 0:
         return _empty()
-    out = np.zeros(m, np.uint64)
+    out = np.full(m, n, np.uint64)
     with np.errstate(over="ignore"):
         for i, w in enumerate(_weights(n)):
-            out += mix(hashes[i:i + m] + w) * w
+            out += hashes[i:i + m] * w
     return mix(out)
+
+
+def grams_of(per_doc: list[np.ndarray], n: int) -> list[np.ndarray]:
+    """``gram_hashes`` of many texts, hashed in one go."""
+    sizes = np.array([len(h) for h in per_doc])
+    flat = gram_hashes(np.concatenate([_empty(), *per_doc]), n)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    return [flat[a:max(a, a + k - n + 1)] for a, k in zip(starts, sizes, strict=False)]
+
+
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Ascending unsigned 64-bit numbers as byte planes of their differences,
+    whose upper planes are zeros that the shuffle's compression removes."""
+    return np.diff(x, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack_sorted(b: bytes) -> np.ndarray:
+    planes = np.frombuffer(b, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def slices(sorted_hashes: np.ndarray, buckets: int) -> list[tuple[int, slice]]:
+    """The stretch of each of ``buckets`` (a power of two) equal ranges of the
+    64-bit numbers, where it isn't empty."""
+    if not len(sorted_hashes):
+        return []
+    top = (sorted_hashes >> np.uint64(64 - (buckets.bit_length() - 1))) if buckets > 1 else (
+        np.zeros(len(sorted_hashes), np.uint64))
+    cuts = np.flatnonzero(np.diff(top)) + 1
+    edges = [0, *cuts.tolist(), len(top)]
+    return [(int(top[a]), slice(a, b)) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def power_of_two(n: float, least: int = 1) -> int:
+    return 1 << max(0, math.ceil(math.log2(max(n, least, 1))))
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component): the smallest node that the edges lead to. Alternates
+    large-star and small-star steps, as joins, so that a hub's edges need not
+    meet in one task; each round halves the height of the trees, and the
+    driver sees two numbers of it."""
+    now = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+                  .where("u > v").distinct(), "edges")
+    state = None
+    while True:
+        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if seen == state or seen[0] == 0:
+            break
+        state = seen
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.join(low, "u").where("v > u").select(
+            F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u > v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(
+            "u > v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        now = written(small, "edges")
+    return now.groupBy("u").agg(F.min("v").alias("component")).select(
+        F.col("u").alias("node"), "component").union(
+            now.select("v", F.col("v").alias("component")).distinct().join(
+                now.select(F.col("u").alias("v")).distinct(), "v", "left_anti"))
+
+
+def small_enough(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df``, a table of a few numbers a row, marked for broadcasting if it is
+    proven to have ``rows`` at most; beyond that Spark shuffles."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

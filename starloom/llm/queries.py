@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_lines, sharding, token_files
+from . import jaccard, mixing, packing, quality_lines, sharding, token_files
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_token_files(spark: SparkSession, d: str) -> DataFrame:
     return files.read().select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, d, "documents"), shingle=5, percent=80)
+
+
 def op8_mix(spark: SparkSession, d: str) -> DataFrame:
     mix = mixing.mix_sources(_table(spark, d, "documents"))
     return mix.select("doc_id", "size", "source_size", "target",
@@ -41,7 +45,8 @@ def op10_shard(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op2_pack": op2_pack, "op3_token_files": op3_token_files, "op8_mix": op8_mix,
+QUERIES = {"op2_pack": op2_pack, "op3_token_files": op3_token_files, "op4_near_duplicates": op4_near_duplicates,
+           "op8_mix": op8_mix,
            "op9_quality": op9_quality, "op10_shard": op10_shard}
 
 ORACLE_SQL: dict[str, str] = {}
