@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, packing, quality_lines, sharding, token_files
+from . import jaccard, mixing, packing, pii, quality_lines, sharding, token_files
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -27,6 +27,14 @@ def op4_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, d, "documents"), shingle=5, percent=80)
 
 
+def op7_pii(spark: SparkSession, d: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, d, "documents"))
+    of_kind = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+               for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *of_kind, F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op8_mix(spark: SparkSession, d: str) -> DataFrame:
     mix = mixing.mix_sources(_table(spark, d, "documents"))
     return mix.select("doc_id", "size", "source_size", "target",
@@ -46,7 +54,7 @@ def op10_shard(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"op2_pack": op2_pack, "op3_token_files": op3_token_files, "op4_near_duplicates": op4_near_duplicates,
-           "op8_mix": op8_mix,
+           "op7_pii": op7_pii, "op8_mix": op8_mix,
            "op9_quality": op9_quality, "op10_shard": op10_shard}
 
 ORACLE_SQL: dict[str, str] = {}
