@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, packing, pii, quality_lines, sharding, token_files
+from . import ann, jaccard, mixing, packing, pii, quality_lines, sharding, token_files
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, d, "documents"), shingle=5, percent=80)
 
 
+def op6_nearest(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest(_table(spark, d, "embeddings"), top=20, every=20)
+
+
 def op7_pii(spark: SparkSession, d: str) -> DataFrame:
     found = pii.find_pii(_table(spark, d, "documents"))
     of_kind = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
@@ -54,7 +58,7 @@ def op10_shard(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"op2_pack": op2_pack, "op3_token_files": op3_token_files, "op4_near_duplicates": op4_near_duplicates,
-           "op7_pii": op7_pii, "op8_mix": op8_mix,
+           "op6_nearest": op6_nearest, "op7_pii": op7_pii, "op8_mix": op8_mix,
            "op9_quality": op9_quality, "op10_shard": op10_shard}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import written
 
 RING_BITS = 16
 
@@ -68,6 +68,22 @@ def place_runs(counts: np.ndarray, shards: int, virtual: int) -> pd.DataFrame:
     return pd.DataFrame(sorted(runs), columns=["first", "shard", "slot"])
 
 
+def stretches(counts: np.ndarray, runs: pd.DataFrame) -> pd.DataFrame:
+    """The ranks of each cell, cut where runs begin: cell, from, to (ranks in
+    the cell), shard and slot (of the first)."""
+    before = np.concatenate([[0], np.cumsum(counts)])
+    first = runs["first"].to_numpy(np.int64)
+    full = np.flatnonzero(counts)
+    at = np.union1d(before[full], first)
+    cell = full[np.searchsorted(before[full], at, "right") - 1]
+    run = np.searchsorted(first, at, "right") - 1
+    end = np.append(at[1:], before[-1])
+    return pd.DataFrame({
+        "_cell": cell.astype(np.int32), "_from": at - before[cell], "_to": end - before[cell],
+        "shard": runs["shard"].to_numpy(np.int64)[run],
+        "_slot": runs["slot"].to_numpy(np.int64)[run] + at - first[run]})
+
+
 def shard_rows(docs: DataFrame, *, shards: int = 40, virtual: int = 64, doc_id: str = "doc_id",
                text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, size (UTF-8 bytes of the text plus
@@ -77,8 +93,11 @@ def shard_rows(docs: DataFrame, *, shards: int = 40, virtual: int = 64, doc_id:
     and texts are keys like others; a NULL text has no bytes. Rows equal in
     both lie side by side on the ring. An empty table gives an empty one.
     Other columns are not read."""
-    ship(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    if docs.limit(1).count() == 0:
+        return docs.select(F.col(doc_id).alias("doc_id"), F.lit(0).cast("long").alias("size"),
+                           F.lit(0).cast("long").alias("text_crc32"), F.lit(0).alias("shard"),
+                           F.lit(0).cast("long").alias("slot"))
     point: Column = F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.col(text)), 1)
     rows = written(docs.select(
         F.col(doc_id).alias("doc_id"), (F.octet_length(body) + 16).cast("long").alias("size"),
@@ -87,18 +106,12 @@ def shard_rows(docs: DataFrame, *, shards: int = 40, virtual: int = 64, doc_id:
     counts = np.zeros(1 << RING_BITS, np.int64)
     for cell, n in rows.groupBy("_cell").count().collect():  # at most 2**RING_BITS rows
         counts[cell] = n
-    before = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    runs = place_runs(counts, shards, virtual)
-    first, to_shard, to_slot = (runs[c].to_numpy(np.int64) for c in ("first", "shard", "slot"))
-
-    @F.pandas_udf("shard int, slot long")
-    def place(cell: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        at = before[cell.to_numpy()] + rank.to_numpy() - 1
-        run = np.searchsorted(first, at, "right") - 1
-        return pd.DataFrame({"shard": to_shard[run].astype(np.int32),
-                             "slot": to_slot[run] + at - first[run]})
+    where = docs.sparkSession.createDataFrame(stretches(counts, place_runs(counts, shards, virtual)))
+    where = F.broadcast(written(where, "shard-stretches"))  # 2**RING_BITS rows and one per run at most
 
     # a cell holds 1/2**RING_BITS of the keys
     rank = F.row_number().over(Window.partitionBy("_cell").orderBy("_h", "doc_id", "text_crc32", "size"))
-    ranked = rows.withColumn("_at", place("_cell", rank))
-    return ranked.select("doc_id", "size", "text_crc32", "_at.shard", "_at.slot")
+    ranked = rows.withColumn("_rank", rank - 1).join(where, "_cell").where(
+        (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
+    return ranked.select("doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
+                         (F.col("_slot") + F.col("_rank") - F.col("_from")).alias("slot"))
