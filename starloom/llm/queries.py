@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, jaccard, mixing, packing, pii, quality_lines, sharding, token_files
+from . import ann, jaccard, mixing, packing, pii, quality_lines, sharding, substring, token_files
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_substring(spark: SparkSession, d: str) -> DataFrame:
+    left = substring.remove_repeats(_table(spark, d, "documents"), window=20)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_pack(spark: SparkSession, d: str) -> DataFrame:
     packed = packing.pack_documents(_table(spark, d, "documents"), length=2048, end_id=0)
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -57,7 +62,7 @@ def op10_shard(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op2_pack": op2_pack, "op3_token_files": op3_token_files, "op4_near_duplicates": op4_near_duplicates,
+QUERIES = {"op1_substring": op1_substring, "op2_pack": op2_pack, "op3_token_files": op3_token_files, "op4_near_duplicates": op4_near_duplicates,
            "op6_nearest": op6_nearest, "op7_pii": op7_pii, "op8_mix": op8_mix,
            "op9_quality": op9_quality, "op10_shard": op10_shard}
 
