@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, jaccard, mixing, packing, pii, quality_lines, sharding, substring, token_files
+from . import ann, jaccard, lm_score, mixing, packing, pii, quality_lines, sharding, substring, token_files
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, d, "documents"), shingle=5, percent=80)
 
 
+def op5_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    return lm_score.score_documents(_table(spark, d, "documents"))
+
+
 def op6_nearest(spark: SparkSession, d: str) -> DataFrame:
     return ann.nearest(_table(spark, d, "embeddings"), top=20, every=20)
 
@@ -63,7 +67,7 @@ def op10_shard(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"op1_substring": op1_substring, "op2_pack": op2_pack, "op3_token_files": op3_token_files, "op4_near_duplicates": op4_near_duplicates,
-           "op6_nearest": op6_nearest, "op7_pii": op7_pii, "op8_mix": op8_mix,
+           "op5_lm_score": op5_lm_score, "op6_nearest": op6_nearest, "op7_pii": op7_pii, "op8_mix": op8_mix,
            "op9_quality": op9_quality, "op10_shard": op10_shard}
 
 ORACLE_SQL: dict[str, str] = {}
