@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (WordHashes, components, grams_of, pack_sorted, power_of_two, ship, slices,
+from .common import (WORD, WordHashes, components, grams_of, pack_sorted, power_of_two, ship, slices,
                      small_enough, unpack_sorted, written)
 
 KEY_SHIFT = np.uint64(24)  # shingles are counted by the upper 40 bits of their hashes
@@ -301,8 +301,9 @@ def _crossing(lists: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text", max_common: int = 1_000_000) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles (of its set) and
-    component_id, the smallest doc_id that links lead to, itself included.
+    """One row per row of ``docs``: doc_id, n_shingles (of its set),
+    component_id, the smallest doc_id that links lead to, itself included,
+    text_hash and component (a number of its own; NULL without a set).
 
     Case of A-Z doesn't count. A text without words, or NULL, has no set and
     links with nothing; equal texts and repeated rows link. A NULL doc_id is
@@ -362,7 +363,27 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc
     classes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(groups, "node", "left").withColumn("c", F.coalesce("component", "node"))
     ids = classes.groupBy("c").agg(F.min("least").alias("component_id"))
-    to = written(classes.join(ids, "c").select("node", "component_id"), "classes")
+    to = written(classes.join(ids, "c").select("node", "component_id", F.col("c").alias("component")), "classes")
     return rows.join(small_enough(to), "node", "left").select(
         "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(
-            F.col("component_id")).alias("component_id"))
+            F.col("component_id")).alias("component_id"), "text_hash", "component")
+
+
+def keep_one_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates: the one
+    with the smallest doc_id (NULL last; equal ids: the smaller hash of the
+    text). Documents without words stay; of rows equal in id and text that
+    aren't empty one stays."""
+    rows = written(near_duplicates(docs, doc_id=doc_id, text=text, **options), "near-duplicates")
+    place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_hash")
+    first = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(place).alias("p"))
+    keep = written(first.select("p.doc_id", "p.text_hash").unionByName(
+        rows.where("component IS NULL").select("doc_id", "text_hash")).distinct(), "kept")
+    hashed = docs.withColumn("_hash", F.xxhash64(F.col(text))).alias("d")
+    kept = hashed.join(small_enough(keep).alias("k"), F.col(f"d.{doc_id}").eqNullSafe(F.col("k.doc_id"))
+                       & (F.col("d._hash") == F.col("k.text_hash")), "left_semi")
+    again = rows.where("component IS NOT NULL").groupBy("doc_id", "text_hash").count().where("count > 1")
+    if again.limit(1).count():
+        empty = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)) == 0
+        kept = kept.where(empty).unionByName(kept.where(~empty).dropDuplicates([doc_id, "_hash"]))
+    return kept.drop("_hash")

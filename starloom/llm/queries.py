@@ -29,7 +29,8 @@ def op3_token_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    return jaccard.near_duplicates(_table(spark, d, "documents"), shingle=5, percent=80)
+    return jaccard.near_duplicates(_table(spark, d, "documents"), shingle=5, percent=80).select(
+        "doc_id", "n_shingles", "component_id")
 
 
 def op5_lm_score(spark: SparkSession, d: str) -> DataFrame:
@@ -66,8 +67,13 @@ def op10_shard(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def pipeline(spark: SparkSession, d: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, d)
+
+
 QUERIES = {"op1_substring": op1_substring, "op2_pack": op2_pack, "op3_token_files": op3_token_files, "op4_near_duplicates": op4_near_duplicates,
            "op5_lm_score": op5_lm_score, "op6_nearest": op6_nearest, "op7_pii": op7_pii, "op8_mix": op8_mix,
-           "op9_quality": op9_quality, "op10_shard": op10_shard}
+           "op9_quality": op9_quality, "op10_shard": op10_shard, "pipeline": pipeline}
 
 ORACLE_SQL: dict[str, str] = {}
