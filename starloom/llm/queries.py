@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, jaccard, lm_score, mixing, packing, pii, quality_lines, sharding, substring, token_files
+from .oracle import ORACLE_SQL  # noqa: F401 - __spark_entry__ takes both from here
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -75,5 +76,3 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {"op1_substring": op1_substring, "op2_pack": op2_pack, "op3_token_files": op3_token_files, "op4_near_duplicates": op4_near_duplicates,
            "op5_lm_score": op5_lm_score, "op6_nearest": op6_nearest, "op7_pii": op7_pii, "op8_mix": op8_mix,
            "op9_quality": op9_quality, "op10_shard": op10_shard, "pipeline": pipeline}
-
-ORACLE_SQL: dict[str, str] = {}
