@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -31,9 +32,12 @@ from starloom.plans.dims import (STATUS_DESCRIPTIONS, UNKNOWN_STATUS,  # noqa: E
 from starloom.plans.fact import build_fact_orders  # noqa: E402
 from starloom.plans.prep import preprocess, preprocess_counts  # noqa: E402
 from starloom.plans.star import build_star  # noqa: E402
-from starloom.session import ensure_checkpoint_dir  # noqa: E402
+from starloom.session import ensure_checkpoint_dir, scratch_folder  # noqa: E402
+from starloom.sinks import write_star  # noqa: E402
 from starloom.sources.harness import STATE_CODES, orders_from_tables  # noqa: E402
+from starloom.sources.raw import read_raw_csv  # noqa: E402
 from starloom.sources.seeds import geo_rows  # noqa: E402
+from starloom.streaming import read_dim_prod, read_fact, run_incremental  # noqa: E402
 
 try:  # the one place that allows for the subpackage being taken out
     from starloom.llm import queries as _llm
@@ -43,6 +47,12 @@ except ModuleNotFoundError as _missing:
     _llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+RUN_TS = datetime(2025, 3, 31, 12, 0, 0, tzinfo=timezone.utc)  # one fixed run, so that the oracle can name it
+
+
+NATURAL_FACT = ["order_number", "order_date", "customer_name", "state_id", "product_name", "category",
+                "brand", "status_name", "employee_name", "unit_cost", "unit_sales", "quantity",
+                "total_cost", "total_sales", "profit", "profit_margin"]
 
 
 # --------------------------------------------------------------------------- Spark side
@@ -62,7 +72,13 @@ def _clean(spark, d, dirty=False) -> DataFrame:
 
 def _star(spark, d, dirty=False, **kw) -> dict[str, DataFrame]:
     # the adapter is a 5-way join read by six builders: keep its cleaned rows
-    return build_star(_raw(spark, d, dirty), audit=False, persist_clean=True, **kw)
+    return build_star(_raw(spark, d, dirty), run_ts=RUN_TS, persist_clean=True, **kw)
+
+
+def _shown(dim: DataFrame) -> DataFrame:
+    """A dimension with its audit columns as UTC times without a zone, which
+    both engines show alike."""
+    return dim.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("create_date", "update_date")})
 
 
 def q_raw_orders(spark, d):
@@ -82,16 +98,16 @@ def q_dim_date(spark, d, week_start="monday"):
 
 
 def q_dim_cust(spark, d):
-    return build_dim_cust(_clean(spark, d, dirty=True), audit=False)
+    return _shown(build_dim_cust(_clean(spark, d, dirty=True), run_ts=RUN_TS))
 
 
 def q_dim_emp(spark, d):
-    return build_dim_emp(_clean(spark, d), audit=False)
+    return _shown(build_dim_emp(_clean(spark, d), run_ts=RUN_TS))
 
 
 def q_dim_emp_first_seen(spark, d):
-    return build_dim_emp(_clean(spark, d, dirty=True), audit=False, key_order="first_seen",
-                         seen_cols=["order_date", "order_number"])
+    return _shown(build_dim_emp(_clean(spark, d, dirty=True), run_ts=RUN_TS, key_order="first_seen",
+                         seen_cols=["order_date", "order_number"]))
 
 
 def q_surrogate_key_scalable(spark, d):
@@ -120,11 +136,11 @@ def q_single_valued_cost(spark, d):
 
 
 def q_dim_prod(spark, d):
-    return build_dim_prod(_clean(spark, d, dirty=True), audit=False)
+    return _shown(build_dim_prod(_clean(spark, d, dirty=True), run_ts=RUN_TS))
 
 
 def q_dim_ostatus(spark, d, dirty=False):
-    return build_dim_status(_clean(spark, d, dirty=dirty), audit=False)
+    return _shown(build_dim_status(_clean(spark, d, dirty=dirty), run_ts=RUN_TS))
 
 
 def q_fact(spark, d, dirty=False, **kw):
@@ -163,17 +179,67 @@ def q_incremental_fact(spark, d):
     (readStream + foreachBatch, availableNow). One batch from empty targets
     numbers members exactly as the full build, so the fact equals
     ``fact_orders``. Files go under the shared checkpoint folder."""
-    import uuid
-
-    from starloom.streaming import read_fact, run_incremental
-    ckpt = ensure_checkpoint_dir(spark)
-    base = f"{ckpt.rstrip('/')}/starloom-incremental-{uuid.uuid4().hex}"
+    base = scratch_folder(spark, "incremental")
     _raw(spark, d).write.mode("overwrite").parquet(f"{base}/landing")
     run_incremental(spark, f"{base}/landing", f"{base}/star", f"{base}/stream-checkpoint",
-                    source_format="parquet")
+                    source_format="parquet", run_ts=RUN_TS)
     return read_fact(spark, f"{base}/star")
 
 
+def _loaded_in_batches(spark, d) -> str:
+    """All rows of the dirty extract dealt to two sources: the first one loaded
+    in two micro-batches, the second one with a checkpoint of its own."""
+    base = scratch_folder(spark, "batches")
+    raw = _raw(spark, d, dirty=True)
+    turn = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.lit(3))
+    (raw.withColumn("_turn", turn).repartition(3, "_turn").write.partitionBy("_turn")
+        .parquet(f"{base}/landing"))
+    for k in range(3):  # one file per turn, whatever the number of tasks
+        part = spark.read.schema(raw.schema).parquet(f"{base}/landing/_turn={k}")
+        part.coalesce(1).write.mode("append").parquet(f"{base}/source{k // 2}")
+    for k in range(2):
+        run_incremental(spark, f"{base}/source{k}", f"{base}/star", f"{base}/checkpoint{k}",
+                        source_format="parquet", max_files_per_trigger=1, run_ts=RUN_TS)
+    return f"{base}/star"
+
+
+def q_incremental_multi_batch(spark, d):
+    """The fact of three batches from two sources, by natural keys."""
+    root = _loaded_in_batches(spark, d)
+
+    def dim(name, *cols):
+        return spark.read.schema(C.STAR[name].schema).parquet(f"{root}/{name}").select(*cols)
+
+    fact = read_fact(spark, root)
+    fact = fact.join(dim("dim_cust", "customer_id", "customer_name"), "customer_id", "left")
+    fact = fact.join(dim("dim_prod", "product_id", "product_name", "category", "brand"), "product_id", "left")
+    fact = fact.join(dim("dim_ostatus", "status_id", "status_name"), "status_id", "left")
+    fact = fact.join(dim("dim_emp", "employee_id", "employee_name"), "employee_id", "left")
+    return fact.select(*NATURAL_FACT)
+
+
+def q_incremental_dim_prod(spark, d):
+    """The products' costs after three batches, as the full build has them."""
+    return read_dim_prod(spark, _loaded_in_batches(spark, d)).select(
+        "product_name", "category", "brand", "standard_cost")
+
+
+def q_csv_round_trip(spark, d):
+    """The extract written as CSV with its columns in another order, read back by name."""
+    raw = _raw(spark, d, dirty=True)
+    path = scratch_folder(spark, "csv")
+    raw.select(*[F.col(f"`{c}`") for c in reversed(raw.columns)]).write.option("header", True).csv(path)
+    return read_raw_csv(spark, path)
+
+
+def q_star_round_trip(spark, d, fmt):
+    """The star written to files, dimensions first, and the fact read back."""
+    path = scratch_folder(spark, "star")
+    write_star(_star(spark, d, dirty=True), path, fmt)
+    reader = spark.read.schema(C.FACT_ORDERS.schema)
+    return (reader.option("header", True).csv if fmt == "csv" else reader.parquet)(f"{path}/fact_orders")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the order fact table at sf0.001."""
     return q_fact(spark, SMOKE_DIR)
@@ -206,6 +272,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                           salt_buckets=8, hot_share=0.05),
         "fact_margin_unguarded": q_fact_margin_unguarded,
         "incremental_fact": q_incremental_fact,
+        "incremental_multi_batch": q_incremental_multi_batch,
+        "incremental_dim_prod": q_incremental_dim_prod,
+        "csv_round_trip": q_csv_round_trip,
+        "star_parquet_round_trip": partial(q_star_round_trip, fmt="parquet"),
+        "star_csv_round_trip": partial(q_star_round_trip, fmt="csv"),
         "fact_preview": q_fact_preview,
         "key_uniqueness": q_key_uniqueness,
         "completeness_dims": partial(q_completeness, which="dims"),
@@ -223,6 +294,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # --------------------------------------------------------------------------- DuckDB oracle
 
+_AUDIT = ("TIMESTAMP '2025-03-31 12:00:00' AS create_date, "
+          "TIMESTAMP '2025-03-31 12:00:00' AS update_date")
+
+
 def _lit(v) -> str:
     return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
@@ -279,8 +354,10 @@ WHERE "Order_Number" IS NOT NULL AND NOT isnan("Order_Number")"""
 
 
 def _sql_names(col: str) -> tuple[str, str]:
-    tok = f"string_split_regex(trim({col}), '\\s+')"
-    cond = f"trim({col}) <> ''"
+    space = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+    trimmed = f"regexp_replace({col}, '^{space}+|{space}+$', '', 'g')"
+    tok = f"string_split_regex({trimmed}, '{space}+')"
+    cond = f"{trimmed} <> ''"
     return (f"CASE WHEN {cond} THEN {tok}[1] END", f"CASE WHEN {cond} THEN {tok}[-1] END")
 
 
@@ -311,7 +388,7 @@ FROM clean WHERE {src} IS NOT NULL GROUP BY {src}"""
         order = name
     return f"""
 SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS {id_col}, {name},
-  {f} AS {first}, {la} AS {last}
+  {f} AS {first}, {la} AS {last}, {_AUDIT}
 FROM ({members})"""
 
 
@@ -330,7 +407,7 @@ FROM (VALUES
 _SQL_DIM_PROD = """
 SELECT CAST(row_number() OVER (ORDER BY product, category, brand) AS INTEGER) AS product_id,
   product AS product_name, category, brand,
-  COALESCE(CASE WHEN count(DISTINCT cost) = 1 THEN max(cost) END, 0.0) AS standard_cost
+  COALESCE(CASE WHEN count(DISTINCT cost) = 1 THEN max(cost) END, 0.0) AS standard_cost, """ + _AUDIT + """
 FROM clean
 WHERE product IS NOT NULL AND category IS NOT NULL AND brand IS NOT NULL
 GROUP BY product, category, brand"""
@@ -341,7 +418,7 @@ def _sql_dim_status() -> str:
     return f"""
 SELECT CAST(row_number() OVER (ORDER BY status) AS INTEGER) AS status_id,
   status AS status_name,
-  COALESCE(CASE status {whens} END, {_lit(UNKNOWN_STATUS)}) AS status_description
+  COALESCE(CASE status {whens} END, {_lit(UNKNOWN_STATUS)}) AS status_description, {_AUDIT}
 FROM (SELECT DISTINCT status FROM clean WHERE status IS NOT NULL)"""
 
 
@@ -409,7 +486,7 @@ def _ctes(dirty: bool, star: bool = True, fact: str | None = None) -> str:
 
 
 def _contract_cols(table: str):
-    return [c for c in C.STAR[table].columns if c.name not in ("create_date", "update_date")]
+    return list(C.STAR[table].columns)
 
 
 def _sql_not_null() -> str:
@@ -515,7 +592,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_emp_first_seen": dirty_only + emp_first_seen,
         "surrogate_key_scalable": (
             "SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (ORDER BY l_orderkey, "
-            "l_linenumber) AS INTEGER) AS line_id FROM (SELECT DISTINCT l_orderkey, l_linenumber "
+            "l_linenumber) AS BIGINT) AS line_id FROM (SELECT DISTINCT l_orderkey, l_linenumber "
             "FROM lineitem)"),
         "geo_lookup": clean_only.rstrip() + f",\ndim_geo AS ({_sql_dim_geo()})\n" + (
             "SELECT CAST(c.order_number AS INTEGER) AS order_number, c.state_code, "
@@ -539,6 +616,15 @@ def oracle_sql() -> dict[str, str]:
         "fact_orders_salted": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "fact_orders_hot_salted": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "incremental_fact": star_clean + f"SELECT {fact_cols} FROM fact_orders",
+        "incremental_multi_batch": star_dirty + f"SELECT {', '.join(NATURAL_FACT)} FROM fact_orders f "
+        "LEFT JOIN dim_cust c ON c.customer_id = f.customer_id "
+        "LEFT JOIN dim_prod p ON p.product_id = f.product_id "
+        "LEFT JOIN dim_ostatus s ON s.status_id = f.status_id "
+        "LEFT JOIN dim_emp e ON e.employee_id = f.employee_id",
+        "incremental_dim_prod": star_dirty + "SELECT product_name, category, brand, standard_cost FROM dim_prod",
+        "csv_round_trip": f"WITH raw AS ({_sql_raw(True)}) SELECT * FROM raw",
+        "star_parquet_round_trip": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
+        "star_csv_round_trip": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "fact_margin_unguarded": _ctes(True, fact=_sql_fact(margin="unguarded", fill=False)) +
         f"SELECT {fact_cols} FROM fact_orders",
         "fact_preview": star_clean + f"SELECT {fact_cols} FROM fact_orders ORDER BY "

@@ -23,6 +23,10 @@ def main(argv: list[str] | None = None) -> dict:
                    help="one fact directory per order year (partition pruning)")
     p.add_argument("--week-start", default="monday", choices=["monday", "sunday"])
     p.add_argument("--product-match", default="triple", choices=["triple", "last_wins", "name"])
+    p.add_argument("--allow-fan-out", action="store_true",
+                   help="accept that --product-match name multiplies fact rows")
+    p.add_argument("--csv-mode", default="PERMISSIVE", choices=["PERMISSIVE", "FAILFAST"])
+    p.add_argument("--multi-line", action="store_true", help="CSV fields may hold line breaks")
     p.add_argument("--key-order", default="sorted", choices=["sorted", "first_seen"])
     a = p.parse_args(argv)
     spark = get_session(a.master)
@@ -30,7 +34,8 @@ def main(argv: list[str] | None = None) -> dict:
                  target_format=a.target_format, database=a.database,
                  reports=not a.no_reports, fact_by_year=a.fact_by_year,
                  week_start=a.week_start,
-                 product_match=a.product_match, person_key_order=a.key_order)
+                 product_match=a.product_match, allow_fan_out=a.allow_fan_out,
+                 csv_mode=a.csv_mode, multi_line=a.multi_line, person_key_order=a.key_order)
     print(json.dumps(result, default=str))
     return result
 

@@ -200,14 +200,33 @@ STAR: dict[str, Contract] = {c.name: c for c in (
     DIM_CUST, DIM_DATE, DIM_EMP, DIM_GEO, DIM_OSTATUS, DIM_PROD, FACT_ORDERS)}
 
 
-def conform(df: DataFrame, contract: Contract, *, drop_audit: bool = False) -> DataFrame:
+def checked_cast(value: Column, name: str, dtype: T.DataType) -> Column:
+    """``value`` as ``dtype``; a number that doesn't fit an INTEGER raises,
+    whatever the session's ANSI setting (which would wrap or saturate it)."""
+    if dtype != INT:
+        return value.cast(dtype)
+    wide = value.cast("double")
+    fits = wide.isNull() | ((wide > -(2.0 ** 31) - 1) & (wide < 2.0 ** 31))
+    return F.when(fits, value.cast(INT)).otherwise(F.raise_error(F.concat(
+        F.lit(f"{name} does not fit an INTEGER: "), value.cast("string"))).cast(INT))
+
+
+def is_key(contract: Contract, name: str) -> bool:
+    return name == contract.primary_key or name in contract.foreign_keys
+
+
+def conform(df: DataFrame, contract: Contract, *, drop_audit: bool = False,
+            wide_keys: bool = False) -> DataFrame:
     """Project ``df`` onto the contract: column order, names and types.
 
-    Missing audit columns are allowed only with ``drop_audit``.
+    Missing audit columns are allowed only with ``drop_audit``. ``wide_keys``
+    makes the INTEGER keys BIGINT, for more than 2**31 members or orders;
+    without it, a key that doesn't fit raises.
     """
     cols: list[Column] = []
     for c in contract.columns:
         if drop_audit and c.name in ("create_date", "update_date"):
             continue
-        cols.append(F.col(c.name).cast(c.dtype).alias(c.name))
+        wide = wide_keys and c.dtype == INT and is_key(contract, c.name)
+        cols.append(checked_cast(F.col(c.name), c.name, T.LongType() if wide else c.dtype).alias(c.name))
     return df.select(*cols)

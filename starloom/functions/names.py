@@ -6,10 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# White space as str.split() sees it; the same text works in Java's and RE2's patterns.
+SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+
+
+def _trimmed(name: Column) -> Column:
+    return F.regexp_replace(name, f"^{SPACE}+|{SPACE}+$", "")
+
+
 def _tokens(name: Column, mode: str) -> Column:
     if mode == "whitespace":
-        # any run of whitespace, outer blanks ignored (Python str.split())
-        return F.split(F.trim(name), r"\s+")
+        # any run of white space, outer white space ignored
+        return F.split(_trimmed(name), f"{SPACE}+")
     if mode == "space":
         # single-space split without trimming; outer blanks give '' tokens
         return F.split(name, " ")
@@ -17,7 +25,7 @@ def _tokens(name: Column, mode: str) -> Column:
 
 
 def _has_token(name: Column, mode: str) -> Column:
-    return F.trim(name) != "" if mode == "whitespace" else name.isNotNull()
+    return _trimmed(name) != "" if mode == "whitespace" else name.isNotNull()
 
 
 def first_token(name: Column | str, mode: str = "whitespace") -> Column:

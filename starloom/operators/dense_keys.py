@@ -29,7 +29,7 @@ _PART, _POS = "_sl_part", "_sl_pos"
 
 def number_rows(members: DataFrame, order_cols: list[str | Column], id_col: str,
                 num_buckets: int | None = None) -> DataFrame:
-    """Add ``id_col`` = 1..n in ``order_cols`` order (ascending, NULLs first).
+    """Add ``id_col`` (bigint) = 1..n in ``order_cols`` order (ascending, NULLs first).
 
     ``members`` must already hold one row per member. Without
     ``num_buckets`` the range count starts at the shuffle partitions and AQE
@@ -52,7 +52,7 @@ def number_rows(members: DataFrame, order_cols: list[str | Column], id_col: str,
     # one SQL literal (constant-folded), not one driver round trip per partition
     offset_of = F.expr("array(" + ", ".join(f"{o}L" for o in offsets) + ")")
     return (tagged.withColumn(id_col, (F.element_at(offset_of, F.col(_PART) + 1)
-                                       + F.col(_POS) + 1).cast("int"))
+                                       + F.col(_POS) + 1))
                   .drop(_PART, _POS))
 
 
@@ -108,4 +108,4 @@ def extend_key(existing: DataFrame, candidates: DataFrame, key_cols: list[str],
     # one scalar, so the driver round trip is bounded
     base = existing.agg(F.max(id_col)).first()[0] or 0
     numbered = number_rows(new, key_cols, id_col, num_buckets)
-    return numbered.withColumn(id_col, (F.col(id_col) + F.lit(base)).cast("int"))
+    return numbered.withColumn(id_col, F.col(id_col) + F.lit(base).cast("long"))

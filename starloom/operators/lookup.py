@@ -4,11 +4,13 @@ A lookup is a LEFT join on a key-unique dimension, so the fact keeps its
 grain; unmatched (and NULL) natural keys get NULL, which the fact builder
 turns into the sentinel. How the join runs depends on the dimension's size:
 
-* small (row count checked against a bound): broadcast hash join, the fact
+* small (rows and bytes checked against bounds): broadcast hash join, the fact
   is not shuffled at all;
-* large: sort-merge join, with AQE splitting a skewed fact partition, or,
-  when asked, an explicit salt that spreads every natural key over
-  ``salt_buckets`` tasks and replicates each dimension row that many times.
+* large: sort-merge join (hinted, so that adaptive execution doesn't turn it
+  into a broadcast of more than the bounds), with AQE splitting a skewed fact
+  partition. Rows with a NULL key, which match nothing, are spread over all
+  tasks. ``salt_buckets`` also spreads the natural keys and replicates each
+  dimension row that many times.
 """
 
 from __future__ import annotations
@@ -20,72 +22,99 @@ DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 _SALT = "_sl_salt"
 
 
+DEFAULT_BROADCAST_MAX_BYTES = 64 << 20
+
+
+def size_of(dim: DataFrame) -> tuple[int, int]:
+    """Rows and bytes (8 a fixed-width column, 32 a row, the lengths of texts)."""
+    size = F.lit(32 + 8 * len(dim.columns))
+    for name, kind in dim.dtypes:
+        if kind == "string":
+            size = size + F.coalesce(F.octet_length(f"`{name}`"), F.lit(0))
+    return tuple(dim.agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first())
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                      known_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Return ``(dim, True)`` with a broadcast hint if the dimension holds at
-    most ``max_rows`` rows, else ``(dim, False)``.
-
-    The row count is measured (``known_rows`` skips the job when the size is
-    bounded by construction, e.g. a seed), so the hint never rests on a guess.
-    Call it on materialized (checkpointed or written) dimensions, where the
-    count is a cheap scan.
+                      known_size: tuple[int, int] | None = None,
+                      max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """Return ``(dim, True)`` with a broadcast hint if the dimension is within
+    both bounds, else ``(dim, False)`` with a merge hint.
+
+    The size is measured (``known_size``, rows and bytes at most, skips the
+    job), so the hint never rests on a guess. Call it on materialized
+    (checkpointed or written) dimensions, where measuring is a cheap scan.
     """
-    rows = known_rows if known_rows is not None else dim.count()
-    if rows <= max_rows:
+    rows, size = known_size if known_size is not None else size_of(dim)
+    if rows <= max_rows and size <= max_bytes:
         return F.broadcast(dim), True
-    return dim, False
+    return dim.hint("merge"), False
 
 
-def hot_keys(fact: DataFrame, cols: list[str], share: float) -> DataFrame:
-    """Natural keys that may hold at least ``share`` of the fact's rows.
+def hot_keys_of(fact: DataFrame, keys: list[list[str]], share: float) -> list[DataFrame]:
+    """For each list of key columns the natural keys that may hold at least
+    ``share`` of the fact's rows.
 
-    One pass with Spark's frequent-items sketch; the answer has at most
-    1/``share`` entries by construction (a proven bound), may contain false
-    positives (harmless: they are only salted) and never misses a key above
-    the share. NULL keys are left out: they never match a dimension.
+    One pass for all of them with Spark's frequent-items sketch; an answer has
+    at most 1/``share`` entries by construction (a proven bound), may contain
+    false positives (harmless: they are only salted) and never misses a key
+    above the share. NULL keys are left out: they never match a dimension.
     """
-    key = F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_sl_k")
-    items = fact.select(key).freqItems(["_sl_k"], share).first()[0]
-    rows = [tuple(k) for k in items if k is not None and all(v is not None for v in k)]
-    schema = fact.select(*[F.col(f"`{c}`") for c in cols]).schema
-    return fact.sparkSession.createDataFrame(rows, schema)
+    names = [f"_sl_k{i}" for i in range(len(keys))]
+    columns = [F.struct(*[F.col(f"`{c}`") for c in cols]).alias(n) for n, cols in zip(names, keys)]
+    found = fact.select(*columns).freqItems(names, share).first()
+    out = []
+    for cols, items in zip(keys, found):
+        rows = [tuple(k) for k in items if k is not None and all(v is not None for v in k)]
+        out.append(fact.sparkSession.createDataFrame(
+            rows, fact.select(*[F.col(f"`{c}`") for c in cols]).schema))
+    return out
+
+
+def hot_keys(fact: DataFrame, cols: list[str], share: float) -> DataFrame:
+    """:func:`hot_keys_of` for one key."""
+    return hot_keys_of(fact, [cols], share)[0]
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, on: dict[str, str], key_col: str, *,
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-               known_rows: int | None = None,
+               known_size: tuple[int, int] | None = None,
                salt_buckets: int | None = None,
-               hot_share: float | None = None) -> DataFrame:
+               hot: DataFrame | None = None, hot_share: float | None = None) -> DataFrame:
     """Add ``key_col`` to ``fact``; ``on`` maps fact column -> dimension column.
 
     ``dim`` must be unique on the ``on`` columns (dimensions are). For a
     dimension too large to broadcast, ``salt_buckets`` spreads each natural
-    key over that many tasks; with ``hot_share`` only the keys found by
-    :func:`hot_keys` are spread (and only their dimension rows replicated),
-    the rest join unsalted.
+    key over that many tasks; with ``hot`` only these keys (see
+    :func:`hot_keys_of`; ``hot_share`` finds them here) are spread, and only
+    their dimension rows replicated.
     """
     dim_k = dim.select(*[F.col(d).alias(f) for f, d in on.items()], F.col(key_col))
     fact_cols = list(on)
-    dim_k, small = bounded_broadcast(dim_k, broadcast_max_rows, known_rows)
-    if small or not salt_buckets or salt_buckets <= 1:
-        return fact.join(dim_k, fact_cols, "left")
-    # Deterministic salt from the row content, so a recomputed task assigns
-    # the same salt again.
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salt_buckets))
-    all_salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-    if hot_share is None:
-        salted_fact = fact.withColumn(_SALT, spread)
-        salted_dim = dim_k.withColumn(_SALT, F.explode(all_salts))
-    else:
-        hot = F.broadcast(hot_keys(fact, fact_cols, hot_share).withColumn("_sl_hot", F.lit(True)))
-        salted_fact = (fact.join(hot, fact_cols, "left")
-                       .withColumn(_SALT, F.when(F.col("_sl_hot"), spread).otherwise(0))
-                       .drop("_sl_hot"))
-        salted_dim = (dim_k.join(hot, fact_cols, "left")
-                      .withColumn(_SALT, F.explode(F.when(F.col("_sl_hot"), all_salts)
-                                                   .otherwise(F.array(F.lit(0)))))
-                      .drop("_sl_hot"))
-    return salted_fact.join(salted_dim, fact_cols + [_SALT], "left").drop(_SALT)
+    small_dim, small = bounded_broadcast(dim_k, broadcast_max_rows, known_size)
+    if small:
+        return fact.join(small_dim, fact_cols, "left")
+    # Salts come from the row's content, so a recomputed task assigns the same ones again.
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    no_key = F.lit(False)
+    for c in fact_cols:
+        no_key = no_key | F.col(f"`{c}`").isNull()
+    salted = bool(salt_buckets and salt_buckets > 1)
+    spread = F.pmod(content, F.lit(salt_buckets if salted else 1))
+    zero = F.lit(0).cast("long")
+    all_salts = F.sequence(zero, F.lit((salt_buckets or 1) - 1).cast("long"))
+    if salted and hot is None and hot_share is not None:
+        hot = hot_keys(fact, fact_cols, hot_share)
+    is_hot, salted_fact, salted_dim = F.lit(salted), fact, dim_k
+    if salted and hot is not None:
+        marks = F.broadcast(hot.withColumn("_sl_hot", F.lit(True)))  # at most 1/share rows
+        is_hot = F.coalesce(F.col("_sl_hot"), F.lit(False))
+        salted_fact, salted_dim = fact.join(marks, fact_cols, "left"), dim_k.join(marks, fact_cols, "left")
+    salted_fact = salted_fact.withColumn(_SALT, F.when(no_key, F.pmod(content, F.lit(max(tasks, 2)))).when(
+        is_hot, spread).otherwise(zero)).drop("_sl_hot")
+    salted_dim = salted_dim.withColumn(_SALT, F.explode(F.when(is_hot, all_salts).otherwise(
+        F.array(zero)))).drop("_sl_hot")
+    return salted_fact.join(salted_dim.hint("merge"), fact_cols + [_SALT], "left").drop(_SALT)
 
 
 def last_wins(dim: DataFrame, name_col: str, key_col: str) -> DataFrame:

@@ -39,10 +39,11 @@ def _audit(run_ts: datetime | Column | None) -> dict[str, Column]:
     return {"create_date": ts, "update_date": ts}
 
 
-def _finish(df: DataFrame, contract: C.Contract, run_ts, audit: bool) -> DataFrame:
+def _finish(df: DataFrame, contract: C.Contract, run_ts, audit: bool,
+            wide_keys: bool = False) -> DataFrame:
     if audit:
         df = df.withColumns(_audit(run_ts))
-    return C.conform(df, contract, drop_audit=not audit)
+    return C.conform(df, contract, drop_audit=not audit, wide_keys=wide_keys)
 
 
 def build_dim_date(clean: DataFrame | None, *, week_start: str = "monday",
@@ -59,7 +60,7 @@ def build_dim_date(clean: DataFrame | None, *, week_start: str = "monday",
 def build_person_dim(clean: DataFrame | None, source_col: str, contract: C.Contract, *,
                      key_order: str = "sorted", seen_cols: list[str] | None = None,
                      split_mode: str = "whitespace", run_ts=None, audit: bool = True,
-                     num_buckets: int | None = None,
+                     num_buckets: int | None = None, wide_keys: bool = False,
                      members: DataFrame | None = None) -> DataFrame:
     """Customer or employee dimension: distinct names, dense key, first/last name.
 
@@ -89,7 +90,7 @@ def build_person_dim(clean: DataFrame | None, source_col: str, contract: C.Contr
         first_col: first_token(F.col(name_col), split_mode),
         last_col: last_token(F.col(name_col), split_mode),
     })
-    return _finish(keyed, contract, run_ts, audit)
+    return _finish(keyed, contract, run_ts, audit, wide_keys)
 
 
 def build_dim_cust(clean: DataFrame, **kw) -> DataFrame:
@@ -120,7 +121,7 @@ def build_dim_geo(spark: SparkSession, *, key: str = "stable") -> DataFrame:
 
 
 def build_dim_prod(clean: DataFrame | None, *, run_ts=None, audit: bool = True,
-                   num_buckets: int | None = None,
+                   num_buckets: int | None = None, wide_keys: bool = False,
                    members: DataFrame | None = None) -> DataFrame:
     """One row per (product, category, brand); standard_cost is the product's
     cost if it has exactly one distinct value, else 0. One aggregation yields
@@ -134,12 +135,12 @@ def build_dim_prod(clean: DataFrame | None, *, run_ts=None, audit: bool = True,
     keyed = number_rows(members, keys, "product_id", num_buckets)
     keyed = (keyed.withColumnRenamed("product", "product_name")
                   .na.fill({"standard_cost": 0.0}))
-    return _finish(keyed, C.DIM_PROD, run_ts, audit)
+    return _finish(keyed, C.DIM_PROD, run_ts, audit, wide_keys)
 
 
 def build_dim_status(clean: DataFrame | None, *, descriptions: dict[str, str] | None = None,
                      default: str | None = UNKNOWN_STATUS, run_ts=None, audit: bool = True,
-                     num_buckets: int | None = None,
+                     num_buckets: int | None = None, wide_keys: bool = False,
                      members: DataFrame | None = None) -> DataFrame:
     """Distinct statuses, dense key, description from a literal map (an
     unlisted status gets ``default``; ``default=None`` leaves it NULL).
@@ -156,7 +157,8 @@ def build_dim_status(clean: DataFrame | None, *, descriptions: dict[str, str] |
     desc = mapping[F.col("status_name")]
     if default is not None:
         desc = F.coalesce(desc, F.lit(default))
-    return _finish(keyed.withColumn("status_description", desc), C.DIM_OSTATUS, run_ts, audit)
+    return _finish(keyed.withColumn("status_description", desc), C.DIM_OSTATUS, run_ts, audit,
+                   wide_keys)
 
 
 # Member sets of the data-derived dimensions: the grouping columns of each.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions.measures import profit, profit_margin
-from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, last_wins, lookup_key
+from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, hot_keys_of, last_wins, lookup_key
 from .prep import require_columns
 
 FACT_KEYS = ["customer_id", "state_id", "product_id", "status_id", "employee_id"]
@@ -19,51 +19,62 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
                       margin: str = "guarded", sentinel: int = -1, fill: bool = True,
                       broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                       salt_buckets: int | None = None, hot_share: float | None = None,
-                      dim_rows: dict[str, int] | None = None) -> DataFrame:
+                      dim_sizes: dict[str, tuple[int, int]] | None = None,
+                      wide_keys: bool = False, allow_fan_out: bool = False) -> DataFrame:
     """Fact rows with surrogate keys and measures, conformed to the contract.
 
     product_match
       ``triple``     join on (product, category, brand): one key per row (default)
       ``last_wins``  join on name; a name with several products keeps the highest key
       ``name``       join on name only: a name with several products MULTIPLIES
-                     fact rows; kept only to reproduce that behaviour
+                     fact rows; kept only to reproduce that behaviour, and only
+                     with ``allow_fan_out=True``
     Unmatched keys become ``sentinel`` (``'-1'`` for the text state key) and
     NULL or NaN measures 0, after profit and margin are computed. The geography
     lookup is restricted to ``country`` because state codes repeat across
-    countries. ``dim_rows`` (exact row counts of the dimensions, when the
-    caller has them) saves the size check a count job per dimension; a
-    filtered dimension's count is an upper bound of the filtered rows.
+    countries. ``dim_sizes`` (rows and bytes of the dimensions, when the
+    caller has them) saves the size check a job per dimension; a
+    filtered dimension is no larger. ``hot_share`` finds the hot keys of all
+    lookups in one pass over the cleaned rows.
     """
     require_columns(clean, ["customer_name", "state_code", "product", "category", "brand",
                             "status", "assigned supervisor", "cost", "sales", "quantity",
                             "total_cost", "total_sales", "order_number", "order_date"])
-    kw = dict(broadcast_max_rows=broadcast_max_rows, salt_buckets=salt_buckets,
-              hot_share=hot_share)
-    rows = dim_rows or {}
+    kw = dict(broadcast_max_rows=broadcast_max_rows, salt_buckets=salt_buckets)
+    sizes = dim_sizes or {}
     f = clean
+    product = ["product", "category", "brand"] if product_match == "triple" else ["product"]
+    keys = {"dim_cust": ["customer_name"], "dim_geo": ["state_code"], "dim_prod": product,
+            "dim_ostatus": ["status"], "dim_emp": ["assigned supervisor"]}
+    hot: dict[str, DataFrame] = {}
+    if salt_buckets and hot_share:
+        hot = dict(zip(keys, hot_keys_of(clean, list(keys.values()), hot_share)))
     f = lookup_key(f, dims["dim_cust"], {"customer_name": "customer_name"}, "customer_id",
-                   known_rows=rows.get("dim_cust"), **kw)
+                   known_size=sizes.get("dim_cust"), hot=hot.get("dim_cust"), **kw)
     geo = dims["dim_geo"].filter(F.col("country") == country)
     f = lookup_key(f, geo, {"state_code": "state_code"}, "state_id",
-                   known_rows=rows.get("dim_geo"), **kw)
+                   known_size=sizes.get("dim_geo"), hot=hot.get("dim_geo"), **kw)
     prod = dims["dim_prod"]
     if product_match == "triple":
         f = lookup_key(f, prod, {"product": "product_name", "category": "category",
                                  "brand": "brand"}, "product_id",
-                       known_rows=rows.get("dim_prod"), **kw)
+                       known_size=sizes.get("dim_prod"), hot=hot.get("dim_prod"), **kw)
     elif product_match == "last_wins":
         f = lookup_key(f, last_wins(prod, "product_name", "product_id"),
                        {"product": "product_name"}, "product_id",
-                       known_rows=rows.get("dim_prod"), **kw)
+                       known_size=sizes.get("dim_prod"), hot=hot.get("dim_prod"), **kw)
     elif product_match == "name":
+        if not allow_fan_out:
+            raise ValueError("product_match='name' multiplies fact rows; pass allow_fan_out=True "
+                             "to accept that")
         f = f.join(prod.select(F.col("product_name").alias("product"), "product_id"),
                    "product", "left")
     else:
         raise ValueError(f"unknown product_match {product_match!r}")
     f = lookup_key(f, dims["dim_ostatus"], {"status": "status_name"}, "status_id",
-                   known_rows=rows.get("dim_ostatus"), **kw)
+                   known_size=sizes.get("dim_ostatus"), hot=hot.get("dim_ostatus"), **kw)
     f = lookup_key(f, dims["dim_emp"], {"assigned supervisor": "employee_name"},
-                   "employee_id", known_rows=rows.get("dim_emp"), **kw)
+                   "employee_id", known_size=sizes.get("dim_emp"), hot=hot.get("dim_emp"), **kw)
 
     ts, tc = F.col("total_sales"), F.col("total_cost")
     q = F.col("quantity")
@@ -80,4 +91,4 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
         defaults["state_id"] = str(sentinel)
         defaults.update({m: 0.0 for m in FACT_MEASURES})
         f = f.na.fill(defaults)
-    return C.conform(f, C.FACT_ORDERS)
+    return C.conform(f, C.FACT_ORDERS, wide_keys=wide_keys)

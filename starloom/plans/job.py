@@ -12,16 +12,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sinks.writers import write_star
-from ..sources.raw import read_raw_csv, read_raw_table
+from ..contracts import STAR
+from ..sources.raw import CORRUPT, read_raw_csv, read_raw_table
 from .quality import DIM_COMPLETENESS_COLUMNS, FACT_COMPLETENESS_COLUMNS, check_all, completeness
 from .star import build_star
 
 
-def read_source(spark: SparkSession, source: str, fmt: str = "csv") -> DataFrame:
-    """``fmt``: ``csv`` (headered extract), ``parquet``, or ``table``
-    (``database.table`` in the catalog)."""
+def read_source(spark: SparkSession, source: str, fmt: str = "csv", *, mode: str = "PERMISSIVE",
+                multi_line: bool = False) -> DataFrame:
+    """``fmt``: ``csv`` (headered extract, with its rejected records),
+    ``parquet``, or ``table`` (``database.table`` in the catalog)."""
     if fmt == "csv":
-        return read_raw_csv(spark, source)
+        return read_raw_csv(spark, source, mode=mode, multi_line=multi_line,
+                            keep_rejects=mode == "PERMISSIVE")
     if fmt == "parquet":
         return spark.read.parquet(source)
     if fmt == "table":
@@ -32,24 +35,29 @@ def read_source(spark: SparkSession, source: str, fmt: str = "csv") -> DataFrame
 
 def run(spark: SparkSession, source: str, target: str, *, source_format: str = "csv",
         target_format: str = "parquet", database: str | None = None,
-        reports: bool = True, fact_by_year: bool = False, **star_options) -> dict:
+        reports: bool = True, fact_by_year: bool = False, csv_mode: str = "PERMISSIVE",
+        multi_line: bool = False, **star_options) -> dict:
     """Build and write the star; optionally write the completeness and rule
-    reports next to it. Returns locations and row counts."""
+    reports next to it. Returns locations and row counts; ``rejected_rows``
+    are CSV records that didn't fit the schema (their fields became NULL)."""
     raw_obs, clean_obs = Observation("raw"), Observation("clean")
-    raw = read_source(spark, source, source_format).observe(raw_obs, F.count(F.lit(1)).alias("rows"))
+    raw = read_source(spark, source, source_format, mode=csv_mode, multi_line=multi_line)
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected")).drop(CORRUPT)
     run_ts = star_options.pop("run_ts", None) or datetime.now(timezone.utc)
     star = build_star(raw, run_ts=run_ts, **star_options)
     fact = star["fact_orders"].observe(clean_obs, F.count(F.lit(1)).alias("rows"))
     written = write_star({**star, "fact_orders": fact}, target, target_format, database=database,
                          fact_by_year=fact_by_year)
     result = {"written": written, "raw_rows": raw_obs.get.get("rows"),
+              "rejected_rows": raw_obs.get.get("rejected"),
               "fact_rows": clean_obs.get.get("rows")}
     if reports:
         # reports read the written tables back: no recomputation of the star
         if target_format == "table":
             names = {n: spark.table(loc) for n, loc in written.items()}
         elif target_format == "csv":
-            names = {n: spark.read.option("header", True).option("inferSchema", True).csv(loc)
+            names = {n: spark.read.option("header", True).schema(STAR[n].schema).csv(loc)
                      for n, loc in written.items()}
         else:
             names = {n: spark.read.parquet(loc) for n, loc in written.items()}

@@ -85,18 +85,43 @@ def _rule_rows(table: str, rule: str, row: DataFrame, cols: list[str]) -> DataFr
                           "column_name", F.col("violations").cast("bigint"))
 
 
-def check_not_null(tables: dict[str, DataFrame],
-                   contracts: dict[str, C.Contract] = C.STAR) -> DataFrame:
-    """NULLs in NOT NULL columns, one pass per table."""
+def _row_rules(contract: C.Contract, columns: list[str], kinds: tuple[str, ...]) -> list[tuple]:
+    """(rule, column, condition of a violation) of the rules that look at one row."""
+    out = []
+    if "not_null" in kinds:
+        out += [("not_null", c.name, F.col(c.name).isNull()) for c in contract.columns
+                if c.not_null and c.name in columns]
+    if "range" in kinds:  # a NULL outcome passes, as in SQL
+        out += [(rule, None, ~F.expr(pred)) for rule, pred in contract.checks]
+    if "max_length" in kinds:  # in bytes, the warehouse's unit
+        out += [("max_length", c.name, F.octet_length(c.name) > c.max_bytes) for c in contract.columns
+                if c.max_bytes and c.name in columns]
+    return out
+
+
+def check_rows(tables: dict[str, DataFrame], contracts: dict[str, C.Contract] = C.STAR,
+               kinds: tuple[str, ...] = ("not_null", "range", "max_length")) -> DataFrame:
+    """Violations of all rules of the given kinds, in one aggregation per table."""
     frames = []
     for name, df in tables.items():
-        cols = [c.name for c in contracts[name].columns if c.not_null and c.name in df.columns]
-        if cols:
-            row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"v{i}") for i, c in enumerate(cols)])
-            frames.append(_rule_rows(name, "not_null", row, cols))
+        rules = _row_rules(contracts[name], df.columns, kinds)
+        if not rules:
+            continue
+        row = df.agg(*[F.count_if(bad).alias(f"v{i}") for i, (_, _, bad) in enumerate(rules)])
+        each = F.explode(F.array(*[
+            F.struct(F.lit(rule).alias("rule"), F.lit(column).cast("string").alias("column_name"),
+                     F.col(f"v{i}").cast("bigint").alias("violations"))
+            for i, (rule, column, _) in enumerate(rules)])).alias("r")
+        frames.append(row.select(F.lit(name).alias("table_name"), each).select("table_name", "r.*"))
     return _union(frames)
 
 
+def check_not_null(tables: dict[str, DataFrame],
+                   contracts: dict[str, C.Contract] = C.STAR) -> DataFrame:
+    """NULLs in NOT NULL columns, one pass per table."""
+    return check_rows(tables, contracts, ("not_null",))
+
+
 def check_primary_key(tables: dict[str, DataFrame],
                       contracts: dict[str, C.Contract] = C.STAR) -> DataFrame:
     """Rows beyond the first for every repeated key value (0 = unique key).
@@ -157,40 +182,21 @@ def check_foreign_keys(tables: dict[str, DataFrame], fact: str = "fact_orders",
 def check_ranges(tables: dict[str, DataFrame],
                  contracts: dict[str, C.Contract] = C.STAR) -> DataFrame:
     """Rows failing each CHECK rule (a NULL outcome passes, as in SQL)."""
-    frames = []
-    for name, df in tables.items():
-        rules = contracts[name].checks
-        if not rules:
-            continue
-        row = df.agg(*[F.count_if(~F.expr(pred)).alias(f"v{i}")
-                       for i, (_, pred) in enumerate(rules)])
-        stacked = _stack(row, [r for r, _ in rules], [[f"v{i}"] for i in range(len(rules))],
-                         ["rule", "violations"])
-        frames.append(stacked.select(F.lit(name).alias("table_name"), "rule",
-                                     F.lit(None).cast("string").alias("column_name"),
-                                     F.col("violations").cast("bigint")))
-    return _union(frames)
+    return check_rows(tables, contracts, ("range",))
 
 
 def check_lengths(tables: dict[str, DataFrame],
                   contracts: dict[str, C.Contract] = C.STAR) -> DataFrame:
     """Values longer than their VARCHAR(n), in bytes (the warehouse's unit)."""
-    frames = []
-    for name, df in tables.items():
-        cols = [c for c in contracts[name].columns if c.max_bytes and c.name in df.columns]
-        if cols:
-            row = df.agg(*[F.count_if(F.octet_length(c.name) > c.max_bytes).alias(f"v{i}")
-                           for i, c in enumerate(cols)])
-            frames.append(_rule_rows(name, "max_length", row, [c.name for c in cols]))
-    return _union(frames)
+    return check_rows(tables, contracts, ("max_length",))
 
 
 def check_all(tables: dict[str, DataFrame],
               contracts: dict[str, C.Contract] = C.STAR) -> DataFrame:
-    """Every declared rule, one report."""
-    return _union([check_not_null(tables, contracts), check_primary_key(tables, contracts),
-                   check_foreign_keys(tables, contracts=contracts),
-                   check_ranges(tables, contracts), check_lengths(tables, contracts)])
+    """Every declared rule, one report: three passes of each table (the rules
+    that look at one row, primary keys, foreign keys)."""
+    return _union([check_rows(tables, contracts), check_primary_key(tables, contracts),
+                   check_foreign_keys(tables, contracts=contracts)])
 
 
 def key_uniqueness(tables: dict[str, DataFrame],

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS
+from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, size_of
 from .dims import (build_dim_cust, build_dim_date, build_dim_emp, build_dim_geo,
                    build_dim_prod, build_dim_status, dimension_members)
 from .fact import build_fact_orders
@@ -28,7 +28,8 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
                num_buckets: int | None = None,
                parallel_dims: bool = True,
                member_pass: str = "shared", strict_dates: bool = False,
-               sentinel: int = -1, hot_share: float | None = None) -> dict[str, DataFrame]:
+               sentinel: int = -1, hot_share: float | None = None,
+               wide_keys: bool = False, allow_fan_out: bool = False) -> dict[str, DataFrame]:
     """Build the seven tables (lazily, except the checkpointed key numbering).
 
     ``persist_clean`` keeps the cleaned rows (memory, then disk) for the five
@@ -42,6 +43,7 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
     (cheaper only when the source is cached or columnar and tiny).
     ``strict_dates`` raises on an unparsable order date instead of NULL;
     ``sentinel`` is the key given to rows without a dimension member.
+    ``wide_keys`` makes the INTEGER keys BIGINT.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     spark = raw.sparkSession
@@ -57,7 +59,7 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
     if member_pass == "shared":
         members = dimension_members(
             clean, seen_cols=seen if person_key_order == "first_seen" else None)
-    common = dict(run_ts=run_ts, audit=audit, num_buckets=num_buckets)
+    common = dict(run_ts=run_ts, audit=audit, num_buckets=num_buckets, wide_keys=wide_keys)
     builders = {
         "dim_date": lambda: build_dim_date(clean, week_start=week_start,
                                            members=members.get("dim_date")),
@@ -71,9 +73,9 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
                                          members=members.get("dim_emp"), **common),
     }
     def built(fn):
-        # the exact row count of each materialized dimension decides broadcast
+        # the measured size of each materialized dimension decides broadcast
         df = fn()
-        return df, df.count()
+        return df, size_of(df)
 
     if parallel_dims:
         # The keyed dimensions run a few small jobs each (range sample,
@@ -85,11 +87,12 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
     else:
         results = {name: built(fn) for name, fn in builders.items()}
     dims = {name: r[0] for name, r in results.items()}
-    dim_rows = {name: r[1] for name, r in results.items()}
+    dim_sizes = {name: r[1] for name, r in results.items()}
     fact = build_fact_orders(clean, dims, country=country, product_match=product_match,
                              margin=margin, broadcast_max_rows=broadcast_max_rows,
                              salt_buckets=salt_buckets, hot_share=hot_share,
-                             dim_rows=dim_rows, sentinel=sentinel)
+                             dim_sizes=dim_sizes, sentinel=sentinel, wide_keys=wide_keys,
+                             allow_fan_out=allow_fan_out)
     return {**dims, "fact_orders": fact}
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +67,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; point it at a folder every executor "
             "can reach (HDFS, S3, ABFS, ...)")
     return sc.getCheckpointDir()
+
+
+_FOLDERS: list[tuple[SparkSession, str]] = []
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder, deleted when the
+    driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/starloom-{name}-{uuid.uuid4().hex}"
+    _FOLDERS.append((spark, path))
+    return path
+
+
+@atexit.register
+def _delete_folders() -> None:
+    while _FOLDERS:
+        spark, path = _FOLDERS.pop()
+        context = spark.sparkContext
+        if context._jsc is None:  # the session has ended before
+            continue
+        try:
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # noqa: BLE001 - the JVM may be gone; the files only take room
+            return

@@ -25,10 +25,12 @@ from .. import contracts as C
 FORMATS = ("parquet", "csv", "both", "table")
 
 
-def _laid_out(df: DataFrame, contract: C.Contract | None) -> DataFrame:
-    if contract is None or not contract.sort_keys:
-        return df
-    return df.sortWithinPartitions(*contract.sort_keys)
+def _laid_out(df: DataFrame, contract: C.Contract | None,
+              partition_by: list[str] | None = None) -> DataFrame:
+    """Sorted in each task on the partition columns and then the sort keys (a
+    partitioned write would otherwise sort on the former alone)."""
+    keys = [*(partition_by or []), *(contract.sort_keys if contract else ())]
+    return df.sortWithinPartitions(*keys) if keys else df
 
 
 YEAR_PARTITION = "order_year"
@@ -43,7 +45,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """One dataset at ``path``: Snappy Parquet or headered CSV, optionally in
     one directory per value of ``partition_by`` (readers filtering on it skip
     the other directories)."""
-    out = _laid_out(df, contract)
+    out = _laid_out(df, contract, partition_by)
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -58,10 +60,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def write_managed(df: DataFrame, table: str, contract: C.Contract | None, *,
                   mode: str = "overwrite", buckets: int = 16, bucketed: bool = False,
                   partition_by: list[str] | None = None) -> None:
-    """A catalog table; with ``bucketed`` key-distributed contracts become
-    bucketed tables, otherwise rows are sorted within each write task."""
+    """A catalog table. One that exists (made by :func:`create_star_tables`)
+    is loaded by insert, so its types, defaults and buckets stay. A new one is
+    bucketed on request if its contract is distributed by key; otherwise rows
+    are sorted within each write task."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        names = spark.table(table).columns
+        _laid_out(df, contract, partition_by).select(*names).write.insertInto(
+            table, overwrite=mode == "overwrite")
+        return
     if not bucketed:
-        w = _laid_out(df, contract).write.mode(mode).format("parquet")
+        w = _laid_out(df, contract, partition_by).write.mode(mode).format("parquet")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.saveAsTable(table)
@@ -107,7 +117,9 @@ def write_star(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", *,
         elif fmt == "both":
             write_table(df, f"{root}/parquet/{name}", "parquet", mode, contract=contract,
                         partition_by=parts)
-            write_table(df, f"{root}/csv/{name}", "csv", mode, contract=contract,
+            # the CSV comes from what was written: the plan runs once
+            stored = df.sparkSession.read.schema(df.schema).parquet(f"{root}/parquet/{name}")
+            write_table(stored, f"{root}/csv/{name}", "csv", mode, contract=contract,
                         partition_by=parts)
             written[name] = f"{root}/parquet/{name}"
         else:
@@ -133,7 +145,7 @@ def _sql_type(col: C.Col) -> str:
 
 def create_table_ddl(contract: C.Contract, *, database: str | None = None,
                      buckets: int = 16, location: str | None = None,
-                     bucketed: bool = True) -> str:
+                     bucketed: bool = False) -> str:
     """``CREATE TABLE`` for a contract: NOT NULL, VARCHAR(n), DEFAULT
     CURRENT_TIMESTAMP on audit columns, bucketing for key-distributed tables.
     Spark does not enforce the keys or CHECK rules on Parquet tables; run
@@ -159,9 +171,10 @@ def create_table_ddl(contract: C.Contract, *, database: str | None = None,
 
 
 def create_star_tables(spark: SparkSession, *, database: str | None = None,
-                       buckets: int = 16) -> list[str]:
-    """Create the seven tables, dimensions first; returns the statements run."""
-    stmts = [create_table_ddl(c, database=database, buckets=buckets)
+                       buckets: int = 16, bucketed: bool = False) -> list[str]:
+    """Create the seven tables, dimensions first; returns the statements run.
+    ``write_star(fmt="table")`` then loads them by insert."""
+    stmts = [create_table_ddl(c, database=database, buckets=buckets, bucketed=bucketed)
              for c in sorted(C.STAR.values(), key=lambda c: c.name.startswith("fact"))]
     for s in stmts:
         spark.sql(s)

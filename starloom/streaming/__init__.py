@@ -1,5 +1,5 @@
 """Structured Streaming: incremental loads of new extract files."""
 
-from .incremental import process_batch, read_fact, run_incremental
+from .incremental import process_batch, read_dim_prod, read_fact, run_incremental
 
-__all__ = ["process_batch", "read_fact", "run_incremental"]
+__all__ = ["process_batch", "read_dim_prod", "read_fact", "run_incremental"]

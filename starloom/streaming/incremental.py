@@ -4,25 +4,31 @@ A file-source stream with ``trigger(availableNow=True)`` processes every file
 not yet seen (the checkpoint location remembers which), then stops. Each
 micro-batch, in ``foreachBatch``:
 
-1. cleans the batch;
+1. cleans the batch, without rows of files that an earlier load has already
+   brought (a manifest per load and batch keeps the files' names);
 2. per dimension, anti-joins the batch's members with the stored dimension
    and appends only new members, numbered after the current maximum key, so
    existing keys never move;
 3. looks the batch's rows up against the updated dimensions and writes them
-   as the fact partition ``batch_id=<epoch>`` with dynamic partition
-   overwrite, so a replayed epoch replaces its own rows instead of adding
-   them twice.
+   as the fact partition ``load_id=<id>/batch_id=<epoch>`` with dynamic
+   partition overwrite. The load id is the id of the stream's checkpoint, so a
+   replayed epoch replaces its own rows, and a second source, or a new
+   checkpoint, whose epochs start at 0 again, touches nobody else's.
 
 Step 2 is idempotent too (a replay finds its members already stored), so the
 whole batch can be retried after a failure. Never overwrite targets from a
 partial read: the full rebuild is :func:`starloom.plans.star.build_star`.
 
-Product cost in incremental mode: a new product's standard cost comes from
-the batch that introduced it; stored products keep theirs.
+A product's standard cost depends on all batches. Each batch stores the least
+and the largest cost of its products in ``prod_cost``, partitioned like the
+fact; :func:`read_dim_prod` derives the cost from them, as the full build
+would. A file is known by its path: delivered again under the same path it is
+skipped, under another path it is new.
 """
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -35,12 +41,12 @@ from .. import contracts as C
 from ..functions.dates import date_attributes
 from ..functions.names import first_token, last_token
 from ..operators.dense_keys import extend_key
-from ..operators.single_valued import single_valued
+from ..operators.lookup import size_of
 from ..plans.dims import STATUS_DESCRIPTIONS, UNKNOWN_STATUS, build_dim_geo
 from ..plans.fact import build_fact_orders
 from ..plans.prep import preprocess
 from ..session import ensure_checkpoint_dir
-from ..sources.raw import RAW_SCHEMA
+from ..sources.raw import RAW_COLUMNS, RAW_SCHEMA, csv_options, csv_schema
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -65,13 +71,31 @@ def _audit(run_ts: datetime) -> dict:
     return {"create_date": ts, "update_date": ts}
 
 
-def _upsert_person(spark, clean, root, contract, source_col, run_ts):
+FILE = "_sl_file"
+MANIFEST = "_loaded_files"
+MANIFEST_SCHEMA = f"{FILE} string, load_id string, batch_id long"
+COST_SCHEMA = "product_name string, category string, brand string, lo double, hi double"
+PRODUCT = ["product_name", "category", "brand"]
+
+
+def _write_part(df: DataFrame, root: str, name: str, load_id: str, epoch_id: int) -> None:
+    """The rows of one load and batch; written again, they replace themselves."""
+    (df.withColumns({"load_id": F.lit(load_id), "batch_id": F.lit(epoch_id).cast("long")})
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .option("compression", "snappy").partitionBy("load_id", "batch_id").parquet(f"{root}/{name}"))
+
+
+def _part_schema(schema: str) -> str:
+    return f"{schema}, load_id string, batch_id long"
+
+
+def _upsert_person(spark, clean, root, contract, source_col, run_ts, split_mode):
     id_col, name_col, first_col, last_col = contract.names[:4]
     stored = _stored(spark, root, contract)
     new = extend_key(stored, clean.select(F.col(f"`{source_col}`").alias(name_col)),
                      [name_col], id_col)
-    new = new.withColumns({first_col: first_token(F.col(name_col)),
-                           last_col: last_token(F.col(name_col)), **_audit(run_ts)})
+    new = new.withColumns({first_col: first_token(F.col(name_col), split_mode),
+                           last_col: last_token(F.col(name_col), split_mode), **_audit(run_ts)})
     _append(C.conform(new, contract), root, contract.name)
 
 
@@ -86,73 +110,117 @@ def _upsert_status(spark, clean, root, run_ts):
     _append(C.conform(new, C.DIM_OSTATUS), root, "dim_ostatus")
 
 
-def _upsert_prod(spark, clean, root, run_ts):
-    keys = ["product_name", "category", "brand"]
+def _upsert_prod(spark, clean, root, run_ts, load_id, epoch_id):
     stored = _stored(spark, root, C.DIM_PROD)
     cand = clean.select(F.col("product").alias("product_name"), "category", "brand", "cost")
-    new = extend_key(stored, cand, keys, "product_id")
-    cost = single_valued(cand.dropna(how="any", subset=keys), keys, "cost", "standard_cost")
-    new = (new.join(cost, keys, "left").na.fill({"standard_cost": 0.0})
-              .withColumns(_audit(run_ts)))
+    new = extend_key(stored, cand, PRODUCT, "product_id")
+    cost = cand.dropna(how="any", subset=PRODUCT).groupBy(*PRODUCT).agg(
+        F.min("cost").alias("lo"), F.max("cost").alias("hi"))
+    _write_part(cost, root, "prod_cost", load_id, epoch_id)
+    new = new.withColumns({"standard_cost": F.lit(0.0), **_audit(run_ts)})
     _append(C.conform(new, C.DIM_PROD), root, "dim_prod")
 
 
-def _upsert_date(spark, clean, root):
+def read_dim_prod(spark: SparkSession, root: str) -> DataFrame:
+    """The stored products with the standard cost of all loads so far: the
+    cost if there is exactly one distinct value, else 0."""
+    cost = spark.read.schema(_part_schema(COST_SCHEMA)).parquet(f"{root}/prod_cost").groupBy(*PRODUCT).agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    members = _stored(spark, root, C.DIM_PROD).drop("standard_cost")
+    found = members.join(cost, PRODUCT, "left").withColumn(
+        "standard_cost", F.coalesce(F.when(F.col("lo") == F.col("hi"), F.col("lo")), F.lit(0.0)))
+    return C.conform(found, C.DIM_PROD)
+
+
+def _upsert_date(spark, clean, root, week_start):
     stored = _stored(spark, root, C.DIM_DATE)
     new = (clean.select(F.col("order_date").alias("date_full")).dropna().distinct()
            .join(stored.select("date_full"), "date_full", "left_anti"))
-    _append(C.conform(new.withColumns(date_attributes(F.col("date_full"))), C.DIM_DATE),
+    _append(C.conform(new.withColumns(date_attributes(F.col("date_full"), week_start)),
+                      C.DIM_DATE),
             root, "dim_date")
 
 
-def process_batch(batch: DataFrame, epoch_id: int, root: str, *,
-                  run_ts: datetime | None = None, country: str = "India") -> None:
-    """Load one micro-batch of raw rows into the star under ``root``."""
+def _known_files_out(batch: DataFrame, root: str, load_id: str, epoch_id: int,
+                     drop: bool = True) -> DataFrame:
+    """``batch`` without the rows of files that another load or batch has brought."""
+    spark = batch.sparkSession
+    if FILE not in batch.columns:
+        return batch
+    if _exists(spark, f"{root}/{MANIFEST}"):
+        own = (F.col("load_id") == load_id) & (F.col("batch_id") == epoch_id)
+        known = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{root}/{MANIFEST}").where(~own).select(FILE)
+        batch = batch.join(known.distinct(), FILE, "left_anti")
+    return batch.drop(FILE) if drop else batch
+
+
+def process_batch(batch: DataFrame, epoch_id: int, root: str, *, load_id: str = "0",
+                  run_ts: datetime | None = None, country: str = "India",
+                  week_start: str = "monday", split_mode: str = "whitespace",
+                  **fact_options) -> None:
+    """Load one micro-batch of raw rows into the star under ``root``.
+    ``load_id`` names the source's checkpoint; ``fact_options`` go to
+    :func:`build_fact_orders` (product match, margin, sentinel, ...)."""
     spark = batch.sparkSession
     ensure_checkpoint_dir(spark)
     run_ts = run_ts or datetime.now(timezone.utc)
-    clean = preprocess(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    # the manifest entry is written last: a batch that fails half-way is loaded again
+    stored = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    clean = preprocess(_known_files_out(stored, root, load_id, epoch_id)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
         clean.count()  # fill the cache once before the concurrent readers
         if not _exists(spark, f"{root}/dim_geo"):
             build_dim_geo(spark).write.mode("overwrite").parquet(f"{root}/dim_geo")
         # the five upserts write separate targets: run them side by side
         upserts = [
-            lambda: _upsert_date(spark, clean, root),
-            lambda: _upsert_person(spark, clean, root, C.DIM_CUST, "customer_name", run_ts),
-            lambda: _upsert_person(spark, clean, root, C.DIM_EMP, "assigned supervisor", run_ts),
+            lambda: _upsert_date(spark, clean, root, week_start),
+            lambda: _upsert_person(spark, clean, root, C.DIM_CUST, "customer_name", run_ts, split_mode),
+            lambda: _upsert_person(spark, clean, root, C.DIM_EMP, "assigned supervisor", run_ts, split_mode),
             lambda: _upsert_status(spark, clean, root, run_ts),
-            lambda: _upsert_prod(spark, clean, root, run_ts),
+            lambda: _upsert_prod(spark, clean, root, run_ts, load_id, epoch_id),
         ]
         with ThreadPoolExecutor(max_workers=len(upserts)) as pool:
             for f in [pool.submit(u) for u in upserts]:
                 f.result()
             dims = {c.name: _stored(spark, root, c) for c in (
                 C.DIM_CUST, C.DIM_GEO, C.DIM_PROD, C.DIM_OSTATUS, C.DIM_EMP)}
-            counts = {name: pool.submit(df.count) for name, df in dims.items()}
-            dim_rows = {name: f.result() for name, f in counts.items()}
-        fact = build_fact_orders(clean, dims, country=country, dim_rows=dim_rows)
-        (fact.withColumn("batch_id", F.lit(epoch_id).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(f"{root}/fact_orders"))
+            sizes = {name: pool.submit(size_of, df) for name, df in dims.items()}
+            dim_sizes = {name: f.result() for name, f in sizes.items()}
+        fact = build_fact_orders(clean, dims, country=country, dim_sizes=dim_sizes, **fact_options)
+        _write_part(fact, root, "fact_orders", load_id, epoch_id)
+        if FILE in stored.columns:
+            files = _known_files_out(stored, root, load_id, epoch_id, drop=False).select(FILE).distinct()
+            _write_part(files, root, MANIFEST, load_id, epoch_id)
     finally:
         clean.unpersist()
+        stored.unpersist()
 
 
 def run_incremental(spark: SparkSession, source_path: str, root: str, checkpoint_location: str,
                     *, source_format: str = "csv", max_files_per_trigger: int | None = None,
-                    country: str = "India") -> StreamingQuery:
+                    csv_mode: str = "PERMISSIVE", multi_line: bool = False,
+                    **options) -> StreamingQuery:
     """Process all new files under ``source_path`` into the star at ``root``
     and return the finished query. ``checkpoint_location`` must be on shared
-    storage on a cluster."""
-    reader = spark.readStream.schema(RAW_SCHEMA)
+    storage on a cluster. CSV columns are taken by name. ``options`` go to
+    :func:`process_batch`."""
+    reader = spark.readStream
     if source_format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.schema(csv_schema(spark, source_path)).options(**csv_options(csv_mode, multi_line))
+    else:
+        reader = reader.schema(RAW_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.format(source_format).load(source_path)
-    query = (stream.writeStream
-             .foreachBatch(lambda df, eid: process_batch(df, eid, root, country=country))
+    stream = reader.format(source_format).load(source_path).select(
+        *[F.col(f"`{c}`") for c in RAW_COLUMNS], F.col("_metadata.file_path").alias(FILE))
+
+    def load(df: DataFrame, epoch_id: int) -> None:
+        # the stream has written its own id before its first batch
+        text = df.sparkSession.read.text(f"{checkpoint_location}/metadata", wholetext=True).first()[0]
+        process_batch(df, epoch_id, root, load_id=json.loads(text)["id"], **options)
+
+    query = (stream.writeStream.foreachBatch(load)
              .option("checkpointLocation", checkpoint_location)
              .trigger(availableNow=True)
              .start())
@@ -161,5 +229,5 @@ def run_incremental(spark: SparkSession, source_path: str, root: str, checkpoint
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:
-    """The incrementally loaded fact, without the batch partition column."""
-    return spark.read.parquet(f"{root}/fact_orders").drop("batch_id")
+    """The incrementally loaded fact, without its partition columns."""
+    return spark.read.parquet(f"{root}/fact_orders").drop("load_id", "batch_id")

@@ -71,3 +71,12 @@ def test_stable_uuid(spark):
     assert ids[0] == ids[1] != ids[2]
     assert all(re.fullmatch(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", i)
                for i in ids)
+
+
+def test_name_split_on_any_white_space(spark):
+    names = ["\tJohn Doe\n", "Ann\u00a0Mary \t Lee", "\n\t ", "Solo\r", None]
+    rows = spark.createDataFrame([(n,) for n in names], "n string").select(
+        "n", first_token("n").alias("a"), last_token("n").alias("b")).collect()
+    for r in rows:
+        want = (r.n or "").split()
+        assert (r.a, r.b) == ((want[0], want[-1]) if want else (None, None))

@@ -104,3 +104,45 @@ def test_hot_key_salting(spark):
     got = lookup_key(fact, dim, {"code": "c"}, "key", broadcast_max_rows=0, salt_buckets=4,
                      hot_share=0.2)
     assert sorted((tuple(r) for r in got.collect()), key=repr) == ref
+
+
+def test_large_dimension_joins_are_sort_merge_and_spread_null_keys(spark):
+    from pyspark.sql import functions as F
+
+    from starloom.operators import lookup_key
+    from starloom.operators.lookup import size_of
+    fact = spark.range(20_000).select("id", F.when(F.col("id") % 10 >= 6, (F.col("id") % 500).cast("string")).alias("code"))
+    dim = spark.range(500).select(F.col("id").cast("string").alias("code"), F.col("id").alias("key"))
+    out = lookup_key(fact, dim, {"code": "code"}, "key", broadcast_max_rows=0)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert out.where("code IS NULL AND key IS NULL").count() == 12_000
+    assert out.where("code IS NOT NULL AND CAST(key AS STRING) = code").count() == 8_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        plan = out._jdf.queryExecution()
+        out.collect()
+        assert "SortMergeJoin" in plan.executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan.executedPlan().toString()
+        assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert size_of(dim)[0] == 500 and size_of(dim)[1] > 500 * 40
+
+
+def test_keys_are_64_bit_and_contract_width_is_checked(spark, make_raw):
+    import pytest
+    from conftest import raw_row
+    from pyspark.errors import PySparkException
+
+    from starloom.plans.star import build_star
+    raw = make_raw([raw_row(3e9), raw_row(4e9)])
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(PySparkException, match="does not fit"):
+                build_star(raw)["fact_orders"].collect()
+            wide = build_star(raw, wide_keys=True)["fact_orders"]
+            assert {r.order_number for r in wide.collect()} == {3_000_000_000, 4_000_000_000}
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")

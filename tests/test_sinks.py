@@ -44,7 +44,8 @@ def test_raw_csv_source(spark, make_raw, tmp_dir):
 
 
 def test_ddl_and_managed_tables(spark, make_raw):
-    ddl = create_table_ddl(C.FACT_ORDERS)
+    ddl = create_table_ddl(C.FACT_ORDERS, bucketed=True)
+    assert "CLUSTERED" not in create_table_ddl(C.FACT_ORDERS)  # one default for DDL and writes
     assert "order_number INT NOT NULL" in ddl and "state_id VARCHAR(40) NOT NULL" in ddl
     assert "CLUSTERED BY (product_id) SORTED BY (order_date, product_id) INTO 16 BUCKETS" in ddl
     assert "create_date TIMESTAMP NOT NULL DEFAULT CURRENT_TIMESTAMP" in create_table_ddl(C.DIM_CUST)
@@ -120,3 +121,69 @@ def test_fact_partitioned_by_year_prunes(spark, make_raw, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/fact_orders").filter("order_year = 2022")
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_year" in plan and back.count() == 10
+
+
+def _star_of(raw):
+    from starloom.plans.star import build_star
+    return build_star(raw)
+
+
+def test_declared_tables_are_loaded_by_insert(spark, make_raw):
+    spark.sql("CREATE DATABASE IF NOT EXISTS sl_load")
+    create_star_tables(spark, database="sl_load")
+    star = _star(make_raw)
+    for _ in range(2):  # overwriting twice loads once
+        write_star(star, "", "table", database="sl_load")
+    kinds = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE sl_load.fact_orders").collect()}
+    assert kinds["state_id"] == "varchar(40)"
+    assert spark.table("sl_load.fact_orders").count() == star["fact_orders"].count()
+    spark.sql("INSERT INTO sl_load.dim_cust (customer_id, customer_name) VALUES (-1, 'none')")
+    assert spark.table("sl_load.dim_cust").where("customer_id = -1").first().create_date is not None
+    write_star(star, "", "table", database="sl_load", mode="append")
+    assert spark.table("sl_load.fact_orders").count() == 2 * star["fact_orders"].count()
+
+
+def test_csv_columns_by_name_and_rejects(spark, make_raw, tmp_dir):
+    import pytest
+    from conftest import raw_row
+
+    from starloom.plans.job import run
+    path = os.path.join(tmp_dir, "by_name")
+    raw = make_raw([raw_row(1.0, cost=10.0, sales=20.0)])
+    raw.select(*[f"`{c}`" for c in sorted(raw.columns)]).write.option("header", True).csv(path)
+    row = read_raw_csv(spark, path).first()
+    assert (row.Cost, row.Sales) == (10.0, 20.0)
+    raw.drop("Cost").write.option("header", True).csv(os.path.join(tmp_dir, "short"))
+    with pytest.raises(ValueError, match="Cost"):
+        read_raw_csv(spark, os.path.join(tmp_dir, "short"))
+    bad = os.path.join(tmp_dir, "bad.csv")
+    names = ",".join(f'"{c}"' for c in raw.columns)
+    line = "{},AP,{},05/03/2024,Order,Pen,Office,Acme,1,2,3,4,5,Ann Lee"
+    with open(bad, "w") as f:
+        f.write("\n".join([names, line.format("1.0", "Al Bo"), line.format("12x", "Cy Do"),
+                           line.format("3.0", '"Two\nLines"')]) + "\n")
+    kept = read_raw_csv(spark, bad, multi_line=True, keep_rejects=True).collect()
+    assert len(kept) == 3 and [r.Order_Number for r in kept] == [1.0, None, 3.0]
+    assert [r._corrupt_record is not None for r in kept] == [False, True, False]
+    assert kept[2].Customer_Name == "Two\nLines"
+    split = read_raw_csv(spark, bad, keep_rejects=True).collect()  # the split record shows as rejects
+    assert sum(r._corrupt_record is not None for r in split) == 3
+    result = run(spark, bad, os.path.join(tmp_dir, "out"), multi_line=True, reports=False)
+    assert (result["raw_rows"], result["rejected_rows"], result["fact_rows"]) == (3, 1, 2)
+    with pytest.raises(Exception, match="Malformed|MALFORMED"):
+        read_raw_csv(spark, bad, multi_line=True, mode="FAILFAST").collect()
+
+
+def test_year_partitioned_files_are_sorted_on_date(spark, make_raw, tmp_dir):
+    from conftest import raw_row
+    rows = [raw_row(float(i), date=f"{1 + i * 7 % 28:02d}/{1 + i % 12:02d}/{2023 + i % 2}") for i in range(60)]
+    star = _star_of(make_raw(rows))
+    write_star(star, os.path.join(tmp_dir, "y"), "parquet", fact_by_year=True)
+    import glob
+
+    import pyarrow.parquet as pq
+    files = glob.glob(os.path.join(tmp_dir, "y", "fact_orders", "order_year=*", "*.parquet"))
+    assert files
+    for f in files:
+        dates = pq.ParquetFile(f).read(columns=["order_date"])["order_date"].to_pylist()
+        assert dates == sorted(dates)

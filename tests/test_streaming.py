@@ -54,3 +54,28 @@ def test_one_run_many_micro_batches(spark, make_raw, tmp_dir):
     assert fact.count() == 4 and len(batches) == 2
     ids = sorted(r.customer_id for r in spark.read.parquet(f"{root}/dim_cust").collect())
     assert ids == [1, 2, 3]
+
+
+def test_second_source_and_lost_checkpoint(spark, make_raw, tmp_dir):
+    from starloom.streaming import read_dim_prod
+    one, two, root = (os.path.join(tmp_dir, x) for x in ("one", "two", "star"))
+    make_raw([raw_row(1.0, cost=10.0), raw_row(2.0, cost=10.0)]).coalesce(1).write.parquet(one)
+    make_raw([raw_row(3.0, cost=12.0)]).coalesce(1).write.parquet(two)
+    run_incremental(spark, one, root, os.path.join(tmp_dir, "ck1"), source_format="parquet")
+    assert read_dim_prod(spark, root).first().standard_cost == 10.0
+    # another source with its own checkpoint starts at epoch 0 again
+    run_incremental(spark, two, root, os.path.join(tmp_dir, "ck2"), source_format="parquet")
+    assert {r.order_number for r in read_fact(spark, root).collect()} == {1, 2, 3}
+    assert read_dim_prod(spark, root).first().standard_cost == 0.0  # two costs: none is the standard
+    # the first source's checkpoint is lost: its files are known, so nothing doubles
+    run_incremental(spark, one, root, os.path.join(tmp_dir, "ck3"), source_format="parquet")
+    assert sorted(r.order_number for r in read_fact(spark, root).collect()) == [1, 2, 3]
+
+
+def test_stream_takes_csv_columns_by_name(spark, make_raw, tmp_dir):
+    src, root = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "star")
+    raw = make_raw([raw_row(1.0, cost=10.0, sales=20.0)])
+    raw.select(*[f"`{c}`" for c in sorted(raw.columns)]).coalesce(1).write.option("header", True).csv(src)
+    run_incremental(spark, src, root, os.path.join(tmp_dir, "ck"))
+    row = read_fact(spark, root).first()
+    assert (row.unit_cost, row.unit_sales) == (10.0, 20.0)
