@@ -1,0 +1,233 @@
+"""Packing, token files, nearest neighbours, scoring and the pipeline."""
+
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.llm import ann, lm_score, packing, token_files
+from starloom.llm.tokens import WordEncoder, public_path
+
+TEXTS = [None, "", " \n ", "one", "one", "Two WORDS, here.", "<|endoftext|>. x<|endoftext|>,", "a\x1cb \x85 x y",
+         "~ ~~ a~ !~", "café é. É≠ “hi”. DON'T it's", "日本語 \U0001f642\U0001f642 12345 ...",
+         "x\x0by\x0cz   b　c İ ß Σ", "many words " * 2000]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, t, "s", 1, "k") for i, t in enumerate(TEXTS)]
+    rows += [(100 + i, " ".join(f"w{x}" for x in rng.integers(0, 500, rng.integers(1, 900))), None, None, None)
+             for i in range(300)]
+    rows += [rows[20], (None, "no id", None, None, None), (None, None, None, None, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, piece string, part int, offset string")
+
+
+@pytest.fixture(scope="module")
+def ids_of():
+    tokenizer = WordEncoder(public_path()).tokenizer
+    return lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def crc(ids):
+    return zlib.crc32(np.asarray(ids, "<u4").tobytes())
+
+
+def test_words_encode_like_whole_texts(ids_of):
+    encode = WordEncoder(public_path(), limit=50)  # forgets all the time
+    for _ in range(2):
+        got = encode([None if t is None else t.encode() for t in TEXTS])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(t) for t in TEXTS]
+
+
+def test_packing_places_every_piece(docs, ids_of):
+    got = packing.pack_documents(docs, length=256, end_id=0).withColumn("crc", F.crc32("ids")).toPandas()
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    want = sorted((-1 if k is None else k, crc((ids_of(t) + [0])[s:s + 256]), s, s // 256)
+                  for k, t in texts for s in range(0, len(ids_of(t)) + 1, 256))
+    have = sorted((-1 if np.isnan(r.doc_id) else int(r.doc_id), r.crc, r.start, r.piece) for r in got.itertuples())
+    assert have == want
+    for _, g in got.sort_values("offset").groupby("sequence_id"):
+        assert g["offset"].tolist() == [0, *np.cumsum(g["length"])[:-1]] and g["length"].sum() <= 256
+    assert got["sequence_id"].nunique() <= 1.02 * -(-got["length"].sum() // 256) + 3
+    assert packing.pack_documents(docs.limit(0)).count() == 0
+
+
+def brute_sum_of_squares(lengths, size):
+    gaps, where = [], []
+    for s in sorted(lengths, reverse=True):
+        def cost(change):
+            n = {}
+            for g in change:
+                if 0 < g < size:
+                    n[g] = n.get(g, 0) + 1
+            return sum(v * v for v in n.values())
+        options = [(cost(gaps + [size - s]), size - s, len(gaps))]
+        options += [(cost(gaps[:b] + [g - s] + gaps[b + 1:]), g - s, b) for b, g in enumerate(gaps) if s <= g < size]
+        best = min(o[0] for o in options)
+        _, left, b = min(o for o in options if o[0] == best)
+        gaps[b:b + 1] = [left]
+        where.append(best)
+    return len(gaps), where[-1]
+
+
+def test_each_piece_goes_where_the_squares_become_smallest():
+    rng = np.random.default_rng(2)
+    for _ in range(10):
+        lengths = rng.integers(1, 13, 60)
+        bins, offsets = packing.sum_of_squares(lengths, 12)
+        fill = np.bincount(bins, lengths)
+        left = np.bincount((12 - fill[fill < 12]).astype(int))
+        n, squares = brute_sum_of_squares(lengths.tolist(), 12)
+        assert fill.max() <= 12 and abs(len(fill) - n) <= 1
+        assert (left ** 2).sum() <= squares + 4
+
+
+def test_token_files_round_trip(spark, docs, ids_of, tmp_path):
+    files = token_files.write_token_files(docs, str(tmp_path / "a"), end_id=2)
+    got = files.read().collect()
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    assert len(got) == len(texts)
+    start = {}
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == sum(start.values())
+        start[len(start)] = r.n_tokens
+    order = [-1 if r.doc_id is None else r.doc_id for r in sorted(got, key=lambda r: r.start)]
+    assert order == sorted(order)
+    have = sorted((-1 if r.doc_id is None else r.doc_id, zlib.crc32(r.ids)) for r in got)
+    assert have == sorted((-1 if k is None else k, crc(ids_of(t) + [2])) for k, t in texts)
+    assert files.document(5).tolist() == ids_of(TEXTS[5]) + [2] and files.document(99_999) is None
+    # a short document's frame is smaller than without the dictionary
+    import zstandard
+    size = files.index().where("doc_id = 110").first()
+    raw = np.asarray(ids_of(next(t for k, t in texts if k == 110)) + [2], "<u4").tobytes()
+    assert size["size"] < len(zstandard.ZstdCompressor(level=3).compress(raw))
+    other = token_files.write_token_files(docs.where("doc_id > 200"), str(tmp_path / "b"), end_id=2)
+    (tmp_path / "a" / "dictionary.bin").write_bytes((tmp_path / "b" / "dictionary.bin").read_bytes())
+    with pytest.raises(Exception, match="not written with this dictionary"):
+        token_files.TokenFiles(spark, files.path).read().collect()
+    assert other.read().count() == docs.where("doc_id > 200").count()
+    assert token_files.write_token_files(docs.limit(0), str(tmp_path / "c")).read().count() == 0
+
+
+def test_nearest_recall_and_ties(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16))
+    x = (centres[rng.integers(0, 40, 3000)] + 0.4 * rng.normal(size=(3000, 16))).astype(np.float32)
+    x[500:560] = x[500]  # equal vectors tie
+    rows = [(i, v.tolist(), "x", 1) for i, v in enumerate(x)]
+    rows += [(4000, None, "x", 1), (4020, [0.0] * 16, "x", 1), (4040, [float("nan")] * 16, "x", 1),
+             (4060, [None] + [1.0] * 15, "x", 1), (4080, [1.0, 2.0], "x", 1), (None, x[0].tolist(), "x", 1), rows[20]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, part string, q int")
+    got = ann.nearest(table, top=10, every=20, fit_rows=2000).toPandas()
+    assert sorted(got["query_id"].unique()) == list(range(0, 3000, 20))
+    hits = 0
+    y = x.astype(float)
+    for q, g in got.groupby("query_id"):
+        g = g.sort_values("rank")
+        s = np.zeros(3000)
+        for d in range(16):
+            s += y[q, d] * y[:, d]
+        assert g["rank"].tolist() == list(range(1, 11)) and np.array_equal(g["score"], s[g["vec_id"].astype(int)])
+        assert list(zip(-g["score"], g["vec_id"])) == sorted(zip(-g["score"], g["vec_id"])) and q not in set(g["vec_id"])
+        s[q] = -np.inf
+        hits += len(set(np.lexsort((np.arange(3000), -s))[:10]) & set(g["vec_id"]))
+    assert hits / 1500 >= 0.9
+    few = ann.nearest(table.where("vec_id < 50"), top=100, every=20).toPandas()
+    assert (few.groupby("query_id").size() == 49).all()
+    assert ann.nearest(table.limit(0)).count() == 0
+
+
+def test_graph_is_cut_into_balanced_parts():
+    rng = np.random.default_rng(4)
+    centres = 5 * rng.normal(size=(4, 8))
+    kind = rng.integers(0, 4, 800)
+    x = centres[kind] + rng.normal(size=(800, 8))
+    graph = ann.neighbours(x, 8)
+    label = ann.cut_graph(graph, 4)
+    assert np.bincount(label).tolist() == [200] * 4
+    assert (label[graph] == label[:, None]).mean() > 0.8  # by chance 0.25
+
+
+def test_scoring_predicts_held_out_text(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(40)]
+
+    def text(n):  # each word is followed by one of three
+        out = [int(rng.integers(40))]
+        for _ in range(n):
+            out.append((3 * out[-1] + int(rng.integers(3))) % 40)
+        return " ".join(words[i] for i in out)
+
+    rows = [(i, text(200)) for i in range(400)]
+    shuffled = " ".join(rng.permutation(text(200).split()))
+    rows += [(900, text(200)), (901, shuffled), (902, None), (903, ""), (904, rows[0][1]), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_score.score_documents(docs).collect()}
+    assert len(got) == len(rows)
+    assert got[900].mean_log_likelihood > got[901].mean_log_likelihood + 0.3
+    assert got[900].mean_log_likelihood > -np.log(40)  # better than guessing among the words
+    assert (got[902].n_tokens, got[902].log_likelihood, got[902].mean_log_likelihood) == (0, 0.0, None)
+    assert abs(got[904].log_likelihood - got[0].log_likelihood) < 1e-3
+    assert lm_score.score_documents(docs.limit(0)).count() == 0
+
+
+def test_scores_are_log_probabilities():
+    net = lm_score.Net()
+    around = np.random.default_rng(6).integers(0, lm_score.TOKENS + 1, (1, 4))
+    every = np.arange(lm_score.TOKENS)
+    assert abs(np.exp(net.log_probability(every, np.repeat(around, len(every), 0))).sum() - 1) < 1e-4
+
+
+def test_gradients_lower_the_loss():
+    rng = np.random.default_rng(7)
+    token = rng.integers(0, 50, 4096)
+    around = np.stack([(token + k) % 50 for k in (1, 2, 3, 4)], axis=1)
+    net = lm_score.Net()
+    before = net.log_probability(token, around).mean()
+    state = np.zeros(len(net.flat), np.float32)
+    for _ in range(20):
+        net.train(token, around, state)
+    assert net.log_probability(token, around).mean() > before + 2
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path, ids_of):
+    import corpus_pipeline
+    rng = np.random.default_rng(8)
+
+    def words(n):
+        return " ".join(f"v{x}" for x in rng.integers(0, 100_000, n))
+
+    good = [words(80) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(good)]
+    rows += [(100 + i, t) for i, t in enumerate(good[:5])]                        # exact copies
+    rows += [(200 + i, t.rsplit(" ", 1)[0] + " other") for i, t in enumerate(good[5:10])]  # near copies
+    rows += [(300, "too short"), (301, "again and again " * 60), (302, None), (303, "")]
+    rows += [(304, " | ".join(f"n{i}" for i in range(90)))]
+    rows += [(400, words(60) + "\nHome\n" + words(20) + " a.b@mail.example.com and 10.20.30.40 end")]
+    docs = spark.createDataFrame([(k, t, "en", f"s{(k or 0) % 4}", len(t or "")) for k, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    seen = {}
+    frame = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        frame = stage(spark, frame, str(tmp_path))
+        if name != "packing":
+            assert frame.columns == list(corpus_pipeline.COLUMNS)
+            seen[name] = {r.doc_id: r for r in frame.collect()}
+    assert sorted(seen["quality"]) == [k for k, _ in rows if k < 300 or k == 400]
+    assert "Home" not in seen["quality"][400].text.split("\n")
+    assert sorted(seen["near_duplicates"]) == list(range(30)) + [400]
+    assert seen["pii"][400].text.endswith("<EMAIL> and <IP> end")
+    assert all(seen["pii"][k].text == t and seen["pii"][k].n_chars == len(t) for k, t in rows if k < 30)
+    out = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    assert set(out["doc_id"]) <= set(seen["pii"])
+    for r in out.itertuples():
+        ids = ids_of(seen["pii"][r.doc_id].text) + [0]
+        assert r.ids_crc32 == crc(ids[r.start:r.start + r.length])
+    sizes = {k: len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for k, r in seen["pii"].items()}
+    taken = sum(sizes[k] for k in out.loc[out["piece"] == 0, "doc_id"])
+    assert abs(taken - 1.5 * sum(sizes.values())) <= 4 * 90
+    assert corpus_pipeline.ORACLE_SQL is None
