@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import ship, small_enough, written
 from .tokens import encoder, place
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -114,4 +114,5 @@ def pack_documents(docs: DataFrame, *, length: int = 2048, end_id: int = 0,
 
     places = pieces.select("_key", "length", F.pmod(F.xxhash64("_key"), F.lit(groups)).alias("_g"))
     places = places.groupBy("_g").applyInPandas(pack, "_at long, sequence_id long, offset long")
-    return pieces.join(places, F.col("_key") == F.col("_at")).drop("_key", "_at")
+    places = written(places, "pack-places")
+    return pieces.join(small_enough(places), F.col("_key") == F.col("_at")).drop("_key", "_at")

@@ -4,46 +4,23 @@ from __future__ import annotations
 
 import functools
 import os
-import unicodedata
 
 import numpy as np
 
 
 #: Stands between words that are encoded in one call: a token of its own.
 MARK = "~"
+_TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def _strange(word: bytes) -> bool:
-    """Not UTF-8, or with a character that some call white space or that
-    normalization could turn into the mark."""
-    try:
-        text = word.decode("utf-8")
-    except UnicodeDecodeError:
-        return True
-    return any(c.isspace() for c in text) or MARK in unicodedata.normalize("NFC", text)
-
-
-def _parts(word: bytes) -> tuple[bytes, bytes]:
-    """Core and tail of a word, if the tokenizer surely cuts between them."""
-    if b"<|" in word:  # may hold a special token, which has regard to case
-        return word, b""
-    core = word.rstrip(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-    if core.isascii():
-        if core[-1:].isalnum():
-            return core.lower(), word[len(core):]
-    elif core[-1] < 128 and core[-1:].isalnum() or core.decode("utf-8", "replace")[-1].isalpha():
-        return core, word[len(core):]
-    return word, b""
-
-
-class WordEncoder(dict):
+class WordEncoder:
     """Token ids of blank-separated words as little-endian unsigned 32-bit
     bytes. The tokenizer drops white space and looks at no text across it, so
     a text's ids are those of its words, one after the other; each distinct
     word is encoded once. At most ``limit`` words are remembered."""
 
-    def __init__(self, path: str, limit: int = 600_000):
-        super().__init__()
+    def __init__(self, path: str, limit: int = 1_200_000):
+        self.known: dict[bytes, bytes] = {}
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one thread a task
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,32 +31,50 @@ class WordEncoder(dict):
 
     def learn(self, words: set[bytes]) -> None:
         """Make sure that all of ``words`` are known. A word is its core and
-        the ASCII punctuation behind it: the tokenizer cuts there, and it
-        ignores case, so many words share a core."""
-        new = [w for w in words if w not in self]
-        if len(self) + 2 * len(new) > self.limit:
-            self.clear()
-            new = list(words)
-        parts = [(w, *_parts(w)) for w in new]
-        self._encode({x for _, core, tail in parts for x in (core, tail) if x not in self})
-        self.update((w, self[core] + self[tail]) for w, core, tail in parts if tail or core != w)
-
-    def _encode(self, words: set[bytes]) -> None:
-        odd = {w for w in words if b"<|" in w or b"~" in w or not w.isascii() and _strange(w)}
-        self.update((w, self._ids(w)) for w in odd)  # by themselves: they may hold the mark
-        plain = list(words - odd)
-        for at in range(0, len(plain), 1000):  # one call for many words: ten times as fast
-            some = plain[at:at + 1000]
-            joined = f" {MARK} ".encode().join(some).decode("utf-8")
-            ids = np.asarray(self.tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
+        the ASCII punctuation behind it, where the tokenizer surely cuts, so
+        many words share a core."""
+        new = words.difference(self.known)
+        if len(self.known) + 2 * len(new) > self.limit:
+            self.known.clear()
+            new = words
+        parts, wanted = [], set()
+        for w in new:
+            core = w.rstrip(_TAIL)
+            if len(core) == len(w) or not core or b"<|" in w or not (
+                    core[-1:].isalnum() if core[-1] < 128 else core.decode("utf-8", "replace")[-1].isalpha()):
+                wanted.add(w)
+            else:
+                parts.append((w, core, w[len(core):]))
+                wanted.add(core)
+                wanted.add(w[len(core):])
+        self._encode(list(wanted.difference(self.known)))
+        self.known.update([(w, self.known[core] + self.known[tail]) for w, core, tail in parts])
+
+    def _encode(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 1000):  # one call for many words: ten times as fast
+            some = words[at:at + 1000]
+            joined = f" {MARK} ".encode().join(some)
+            if joined.count(b"~") >= len(some) or b"<|" in joined:
+                # by themselves: they hold the mark, or a special token
+                self.known.update((w, self._ids(w)) for w in some if b"~" in w or b"<|" in w)
+                some = [w for w in some if b"~" not in w and b"<|" not in w]
+                joined = f" {MARK} ".encode().join(some)
+            if not some:
+                continue
+            try:
+                text = joined.decode("utf-8")
+            except UnicodeDecodeError:
+                self.known.update((w, self._ids(w)) for w in some)
+                continue
+            ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(ids == self.mark[0])
             if len(ends) != len(some) - 1:  # cannot happen; each word by itself is right anyway
-                self.update((w, self._ids(w)) for w in some)
+                self.known.update((w, self._ids(w)) for w in some)
                 continue
-            raw, last = ids.tobytes(), 0
-            for w, end in zip(some, [*(4 * ends).tolist(), len(raw)], strict=True):
-                self[w] = raw[last:end]
-                last = end + 4
+            raw = ids.tobytes()
+            starts = np.concatenate([[0], 4 * ends + 4]).tolist()
+            stops = np.concatenate([4 * ends, [len(raw)]]).tolist()
+            self.known.update([(w, raw[i:j]) for w, i, j in zip(some, starts, stops, strict=True)])
 
     def _ids(self, word: bytes) -> bytes:
         coded = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False)
@@ -87,12 +82,13 @@ class WordEncoder(dict):
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text. NULL counts as empty."""
-        split = [t.split() if t else [] for t in texts]
+        # the tokenizer lower-cases all but its special tokens
+        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
         out = []
-        for at in range(0, len(split), 64):  # so that the set of words stays small
-            some = split[at:at + 64]
+        for at in range(0, len(split), 256):  # so that the set of words stays small
+            some = split[at:at + 256]
             self.learn(set().union(*some))
-            out += [b"".join(map(self.__getitem__, ws)) for ws in some]
+            out += [b"".join(map(self.known.__getitem__, ws)) for ws in some]
         return out
 
 
