@@ -177,7 +177,9 @@ def write_token_files(docs: DataFrame, path: str | None = None, *, end_id: int =
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open(path)
         encode, end = encoder(place(tokenizer)), np.asarray([end_id], "<u4").tobytes()
-        compress = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(dictionary)).compress
+        # the file's header names the dictionary, so the frames needn't
+        compress = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(dictionary),
+                                            write_dict_id=False).compress
         part = TaskContext.get().partitionId()
         name = f"part-{part:05d}-{uuid.uuid4().hex[:12]}.bin"
         out, offset, start = None, 48, 0
