@@ -16,8 +16,8 @@ lists, given the corpus' mean list. Sets near it do both, so no pair is lost.
 Candidates are verified on the whole sets, exactly up to 64-bit hashing.
 
 Equal sets are one node from the start. Of a list, first only the pairs with
-its smallest node are verified; the pairs of all the others follow in a second
-round, but only where the nodes are not in one component by then. So a group
+its head are verified; the pairs of all the others follow in a second round,
+but only between components, and only where enough lists hold both. So a group
 of many near copies costs a few times its size, not its square, and no link
 that joins two components is missed.
 """
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import (WORD, WordHashes, components, grams_of, pack_sorted, power_of_two, ship, slices,
@@ -143,9 +143,10 @@ def _count_shingles(texts: DataFrame, n: int, buckets: int, keep: int) -> DataFr
 def _lists(texts: DataFrame, n: int, rule: Rule, boundary: int, common, buckets: int) -> DataFrame:
     """(kind, sig, node, size, head, head_size): the members of lists of two or
     more sets that share a shingle (kind 1) or a 2-subset (kind 2) among their
-    first ones; head is the smallest node of the list."""
+    first ones. The head is the member that has the shingle earliest in its
+    order: of copies of one text, the one with the fewest shingles of its own."""
 
-    def signatures(s: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def signatures(s: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         keys, power = common.value
         rank = s >> np.uint64(8)
         if len(keys):
@@ -155,12 +156,13 @@ def _lists(texts: DataFrame, n: int, rule: Rule, boundary: int, common, buckets:
         first = s[np.argsort(rank, kind="stable")]
         size = len(s)
         if 5 * size > 4 * boundary or size > boundary:
-            yield 1, first[:rule.prefix(size, 1)]
+            p = first[:rule.prefix(size, 1)]
+            yield 1, p, np.arange(len(p))
         if size <= boundary:
             p = first[:rule.prefix(size, 2)]
             i, j = np.triu_indices(len(p), 1)
             with np.errstate(over="ignore"):
-                yield 2, (p[i] ^ (p[j] * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+                yield 2, (p[i] ^ (p[j] * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93), i
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some: dict[int, list] = {1: [], 2: []}
@@ -171,26 +173,27 @@ def _lists(texts: DataFrame, n: int, rule: Rule, boundary: int, common, buckets:
             for kind, got in some.items():
                 if not got:
                     continue
-                sig = np.concatenate([x for x, _, _ in got])
-                node = np.repeat(np.array([x for _, x, _ in got], np.int64), [len(x) for x, _, _ in got])
-                size = np.repeat(np.array([x for _, _, x in got], np.uint32), [len(x) for x, _, _ in got])
+                sig, at = (np.concatenate([g[i] for g in got]) for i in (0, 1))
+                many = [len(g[0]) for g in got]
+                node = np.repeat(np.array([g[2] for g in got], np.int64), many)
+                size = np.repeat(np.array([g[3] for g in got], "<u4"), many)
                 order = np.argsort(sig, kind="stable")
-                sig, node, size = sig[order], node[order], size[order]
-                rows += [(b, kind, pack_sorted(sig[c]), node[c].tobytes(), size[c].tobytes())
+                sig, at, node, size = sig[order], at[order].astype("<u4"), node[order], size[order]
+                rows += [(b, kind, pack_sorted(sig[c]), at[c].tobytes(), node[c].tobytes(), size[c].tobytes())
                          for b, c in slices(sig, buckets)]
                 got.clear()
             cols = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()),
                  *[pa.array(c, pa.binary()) for c in cols[2:]]],
-                ["bucket", "kind", "sig", "node", "size"])
+                ["bucket", "kind", "sig", "at", "node", "size"])
 
         for node, s in _unseen(batches, n):
             # sets of so few shingles link to equal ones only, and those are one node
             if rule.least_shared(len(s) + 1) > len(s):
                 continue
-            for kind, sig in signatures(s):
-                some[kind].append((sig, node, len(s)))
+            for kind, sig, at in signatures(s):
+                some[kind].append((sig, at, node, len(s)))
                 held += len(sig)
             if held >= 300_000:
                 yield flush()
@@ -201,11 +204,14 @@ def _lists(texts: DataFrame, n: int, rule: Rule, boundary: int, common, buckets:
     def gather(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         sig = np.concatenate([unpack_sorted(x) for x in part["sig"]])
         node = np.concatenate([np.frombuffer(x, np.int64) for x in part["node"]])
-        size = np.concatenate([np.frombuffer(x, np.uint32) for x in part["size"]]).astype(np.int64)
-        order = np.lexsort((node, sig))
-        sig, node, size = sig[order], node[order], size[order]
+        at, size = (np.concatenate([np.frombuffer(x, "<u4") for x in part[c]]).astype(np.int64)
+                    for c in ("at", "size"))
+        order = np.lexsort((at, node, sig))
+        sig, at, node, size = sig[order], at[order], node[order], size[order]
         new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])])
-        sig, node, size = sig[new], node[new], size[new]
+        sig, at, node, size = sig[new], at[new], node[new], size[new]
+        order = np.lexsort((node, at, sig))  # the head first
+        sig, node, size = sig[order], node[order], size[order]
         start = np.concatenate([[True], sig[1:] != sig[:-1]])
         group = np.cumsum(start) - 1
         many = np.bincount(group)[group] >= 2
@@ -214,26 +220,28 @@ def _lists(texts: DataFrame, n: int, rule: Rule, boundary: int, common, buckets:
                              "node": node[many], "size": size[many],
                              "head": node[head][many], "head_size": size[head][many]})
 
-    return texts.mapInArrow(emit, "bucket int, kind int, sig binary, node binary, size binary").groupBy(
+    return texts.mapInArrow(emit, "bucket int, kind int, sig binary, at binary, node binary, size binary").groupBy(
         "bucket", "kind").applyInPandas(
             gather, "kind int, sig long, node long, size long, head long, head_size long")
 
 
-def _promising(pairs: DataFrame, rule: Rule) -> DataFrame:
-    """(a, b) of those ``pairs`` (kind, a, b, n, m, shared) whose sizes fit and
-    which share enough of their first shingles: what one of them has beyond
-    its first ones is all that they could share more."""
-    def up(x):  # the threshold's share of x, rounded up, in whole numbers
+def _least(n: Column, m: Column, rule: Rule) -> Column:
+    """So many of their first shingles (kind 1) or 2-subsets of them (kind 2)
+    must sets of n and m share that link: what one of them has beyond its
+    first ones is all that they could share more."""
+    def up(x: Column) -> Column:  # the threshold's share of x, rounded up
         return F.ceil(rule.num * x / F.lit(rule.den))
 
-    def behind(x):
-        return up(x) - F.col("kind")
+    need = F.ceil(rule.num * (n + m) / F.lit(rule.num + rule.den)) - F.greatest(up(n), up(m)) + F.col("kind")
+    return F.when(F.col("kind") == 1, need).otherwise((need * (need - 1) / 2).cast("long"))
 
+
+def _promising(pairs: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b) of those ``pairs`` (kind, a, b, n, m, shared) whose sizes fit and
+    which share enough."""
     n, m = F.col("n"), F.col("m")
-    need = F.ceil(rule.num * (n + m) / F.lit(rule.num + rule.den)) - F.greatest(behind(n), behind(m))
-    least = F.when(F.col("kind") == 1, need).otherwise((need * (need - 1) / 2).cast("long"))
     fits = rule.num * F.greatest(n, m) <= rule.den * F.least(n, m)
-    return pairs.where(fits & (F.col("shared") >= least)).select("a", "b").distinct()
+    return pairs.where(fits & (F.col("shared") >= _least(n, m, rule))).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, text: str, n: int,
@@ -273,30 +281,41 @@ def _verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, text: str, n:
 
 
 def _crossing(lists: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
-    """(kind, a, b, n, m, shared) of pairs in the same list, but in two components."""
+    """(kind, a, b, n, m, shared) of pairs in different components that may
+    link, with all that they share. A node can link to a member of another
+    component only if enough of its lists hold any member of that component;
+    this is counted first, from the side of the smaller component, and pairs
+    are made only where it holds. So a large component meets its outsiders as
+    a whole and not member by member."""
     known = lists.join(groups, "node", "left").select(
         "kind", "sig", "node", "size", F.coalesce("component", "node").alias("c"))
-    mixed = known.groupBy("kind", "sig").agg(F.min("c").alias("x"), F.max("c").alias("y")).where(
-        "x < y").select("kind", "sig")
-    members = known.join(mixed, ["kind", "sig"]).withColumn("bucket", F.pmod(F.xxhash64("sig"), F.lit(1024)))
-
-    def pairs(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, g in part.groupby("sig", sort=False):
-            g = g.sort_values("node")
-            node, size, c = (g[x].to_numpy() for x in ("node", "size", "c"))
-            for i in range(len(node) - 1):
-                at = i + 1 + np.flatnonzero((c[i + 1:] != c[i]) & rule.sizes_fit(size[i], size[i + 1:]))
-                if len(at):
-                    out.append(pd.DataFrame({"a": node[i], "b": node[at], "n": size[i], "m": size[at]}))
-        if not out:
-            return pd.DataFrame({"kind": [], "a": [], "b": [], "n": [], "m": [], "shared": []})
-        both = pd.concat(out).groupby(["a", "b", "n", "m"], as_index=False).size()
-        return both.rename(columns={"size": "shared"}).assign(kind=key[1])
-
-    schema = "kind int, a long, b long, n long, m long, shared long"
-    return members.groupBy("bucket", "kind").applyInPandas(pairs, schema).groupBy(
-        "kind", "a", "b", "n", "m").agg(F.sum("shared").alias("shared"))
+    sizes = groups.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("members"))
+    parts = known.groupBy("kind", "sig", "c").agg(F.min("size").alias("lo"), F.max("size").alias("hi")).join(
+        sizes, "c", "left").na.fill(1, ["members"])
+    mixed = parts.groupBy("kind", "sig").agg(F.count("*").alias("k")).where("k > 1").select("kind", "sig")
+    parts = written(parts.join(mixed, ["kind", "sig"]), "list-parts")
+    inside = written(known.join(parts.select("kind", "sig", "c", "members"), ["kind", "sig", "c"]), "list-members")
+    other = parts.select("kind", "sig", F.col("c").alias("oc"), F.col("members").alias("om"), "lo", "hi")
+    fewer = F.struct("members", "c") < F.struct("om", "oc")
+    fits = ((rule.num * F.col("lo") <= rule.den * F.col("size"))
+            & (rule.num * F.col("size") <= rule.den * F.col("hi")))
+    meets = inside.join(other, ["kind", "sig"]).where(fewer & fits).groupBy("kind", "node", "size", "oc").agg(
+        F.count("*").alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    # what is needed is least for the smallest or the largest partner that fits
+    low = F.greatest(F.col("lo"), F.ceil(rule.num * F.col("size") / F.lit(rule.den)))
+    high = F.least(F.col("hi"), F.floor(rule.den * F.col("size") / F.lit(rule.num)))
+    least = F.least(_least(F.col("size"), low, rule), _least(F.col("size"), high, rule))
+    may = written(meets.where(F.col("shared") >= least).select("kind", "node", "oc"), "crossing")
+    mine = inside.select("kind", "sig", "node", F.col("size").alias("n")).join(may, ["kind", "node"])
+    theirs = inside.select("kind", "sig", F.col("c").alias("oc"), F.col("node").alias("other"),
+                           F.col("size").alias("m"))
+    pairs = mine.join(theirs, ["kind", "sig", "oc"])
+    turn = F.col("node") < F.col("other")
+    return pairs.select(
+        "kind", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"),
+        F.when(turn, F.col("n")).otherwise(F.col("m")).alias("n"),
+        F.when(turn, F.col("m")).otherwise(F.col("n")).alias("m")).groupBy("kind", "a", "b", "n", "m").agg(
+            F.count("*").alias("shared"))
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id",
@@ -348,9 +367,13 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc
 
     entries = total * (100 - percent) / 100 + rows.count()
     lists = written(_lists(texts, shingle, rule, boundary, order, power_of_two(entries / 1e6, 32)), "lists")
-    star = lists.where("node != head").groupBy(
-        "kind", F.col("head").alias("a"), F.col("node").alias("b"), F.col("head_size").alias("n"),
-        F.col("size").alias("m")).agg(F.count("*").alias("shared"))
+    apart = lists.where("node != head")
+    low = F.col("head") < F.col("node")
+    star = apart.groupBy(
+        "kind", F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"),
+        F.when(low, F.col("head_size")).otherwise(F.col("size")).alias("n"),
+        F.when(low, F.col("size")).otherwise(F.col("head_size")).alias("m")).agg(
+            F.count("*").alias("shared"))
     first = written(_promising(star, rule), "pairs")
     links = _verified(first, rows, docs, text, shingle, rule)
     groups = written(components(links), "components")

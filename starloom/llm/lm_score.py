@@ -119,8 +119,8 @@ class Net:
     def log_probability(self, token: np.ndarray, around: np.ndarray) -> np.ndarray:
         """Of each token given its context."""
         out = np.empty(len(token))
-        for at in range(0, len(token), 65_536):
-            t, h = token[at:at + 65_536], self.hidden(around[at:at + 65_536])
+        for at in range(0, len(token), 16_384):
+            t, h = token[at:at + 16_384], self.hidden(around[at:at + 16_384])
             c, m = t // MEMBERS, t % MEMBERS
             got = self._log_softmax(h @ self.w["out"] + self.w["out_bias"])[np.arange(len(t)), c].astype(float)
             order = np.argsort(c, kind="stable")
@@ -130,7 +130,7 @@ class Net:
                 if len(rows):
                     z = self._log_softmax(h[rows] @ self.w["word"][k] + self.w["word_bias"][k])
                     got[rows] += z[np.arange(len(rows)), m[rows]]
-            out[at:at + 65_536] = got
+            out[at:at + 16_384] = got
         return out
 
     def train(self, token: np.ndarray, around: np.ndarray, state: np.ndarray, rate: float = 0.1,
@@ -157,8 +157,11 @@ class Net:
                     back[rows] += d @ self.w["word"][k].T
             back *= 1 - h * h
             step.w["bias"][:] = back.sum(0)
-            for k in range(2 * SIDE):
-                np.add.at(step.w["embed"][k], a[:, k], back)
+            for k in range(2 * SIDE):  # sums by context token
+                order = np.argsort(a[:, k], kind="stable")
+                own = a[order, k]
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                step.w["embed"][k][own[first]] = np.add.reduceat(back[order], first, axis=0)
             g = step.flat / np.float32(n)
             state += g * g
             self.flat -= np.float32(rate) * g / (np.sqrt(state) + np.float32(1e-6))
