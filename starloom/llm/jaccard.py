@@ -18,8 +18,9 @@ Candidates are verified on the whole sets, exactly up to 64-bit hashing.
 Equal sets are one node from the start. Of a list, first only the pairs with
 its head are verified; the pairs of all the others follow in a second round,
 but only between components, and only where enough lists hold both. So a group
-of many near copies costs a few times its size, not its square, and no link
-that joins two components is missed.
+of many near copies costs a few times its size as far as its members link with
+its head; those that come close to a group without linking to it are compared
+with its members one by one. No link that joins two components is missed.
 """
 
 from __future__ import annotations
