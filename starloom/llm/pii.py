@@ -125,7 +125,7 @@ def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[tuple]]:
     if not text or not _ANY.search(text):
         return [], []
     base = base_spans(text)
-    seen = [(s, e, k, _key(text[s:e]), patterns_around(text, s, e)) for s, k, e in base]
+    seen = [(s, e, k, _key(text[s:e], k), patterns_around(text, s, e)) for s, k, e in base]
     for m in _LIKE.finditer(text):
         bits = _like(m[0])
         if bits and not any(s < m.end() and m.start() < e for s, _, e in base):
@@ -134,12 +134,17 @@ def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[tuple]]:
     return base, seen
 
 
-def _key(token: str) -> str:
-    """Spellings of one instance alike."""
-    return token.lower() if "@" in token or ":" in token or token.count(".") == 3 else (
+def _key(token: str, kind: int = -1) -> str:
+    """Spellings of one instance alike, cards and phones by their digits."""
+    return token.lower() if kind < 2 and ("@" in token or ":" in token or token.count(".") == 3) else (
         _DIGITS.sub("", token))
 
 
+def _allows(bits: Column, kind: Column) -> Column:
+    """Whether a token of these bits may be of the kind."""
+    return bits.bitwiseAND(F.pow(F.lit(2), kind).cast("int")) > 0
+
+
 def _scan(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = pa.schema([
@@ -183,18 +188,24 @@ def score_patterns(edges: DataFrame, known: DataFrame, least_support: int,
 
 def bootstrap(occurrences: DataFrame, *, rounds: int, least_support: int, least_share: float,
               least_instance: float) -> DataFrame | None:
-    """(instance, kind) of the unseen identifiers that high-confidence patterns
-    discover; None if there are none. ``occurrences``: kind, instance, patterns."""
+    """(instance, kind) of the identifiers among the unknown tokens: those that
+    are other spellings of a seed, and the unseen ones that high-confidence
+    patterns discover. None if there are none. ``occurrences``: kind, instance,
+    patterns."""
     edges = written(occurrences.select("kind", "instance", F.explode("patterns").alias("pattern")).distinct(),
                     "pii-edges")
-    known = edges.where("kind >= 0").groupBy("instance").agg(F.min("kind").alias("kind"))
+    # of all occurrences: a seed without words before it has no edge
+    known = written(occurrences.where("kind >= 0").groupBy("instance").agg(F.min("kind").alias("kind")),
+                    "pii-known")
+    seeds = written(known.join(occurrences.where("kind < 0").select("instance").distinct(), "instance",
+                               "left_semi"), "pii-seeds")
     open_edges = edges.where("kind < 0").select(
         (-1 - F.col("kind")).alias("bits"), "instance", "pattern").join(known, "instance", "left_anti")
     found: DataFrame | None = None
     for _ in range(rounds):
         good = score_patterns(edges, known, least_support, least_share)
         good = small_enough(written(good, "pii-patterns"))
-        fits = F.shiftright(F.col("bits"), 0).bitwiseAND(F.pow(F.lit(2), F.col("kind")).cast("int")) > 0
+        fits = _allows(F.col("bits"), F.col("kind"))
         # 1 - product of (1 - confidence); a pattern without any exception counts as 0.99
         doubt = F.log(F.greatest(1 - F.col("confidence"), F.lit(0.01)))
         scored = open_edges.join(good, "pattern").where(fits).groupBy("instance", "kind").agg(
@@ -208,6 +219,8 @@ def bootstrap(occurrences: DataFrame, *, rounds: int, least_support: int, least_
             break
         found = new if found is None else written(found.unionByName(new), "pii-found")
         known = written(known.unionByName(new), "pii-known")
+    if seeds.limit(1).count():
+        found = seeds if found is None else seeds.unionByName(found)
     return found
 
 
@@ -216,7 +229,8 @@ def find_pii(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rou
     """One row per row of ``docs``: doc_id, key (a hash of id and text), base
     and spans, both lists of (start, kind, stop) in code points, by start and
     then kind (a place in ``KINDS``). ``spans`` holds ``base`` and what the
-    patterns add, which never overlaps a base span.
+    patterns add, which never overlaps a base span. Every spelling of a seed is
+    marked wherever it occurs.
 
     A NULL or empty text has no spans. Repeated rows get equal results. An
     empty table gives an empty one. Other columns are not read."""
@@ -228,8 +242,9 @@ def find_pii(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rou
     out = rows.select("doc_id", "key", "base", F.col("base").alias("spans"))
     if found is None:
         return out
-    added = places.where("kind < 0").select("key", "start", "stop", "instance").join(
-        small_enough(found), "instance").groupBy("key").agg(F.collect_set(F.struct(
+    unknown = places.where("kind < 0").select("key", "start", "stop", "instance", (-1 - F.col("kind")).alias("bits"))
+    added = unknown.join(small_enough(found), "instance").where(
+        _allows(F.col("bits"), F.col("kind"))).groupBy("key").agg(F.collect_set(F.struct(
             F.col("start"), F.col("kind"), F.col("stop"))).alias("added"))
     return rows.join(added, "key", "left").select(
         "doc_id", "key", "base", F.sort_array(F.concat("base", F.coalesce(

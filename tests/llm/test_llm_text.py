@@ -187,6 +187,16 @@ def test_pii_contexts_discover_unseen_numbers(spark, awkward):
     assert pii.mask_pii(awkward).columns == awkward.columns
 
 
+def test_pii_marks_every_spelling_of_a_seed(spark):
+    rows = [(1, "+1 (555) 555-1003"), (2, "reach us: 1 555 555 1003 now"), (3, "(1) 555-555-1003"),
+            (4, "call +1.555.555.2004"), (5, "or 1 555 555 2004 then"), (6, "an order 1 555 555 3005 came")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_pii(docs).collect()}
+    assert got == {1: [(0, 3, 17)], 2: [(10, 3, 24)], 3: [(0, 3, 16)], 4: [(5, 3, 20)], 5: [(3, 3, 17)], 6: []}
+    masked = {r.doc_id: r.text for r in pii.mask_pii(docs).collect()}
+    assert masked[2] == "reach us: <PHONE> now" and masked[3] == "<PHONE>" and masked[6] == rows[5][1]
+
+
 def brute_quality(t):
     w = re.findall(W, t or "")
     grams = {}
