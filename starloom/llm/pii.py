@@ -5,8 +5,9 @@ These are the seeds. The words around a seed are lexical patterns; around
 identifier-like tokens that the base rules miss (a phone number without "+", a
 card with a mistyped digit, an address in an odd form) stand patterns too.
 Spark scores this graph of patterns and instances in turns: a pattern is as
-good as the share of its distinct instances that are known to be of one kind;
-an unknown instance is as good as the chance that one of its patterns is right.
+good as the share of one kind among its distinct instances that are decided
+(known, or not of that kind by their form; an instance that may be of the kind
+counts as ``OPEN`` of one); an unknown instance is as good as the chance that one of its patterns is right.
 High-confidence patterns make instances known, which may make further patterns
 good, until nothing changes or ``rounds`` are over.
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import ship, small_enough, written
 
 KINDS = ("email", "ip", "card", "phone")
+OPEN = 0.05  # so much of an error is an unknown instance that may be of the kind
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -174,14 +176,22 @@ def _row_key(doc_id: str, text: str) -> Column:
 
 def score_patterns(edges: DataFrame, known: DataFrame, least_support: int,
                    least_share: float) -> DataFrame:
-    """(pattern, kind, confidence) of patterns whose distinct instances are
-    known to be of one kind in a share of ``least_share``, ``least_support``
-    of them at least."""
-    kinds = edges.select("pattern", "instance").distinct().join(known, "instance", "left")
+    """(pattern, kind, confidence) of patterns with ``least_support`` distinct
+    instances known to be of one kind, and a share of ``least_share`` of it
+    among those that are known, or of another kind by their form. Unknown ones
+    that may be of the kind are what a pattern is to discover: each counts as
+    ``OPEN``, so that only very many of them (dates behind "on") speak
+    against it."""
+    kinds = edges.groupBy("pattern", "instance").agg(F.max(-1 - F.col("kind")).alias("bits")).join(
+        known, "instance", "left")
+    unknown = F.col("kind").isNull()
     per = kinds.groupBy("pattern").agg(
-        F.count("*").alias("n"), *[F.count_if(F.col("kind") == k).alias(f"k{k}") for k in range(len(KINDS))])
-    best = F.greatest(*[F.struct(F.col(f"k{k}").alias("n"), F.lit(k).alias("kind")) for k in range(len(KINDS))])
-    per = per.withColumn("best", best).withColumn("confidence", F.col("best.n") / F.col("n"))
+        F.count("*").alias("n"), *[F.count_if(F.col("kind") == k).alias(f"k{k}") for k in range(len(KINDS))],
+        *[F.count_if(unknown & _allows(F.col("bits"), F.lit(k))).alias(f"open{k}") for k in range(len(KINDS))])
+    best = F.greatest(*[F.struct(F.col(f"k{k}").alias("n"), F.lit(k).alias("kind"), F.col(f"open{k}").alias("open"))
+                        for k in range(len(KINDS))])
+    per = per.withColumn("best", best).withColumn(
+        "confidence", F.col("best.n") / (F.col("n") - (1 - OPEN) * F.col("best.open")))
     return per.where((F.col("best.n") >= least_support) & (F.col("confidence") >= least_share)).select(
         "pattern", F.col("best.kind").alias("kind"), "confidence")
 

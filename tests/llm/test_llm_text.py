@@ -197,6 +197,21 @@ def test_pii_marks_every_spelling_of_a_seed(spark):
     assert masked[2] == "reach us: <PHONE> now" and masked[3] == "<PHONE>" and masked[6] == rows[5][1]
 
 
+def test_pii_contexts_with_as_many_unseen_as_seen(spark):
+    rows = [(i, f"call me on +1 (555) 555-{1000 + i} w{i}") for i in range(20)]
+    rows += [(100 + i, f"call me on 555-{2000 + i} 77 w{i}") for i in range(20)]
+    # form decides: half of the instances behind "via" can't be phones
+    rows += [(200 + i, f"went via +1 (555) 555-{3000 + i}") for i in range(8)]
+    rows += [(220 + i, f"went via fe80::1:{i:x}:2") for i in range(8)] + [(240, "went via 555-4000 88")]
+    # dates by the hundred behind a word that a few phones share
+    rows += [(300 + i, f"at +1 (555) 555-{5000 + i}") for i in range(5)]
+    rows += [(400 + i, f"at 2024-{1 + i // 28:02}-{1 + i % 28:02}") for i in range(250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: len(r.spans) for r in pii.find_pii(docs).collect()}
+    assert all(got[i] == 1 and got[100 + i] == 1 for i in range(20))
+    assert got[240] == 0 and not any(got[400 + i] for i in range(250))
+
+
 def brute_quality(t):
     w = re.findall(W, t or "")
     grams = {}
