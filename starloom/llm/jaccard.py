@@ -77,6 +77,13 @@ class Rule:
         """Sets of n and m that link share so many."""
         return -(-self.num * (n + m) // (self.num + self.den))
 
+    def steps(self) -> int:
+        """What a set needs to share of its first shingles grows with the size
+        of a smaller partner. With that of a larger one it falls, by
+        num**2 / (den * (num + den)) a shingle but for rounding: the least need
+        is that of the largest partner or of one so many shingles smaller."""
+        return -(-self.den * (self.num + self.den) // self.num ** 2) - 1
+
     def sizes_fit(self, n, m):
         return self.num * np.maximum(n, m) <= self.den * np.minimum(n, m)
 
@@ -156,7 +163,7 @@ def _lists(texts: DataFrame, n: int, rule: Rule, boundary: int, common, buckets:
             rank = rank | (np.where(keys[at] == key, power[at], 0).astype(np.uint64) << np.uint64(56))
         first = s[np.argsort(rank, kind="stable")]
         size = len(s)
-        if 5 * size > 4 * boundary or size > boundary:
+        if rule.den * size > rule.num * boundary or size > boundary:
             p = first[:rule.prefix(size, 1)]
             yield 1, p, np.arange(len(p))
         if size <= boundary:
@@ -302,10 +309,11 @@ def _crossing(lists: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
             & (rule.num * F.col("size") <= rule.den * F.col("hi")))
     meets = inside.join(other, ["kind", "sig"]).where(fewer & fits).groupBy("kind", "node", "size", "oc").agg(
         F.count("*").alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    # what is needed is least for the smallest or the largest partner that fits
+    # what is needed is least for the smallest partner that fits or one of the largest
     low = F.greatest(F.col("lo"), F.ceil(rule.num * F.col("size") / F.lit(rule.den)))
     high = F.least(F.col("hi"), F.floor(rule.den * F.col("size") / F.lit(rule.num)))
-    least = F.least(_least(F.col("size"), low, rule), _least(F.col("size"), high, rule))
+    least = F.least(_least(F.col("size"), low, rule), *[
+        _least(F.col("size"), F.greatest(low, high - k), rule) for k in range(rule.steps() + 1)])
     may = written(meets.where(F.col("shared") >= least).select("kind", "node", "oc"), "crossing")
     mine = inside.select("kind", "sig", "node", F.col("size").alias("n")).join(may, ["kind", "node"])
     theirs = inside.select("kind", "sig", F.col("c").alias("oc"), F.col("node").alias("other"),

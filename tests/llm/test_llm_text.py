@@ -134,6 +134,62 @@ def test_jaccard_threshold_is_inclusive():
     assert bool(rule.sizes_fit(np.int64(4), np.int64(5))) and not bool(rule.sizes_fit(np.int64(3), np.int64(4)))
 
 
+@pytest.mark.parametrize("percent", [33, 50, 60, 75, 80, 90])
+def test_least_need_is_at_the_smallest_or_among_the_largest(percent):
+    rule = jaccard.Rule(percent, 100)
+    for n in range(1, 90):
+        sizes = range(rule.least_shared(n), 100 * n // percent + 1)
+        need = {m: rule.overlap(n, m) - max(rule.least_shared(n), rule.least_shared(m)) for m in sizes}
+        for low in sizes:
+            for high in range(low, sizes[-1] + 1):
+                tried = [low, *[max(low, high - k) for k in range(rule.steps() + 1)]]
+                assert min(need[m] for m in tried) == min(need[m] for m in range(low, high + 1))
+
+
+def test_jaccard_meets_partners_of_sizes_between(spark):
+    # 37 and 44 that share 36 link (36 / 45); they need one first shingle alike, 37 and 45 need two
+    lists = spark.createDataFrame([(1, 5, 1, 37, 2, 45), (1, 5, 2, 45, 2, 45), (1, 5, 3, 44, 2, 45),
+                                   (1, 5, 4, 37, 2, 45)],
+                                  "kind int, sig long, node long, size long, head long, head_size long")
+    groups = spark.createDataFrame([(2, 2), (3, 2), (4, 2)], "node long, component long")
+    rule = jaccard.Rule(80, 100)
+    got = jaccard._promising(jaccard._crossing(lists, groups, rule), rule).collect()
+    assert (1, 3) in [tuple(r) for r in got]
+
+
+def test_jaccard_small_and_large_sets_meet_at_any_threshold(spark):
+    texts = [" ".join(f"w{i}" for i in range(n)).encode() for n in (13, 21)]  # 13 / 21 > 0.6
+    docs = spark.createDataFrame([(t,) for t in texts], "t binary")
+    none = spark.sparkContext.broadcast((np.zeros(0, np.uint64), np.zeros(0, np.uint8)))
+    got = jaccard._lists(docs, 1, jaccard.Rule(60, 100), 20, none, 32).collect()
+    assert {r["size"] for r in got} == {13, 21}
+
+
+@pytest.mark.parametrize("percent", [80, 60])
+def test_jaccard_mixed_sizes_at_the_threshold(spark, percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for group in range(12):
+        base = [f"g{group}w{i}" for i in range(int(rng.choice([12, 36, 60])))]
+        for _ in range(6):  # a core that all share, and so many words of its own that pairs are at the threshold
+            own = int(rng.integers(0, len(base) * (100 - percent) // percent + 1))
+            sets.append(set(base) | {f"n{len(sets)}x{i}" for i in range(own)})
+    rows = [(i, " ".join(sorted(s))) for i, s in enumerate(sets)]
+    root = list(range(len(sets)))
+    exact = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            shared, all_of = len(sets[a] & sets[b]), len(sets[a] | sets[b])
+            exact += 100 * shared == percent * all_of
+            if 100 * shared >= percent * all_of:
+                x, y = root[a], root[b]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    assert exact
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=1,
+                                  percent=percent).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(root))
+
+
 def test_jaccard_awkward(awkward):
     got = jaccard.near_duplicates(awkward).collect()
     assert len(got) == awkward.count()
