@@ -6,10 +6,10 @@ the log-probability of the token given both sides.
 
 Everything is gathered from the whole corpus: Spark counts all words for the
 vocabulary (rarer words share hash buckets), and trains in ``rounds``. Each
-document takes part in one round, with the 15 % of its tokens that a hash
-masks; every task starts a round from the same weights and runs mini-batches
-over its documents, and the tasks' weights are averaged by their numbers of
-tokens. Weights are summed in streams on the executors; the driver sees
+document takes part in one round, with all its tokens, so that every token is
+a target once (its window leaves it out, so nothing has to be masked); every
+task starts a round from the same weights and runs mini-batches over its
+documents, and the tasks' weights are averaged by their numbers of tokens. Weights are summed in streams on the executors; the driver sees
 ``SUMS`` of them.
 """
 
@@ -28,7 +28,6 @@ from .common import (WordHashes, mix, pack_sorted, power_of_two, ship, slices, u
 CLASSES, MEMBERS, HIDDEN, SIDE = 32, 32, 24, 2
 TOKENS = CLASSES * MEMBERS
 RARE = 256          # hash buckets of the words that are not in the vocabulary
-MASKED = 15         # percent of the tokens
 SUMS = 16
 
 
@@ -190,10 +189,8 @@ def train(texts: DataFrame, vocab: np.ndarray, rounds: int) -> Net:
             own, coder, state, seen = Net(start), Coder(vocab), np.zeros(len(start), np.float32), 0
             for _, ids in _some(batches, 0, coder):
                 token, around = contexts(ids)
-                place = mix(np.arange(len(token), dtype=np.uint64) + np.uint64(len(token)))
-                masked = np.flatnonzero(place % np.uint64(100) < np.uint64(MASKED))
-                own.train(token[masked], around[masked], state)
-                seen += len(masked)
+                own.train(token, around, state)
+                seen += len(token)
             if seen:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([seen], pa.int64()), pa.array([own.flat.tobytes()], pa.binary())], ["n", "w"])

@@ -177,6 +177,16 @@ def test_scoring_predicts_held_out_text(spark):
     assert lm_score.score_documents(docs.limit(0)).count() == 0
 
 
+def test_every_token_is_a_target(spark):
+    # three tokens, each of which must be learnt
+    texts = spark.createDataFrame([("a b c",)], "t string").select(F.col("t").cast("binary").alias("t"))
+    vocab = lm_score.vocabulary(texts)
+    token, around = lm_score.contexts([lm_score.Coder(vocab)(b"a b c")])
+    before = lm_score.Net().log_probability(token, around)
+    after = lm_score.train(texts, vocab, 3).log_probability(token, around)
+    assert len(token) == 3 and (after > before + 0.1).all()
+
+
 def test_scores_are_log_probabilities():
     net = lm_score.Net()
     around = np.random.default_rng(6).integers(0, lm_score.TOKENS + 1, (1, 4))
