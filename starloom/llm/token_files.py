@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,11 +65,12 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 def train_dictionary(docs: DataFrame, *, doc_id: str, text: str, end_id: int,
                      tokenizer: str | None, dictionary_docs: int, dictionary_bytes: int,
                      dictionary_size: int) -> bytes:
-    """A dictionary from about ``dictionary_docs`` documents, those with the
-    smallest hashes of their text. Empty where there is too little to train on."""
-    key = F.xxhash64(F.col(text))
-    some = docs.select(F.col(text).cast("binary").alias("t"), key.alias("h")).orderBy("h").limit(
-        dictionary_docs)
+    """A dictionary from about ``dictionary_docs`` distinct texts, those with
+    the smallest hashes. Empty, with a warning, where there is too little to
+    train on; the files' header then holds the hash of an empty dictionary."""
+    hashed = docs.select(F.col(text).cast("binary").alias("t"), F.xxhash64(F.col(text)).alias("h"))
+    least = hashed.select("h").distinct().orderBy("h").limit(dictionary_docs)
+    some = hashed.join(F.broadcast(least), "h", "left_semi").groupBy("h").agg(F.first("t").alias("t")).select("t")
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(place(tokenizer))
@@ -80,7 +82,8 @@ def train_dictionary(docs: DataFrame, *, doc_id: str, text: str, end_id: int,
     samples = [bytes(r[0]) for r in some.mapInArrow(ids, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(dictionary_size, sorted(samples)).as_bytes()
-    except zstandard.ZstdError:  # too few samples
+    except zstandard.ZstdError as e:  # too few samples
+        warnings.warn(f"no dictionary could be trained on {len(samples)} texts: {e}", stacklevel=2)
         return b""
 
 

@@ -114,6 +114,18 @@ def test_token_files_round_trip(spark, docs, ids_of, tmp_path):
     assert token_files.write_token_files(docs.limit(0), str(tmp_path / "c")).read().count() == 0
 
 
+def test_dictionary_is_trained_on_distinct_texts(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 500, 200))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    least = docs.orderBy(F.xxhash64("text")).limit(1)
+    copies = docs.unionByName(least.crossJoin(spark.range(400)).select("doc_id", "text"))
+    kinds = {"doc_id": "doc_id", "text": "text", "end_id": 2, "tokenizer": None, "dictionary_docs": 300,
+             "dictionary_bytes": 16_384, "dictionary_size": 8_192}
+    got = token_files.train_dictionary(copies, **kinds)
+    assert got and got == token_files.train_dictionary(docs, **kinds)
+
+
 def test_nearest_recall_and_ties(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(40, 16))
