@@ -99,5 +99,63 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost <= {LOST_SHARE} * n_words AS kept FROM m"""
 
 
+_FEATURES = """list_concat(w, list_transform(range(1, len(w)), lambda j: w[j] || ' ' || w[j + 1]))"""
+
+
+def _resample_words(table: str, key: str) -> str:
+    return f"""SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table}"""
+
+
+# CRC-32 by bytes from its polynomial: SQL has no function of that name
+RESAMPLE = f"""
+WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS ({_resample_words('documents', 'doc_id')}),
+e AS ({_resample_words('benchmark', 'item_id')}),
+f AS (SELECT doc_id, unnest({_FEATURES}) AS f FROM d),
+g AS (SELECT unnest({_FEATURES}) AS f FROM e),
+x AS (SELECT f, hex(f) AS x FROM (SELECT f FROM f UNION SELECT f FROM g)),
+y AS (SELECT f, list_prepend(4294967295, list_transform(range(0, len(x) // 2),
+  lambda i: CAST('0x' || substr(x, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT))) AS y FROM x),
+b AS (SELECT f, xor(list_reduce(y, lambda c, v: xor(t[CAST((xor(c, v) & 255) + 1 AS INTEGER)], c >> 8)),
+  4294967295) % 10000 AS b FROM y, tab),
+s AS (SELECT b, count(*) AS s FROM f JOIN b USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM g JOIN b USING (f) GROUP BY b),
+n AS (SELECT coalesce((SELECT sum(s) FROM s), 0)::DOUBLE AS s_all, coalesce((SELECT sum(t) FROM t), 0)::DOUBLE AS t_all),
+w AS (SELECT s.b, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) AS BIGINT)
+  AS gain FROM s LEFT JOIN t ON t.b = s.b, n),
+m AS (SELECT doc_id, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+  FROM f JOIN b USING (f) JOIN w USING (b) GROUP BY doc_id),
+o AS (SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(
+  -1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)))
+  AS BIGINT) AS score FROM d LEFT JOIN m ON m.doc_id = d.doc_id),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS k
+  FROM o WHERE n_features >= 39)
+SELECT o.*, CASE WHEN rank <= k * 25 // 100 THEN rank END AS rank FROM o LEFT JOIN r ON r.doc_id = o.doc_id"""
+
+
+def _cluster(rounds: int = 3) -> str:
+    parts = ["""v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             """c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (
+  SELECT sha256('1:' || vec_id) AS h, v FROM v ORDER BY h LIMIT 16))"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS (SELECT vec_id, v, min((d, c)) AS best FROM (SELECT v.vec_id, v.v, c.c, CAST(list_sum(
+  list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM v, c{i} c)
+  GROUP BY vec_id, v)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (SELECT best[2] AS c, unnest(v) AS x, unnest(range(64)) AS i FROM a{i}),
+m{i} AS (SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM s{i} GROUP BY c, i),
+n{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM m{i} GROUP BY c),
+c{i + 1} AS (SELECT o.c, coalesce(n.v, o.v) AS v FROM c{i} o LEFT JOIN n{i} n ON n.c = o.c)""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance,
+  CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best[1]) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.c = a.best[2]"""
+
+
 ORACLE_SQL = {"op1_substring": SUBSTRING, "op4_near_duplicates": JACCARD, "op8_mix": MIX,
-              "op9_quality": _quality()}
+              "op9_quality": _quality(), "op12_resample": RESAMPLE, "op13_cluster": _cluster()}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, jaccard, lm_score, mixing, packing, pii, quality_lines, sharding, substring, token_files
+from . import (ann, jaccard, lm_score, mixing, orchard, packing, pii, quality_lines, resample, sharding, simhash,
+               substring, token_files)
 from .oracle import ORACLE_SQL  # noqa: F401 - __spark_entry__ takes both from here
 
 
@@ -68,6 +69,19 @@ def op10_shard(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_fingerprints(_table(spark, d, "documents"), shingle=3, distance=3, seed=42)
+
+
+def op12_resample(spark: SparkSession, d: str) -> DataFrame:
+    return resample.resample(_table(spark, d, "documents"), _table(spark, d, "benchmark"), percent=25,
+                             least_words=20, buckets=10_000, seed=7)
+
+
+def op13_cluster(spark: SparkSession, d: str) -> DataFrame:
+    return orchard.cluster(_table(spark, d, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1)
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, d)
@@ -75,4 +89,5 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"op1_substring": op1_substring, "op2_pack": op2_pack, "op3_token_files": op3_token_files, "op4_near_duplicates": op4_near_duplicates,
            "op5_lm_score": op5_lm_score, "op6_nearest": op6_nearest, "op7_pii": op7_pii, "op8_mix": op8_mix,
-           "op9_quality": op9_quality, "op10_shard": op10_shard, "pipeline": pipeline}
+           "op9_quality": op9_quality, "op10_shard": op10_shard, "op11_simhash": op11_simhash,
+           "op12_resample": op12_resample, "op13_cluster": op13_cluster, "pipeline": pipeline}

@@ -13,14 +13,15 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {n.split("_")[0] for n in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {n.split("_")[0] for n in queries.QUERIES}
     assert set(queries.QUERIES) <= set(E.queries()) and set(queries.ORACLE_SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     found = con.execute(queries.ORACLE_SQL[name])
     columns = [d[0] for d in found.description]
     got = queries.QUERIES[name](spark, SF)
