@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta, timezone
 from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,11 +35,13 @@ from starloom.plans.fact import build_fact_orders  # noqa: E402
 from starloom.plans.prep import preprocess, preprocess_counts  # noqa: E402
 from starloom.plans.star import build_star  # noqa: E402
 from starloom.session import ensure_checkpoint_dir, scratch_folder  # noqa: E402
-from starloom.sinks import write_star  # noqa: E402
+from starloom.plans.job import run as run_job  # noqa: E402
+from starloom.sinks import StarLog, compact, publish_star, read_star, write_star  # noqa: E402
 from starloom.sources.harness import STATE_CODES, orders_from_tables  # noqa: E402
 from starloom.sources.raw import read_raw_csv  # noqa: E402
 from starloom.sources.seeds import geo_rows  # noqa: E402
-from starloom.streaming import read_dim_prod, read_fact, run_incremental  # noqa: E402
+from starloom.streaming import (completeness_so_far, load_counts, load_table, process_batch,  # noqa: E402
+                                read_dim_prod, read_fact, read_rejects, read_table, run_incremental)
 
 try:  # the one place that allows for the subpackage being taken out
     from starloom.llm import queries as _llm
@@ -54,6 +58,10 @@ NATURAL_FACT = ["order_number", "order_date", "customer_name", "state_id", "prod
                 "brand", "status_name", "employee_name", "unit_cost", "unit_sales", "quantity",
                 "total_cost", "total_sales", "profit", "profit_margin"]
 
+#: The natural key of each numbered dimension.
+MEMBERS = {"dim_cust": ["customer_name"], "dim_emp": ["employee_name"], "dim_ostatus": ["status_name"],
+           "dim_prod": ["product_name", "category", "brand"]}
+
 
 # --------------------------------------------------------------------------- Spark side
 
@@ -186,29 +194,45 @@ def q_incremental_fact(spark, d):
     return read_fact(spark, f"{base}/star")
 
 
-def _loaded_in_batches(spark, d) -> str:
-    """All rows of the dirty extract dealt to two sources: the first one loaded
-    in two micro-batches, the second one with a checkpoint of its own."""
-    base = scratch_folder(spark, "batches")
+def _turn(column) -> F.Column:
+    """Which of three loads a row comes with: any split will do that SQL can name too."""
+    return F.pmod(F.coalesce(column.cast("int"), F.lit(0)), F.lit(3))
+
+
+def _landed(spark, d, name: str) -> tuple[str, list[int]]:
+    """All rows of the dirty extract as files, in a folder for each of three
+    turns (every task writes its own), and the number of files of each."""
+    base = scratch_folder(spark, name)
     raw = _raw(spark, d, dirty=True)
-    turn = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.lit(3))
-    (raw.withColumn("_turn", turn).repartition(3, "_turn").write.partitionBy("_turn")
-        .parquet(f"{base}/landing"))
-    for k in range(3):  # one file per turn, whatever the number of tasks
-        part = spark.read.schema(raw.schema).parquet(f"{base}/landing/_turn={k}")
-        part.coalesce(1).write.mode("append").parquet(f"{base}/source{k // 2}")
-    for k in range(2):
-        run_incremental(spark, f"{base}/source{k}", f"{base}/star", f"{base}/checkpoint{k}",
-                        source_format="parquet", max_files_per_trigger=1, run_ts=RUN_TS)
+    raw.withColumn("turn", _turn(F.col("Quantity"))).write.partitionBy("turn").parquet(f"{base}/landing")
+    return base, [len(spark.read.parquet(f"{base}/landing/turn={k}").inputFiles()) for k in range(3)]
+
+
+def _loaded_in_batches(spark, d) -> str:
+    """The three turns dealt to two sources: the first one loaded in two
+    micro-batches, the second one with a checkpoint of its own."""
+    base, files = _landed(spark, d, "batches")
+    for k, (turns, at_once) in enumerate((("turn=[01]", max(files[:2])), ("turn=2", None))):
+        run_incremental(spark, f"{base}/landing/{turns}", f"{base}/star", f"{base}/checkpoint{k}",
+                        source_format="parquet", max_files_per_trigger=at_once, run_ts=RUN_TS)
     return f"{base}/star"
 
 
-def q_incremental_multi_batch(spark, d):
-    """The fact of three batches from two sources, by natural keys."""
-    root = _loaded_in_batches(spark, d)
+def _loaded_at_once(spark, d) -> str:
+    """The three turns as three sources, loaded at the same time into one star.
+    Their members overlap, so commits collide and the later ones start again."""
+    base, _ = _landed(spark, d, "at-once")
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        for f in [pool.submit(run_incremental, spark, f"{base}/landing/turn={k}", f"{base}/star",
+                              f"{base}/checkpoint{k}", source_format="parquet", run_ts=RUN_TS) for k in range(3)]:
+            f.result()
+    return f"{base}/star"
 
+
+def _natural_fact(spark, root: str) -> DataFrame:
+    """The fact with natural keys in place of surrogate ones."""
     def dim(name, *cols):
-        return spark.read.schema(C.STAR[name].schema).parquet(f"{root}/{name}").select(*cols)
+        return read_table(spark, root, name).select(*cols)
 
     fact = read_fact(spark, root)
     fact = fact.join(dim("dim_cust", "customer_id", "customer_name"), "customer_id", "left")
@@ -218,12 +242,153 @@ def q_incremental_multi_batch(spark, d):
     return fact.select(*NATURAL_FACT)
 
 
+def q_incremental_multi_batch(spark, d):
+    """The fact of three batches from two sources, by natural keys."""
+    return _natural_fact(spark, _loaded_in_batches(spark, d))
+
+
 def q_incremental_dim_prod(spark, d):
     """The products' costs after three batches, as the full build has them."""
     return read_dim_prod(spark, _loaded_in_batches(spark, d)).select(
         "product_name", "category", "brand", "standard_cost")
 
 
+def q_concurrent_loads(spark, d):
+    """The fact of three loads that ran at once, by natural keys."""
+    return _natural_fact(spark, _loaded_at_once(spark, d))
+
+
+def q_concurrent_load_keys(spark, d):
+    """Rows, distinct keys and distinct members of each numbered dimension
+    after three loads that ran at once, and the highest key."""
+    root, out = _loaded_at_once(spark, d), None
+    for name, members in MEMBERS.items():
+        key = C.STAR[name].primary_key
+        row = read_table(spark, root, name).agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("distinct_keys"),
+            F.count_distinct(*members).alias("distinct_members"), F.max(key).alias("highest_key")).select(
+                F.lit(name).alias("table_name"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_stream_quarantine(spark, d):
+    """What became of every record of a CSV extract with unreadable order
+    numbers, loaded as a stream: read = loaded + malformed + no_order_number."""
+    base = scratch_folder(spark, "quarantine")
+    raw = _raw(spark, d, dirty=True)
+    text = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
+    broken = F.pmod(F.col("Quantity").cast("double").cast("int"), F.lit(7)) == 3
+    text = text.withColumn("Order_Number", F.when(broken, F.concat(F.coalesce("Order_Number", F.lit("")), F.lit("x")))
+                           .otherwise(F.col("Order_Number")))
+    text.write.option("header", True).csv(f"{base}/landing")
+    run_incremental(spark, f"{base}/landing", f"{base}/star", f"{base}/checkpoint", run_ts=RUN_TS)
+    counts = load_counts(spark, f"{base}/star").select(F.explode(F.create_map(
+        F.lit("read"), "read", F.lit("loaded"), "loaded", F.lit("rejected"), "rejected")).alias("outcome", "n"))
+    reasons = read_rejects(spark, f"{base}/star").select(F.explode("reasons").alias("outcome"))
+    return counts.unionByName(reasons.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_rules_at_load(spark, d):
+    """Rows that break each rule of the fact, found while they are loaded."""
+    base = scratch_folder(spark, "rules")
+    process_batch(_raw(spark, d, dirty=True), 0, f"{base}/star", on_violation="quarantine", run_ts=RUN_TS)
+    broken = read_rejects(spark, f"{base}/star").where(F.col("file").isNull()).select(F.explode("reasons").alias("rule"))
+    return broken.where("rule != 'no_order_number'").groupBy("rule").agg(F.count(F.lit(1)).alias("violations"))
+
+
+def q_completeness_by_load(spark, d):
+    """The completeness report from the counts that three loads have left."""
+    return completeness_so_far(spark, _loaded_in_batches(spark, d))
+
+
+def q_product_upserts(spark, d):
+    """Products after three loads, one a day, whose costs change on the way:
+    an update moves ``update_date`` of exactly the products that it changes."""
+    base = scratch_folder(spark, "upserts")
+    raw = _raw(spark, d, dirty=True)
+    later = (_turn(F.col("Quantity")) > 0) & (F.pmod(F.col("Quantity").cast("int"), F.lit(5)) == 0)
+    raw = raw.withColumn("Cost", F.when(later, F.col("Cost") + 1).otherwise(F.col("Cost")))
+    raw.withColumn("turn", _turn(F.col("Quantity"))).write.partitionBy("turn").parquet(f"{base}/landing")
+    for k in range(3):
+        rows = spark.read.schema(raw.schema).parquet(f"{base}/landing/turn={k}")
+        process_batch(rows, k, f"{base}/star", run_ts=RUN_TS + timedelta(days=k))
+    return _shown(read_dim_prod(spark, f"{base}/star")).drop("product_id")
+
+
+def q_table_bookmark(spark, d):
+    """A catalog table loaded twice, a partition having come in between, and a
+    third time with nothing new: its rows by natural keys."""
+    base, name = scratch_folder(spark, "bookmark"), f"starloom_extract_{uuid.uuid4().hex}"
+    raw = _raw(spark, d, dirty=True).withColumn("turn", _turn(F.col("Quantity")))
+    raw.write.partitionBy("turn").parquet(f"{base}/rows")
+    columns = ", ".join(f"`{c}` {t}" for c, t in raw.dtypes)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (turn) LOCATION '{base}/table'")
+    try:
+        stored = spark.read.schema(raw.schema).parquet(f"{base}/rows")
+        for turns in ([0, 1], [2], []):
+            if turns:
+                stored.where(F.col("turn").isin(turns)).write.insertInto(name)
+            load_table(spark, name, f"{base}/star", run_ts=RUN_TS)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return _natural_fact(spark, f"{base}/star")
+
+
+def q_published_versions(spark, d):
+    """Two stars published one after the other, each in one step: the fact of
+    both versions, the earlier one read after the later was there."""
+    root, out = scratch_folder(spark, "published"), None
+    first = publish_star(spark, _star(spark, d), root)
+    publish_star(spark, _star(spark, d, dirty=True), root, expect=first.version)
+    for version in (1, 2):
+        fact = read_star(spark, root, version)["fact_orders"].withColumn("version", F.lit(version))
+        out = fact if out is None else out.unionByName(fact)
+    return out
+
+
+def _in_small_parts(spark, d, parts: int = 12) -> str:
+    """The fact as that many parts of a star, as that many loads would leave it."""
+    root = scratch_folder(spark, "upkeep")
+    publish_star(spark, {"fact_orders": _star(spark, d)["fact_orders"]}, f"{root}/whole")
+    whole = read_star(spark, f"{root}/whole", names=["fact_orders"])["fact_orders"]
+    log = StarLog(spark, f"{root}/star")
+    for k in range(parts):
+        part = log.write_part(whole.where(F.pmod(F.col("order_number"), F.lit(parts)) == k), "fact_orders")
+        log.update("load", lambda now, p=part: now.with_parts({"fact_orders": [p] if p else []}))
+    return f"{root}/star"
+
+
+def q_compacted_fact(spark, d):
+    """The fact after many small parts have been put together."""
+    root = _in_small_parts(spark, d)
+    compact(spark, root, "fact_orders")
+    return read_fact(spark, root)
+
+
+def q_clustered_point(spark, d):
+    """The orders of one product on the first day that it was ordered, from a
+    fact clustered on (order_date, product_id) by interleaved bits."""
+    root = _in_small_parts(spark, d)
+    compact(spark, root, "fact_orders", target_bytes=256 << 10, cluster_by=["order_date", "product_id"],
+            interleave=True, everything=True)
+    fact = read_fact(spark, root)
+    first = fact.where("product_id = 7").agg(F.min("order_date").alias("order_date"))
+    return fact.where("product_id = 7").join(F.broadcast(first), "order_date").select(*fact.columns)
+
+
+def q_job_reports(spark, d):
+    """The whole job: extract in files, star published, report written as CSV
+    and read back."""
+    base = scratch_folder(spark, "job")
+    _raw(spark, d, dirty=True).write.parquet(f"{base}/landing")
+    done = run_job(spark, f"{base}/landing", f"{base}/star", source_format="parquet",
+                   target_format="snapshot", run_ts=RUN_TS)
+    return spark.read.option("header", True).schema(
+        "column_name string, table_name string, total_records long, null_count long, "
+        "null_percentage double, null_share double").csv(f"{done['reports']}/completeness")
+
+
 def q_csv_round_trip(spark, d):
     """The extract written as CSV with its columns in another order, read back by name."""
     raw = _raw(spark, d, dirty=True)
@@ -237,6 +402,10 @@ def q_star_round_trip(spark, d, fmt):
     path = scratch_folder(spark, "star")
     write_star(_star(spark, d, dirty=True), path, fmt)
     reader = spark.read.schema(C.FACT_ORDERS.schema)
+    if fmt == "both":  # what each of the two formats holds and the other doesn't, and what both hold
+        path, other = f"{path}/csv", reader.parquet(f"{path}/parquet/fact_orders")
+        mine = reader.option("header", True).csv(f"{path}/fact_orders")
+        return mine.intersectAll(other).unionByName(mine.exceptAll(other)).unionByName(other.exceptAll(mine))
     return (reader.option("header", True).csv if fmt == "csv" else reader.parquet)(f"{path}/fact_orders")
 
 
@@ -270,13 +439,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_orders_salted": partial(q_fact, dirty=True, broadcast_max_rows=0, salt_buckets=8),
         "fact_orders_hot_salted": partial(q_fact, dirty=True, broadcast_max_rows=0,
                                           salt_buckets=8, hot_share=0.05),
+        "fact_orders_together": partial(q_fact, dirty=True, broadcast_max_rows=0, lookups="together"),
         "fact_margin_unguarded": q_fact_margin_unguarded,
         "incremental_fact": q_incremental_fact,
         "incremental_multi_batch": q_incremental_multi_batch,
         "incremental_dim_prod": q_incremental_dim_prod,
+        "concurrent_loads": q_concurrent_loads,
+        "concurrent_load_keys": q_concurrent_load_keys,
+        "stream_quarantine": q_stream_quarantine,
+        "rules_at_load": q_rules_at_load,
+        "completeness_by_load": q_completeness_by_load,
+        "product_upserts": q_product_upserts,
+        "table_bookmark": q_table_bookmark,
+        "published_versions": q_published_versions,
+        "compacted_fact": q_compacted_fact,
+        "clustered_point": q_clustered_point,
+        "job_reports": q_job_reports,
         "csv_round_trip": q_csv_round_trip,
         "star_parquet_round_trip": partial(q_star_round_trip, fmt="parquet"),
         "star_csv_round_trip": partial(q_star_round_trip, fmt="csv"),
+        "star_both_round_trip": partial(q_star_round_trip, fmt="both"),
         "fact_preview": q_fact_preview,
         "key_uniqueness": q_key_uniqueness,
         "completeness_dims": partial(q_completeness, which="dims"),
@@ -568,6 +750,60 @@ def _sql_key_uniqueness() -> str:
         for t, c in C.STAR.items())
 
 
+def _sql_natural_fact() -> str:
+    return (f"SELECT {', '.join(NATURAL_FACT)} FROM fact_orders f "
+            "LEFT JOIN dim_cust c ON c.customer_id = f.customer_id "
+            "LEFT JOIN dim_prod p ON p.product_id = f.product_id "
+            "LEFT JOIN dim_ostatus s ON s.status_id = f.status_id "
+            "LEFT JOIN dim_emp e ON e.employee_id = f.employee_id")
+
+
+def _sql_member_keys() -> str:
+    keys = {"dim_cust": "customer_id", "dim_emp": "employee_id", "dim_ostatus": "status_id", "dim_prod": "product_id"}
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT {k}) AS distinct_keys, "
+        f"count(DISTINCT ({', '.join(MEMBERS[t])})) AS distinct_members, CAST(count(*) AS INTEGER) AS highest_key FROM {t}"
+        for t, k in keys.items())
+
+
+def _sql_quarantine() -> str:
+    broken = "CAST(\"Quantity\" AS INTEGER) % 7 = 3"
+    none = "(\"Order_Number\" IS NULL OR isnan(\"Order_Number\"))"
+    return f"""WITH raw AS ({_sql_raw(True)}),
+o AS (SELECT CASE WHEN {broken} THEN 'malformed' WHEN {none} THEN 'no_order_number' ELSE 'loaded' END AS outcome FROM raw)
+SELECT outcome, count(*) AS n FROM o GROUP BY outcome
+UNION ALL SELECT 'read', count(*) FROM o UNION ALL SELECT 'rejected', count(*) FROM o WHERE outcome <> 'loaded'"""
+
+
+def _sql_rules_at_load() -> str:
+    rows = " UNION ALL ".join(f"SELECT * FROM ({q})" for q in (_sql_not_null(), _sql_ranges(), _sql_lengths()))
+    return (f"SELECT CASE WHEN column_name IS NULL THEN rule ELSE rule || ':' || column_name END AS rule, violations "
+            f"FROM ({rows}) WHERE table_name = 'fact_orders' AND violations > 0")
+
+
+def _sql_upserts() -> str:
+    day = "TIMESTAMP '2025-03-31 12:00:00' + INTERVAL 1 DAY * CAST({} AS INTEGER)"
+    return f"""WITH raw AS ({_sql_raw(True)}), clean AS ({_SQL_CLEAN}),
+p AS (SELECT product, category, brand, CAST(quantity AS INTEGER) % 3 AS turn,
+  CASE WHEN CAST(quantity AS INTEGER) % 3 > 0 AND CAST(quantity AS INTEGER) % 5 = 0 THEN cost + 1 ELSE cost END AS cost
+  FROM clean WHERE product IS NOT NULL AND category IS NOT NULL AND brand IS NOT NULL),
+c AS (SELECT product, category, brand, k.turn, min(p.turn) AS first_turn,
+  coalesce(CASE WHEN count(DISTINCT cost) = 1 THEN max(cost) END, 0.0) AS cost
+  FROM p JOIN (SELECT unnest(range(3)) AS turn) k ON p.turn <= k.turn GROUP BY product, category, brand, k.turn),
+l AS (SELECT *, lag(cost) OVER (PARTITION BY product, category, brand ORDER BY turn) AS before FROM c)
+SELECT product AS product_name, category, brand, max_by(cost, turn) AS standard_cost,
+  {day.format("min(first_turn)")} AS create_date,
+  {day.format("max(CASE WHEN before IS NULL OR before <> cost THEN turn ELSE 0 END)")} AS update_date
+FROM l GROUP BY product, category, brand"""
+
+
+def _sql_both_versions() -> str:
+    cols = ", ".join(C.FACT_ORDERS.names)
+    one, two = (f"SELECT {v} AS version, {cols} FROM ({_ctes(dirty)} SELECT {cols} FROM fact_orders)"
+                for v, dirty in ((1, False), (2, True)))
+    return f"{one}\nUNION ALL {two}"
+
+
 def oracle_sql() -> dict[str, str]:
     clean_only = _ctes(False, star=False)
     dirty_only = _ctes(True, star=False)
@@ -614,17 +850,28 @@ def oracle_sql() -> dict[str, str]:
         "fact_orders_dirty": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "fact_orders_shuffled": star_clean + f"SELECT {fact_cols} FROM fact_orders",
         "fact_orders_salted": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
+        "fact_orders_together": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "fact_orders_hot_salted": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "incremental_fact": star_clean + f"SELECT {fact_cols} FROM fact_orders",
-        "incremental_multi_batch": star_dirty + f"SELECT {', '.join(NATURAL_FACT)} FROM fact_orders f "
-        "LEFT JOIN dim_cust c ON c.customer_id = f.customer_id "
-        "LEFT JOIN dim_prod p ON p.product_id = f.product_id "
-        "LEFT JOIN dim_ostatus s ON s.status_id = f.status_id "
-        "LEFT JOIN dim_emp e ON e.employee_id = f.employee_id",
+        "incremental_multi_batch": star_dirty + _sql_natural_fact(),
         "incremental_dim_prod": star_dirty + "SELECT product_name, category, brand, standard_cost FROM dim_prod",
+        "concurrent_loads": star_dirty + _sql_natural_fact(),
+        "concurrent_load_keys": star_dirty + _sql_member_keys(),
+        "stream_quarantine": _sql_quarantine(),
+        "rules_at_load": star_dirty + _sql_rules_at_load(),
+        "completeness_by_load": star_dirty + _sql_completeness(
+            Q.DIM_COMPLETENESS_COLUMNS + Q.FACT_COMPLETENESS_COLUMNS),
+        "product_upserts": _sql_upserts(),
+        "table_bookmark": star_dirty + _sql_natural_fact(),
+        "published_versions": _sql_both_versions(),
+        "compacted_fact": star_clean + f"SELECT {fact_cols} FROM fact_orders",
+        "clustered_point": star_clean + f"SELECT {fact_cols} FROM fact_orders WHERE product_id = 7 AND order_date = "
+                           "(SELECT min(order_date) FROM fact_orders WHERE product_id = 7)",
+        "job_reports": star_dirty + _sql_completeness(Q.DIM_COMPLETENESS_COLUMNS + Q.FACT_COMPLETENESS_COLUMNS),
         "csv_round_trip": f"WITH raw AS ({_sql_raw(True)}) SELECT * FROM raw",
         "star_parquet_round_trip": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "star_csv_round_trip": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
+        "star_both_round_trip": star_dirty + f"SELECT {fact_cols} FROM fact_orders",
         "fact_margin_unguarded": _ctes(True, fact=_sql_fact(margin="unguarded", fill=False)) +
         f"SELECT {fact_cols} FROM fact_orders",
         "fact_preview": star_clean + f"SELECT {fact_cols} FROM fact_orders ORDER BY "

@@ -15,7 +15,8 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--source-format", default="csv", choices=["csv", "parquet", "table"])
     p.add_argument("--target", required=True, help="output root (ignored for tables)")
     p.add_argument("--target-format", default="parquet",
-                   choices=["parquet", "csv", "both", "table"])
+                   choices=["parquet", "csv", "both", "table", "snapshot"],
+                   help="snapshot: all tables change in one step")
     p.add_argument("--database", default=None)
     p.add_argument("--master", default=None, help="leave unset under spark-submit")
     p.add_argument("--no-reports", action="store_true")

@@ -100,12 +100,15 @@ def first_seen_key(df: DataFrame, key_cols: list[str], seen_cols: list[str], id_
 
 
 def extend_key(existing: DataFrame, candidates: DataFrame, key_cols: list[str], id_col: str, *,
-               num_buckets: int | None = None) -> DataFrame:
+               num_buckets: int | None = None, highest: int | None = None) -> DataFrame:
     """New members of ``candidates`` (absent from ``existing``) numbered after
-    the current maximum id, so existing keys never move between runs."""
+    the current maximum id, so existing keys never move between runs.
+    ``highest`` is that id where the caller knows it. Of two callers that start
+    from the same ``existing`` at most one may keep its result: see
+    :meth:`starloom.sinks.snapshots.StarLog.update`."""
     new = (candidates.select(*key_cols).dropna(how="any", subset=key_cols).distinct()
            .join(existing.select(*key_cols), key_cols, "left_anti"))
     # one scalar, so the driver round trip is bounded
-    base = existing.agg(F.max(id_col)).first()[0] or 0
+    base = highest if highest is not None else existing.agg(F.max(id_col)).first()[0] or 0
     numbered = number_rows(new, key_cols, id_col, num_buckets)
     return numbered.withColumn(id_col, F.col(id_col) + F.lit(base).cast("long"))

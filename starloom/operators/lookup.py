@@ -6,6 +6,9 @@ turns into the sentinel. How the join runs depends on the dimension's size:
 
 * small (rows and bytes checked against bounds): broadcast hash join, the fact
   is not shuffled at all;
+* several large ones: all keys of all rows resolved in one shuffle and the rows put
+  together again in a second one (:func:`lookup_together`), instead of a shuffle
+  of whole rows for each;
 * large: sort-merge join (hinted, so that adaptive execution doesn't turn it
   into a broadcast of more than the bounds), with AQE splitting a skewed fact
   partition. Rows with a NULL key, which match nothing, are spread over all
@@ -17,6 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_folder
 
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 _SALT = "_sl_salt"
@@ -117,6 +123,53 @@ def lookup_key(fact: DataFrame, dim: DataFrame, on: dict[str, str], key_col: str
     return salted_fact.join(salted_dim.hint("merge"), fact_cols + [_SALT], "left").drop(_SALT)
 
 
+def lookup_together(fact: DataFrame, lookups: list[tuple[DataFrame, dict[str, str], str]]) -> DataFrame:
+    """Add the key columns of several dimensions, each (dimension, {fact column:
+    dimension column}, key column), with two shuffles of the fact however many
+    there are.
+
+    The rows are landed once as Parquet, with a number each. Their natural keys
+    go, one narrow entry a row and dimension, to the members of all dimensions
+    in one sort-merge join (a hot key's entries can be split by adaptive
+    execution; NULL keys match nothing and aren't sent). What they find goes back
+    to the row's number, where the rest of the row comes too. Natural keys must
+    be text, and members unique on them, as in :func:`lookup_key`."""
+    spark = fact.sparkSession
+    for _, on, _ in lookups:
+        wrong = [c for c in on if not isinstance(fact.schema[c].dataType, T.StringType)]
+        if wrong:
+            raise TypeError(f"natural keys must be text: {wrong}")
+    path, row = scratch_folder(spark, "lookups"), "_sl_row"
+    numbered = fact.withColumn(row, F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    landed = spark.read.schema(numbered.schema).parquet(path)
+    width = max(len(on) for _, on, _ in lookups)
+    names = [f"_k{j}" for j in range(width)]
+
+    def padded(columns: list[str]) -> list:
+        parts = [F.col(f"`{c}`") for c in columns] + [F.lit("")] * (width - len(columns))
+        return [p.alias(n) for p, n in zip(parts, names)]
+
+    entries = F.array(*[F.when(
+        F.forall(F.array(*[F.col(f"`{c}`").isNotNull() for c in on]), lambda known: known),
+        F.struct(F.lit(i).alias("_which"), *padded(list(on)))) for i, (_, on, _) in enumerate(lookups)])
+    asked = landed.select(row, F.explode(F.array_compact(entries)).alias("e")).select(row, "e.*")
+    members = None
+    for i, (dim, on, key) in enumerate(lookups):
+        some = dim.select(F.lit(i).alias("_which"), *padded(list(on.values())), F.col(key).cast("string").alias("_key"))
+        members = some if members is None else members.unionByName(some)
+    found = asked.join(members.hint("merge"), ["_which", *names]).select(row, "_which", "_key")
+    whole = landed.select(row, F.struct(*[F.col(f"`{c}`") for c in fact.columns]).alias("_rest"))
+    both = found.withColumn("_rest", F.lit(None).cast(whole.schema["_rest"].dataType)).unionByName(
+        whole, allowMissingColumns=True)
+    # dealt by number first, so that the rows aren't sorted once more before they are sent
+    back = both.repartition(row).groupBy(row).agg(
+        F.first("_rest", ignorenulls=True).alias("_rest"),
+        *[F.max(F.when(F.col("_which") == i, F.col("_key"))).alias(f"_f{i}") for i in range(len(lookups))])
+    return back.select("_rest.*", *[F.col(f"_f{i}").cast(dim.schema[key].dataType).alias(key)
+                                    for i, (dim, _, key) in enumerate(lookups)])
+
+
 def last_wins(dim: DataFrame, name_col: str, key_col: str) -> DataFrame:
     """Name -> key map where a name held by several members keeps the last
     member (highest key), like a dictionary built in key order. Aggregated with

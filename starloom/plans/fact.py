@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import contracts as C
 from ..functions.measures import profit, profit_margin
-from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, hot_keys_of, last_wins, lookup_key
+from ..operators.lookup import (DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, hot_keys_of, last_wins, lookup_key,
+                                lookup_together)
 from .prep import require_columns
 
 FACT_KEYS = ["customer_id", "state_id", "product_id", "status_id", "employee_id"]
@@ -20,7 +21,8 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
                       broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                       salt_buckets: int | None = None, hot_share: float | None = None,
                       dim_sizes: dict[str, tuple[int, int]] | None = None,
-                      wide_keys: bool = False, allow_fan_out: bool = False) -> DataFrame:
+                      wide_keys: bool = False, allow_fan_out: bool = False,
+                      lookups: str = "each") -> DataFrame:
     """Fact rows with surrogate keys and measures, conformed to the contract.
 
     product_match
@@ -35,7 +37,9 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
     countries. ``dim_sizes`` (rows and bytes of the dimensions, when the
     caller has them) saves the size check a job per dimension; a
     filtered dimension is no larger. ``hot_share`` finds the hot keys of all
-    lookups in one pass over the cleaned rows.
+    lookups in one pass over the cleaned rows. ``lookups="together"`` resolves
+    all dimensions that are too large to broadcast with two shuffles of the
+    fact in all; ``"each"`` joins them one after the other.
     """
     require_columns(clean, ["customer_name", "state_code", "product", "category", "brand",
                             "status", "assigned supervisor", "cost", "sales", "quantity",
@@ -49,20 +53,18 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
     hot: dict[str, DataFrame] = {}
     if salt_buckets and hot_share:
         hot = dict(zip(keys, hot_keys_of(clean, list(keys.values()), hot_share)))
-    f = lookup_key(f, dims["dim_cust"], {"customer_name": "customer_name"}, "customer_id",
-                   known_size=sizes.get("dim_cust"), hot=hot.get("dim_cust"), **kw)
-    geo = dims["dim_geo"].filter(F.col("country") == country)
-    f = lookup_key(f, geo, {"state_code": "state_code"}, "state_id",
-                   known_size=sizes.get("dim_geo"), hot=hot.get("dim_geo"), **kw)
+    if lookups not in ("each", "together"):
+        raise ValueError(f"unknown lookups {lookups!r}")
     prod = dims["dim_prod"]
+    steps = [("dim_cust", dims["dim_cust"], {"customer_name": "customer_name"}, "customer_id"),
+             ("dim_geo", dims["dim_geo"].filter(F.col("country") == country), {"state_code": "state_code"},
+              "state_id")]
     if product_match == "triple":
-        f = lookup_key(f, prod, {"product": "product_name", "category": "category",
-                                 "brand": "brand"}, "product_id",
-                       known_size=sizes.get("dim_prod"), hot=hot.get("dim_prod"), **kw)
+        steps.append(("dim_prod", prod, {"product": "product_name", "category": "category", "brand": "brand"},
+                      "product_id"))
     elif product_match == "last_wins":
-        f = lookup_key(f, last_wins(prod, "product_name", "product_id"),
-                       {"product": "product_name"}, "product_id",
-                       known_size=sizes.get("dim_prod"), hot=hot.get("dim_prod"), **kw)
+        steps.append(("dim_prod", last_wins(prod, "product_name", "product_id"), {"product": "product_name"},
+                      "product_id"))
     elif product_match == "name":
         if not allow_fan_out:
             raise ValueError("product_match='name' multiplies fact rows; pass allow_fan_out=True "
@@ -71,10 +73,17 @@ def build_fact_orders(clean: DataFrame, dims: dict[str, DataFrame], *,
                    "product", "left")
     else:
         raise ValueError(f"unknown product_match {product_match!r}")
-    f = lookup_key(f, dims["dim_ostatus"], {"status": "status_name"}, "status_id",
-                   known_size=sizes.get("dim_ostatus"), hot=hot.get("dim_ostatus"), **kw)
-    f = lookup_key(f, dims["dim_emp"], {"assigned supervisor": "employee_name"},
-                   "employee_id", known_size=sizes.get("dim_emp"), hot=hot.get("dim_emp"), **kw)
+    steps += [("dim_ostatus", dims["dim_ostatus"], {"status": "status_name"}, "status_id"),
+              ("dim_emp", dims["dim_emp"], {"assigned supervisor": "employee_name"}, "employee_id")]
+    if lookups == "together":
+        large = [(dim, on, key) for name, dim, on, key in steps
+                 if not bounded_broadcast(dim, broadcast_max_rows, sizes.get(name))[1]]
+        if large:
+            f = lookup_together(f, large)
+        found = {key for _, _, key in large}
+        steps = [s for s in steps if s[3] not in found]
+    for name, dim, on, key in steps:
+        f = lookup_key(f, dim, on, key, known_size=sizes.get(name), hot=hot.get(name), **kw)
 
     ts, tc = F.col("total_sales"), F.col("total_cost")
     q = F.col("quantity")

@@ -11,8 +11,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.writers import write_star
 from ..contracts import STAR
+from ..sinks.snapshots import read_star
+from ..sinks.writers import write_star
 from ..sources.raw import CORRUPT, read_raw_csv, read_raw_table
 from .quality import DIM_COMPLETENESS_COLUMNS, FACT_COMPLETENESS_COLUMNS, check_all, completeness
 from .star import build_star
@@ -39,10 +40,12 @@ def run(spark: SparkSession, source: str, target: str, *, source_format: str = "
         multi_line: bool = False, **star_options) -> dict:
     """Build and write the star; optionally write the completeness and rule
     reports next to it. Returns locations and row counts; ``rejected_rows``
-    are CSV records that didn't fit the schema (their fields became NULL)."""
+    are CSV records that didn't fit the schema (their fields became NULL). Their
+    texts are kept below ``_rejects`` of the target."""
     raw_obs, clean_obs = Observation("raw"), Observation("clean")
     raw = read_source(spark, source, source_format, mode=csv_mode, multi_line=multi_line)
     bad = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    as_read = raw
     raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected")).drop(CORRUPT)
     run_ts = star_options.pop("run_ts", None) or datetime.now(timezone.utc)
     star = build_star(raw, run_ts=run_ts, **star_options)
@@ -52,10 +55,17 @@ def run(spark: SparkSession, source: str, target: str, *, source_format: str = "
     result = {"written": written, "raw_rows": raw_obs.get.get("rows"),
               "rejected_rows": raw_obs.get.get("rejected"),
               "fact_rows": clean_obs.get.get("rows")}
+    if result["rejected_rows"]:  # rare, so a scan of its own
+        result["rejects"] = f"{target}/_rejects" if target else "_rejects"
+        kept = as_read.where(F.col(CORRUPT).isNotNull()).select(
+            F.col(CORRUPT).alias("record"), F.input_file_name().alias("file"))
+        kept.write.mode("overwrite").parquet(result["rejects"])
     if reports:
         # reports read the written tables back: no recomputation of the star
         if target_format == "table":
             names = {n: spark.table(loc) for n, loc in written.items()}
+        elif target_format == "snapshot":
+            names = read_star(spark, target)
         elif target_format == "csv":
             names = {n: spark.read.option("header", True).schema(STAR[n].schema).csv(loc)
                      for n, loc in written.items()}

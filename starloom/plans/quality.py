@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contracts as C
@@ -70,7 +70,25 @@ def completeness(tables: dict[str, DataFrame], columns: list[tuple[str, str]]) -
         stacked = _stack(row, cols, [[f"t{i}", f"n{i}"] for i in range(len(cols))],
                          ["column_name", "total_records", "null_count"])
         frames.append(stacked.withColumn("table_name", F.lit(table)))
-    out = _union(frames)
+    return _with_shares(_union(frames))
+
+
+def completeness_of_parts(spark: SparkSession, parts: dict[str, list], columns: list[tuple[str, str]]) -> DataFrame:
+    """:func:`completeness` from what was counted when each part of a table was
+    written (``rows`` and ``missing`` by column): sums of a few numbers a part,
+    and no scan of any table. A column that some part has no count of raises."""
+    rows = []
+    for col, table in columns:
+        unknown = [p.path for p in parts[table] if col not in p.missing]
+        if unknown:
+            raise ValueError(f"no count of {table}.{col} in {unknown[:3]}")
+        gone = sum(p.missing[col] for p in parts[table])
+        rows.append((col, table, sum(p.rows for p in parts[table]) - gone, gone))
+    return _with_shares(spark.createDataFrame(
+        rows, "column_name string, table_name string, total_records long, null_count long"))
+
+
+def _with_shares(out: DataFrame) -> DataFrame:
     pct = F.bround(F.try_divide(F.col("null_count") * 100.0, F.col("total_records")), 2)
     share = F.bround(F.try_divide(F.col("null_count") * 100.0,
                                   F.col("null_count") + F.col("total_records")), 2)
@@ -99,6 +117,18 @@ def _row_rules(contract: C.Contract, columns: list[str], kinds: tuple[str, ...])
     return out
 
 
+def rule_name(rule: str, column: str | None) -> str:
+    return f"{rule}:{column}" if column else rule
+
+
+def row_violations(contract: C.Contract, columns: list[str],
+                   kinds: tuple[str, ...] = ("not_null", "range", "max_length")) -> Column:
+    """The names of the rules that a row breaks, as an array: of a column's rule
+    ``rule:column``, of a CHECK its own name. All rules in one projection."""
+    return F.array_compact(F.array(*[
+        F.when(bad, F.lit(rule_name(rule, column))) for rule, column, bad in _row_rules(contract, columns, kinds)]))
+
+
 def check_rows(tables: dict[str, DataFrame], contracts: dict[str, C.Contract] = C.STAR,
                kinds: tuple[str, ...] = ("not_null", "range", "max_length")) -> DataFrame:
     """Violations of all rules of the given kinds, in one aggregation per table."""

@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contracts as C
+from .snapshots import publish_star
 
-FORMATS = ("parquet", "csv", "both", "table")
+FORMATS = ("parquet", "csv", "both", "table", "snapshot")
 
 
 def _laid_out(df: DataFrame, contract: C.Contract | None,
@@ -93,16 +94,24 @@ def write_star(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", *,
     """Write every table under ``root/<name>`` (or as ``database.<name>``).
 
     Dimensions are written before the fact. ``fmt="both"`` writes Parquet
-    under ``root/parquet`` and CSV under ``root/csv``. ``fact_by_year`` adds
+    under ``root/parquet`` and CSV under ``root/csv``. ``fmt="snapshot"``
+    publishes all tables in one step (:func:`publish_star`); with the others
+    each table is its own job, so a failure leaves earlier tables written and
+    the rest untouched. ``fact_by_year`` adds
     ``order_year`` to the fact and writes one directory per year, so
     date-filtered readers prune whole years (no shuffle: every task writes
-    the years it holds). Each table is its own job; a failure leaves earlier
-    tables written and the rest untouched. Returns the locations written.
+    the years it holds). Returns the locations written.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
     order = sorted(tables, key=lambda n: (n.startswith("fact"), n))
     written: dict[str, str] = {}
+    if fmt == "snapshot":
+        if fact_by_year or mode != "overwrite":
+            raise ValueError("a snapshot replaces whole tables and has no year folders")
+        spark = next(iter(tables.values())).sparkSession
+        made = publish_star(spark, tables, root)
+        return {n: f"{root}/{p.path}" for n in order for p in made.parts(n)}
     for name in order:
         contract = C.STAR.get(name)
         df = tables[name]

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -146,3 +147,28 @@ def test_keys_are_64_bit_and_contract_width_is_checked(spark, make_raw):
             assert {r.order_number for r in wide.collect()} == {3_000_000_000, 4_000_000_000}
         finally:
             spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_lookup_together_equals_one_by_one(spark):
+    from starloom.operators.lookup import lookup_together
+    fact = spark.createDataFrame(
+        [(i, f"a{i % 5}" if i % 7 else None, f"b{i % 3}", "hot" if i % 3 else f"c{i}", float(i)) for i in range(200)]
+        + [(0, "a0", None, "hot", None)] * 3, "n int, `a b` string, b string, c string, x double")
+    one = spark.createDataFrame([(f"a{i}", i) for i in range(4)], "name string, a_id int")
+    two = spark.createDataFrame([(f"b{i}", c, f"k{i}{c}") for i in range(3) for c in ("hot", "c9")], "b string, cc string, two_id string")
+    steps = [(one, {"a b": "name"}, "a_id"), (two, {"b": "b", "c": "cc"}, "two_id")]
+    got = lookup_together(fact, steps)
+    want = fact
+    for dim, on, key in steps:
+        want = lookup_key(want, dim, on, key)
+    assert dict(got.dtypes) == dict(want.dtypes)
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    plan = got._jdf.queryExecution()
+    got.write.format("noop").mode("overwrite").save()
+    got.collect()
+    text = plan.executedPlan().toString()
+    # the entries and their members, then rows and findings by number: no more, whatever the number of lookups
+    assert text.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 3
+    assert lookup_together(fact.limit(0), steps).count() == 0
+    with pytest.raises(TypeError):
+        lookup_together(fact, [(one, {"n": "name"}, "a_id")])
