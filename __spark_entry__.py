@@ -40,7 +40,7 @@ from starloom.sinks import StarLog, compact, publish_star, read_star, write_star
 from starloom.sources.harness import STATE_CODES, orders_from_tables  # noqa: E402
 from starloom.sources.raw import read_raw_csv  # noqa: E402
 from starloom.sources.seeds import geo_rows  # noqa: E402
-from starloom.streaming import (completeness_so_far, load_counts, load_table, process_batch,  # noqa: E402
+from starloom.streaming import (completeness_so_far, key_uniqueness_so_far, load_counts, load_table, process_batch,  # noqa: E402
                                 read_dim_prod, read_fact, read_rejects, read_table, run_incremental)
 
 try:  # the one place that allows for the subpackage being taken out
@@ -208,13 +208,13 @@ def _landed(spark, d, name: str) -> tuple[str, list[int]]:
     return base, [len(spark.read.parquet(f"{base}/landing/turn={k}").inputFiles()) for k in range(3)]
 
 
-def _loaded_in_batches(spark, d) -> str:
+def _loaded_in_batches(spark, d, **options) -> str:
     """The three turns dealt to two sources: the first one loaded in two
     micro-batches, the second one with a checkpoint of its own."""
     base, files = _landed(spark, d, "batches")
     for k, (turns, at_once) in enumerate((("turn=[01]", max(files[:2])), ("turn=2", None))):
         run_incremental(spark, f"{base}/landing/{turns}", f"{base}/star", f"{base}/checkpoint{k}",
-                        source_format="parquet", max_files_per_trigger=at_once, run_ts=RUN_TS)
+                        source_format="parquet", max_files_per_trigger=at_once, run_ts=RUN_TS, **options)
     return f"{base}/star"
 
 
@@ -302,6 +302,11 @@ def q_completeness_by_load(spark, d):
     return completeness_so_far(spark, _loaded_in_batches(spark, d))
 
 
+def q_key_uniqueness_by_load(spark, d):
+    """Rows and distinct keys from the counts that three loads have kept."""
+    return key_uniqueness_so_far(spark, _loaded_in_batches(spark, d, track_keys=True))
+
+
 def q_product_upserts(spark, d):
     """Products after three loads, one a day, whose costs change on the way:
     an update moves ``update_date`` of exactly the products that it changes."""
@@ -449,6 +454,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_quarantine": q_stream_quarantine,
         "rules_at_load": q_rules_at_load,
         "completeness_by_load": q_completeness_by_load,
+        "key_uniqueness_by_load": q_key_uniqueness_by_load,
         "product_upserts": q_product_upserts,
         "table_bookmark": q_table_bookmark,
         "published_versions": q_published_versions,
@@ -861,6 +867,7 @@ def oracle_sql() -> dict[str, str]:
         "rules_at_load": star_dirty + _sql_rules_at_load(),
         "completeness_by_load": star_dirty + _sql_completeness(
             Q.DIM_COMPLETENESS_COLUMNS + Q.FACT_COMPLETENESS_COLUMNS),
+        "key_uniqueness_by_load": star_dirty + _sql_key_uniqueness(),
         "product_upserts": _sql_upserts(),
         "table_bookmark": star_dirty + _sql_natural_fact(),
         "published_versions": _sql_both_versions(),

@@ -43,8 +43,9 @@ class ConcurrentChange(RuntimeError):
 
 @dataclass(frozen=True)
 class Part:
-    """One immutable folder of a table. ``missing`` counts the NULL (and NaN)
-    values by column, where they were asked for."""
+    """One immutable folder of a table. Of a star table, ``missing`` counts the
+    NULL (and NaN) values of each column, and ``low`` and ``high`` are the ends
+    of a primary key that is a number."""
     path: str  # below the root
     rows: int
     bytes: int
@@ -52,6 +53,13 @@ class Part:
     load_id: str | None = None
     batch_id: int | None = None
     missing: dict[str, int] = field(default_factory=dict)
+    low: int | None = None
+    high: int | None = None
+
+    def may_share_keys(self, other: Part) -> bool:
+        """Whether a key can be in both parts, by the ends of their ranges."""
+        ends = (self.low, self.high, other.low, other.high)
+        return None in ends or (self.low <= other.high and other.low <= self.high)
 
 
 @dataclass(frozen=True)
@@ -64,6 +72,8 @@ class Snapshot:
     keys: dict[str, int] = field(default_factory=dict)
     #: By load id: its last batch and the counts of all its batches.
     loads: dict[str, dict] = field(default_factory=dict)
+    #: Distinct primary keys, of the tables where every writer has counted them.
+    distinct: dict[str, int] = field(default_factory=dict)
     #: By source table: partitions that have been loaded.
     bookmarks: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
@@ -205,27 +215,33 @@ class StarLog:
         return uuid.uuid4().hex
 
     def write_part(self, df: DataFrame, table: str, *, load_id: str | None = None, batch_id: int | None = None,
-                   missing: list[str] | None = None, sort: list[str] | None = None) -> Part | None:
+                   in_order: bool = True) -> Part | None:
         """``df`` as a new part, which nobody sees before a commit names it; None
-        for no rows. One pass over the written columns counts what is missing."""
+        for no rows. ``in_order`` sorts each file of a star table by its keys."""
         path = f"{table}/part={self.new_id()}"
-        out = df.sortWithinPartitions(*sort) if sort else df
+        keys = C.STAR[table].sort_keys if table in C.STAR and in_order else ()
+        out = df.sortWithinPartitions(*keys) if keys else df
         out.write.option("compression", "snappy").parquet(f"{self.root}/{path}")
-        return self.described(path, df.schema, load_id=load_id, batch_id=batch_id, missing=missing)
+        return self.described(path, df.schema, table, load_id=load_id, batch_id=batch_id)
 
-    def described(self, path: str, schema: T.StructType, *, load_id: str | None = None,
-                  batch_id: int | None = None, missing: list[str] | None = None) -> Part | None:
-        """The part in a written folder."""
-        names = missing or []
+    def described(self, path: str, schema: T.StructType, table: str, *, load_id: str | None = None,
+                  batch_id: int | None = None) -> Part | None:
+        """The part in a written folder. One pass over it counts rows and what
+        is missing."""
+        names = [c for c in C.STAR[table].names if c in schema.names] if table in C.STAR else []
         stored = self.spark.read.schema(schema).parquet(f"{self.root}/{path}")
-        row = stored.agg(F.count(F.lit(1)), *[
+        key = F.lit(None)
+        if names and isinstance(schema[C.STAR[table].primary_key].dataType, (T.IntegerType, T.LongType)):
+            key = F.col(C.STAR[table].primary_key)
+        row = stored.agg(F.count(F.lit(1)), F.min(key), F.max(key), *[
             F.count_if(is_missing(c, schema[c].dataType)) for c in names]).first()
         if not row[0]:
             self.discard(path)
             return None
         fs, p = file_system(self.spark, f"{self.root}/{path}")
         files = [s.getLen() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
-        return Part(path, row[0], sum(files), len(files), load_id, batch_id, dict(zip(names, row[1:])))
+        return Part(path, row[0], sum(files), len(files), load_id, batch_id,
+                    dict(zip(names, row[3:])), row[1], row[2])
 
     def discard(self, *paths: str) -> None:
         """Delete folders of this writer that no commit names."""
@@ -249,11 +265,31 @@ def part_of(column: str = "_metadata.file_path") -> F.Column:
 
 # --------------------------------------------------------------- whole stars
 
+#: Least and largest cost of each product over all loads: its standard cost
+#: follows from them, and they can be merged.
+PROD_COST = "prod_cost"
+
+
+def _costs_of(products: DataFrame) -> DataFrame:
+    """What the standard costs alone say of the products' costs: 0 stands for
+    several or for none, and stays 0 whatever later loads bring."""
+    cost, far = F.col("standard_cost"), F.lit(float("inf"))
+    return products.select("product_name", "category", "brand", F.when(cost != 0, cost).otherwise(-far).alias("lo"),
+                           F.when(cost != 0, cost).otherwise(far).alias("hi"))
+
+
 def publish_star(spark: SparkSession, tables: dict[str, DataFrame], root: str, *,
-                 expect: int | None = None, missing: dict[str, list[str]] | None = None) -> Snapshot:
+                 expect: int | None = None, costs: DataFrame | None = None,
+                 track_keys: bool = False) -> Snapshot:
     """All of ``tables`` in one step: readers have the old star until every
     table is written, and then the new one. A run that fails or is killed leaves
-    the old one. Tables that aren't named stay as they are.
+    the old one. Tables that aren't named stay as they are, and so does what is
+    known of files and partitions loaded so far.
+
+    ``costs`` (product_name, category, brand, lo, hi) is what later loads need
+    to go on with the standard costs; without it, they take a standard cost
+    other than 0 as the product's only cost so far. ``track_keys`` counts the
+    distinct primary keys of every table, so that loads can go on counting.
 
     ``expect`` is the version that the rows were derived from: if another one
     has been committed since, a :class:`ConcurrentChange` is raised and nothing
@@ -262,26 +298,37 @@ def publish_star(spark: SparkSession, tables: dict[str, DataFrame], root: str, *
     made: dict[str, list[Part]] = {}
     try:
         for name in sorted(tables, key=lambda n: (n.startswith("fact"), n)):
-            contract = C.STAR.get(name)
-            part = log.write_part(tables[name], name, sort=list(contract.sort_keys) if contract else None,
-                                  missing=(missing or {}).get(name))
+            part = log.write_part(tables[name], name)
             made[name] = [part] if part else []
+        if "dim_prod" in made:
+            known = costs if costs is not None else _costs_of(
+                log.read("dim_prod", C.DIM_PROD.schema, parts=tuple(made["dim_prod"])))
+            part = log.write_part(known, PROD_COST)
+            made[PROD_COST] = [part] if part else []
     except BaseException:
         log.discard(*[p.path for ps in made.values() for p in ps])
         raise
     keys = {c.primary_key: _highest(log, c, made[n]) for n, c in C.STAR.items()
             if n in made and n.startswith("dim_") and isinstance(c.col(c.primary_key).dtype, T.IntegerType)}
 
+    distinct = {n: _distinct_keys(log, C.STAR[n], ps) for n, ps in made.items() if track_keys and n in C.STAR}
+
     def change(base: Snapshot) -> Snapshot:
         if expect is not None and base.version != expect:
             log.discard(*[p.path for ps in made.values() for p in ps])
             raise ConcurrentChange(f"the star is at version {base.version}, not {expect}")
         return replace(base, tables={**base.tables, **{n: tuple(ps) for n, ps in made.items()}},
-                       keys={**base.keys, **keys})
+                       keys={**base.keys, **keys},
+                       distinct={**{n: k for n, k in base.distinct.items() if n not in made}, **distinct})
 
     return log.update("publish", change)
 
 
+def _distinct_keys(log: StarLog, contract: C.Contract, parts: list[Part]) -> int:
+    key = contract.primary_key
+    return log.read(contract.name, contract.schema, parts=tuple(parts)).agg(F.count_distinct(key)).first()[0]
+
+
 def _highest(log: StarLog, contract: C.Contract, parts: list[Part]) -> int:
     key = contract.primary_key
     found = log.read(contract.name, T.StructType([T.StructField(key, T.LongType())]), parts=tuple(parts))

@@ -9,14 +9,12 @@ from __future__ import annotations
 
 import math
 import time
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import contracts as C
-from .snapshots import COMMITS, Part, Snapshot, StarLog, delete, file_system
+from .snapshots import COMMITS, PROD_COST, Part, Snapshot, StarLog, delete, file_system
 
 TARGET_BYTES = 128 << 20
 
@@ -44,7 +42,7 @@ def _cell(df: DataFrame, names: list[str], bits: int) -> list[Column]:
             out.append(F.lit(0).cast("long"))
             continue
         step = (number(c).cast("double") - F.lit(low)) * F.lit((1 << bits) / (high - low))
-        out.append(F.coalesce(F.least(F.floor(step), F.lit((1 << bits) - 1)), F.lit(0).cast("long")))
+        out.append(F.least(F.coalesce(F.floor(step), F.lit(0)), F.lit((1 << bits) - 1)))
     return out
 
 
@@ -97,7 +95,7 @@ def compact(spark: SparkSession, root: str, table: str, *, target_bytes: int = T
     if not chosen or (files <= wanted and not cluster_by):
         return base
     paths = [f"{log.root}/{p.path}" for p in chosen]
-    if table == "prod_cost":
+    if table == PROD_COST:
         whole = spark.read.parquet(*paths)
         keys = [c for c in whole.columns if c not in ("lo", "hi")]
         out = whole.groupBy(*keys).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
@@ -109,12 +107,7 @@ def compact(spark: SparkSession, root: str, table: str, *, target_bytes: int = T
         packing.conf.set("spark.sql.files.openCostInBytes", "1")
         packing.conf.set("spark.sql.files.minPartitionNum", "1")
         out = packing.read.parquet(*paths)
-        contract = C.STAR.get(table)
-        if contract and contract.sort_keys:
-            out = out.sortWithinPartitions(*contract.sort_keys)
-    part = log.write_part(out, table)
-    counted = set.intersection(*[set(p.missing) for p in chosen])
-    part = part and replace(part, missing={c: sum(p.missing[c] for p in chosen) for c in counted})
+    part = log.write_part(out, table, in_order=not cluster_by)
 
     def swap(now: Snapshot) -> Snapshot | None:
         if not set(p.path for p in chosen) <= {p.path for p in now.parts(table)}:

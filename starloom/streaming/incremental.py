@@ -58,20 +58,17 @@ from ..plans.prep import preprocess
 from ..plans.quality import (DIM_COMPLETENESS_COLUMNS, FACT_COMPLETENESS_COLUMNS, completeness_of_parts,
                              row_violations)
 from ..session import ensure_checkpoint_dir
-from ..sinks.snapshots import Part, Snapshot, StarLog, delete, exists, part_of
+from ..sinks.snapshots import PROD_COST, Part, Snapshot, StarLog, delete, exists, part_of
 from ..sources.raw import CORRUPT, RAW_COLUMNS, RAW_SCHEMA, csv_options, csv_schema
 
 FILE = "_sl_file"
 FILES = "_loaded_files"
 REJECTS = "_rejects"
-PROD_COST = "prod_cost"
 BATCH = "load_id string, batch_id long"
 FILES_SCHEMA = f"{FILE} string, {BATCH}"
 REJECTS_SCHEMA = f"file string, reasons array<string>, record string, {BATCH}"
 COST_SCHEMA = "product_name string, category string, brand string, lo double, hi double"
 PRODUCT = ["product_name", "category", "brand"]
-#: Counted when a part is written, for the completeness report.
-COUNTED = {t: [c for c, of in DIM_COMPLETENESS_COLUMNS + FACT_COMPLETENESS_COLUMNS if of == t] for t in C.STAR}
 
 
 class _SameFile(Exception):
@@ -87,39 +84,55 @@ def _audit(run_ts: datetime) -> dict:
 
 class _Members:
     """The commit of a batch's new members. Called with a snapshot it writes the
-    parts that are missing there; called again, after another commit, it deletes
-    those and writes the ones that are missing now."""
+    parts that are missing there. Called again after another commit, it keeps
+    them if that one left the dimensions alone, else it deletes them and writes
+    the ones that are missing now."""
+
+    WATCHED = (*[t for t in C.STAR if t.startswith("dim_")], PROD_COST)
 
     def __init__(self, log: StarLog, clean: DataFrame, run_ts: datetime, week_start: str, split_mode: str):
         self.log, self.clean, self.run_ts = log, clean, run_ts
         self.week_start, self.split_mode = week_start, split_mode
         self.mine: list[Part] = []
+        self.state, self.found = None, []
 
     def __call__(self, base: Snapshot) -> Snapshot | None:
-        self.discard()
-        jobs = [self._geo, self._dates, self._products, self._statuses,
-                lambda b: self._people(b, C.DIM_CUST, "customer_name"),
-                lambda b: self._people(b, C.DIM_EMP, "assigned supervisor")]
-        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:  # separate targets, side by side
-            futures = [pool.submit(job, base) for job in jobs]
-            found = [f.result() for f in futures]
+        state = ([base.parts(t) for t in self.WATCHED], base.keys)
+        if state != self.state:
+            self.discard()
+            self.state, self.found = state, self.find(base)
         add: dict[str, list[Part]] = {}
         drop: dict[str, list[Part]] = {}
         keys = dict(base.keys)
-        for new, gone, given in found:
+        for new, gone, given in self.found:
             add.update(new)
             drop.update(gone)
             keys.update(given)
-        return replace(base.with_parts(add, drop), keys=keys) if add else None
+        if not add:
+            return None
+        distinct = dict(base.distinct)
+        for table in add:  # a new member has a new key
+            more = sum(p.rows for p in add[table]) - sum(p.rows for p in drop.get(table, []))
+            if table in distinct or not base.parts(table):
+                distinct[table] = distinct.get(table, 0) + more
+        distinct.pop(PROD_COST, None)
+        return replace(base.with_parts(add, drop), keys=keys, distinct=distinct)
+
+    def find(self, base: Snapshot) -> list[tuple[dict, dict, dict]]:
+        """Parts to add and to drop, and the highest keys, of each dimension."""
+        jobs = [self._geo, self._dates, self._products, self._statuses,
+                lambda b: self._people(b, C.DIM_CUST, "customer_name"),
+                lambda b: self._people(b, C.DIM_EMP, "assigned supervisor")]
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:  # separate targets, side by side
+            futures = [pool.submit(job, base) for job in jobs]
+            return [f.result() for f in futures]
 
     def discard(self) -> None:
         self.log.discard(*[p.path for p in self.mine])
-        self.mine = []
+        self.mine, self.state = [], None
 
     def _write(self, df: DataFrame, table: str) -> list[Part]:
-        contract = C.STAR.get(table)
-        part = self.log.write_part(df, table, missing=COUNTED.get(table),
-                                   sort=list(contract.sort_keys) if contract else None)
+        part = self.log.write_part(df, table)
         if part:
             self.mine.append(part)
         return [part] if part else []
@@ -202,10 +215,14 @@ class _Members:
 # ------------------------------------------------------------------ batches
 
 def _unknown_files(batch: DataFrame, log: StarLog, seen: Snapshot) -> DataFrame:
-    """``batch`` without the rows of files that the snapshot knows."""
+    """``batch`` without the rows of files that the snapshot knows. The batch's
+    own files are looked up among all that were ever loaded; the rows are only
+    joined with those that were found, at most as many as the batch has files."""
     if FILE not in batch.columns or not seen.parts(FILES):
         return batch
-    return batch.join(log.read(FILES, FILES_SCHEMA, seen).select(FILE).distinct(), FILE, "left_anti")
+    mine = batch.select(FILE).distinct()
+    known = [r[0] for r in mine.join(log.read(FILES, FILES_SCHEMA, seen).select(FILE), FILE, "left_semi").collect()]
+    return batch.where(~F.col(FILE).isin(known)) if known else batch
 
 
 def _reasons(raw: DataFrame) -> Column:
@@ -233,14 +250,16 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, *, load_id: str =
                   run_ts: datetime | None = None, country: str = "India",
                   week_start: str = "monday", split_mode: str = "whitespace",
                   on_violation: str = "keep", bookmark: dict[str, list[str]] | None = None,
-                  **fact_options) -> dict[str, int]:
+                  track_keys: bool = False, **fact_options) -> dict[str, int]:
     """Load one micro-batch of raw rows into the star under ``root`` and return
     its counts: ``read`` = ``loaded`` + ``rejected``.
 
     ``load_id`` names the source's checkpoint. ``on_violation="quarantine"``
     also sets aside fact rows that break a NOT NULL, CHECK or length rule of the
     contract, with the names of the rules; ``"keep"`` loads them. ``bookmark``
-    names source partitions that count as loaded with this batch.
+    names source partitions that count as loaded with this batch. ``track_keys``
+    keeps count of the fact's distinct keys (:func:`key_uniqueness_so_far`):
+    the batch's keys are held against those parts only whose range meets theirs.
     ``fact_options`` go to :func:`build_fact_orders`."""
     if on_violation not in ("keep", "quarantine"):
         raise ValueError(f"unknown on_violation {on_violation!r}")
@@ -256,7 +275,7 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, *, load_id: str =
                 return dict(seen.loads[load_id]["last"])
             try:
                 return _load(log, seen, stored, epoch_id, load_id, run_ts, country, week_start, split_mode,
-                             on_violation, bookmark or {}, fact_options)
+                             on_violation, bookmark or {}, track_keys, fact_options)
             except _SameFile:
                 continue
     finally:
@@ -265,7 +284,7 @@ def process_batch(batch: DataFrame, epoch_id: int, root: str, *, load_id: str =
 
 def _load(log: StarLog, seen: Snapshot, stored: DataFrame, epoch_id: int, load_id: str, run_ts: datetime,
           country: str, week_start: str, split_mode: str, on_violation: str,
-          bookmark: dict[str, list[str]], fact_options: dict) -> dict[str, int]:
+          bookmark: dict[str, list[str]], track_keys: bool, fact_options: dict) -> dict[str, int]:
     own = {"load_id": load_id, "batch_id": epoch_id}
     labels = {"load_id": F.lit(load_id), "batch_id": F.lit(epoch_id).cast("long")}
     fresh = _unknown_files(stored, log, seen)
@@ -293,8 +312,7 @@ def _load(log: StarLog, seen: Snapshot, stored: DataFrame, epoch_id: int, load_i
             rejects = _raw_rejects(fresh.where(F.size("_reasons") > 0)).withColumns(labels)
             made[REJECTS] = [log.write_part(rejects, REJECTS, **own)]
         if on_violation == "keep":
-            part = log.write_part(fact, "fact_orders", missing=COUNTED["fact_orders"],
-                                  sort=list(C.FACT_ORDERS.sort_keys), **own)
+            part = log.write_part(fact, "fact_orders", **own)
             made["fact_orders"] = [part] if part else []
         else:
             _write_split(log, fact, made, own, labels)
@@ -313,12 +331,17 @@ def _load(log: StarLog, seen: Snapshot, stored: DataFrame, epoch_id: int, load_i
                 names = log.read(FILES, FILES_SCHEMA, parts=tuple(made[FILES])).select(FILE)
                 if names.join(log.read(FILES, FILES_SCHEMA, parts=others), FILE, "left_semi").limit(1).count():
                     raise _SameFile
-            before = now.loads.get(load_id, {"total": {k: 0 for k in counts}})
-            entry = {"batch": epoch_id, "last": counts,
-                     "total": {k: v + before["total"][k] for k, v in counts.items()}}
+            total = now.loads.get(load_id, {}).get("total", dict.fromkeys(counts, 0))
+            entry = {"batch": epoch_id, "last": counts, "total": {k: v + total[k] for k, v in counts.items()}}
+            distinct = dict(now.distinct)
+            before = now.parts("fact_orders")
+            if track_keys and ("fact_orders" in distinct or not before):
+                distinct["fact_orders"] = distinct.get("fact_orders", 0) + new_keys(log, before, made["fact_orders"])
+            else:
+                distinct.pop("fact_orders", None)
             marks = {t: (*now.bookmarks.get(t, ()), *ps) for t, ps in bookmark.items()}
             return replace(now.with_parts(made), loads={**now.loads, load_id: entry},
-                           bookmarks={**now.bookmarks, **marks})
+                           bookmarks={**now.bookmarks, **marks}, distinct=distinct)
 
         log.update("load", change)
         return counts
@@ -330,6 +353,23 @@ def _load(log: StarLog, seen: Snapshot, stored: DataFrame, epoch_id: int, load_i
         fresh.unpersist()
 
 
+def new_keys(log: StarLog, before: tuple[Part, ...], own: list[Part]) -> int:
+    """Distinct order numbers of ``own`` parts that none of the parts ``before``
+    has. Only the key column is read, and of the parts before only those whose
+    range of keys meets the new one's."""
+    key = C.FACT_ORDERS.primary_key
+    if not own:
+        return 0
+
+    def keys(parts) -> DataFrame:
+        return log.spark.read.parquet(*[f"{log.root}/{p.path}" for p in parts]).select(key).where(
+            F.col(key).isNotNull())
+
+    mine = keys(own).distinct()
+    near = [p for p in before if any(p.may_share_keys(o) for o in own)]
+    return (mine.join(keys(near), key, "left_anti") if near else mine).count()
+
+
 def _write_split(log: StarLog, fact: DataFrame, made: dict, own: dict, labels: dict) -> None:
     """Fact rows and those that break a rule, told apart in one pass over them."""
     rules = row_violations(C.FACT_ORDERS, fact.columns)
@@ -339,8 +379,7 @@ def _write_split(log: StarLog, fact: DataFrame, made: dict, own: dict, labels: d
          .option("compression", "snappy").parquet(f"{log.root}/{path}"))
     made["fact_orders"] = []
     if exists(log.spark, f"{log.root}/{path}/rejected=false"):
-        made["fact_orders"] = [log.described(f"{path}/rejected=false", fact.schema,
-                                             missing=COUNTED["fact_orders"], **own)]
+        made["fact_orders"] = [log.described(f"{path}/rejected=false", fact.schema, "fact_orders", **own)]
     aside = f"{log.root}/{path}/rejected=true"
     if exists(log.spark, aside):
         broken = log.spark.read.schema(both.drop("rejected").schema).parquet(aside)
@@ -457,6 +496,19 @@ def load_counts(spark: SparkSession, root: str) -> DataFrame:
                                  "load_id string, last_batch long, read long, loaded long, rejected long")
 
 
+def key_uniqueness_so_far(spark: SparkSession, root: str) -> DataFrame:
+    """Rows and distinct primary keys of each table over all loads, from the
+    counts kept with the commits: no table is read. A table to which some writer
+    added without counting raises."""
+    snapshot = StarLog(spark, root).latest()
+    unknown = [t for t in C.STAR if t not in snapshot.distinct]
+    if unknown:
+        raise ValueError(f"not every writer has counted the keys of {unknown}")
+    return spark.createDataFrame(
+        [(t, c.primary_key, sum(p.rows for p in snapshot.parts(t)), snapshot.distinct[t]) for t, c in C.STAR.items()],
+        "table_name string, key_column string, row_count long, distinct_keys long")
+
+
 def completeness_so_far(spark: SparkSession, root: str,
                         columns: list[tuple[str, str]] | None = None) -> DataFrame:
     """The completeness report of all loads, from the counts kept with the

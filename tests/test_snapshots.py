@@ -16,7 +16,7 @@ from starloom.plans.quality import DIM_COMPLETENESS_COLUMNS, FACT_COMPLETENESS_C
 from starloom.plans.star import build_star
 from starloom.sinks import ConcurrentChange, StarLog, compact, expire, publish_star, read_star, snapshots
 from starloom.sinks.upkeep import clustered, z_value
-from starloom.streaming import (completeness_so_far, incremental, load_counts, load_table, process_batch,
+from starloom.streaming import (completeness_so_far, incremental, key_uniqueness_so_far, load_counts, load_table, process_batch,
                                 read_dim_prod, read_fact, read_rejects, read_table, run_incremental)
 
 TS = datetime(2025, 3, 31, tzinfo=timezone.utc)
@@ -63,7 +63,8 @@ def test_a_loser_starts_again_from_the_winner(spark, tmp_dir):
 
 def test_snapshot_survives_json():
     part = snapshots.Part("t/part=a", 3, 10, 1, "x", 2, {"c": 1})
-    s = snapshots.Snapshot(4, "load", "now", {"t": (part,)}, {"k": 9}, {"x": {"batch": 2}}, {"db.t": ("d=1",)})
+    s = snapshots.Snapshot(4, "load", "now", {"t": (part,)}, {"k": 9}, {"x": {"batch": 2}}, {"t": 3},
+                           {"db.t": ("d=1",)})
     assert snapshots.Snapshot.from_json(s.to_json()) == s
     assert s.with_parts({}, {"t": [part]}).parts("t") == ()
 
@@ -87,14 +88,15 @@ def meet_once(monkeypatch, owner, name, parties=2):
 
 def test_overlapping_loads_started_together_share_keys(spark, make_raw, tmp_dir, monkeypatch):
     calls = []
-    plain = incremental._Members.__call__
-    monkeypatch.setattr(incremental._Members, "__call__", lambda self, base: (calls.append(base.version), plain(self, base))[1])
-    meet_once(monkeypatch, incremental._Members, "__call__")  # both have seen the empty star
+    plain = incremental._Members.find
+    monkeypatch.setattr(incremental._Members, "find", lambda self, base: (calls.append(base.version), plain(self, base))[1])
+    meet_once(monkeypatch, incremental._Members, "find")  # both have seen the empty star
     batches = [make_raw([raw_row(1.0, customer="A B", product="Pen"), raw_row(2.0, customer="B C", product="Cup")]),
                make_raw([raw_row(3.0, customer="B C", product="Cup"), raw_row(4.0, customer="C D", product="Mug")])]
     with ThreadPoolExecutor(2) as pool:
         counts = list(pool.map(lambda k: process_batch(batches[k], 0, tmp_dir, load_id=f"load{k}"), range(2)))
-    assert sorted(calls)[:2] == [0, 0] and len(calls) == 3  # one of them had to start again
+    # one of them had to start again, once: the winner's commit of its rows is no reason to
+    assert sorted(calls)[:2] == [0, 0] and len(calls) == 3
     assert counts == [{"read": 2, "loaded": 2, "rejected": 0}] * 2
     for table, names in (("dim_cust", {"A B", "B C", "C D"}), ("dim_prod", {"Pen", "Cup", "Mug"})):
         rows = read_table(spark, tmp_dir, table).collect()
@@ -247,8 +249,10 @@ def test_a_run_killed_after_the_third_table_leaves_the_old_star(spark, make_raw,
     with pytest.raises(ConcurrentChange):
         publish_star(spark, old, tmp_dir, expect=first.version)
     assert StarLog(spark, tmp_dir).latest() == second and len(folders(tmp_dir, "fact_orders")) == 2
-    # a load goes on from the published keys
+    # a load goes on from the published keys and costs
     process_batch(make_raw([raw_row(9.0, customer="Zed Z")]), 0, tmp_dir)
+    assert [r.standard_cost for r in read_dim_prod(spark, tmp_dir).collect()] == [10.0]
+    assert completeness_so_far(spark, tmp_dir).where("column_name = 'customer_name'").first().total_records == 3
     assert {(r.customer_name, r.customer_id) for r in read_table(spark, tmp_dir, "dim_cust").collect()} == {
         ("Asha Rao", 1), ("New One", 2), ("Zed Z", 3)}
     assert sorted(r.order_number for r in read_fact(spark, tmp_dir).collect()) == [2, 3, 9]
@@ -266,6 +270,25 @@ def test_job_publishes_and_keeps_rejects(spark, tmp_dir):
     assert read_star(spark, f"{tmp_dir}/star")["fact_orders"].count() == 2 and os.path.isdir(f"{done['reports']}/checks")
 
 
+def test_costs_go_on_after_a_publication(spark, make_raw, tmp_dir):
+    from starloom.plans.job import run
+    rows = [raw_row(1.0, product="One", cost=5.0), raw_row(2.0, product="Two", cost=5.0), raw_row(3.0, product="Two", cost=6.0),
+            raw_row(4.0, product="None", cost=None)]
+    make_raw(rows).write.parquet(f"{tmp_dir}/src")
+    more = make_raw([raw_row(9.0 + i, product=p, cost=7.0) for i, p in enumerate(("One", "Two", "None", "New"))])
+
+    def costs(root):
+        return {r.product_name: r.standard_cost for r in read_dim_prod(spark, root).collect()}
+
+    run(spark, f"{tmp_dir}/src", f"{tmp_dir}/job", source_format="parquet", target_format="snapshot", reports=False)
+    publish_star(spark, build_star(make_raw(rows), run_ts=TS), f"{tmp_dir}/plain")
+    for root in ("job", "plain"):
+        assert costs(f"{tmp_dir}/{root}") == {"One": 5.0, "Two": 0.0, "None": 0.0}
+        process_batch(more, 0, f"{tmp_dir}/{root}")
+    assert costs(f"{tmp_dir}/job") == {"One": 0.0, "Two": 0.0, "None": 7.0, "New": 7.0}
+    assert costs(f"{tmp_dir}/plain") == {"One": 0.0, "Two": 0.0, "None": 0.0, "New": 7.0}  # no costs were given
+
+
 # ------------------------------------------------------------------ compaction, clustering
 
 def some_fact(spark, n, products=50, days=40):
@@ -281,7 +304,7 @@ def test_hundred_loads_become_files_of_the_target_size(spark, tmp_dir):
     whole = some_fact(spark, 20_000).repartition(100).cache()
     for k in range(100):
         piece = whole.where(F.col("order_number") % 100 == k).coalesce(1)
-        part = log.write_part(piece, "fact_orders", missing=["order_date"], load_id=f"l{k}", batch_id=0)
+        part = log.write_part(piece, "fact_orders", load_id=f"l{k}", batch_id=0)
         log.update("load", lambda now, p=part: now.with_parts({"fact_orders": [p]}))
     before = log.latest().parts("fact_orders")
     total = sum(p.bytes for p in before)
@@ -289,7 +312,7 @@ def test_hundred_loads_become_files_of_the_target_size(spark, tmp_dir):
     after = compact(spark, tmp_dir, "fact_orders", target_bytes=target)
     (part,) = after.parts("fact_orders")
     sizes = [os.path.getsize(f) for f in glob.glob(f"{tmp_dir}/{part.path}/part-*")]
-    assert part.rows == 20_000 and part.files == len(sizes) <= 7 and part.missing == {"order_date": 0}
+    assert part.rows == 20_000 and part.files == len(sizes) <= 7 and part.missing == dict.fromkeys(C.FACT_ORDERS.names, 0)
     assert max(sizes) <= target * 1.1 and sorted(sizes)[1] >= target * 0.4  # all but one are near the target
     assert bag(read_fact(spark, tmp_dir)) == bag(whole)
     assert compact(spark, tmp_dir, "fact_orders", target_bytes=target) == after  # nothing is left to do
@@ -388,3 +411,29 @@ def test_completeness_without_a_scan(spark, make_raw, tmp_dir):
     assert bag(completeness_so_far(spark, tmp_dir)) == whole
     plan = completeness_so_far(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
     assert "FileScan" not in plan
+
+
+def test_distinct_keys_are_counted_load_by_load(spark, make_raw, tmp_dir, monkeypatch):
+    read, plain = [], incremental.new_keys
+    monkeypatch.setattr(incremental, "new_keys", lambda log, before, own: (
+        read.append(sum(p.may_share_keys(o) for p in before for o in own)), plain(log, before, own))[1])
+
+    def load(k, *numbers, **options):
+        process_batch(make_raw([raw_row(float(n), customer=f"C {n}") for n in numbers]), k, tmp_dir, **options)
+
+    load(0, 1, 2, 2, 9, track_keys=True)
+    load(1, 100, 101, 100, track_keys=True)   # its range meets no other's: no key is looked up
+    load(2, 9, 50, 101, 1, track_keys=True)
+    got = {r.table_name: (r.row_count, r.distinct_keys) for r in key_uniqueness_so_far(spark, tmp_dir).collect()}
+    assert got["fact_orders"] == (11, 6) and got["dim_cust"] == (6, 6) and got["dim_prod"] == (1, 1)
+    assert read == [0, 0, 2]
+    assert got == {t: (df.count(), df.select(C.STAR[t].primary_key).distinct().count())
+                   for t, df in ((t, read_table(spark, tmp_dir, t)) for t in C.STAR)}
+    compact(spark, tmp_dir, "fact_orders")
+    load(3, 9, 200, track_keys=True)
+    assert key_uniqueness_so_far(spark, tmp_dir).where("table_name = 'fact_orders'").first().distinct_keys == 7
+    load(4, 7)  # not counted
+    with pytest.raises(ValueError, match="fact_orders"):
+        key_uniqueness_so_far(spark, tmp_dir)
+    publish_star(spark, read_star(spark, tmp_dir), f"{tmp_dir}/b", track_keys=True)
+    assert key_uniqueness_so_far(spark, f"{tmp_dir}/b").where("table_name = 'fact_orders'").first()[2:] == (14, 8)
