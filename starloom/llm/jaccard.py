@@ -358,7 +358,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc
     texts = docs.select(F.col(text).cast("binary").alias("t"))
     total = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
 
-    counts = written(_count_shingles(texts, shingle, power_of_two(total / 2e6, 32), 8), "shingle-counts")
+    counts = written(_count_shingles(texts, shingle, power_of_two(total / 1e6, 32), 8), "shingle-counts")
     common = counts.where("key >= 0").withColumn("power", F.floor(F.log2("n")).cast("int"))
     sizes = sorted(common.groupBy("power").count().collect(), reverse=True)  # 64 rows at most
     least, held = 64, 0
@@ -375,7 +375,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc
                     <= rule.prefix(n, 1) * max(1.0, met)), default=0)
 
     entries = total * (100 - percent) / 100 + rows.count()
-    lists = written(_lists(texts, shingle, rule, boundary, order, power_of_two(entries / 1e6, 32)), "lists")
+    lists = written(_lists(texts, shingle, rule, boundary, order, power_of_two(entries / 5e5, 32)), "lists")
+    order.destroy()  # the lists are written: no task needs it again
     apart = lists.where("node != head")
     low = F.col("head") < F.col("node")
     star = apart.groupBy(

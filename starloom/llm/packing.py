@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import ship, small_enough, written
 from .tokens import encoder, place
 
+#: Words that a worker remembers: about 115 MB.
+WORDS = 600_000
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -37,7 +39,7 @@ def token_pieces(docs: DataFrame, *, length: int = 2048, end_id: int = 0, doc_id
     end, step = np.asarray([end_id], "<u4").tobytes(), 4 * length
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(place(tokenizer))
+        encode = encoder(place(tokenizer), WORDS)
         for batch in batches:
             keys = batch.column(0).to_pylist()
             texts = batch.column(1)

@@ -93,9 +93,9 @@ class WordEncoder:
 
 
 @functools.cache
-def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker."""
-    return WordEncoder(path)
+def encoder(path: str, limit: int = 1_200_000) -> WordEncoder:
+    """One encoder per Python worker. A remembered word takes about 190 bytes."""
+    return WordEncoder(path, limit)
 
 
 def public_path(name: str = "word_bpe_49k.json") -> str:
