@@ -406,17 +406,20 @@ def keep_one_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     """``docs`` with one document of each group of near duplicates: the one
     with the smallest doc_id (NULL last; equal ids: the smaller hash of the
     text). Documents without words stay; of rows equal in id and text that
-    aren't empty one stays."""
+    aren't empty one stays. All other columns stay as they are, whatever their
+    names."""
     rows = written(near_duplicates(docs, doc_id=doc_id, text=text, **options), "near-duplicates")
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_hash")
     first = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(place).alias("p"))
     keep = written(first.select("p.doc_id", "p.text_hash").unionByName(
         rows.where("component IS NULL").select("doc_id", "text_hash")).distinct(), "kept")
-    hashed = docs.withColumn("_hash", F.xxhash64(F.col(text))).alias("d")
-    kept = hashed.join(small_enough(keep).alias("k"), F.col(f"d.{doc_id}").eqNullSafe(F.col("k.doc_id"))
-                       & (F.col("d._hash") == F.col("k.text_hash")), "left_semi")
+    # the row travels as one column, so that no name of its own is taken
+    whole = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("t"),
+                        F.xxhash64(F.col(text)).alias("h")).alias("d")
+    kept = whole.join(small_enough(keep).alias("k"), F.col("d.id").eqNullSafe(F.col("k.doc_id"))
+                      & (F.col("d.h") == F.col("k.text_hash")), "left_semi")
     again = rows.where("component IS NOT NULL").groupBy("doc_id", "text_hash").count().where("count > 1")
     if again.limit(1).count():
-        empty = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)) == 0
-        kept = kept.where(empty).unionByName(kept.where(~empty).dropDuplicates([doc_id, "_hash"]))
-    return kept.drop("_hash")
+        empty = F.regexp_count(F.coalesce(F.col("t"), F.lit("")), F.lit(WORD)) == 0
+        kept = kept.where(empty).unionByName(kept.where(~empty).dropDuplicates(["id", "h"]))
+    return kept.select("row.*")

@@ -269,7 +269,9 @@ def span_text(spans: Column) -> Column:
 
 
 def mask_pii(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with every span replaced by its kind, such as ``<EMAIL>``."""
+    """``docs`` with every span replaced by its kind, such as ``<EMAIL>``. NULL
+    stays NULL, repeated rows stay, and an empty table gives an empty one. All
+    other columns stay as they are, whatever their names."""
     found = find_pii(docs, doc_id=doc_id, text=text, **options).where(F.size("spans") > 0).select(
         F.col("key").alias("_key"), "spans").dropDuplicates(["_key"])
     found = written(found, "pii-spans")
@@ -285,7 +287,11 @@ def mask_pii(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **o
             return "".join([*out, t[at:]])
         return pd.Series([one(t, s) if s is not None else t for t, s in zip(texts, spans, strict=True)])
 
-    marked = docs.withColumn("_key", _row_key(doc_id, text)).join(small_enough(found), "_key", "left")
+    # the row travels as one column, so that no name of its own is taken
+    whole = docs.select(F.struct("*").alias("row"), F.col(text).alias("t"), _row_key(doc_id, text).alias("_key"))
+    marked = whole.join(small_enough(found), "_key", "left")
     # texts without spans don't go through Python
-    hit = marked.where(F.col("spans").isNotNull()).withColumn(text, mask(F.col(text), F.col("spans")))
-    return marked.where(F.col("spans").isNull()).unionByName(hit).select(*docs.columns)
+    plain = marked.where(F.col("spans").isNull()).select("row.*")
+    hit = marked.where(F.col("spans").isNotNull()).withColumn("t", mask("t", "spans"))
+    same = [F.col("t") if c == text else F.col("row").getField(c) for c in docs.columns]
+    return plain.unionByName(hit.select(*[x.alias(c) for x, c in zip(same, docs.columns, strict=True)]))

@@ -117,7 +117,9 @@ def clean_lines(docs: DataFrame, *, text: str = "text") -> DataFrame:
     base_failed, kept, clean_text (the text without its failing lines).
 
     A NULL text counts as empty, fails the base rule and stays NULL. Equal
-    rows get equal results. An empty table gives an empty one."""
+    rows get equal results. An empty table gives an empty one. Other columns stay
+    as they are, but one that is named ``quality`` itself, which is called
+    ``quality_in`` (and so on with further ``_in``, where that is taken too)."""
     body = F.coalesce(F.col(text), F.lit(""))
 
     def of_words(w: Column) -> Column:
@@ -150,4 +152,9 @@ def clean_lines(docs: DataFrame, *, text: str = "text") -> DataFrame:
     measured = F.struct(
         step(F.regexp_extract_all(body, F.lit(WORD), F.lit(0)), of_words).alias("words"),
         step(F.split(body, "\n", -1), of_lines).alias("lines"))
-    return docs.select("*", step(measured, result).alias("quality"))
+    taken, moved = {c.lower() for c in docs.columns}, "quality"
+    while moved in taken:
+        moved += "_in"
+    names = [moved if c.lower() == "quality" else c for c in docs.columns]
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)],
+                       step(measured, result).alias("quality"))

@@ -12,7 +12,8 @@ from starloom.llm.common import gram_hashes, pack_sorted, unpack_sorted
 
 W = r"[^\x20\x09-\x0D]+"
 COLUMNS = ("doc_id long, text string, source string, lang string, n_chars long, node long, size string, "
-           "copies int, component double, key string, part string, shard string, quality string, _h int")
+           "copies int, component double, key string, part string, shard string, quality string, _h int, "
+           "_hash string, _key int, spans string, row int, t int, id string, h double")
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def awkward(spark):
     long = " ".join(f"word{i % 997}" for i in range(30_000))
     texts = [None, "", " \n\t ", "one", "one", "a b c d", "A B c D", "a b c d e", long, long + " end",
              "x " * 100, "same text of six words here", "same text of six words here"]
-    rows = [(i, t, ["s", None][i % 2], None, None, 1, "z", None, 0.5, "k", None, "q", None, 7)
+    rows = [(i, t, ["s", None][i % 2], None, None, 1, "z", None, 0.5, "k", None, "q", None, 7, "y", 8, None, 9, None, "x", 2.5)
             for i, t in enumerate(texts)]
     rows += [rows[11], (None, "same text of six words here", None, *rows[0][3:]), (None, None, None, *rows[0][3:]),
              (3, "another text with an id that is taken", "s", *rows[0][3:])]
@@ -199,7 +200,8 @@ def test_jaccard_awkward(awkward):
     assert by[12].component_id == 11
     assert {r.component_id for r in got if r.doc_id is None} == {11, None}
     kept = jaccard.keep_one_each(awkward)
-    assert kept.columns == awkward.columns
+    assert kept.columns == awkward.columns and {r._hash for r in kept.collect()} == {"y"}
+    assert set(kept.collect()) <= set(awkward.collect())
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(11) == 1 and 12 not in ids and {0, 1, 2, 5, 8} <= set(ids) and 9 not in ids
     assert jaccard.near_duplicates(empty(awkward)).count() == 0
@@ -240,7 +242,12 @@ def test_pii_contexts_discover_unseen_numbers(spark, awkward):
     assert masked[100] == "you can call me on <PHONE> tomorrow" and masked[102] is None
     assert masked[3] == "please call me on <PHONE> tomorrow w3"
     assert pii.find_pii(awkward).count() == awkward.count() and pii.find_pii(empty(awkward)).count() == 0
-    assert pii.mask_pii(awkward).columns == awkward.columns
+    clash = awkward.withColumn("text", F.when(F.col("doc_id") == 5, "mail a@b.cd now").otherwise(F.col("text")))
+    masked = pii.mask_pii(clash)
+    assert masked.columns == awkward.columns and masked.count() == awkward.count()
+    assert [r.text for r in masked.where("doc_id = 5").collect()] == ["mail <EMAIL> now"]
+    others = [c for c in awkward.columns if c != "text"]  # spans and _key among them
+    assert sorted(masked.select(others).collect(), key=repr) == sorted(awkward.select(others).collect(), key=repr)
 
 
 def test_pii_marks_every_spelling_of_a_seed(spark):
@@ -293,9 +300,15 @@ def test_quality_measures_and_rules(spark, awkward):
     assert got[n - 3].kept and got[n - 3].n_lost == 0 and got[n - 3].clean_text == body
     assert got[n - 2].kept and got[n - 2].clean_text == body
     assert not got[n - 1].kept and not got[n - 1].base_failed
-    out = quality_lines.clean_lines(awkward.drop("quality"))
-    assert {r.doc_id: r.quality.clean_text for r in out.where("doc_id IN (0, 1)").collect()} == {0: None, 1: ""}
-    assert quality_lines.clean_lines(empty(awkward.drop("quality"))).count() == 0
+    awkward = awkward.withColumn("quality", F.lit("q"))
+    out = quality_lines.clean_lines(awkward)
+    assert out.columns == [*["quality_in" if c == "quality" else c for c in awkward.columns], "quality"]
+    assert {r.doc_id: (r.quality_in, r.quality.clean_text) for r in out.where("doc_id IN (0, 1)").collect()} == {
+        0: ("q", None), 1: ("q", "")}
+    both = quality_lines.clean_lines(awkward.withColumn("quality_in", F.lit(1)), text="quality")
+    assert both.columns[-1] == "quality" and {"quality_in", "quality_in_in"} <= set(both.columns)
+    assert {r.quality.clean_text for r in both.collect()} == {"q"}
+    assert quality_lines.clean_lines(empty(awkward)).count() == 0
 
 
 def test_quality_is_native(spark, awkward):
