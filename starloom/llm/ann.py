@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import power_of_two, ship, written
@@ -146,6 +146,17 @@ def usable(table: DataFrame, vec_id: str, embedding: str) -> DataFrame:
         F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0))
 
 
+def _probed(rows: dict[int, int], parts: int, probes: int, top: int) -> Column:
+    """The first ``probes`` of a query's partitions (``best``), and as many more
+    as it takes until they hold ``top`` rows besides the ``own`` ones with its id."""
+    held = F.array(*[F.lit(rows.get(p, 0)).cast("long") for p in range(parts)])
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("k"))
+    enough = F.aggregate("best", start, lambda s, p: F.when(
+        (s["k"] >= probes) & (s["n"] >= top + F.col("own")), s).otherwise(
+            F.struct((s["n"] + F.get(held, p)).alias("n"), (s["k"] + 1).alias("k"))))
+    return F.slice("best", 1, enough["k"])
+
+
 def nearest(table: DataFrame, *, top: int = 20, every: int = 20, vec_id: str = "vec_id",
             embedding: str = "embedding", recall: float = 0.95, fit_rows: int = 8192,
             block: int = 4096) -> DataFrame:
@@ -156,7 +167,8 @@ def nearest(table: DataFrame, *, top: int = 20, every: int = 20, vec_id: str = "
     Vectors that are NULL, zero, or hold NULL or non-finite components take no
     part, nor do rows without an id, nor vectors of another length than most
     have. Rows equal in id and vector count once; a row with the query's id is
-    its own. An empty table gives an empty one. Other columns are not read."""
+    its own. A query whose probed partitions hold too few rows goes on to its
+    next ones, so it gets ``top`` rows wherever there are that many. An empty table gives an empty one. Other columns are not read."""
     spark = ship(table.sparkSession)
     good = written(usable(table, vec_id, embedding).distinct(), "ann-vectors")
     lengths = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
@@ -167,7 +179,7 @@ def nearest(table: DataFrame, *, top: int = 20, every: int = 20, vec_id: str = "
     good = good.where(F.size("v") == dim)
     some = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).toPandas()
     sample = np.stack(some["v"].to_numpy())
-    parts = min(64, power_of_two(n / 4096, 16))
+    parts = min(power_of_two(fit_rows / 16), power_of_two(n / 4096, 16))  # 16 rows of the sample each, at least
     if len(sample) < 8 * parts:  # too few rows to learn from: one partition, scored whole
         parts, router, probes = 1, Router(dim, 1), 1
     else:
@@ -176,16 +188,21 @@ def nearest(table: DataFrame, *, top: int = 20, every: int = 20, vec_id: str = "
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = _vectors(batch.column(1), dim)
-            best = np.argsort(-router.logits(v), axis=1, kind="stable")[:, :probes].astype(np.int32)
+            best = np.argsort(-router.logits(v), axis=1, kind="stable").astype(np.int32)
+            asks = batch.column(0).to_numpy() % every == 0  # only queries need more than their home
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(best[:, 0]), pa.array(list(best))],
-                ["vec_id", "v", "home", "probed"])
+                [batch.column(0), batch.column(1), pa.array(best[:, 0]),
+                 pa.array([b if a else None for b, a in zip(best, asks, strict=True)], pa.list_(pa.int32()))],
+                ["vec_id", "v", "home", "best"])
 
     routed = written(good.mapInArrow(
-        route, "vec_id long, v array<double>, home int, probed array<int>"), "ann-routed")
-    queries = routed.where(F.col("vec_id") % every == 0).select(
-        F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.explode("probed").alias("part"))
+        route, "vec_id long, v array<double>, home int, best array<int>"), "ann-routed")
     rows = {r[0]: r[1] for r in routed.groupBy("home").count().collect()}  # one row per partition
+    asked = routed.where(F.col("vec_id") % every == 0).withColumn(
+        "own", F.count("*").over(Window.partitionBy("vec_id")))
+    queries = asked.select(
+        F.col("vec_id").alias("query_id"), F.col("v").alias("q"),
+        F.explode(_probed(rows, parts, probes, top)).alias("part"))
     asked = {r[0]: r[1] for r in queries.groupBy("part").count().collect()}
     blocks = [(p, max(1, math.ceil(rows[p] / block)), max(1, math.ceil(asked[p] / block)))
               for p in sorted(rows) if p in asked]

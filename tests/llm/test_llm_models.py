@@ -154,6 +154,23 @@ def test_nearest_recall_and_ties(spark):
     assert ann.nearest(table.limit(0)).count() == 0
 
 
+def test_nearest_is_never_short(spark):
+    """One dense group and many small ones far away: the probed partitions of a
+    query in a small group hold fewer rows than were asked for."""
+    rng = np.random.default_rng(6)
+    far = np.repeat(10 * rng.normal(size=(25, 16)), 4, axis=0)
+    x = np.concatenate([far, 5 + rng.normal(size=(1900, 16))]) + 0.1 * rng.normal(size=(2000, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(0, [1.0] * 16), (0, [2.0] * 16)],
+                                  "vec_id long, embedding array<double>")
+    got = ann.nearest(table, top=20, every=20, fit_rows=1024).toPandas()
+    assert (got.groupby("query_id")["rank"].max().loc[1:] == 20).all() and got["query_id"].nunique() == 100
+    s = x @ x.T
+    s[np.arange(2000), np.arange(2000)] = -np.inf
+    best = np.argsort(-s, axis=1)[:, :20]
+    hits = sum(len(set(best[q]) & set(g["vec_id"])) for q, g in got.groupby("query_id") if q)
+    assert hits / 1980 >= 0.9
+
+
 def test_graph_is_cut_into_balanced_parts():
     rng = np.random.default_rng(4)
     centres = 5 * rng.normal(size=(4, 8))
