@@ -4,8 +4,9 @@ Every query reads the driver's tables through the adapter in
 ``starloom.sources.harness`` (a 5-way join of lineitem, orders, customer,
 part and supplier into the 14-column raw order extract), so its work grows
 with the tables. ``oracle_sql()`` re-derives each result in DuckDB SQL
-written independently of the Spark code; only fixed values (the DDL
-contract, the status labels, the geography seed rows) are shared.
+written independently of the Spark code, the rules of the DDL included; only
+the status labels, the geography seed rows and the columns of the completeness
+report are shared.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from starloom.plans.prep import preprocess, preprocess_counts  # noqa: E402
 from starloom.plans.star import build_star  # noqa: E402
 from starloom.session import ensure_checkpoint_dir, scratch_folder  # noqa: E402
 from starloom.plans.job import run as run_job  # noqa: E402
-from starloom.sinks import StarLog, compact, publish_star, read_star, write_star  # noqa: E402
+from starloom.sinks import StarLog, compact, create_star_tables, publish_star, read_star, write_star  # noqa: E402
 from starloom.sources.harness import STATE_CODES, orders_from_tables  # noqa: E402
 from starloom.sources.raw import read_raw_csv  # noqa: E402
 from starloom.sources.seeds import geo_rows  # noqa: E402
@@ -382,6 +383,31 @@ def q_clustered_point(spark, d):
     return fact.where("product_id = 7").join(F.broadcast(first), "order_date").select(*fact.columns)
 
 
+def q_ddl_tables(spark, d):
+    """The star loaded into tables made from the DDL, whose lengths are enforced
+    (the extract's categories are cut to fit), and the products read back: their
+    audit columns have the table's default."""
+    base, database = scratch_folder(spark, "ddl"), f"starloom_{uuid.uuid4().hex}"
+    raw = _raw(spark, d).withColumn("Category", F.substring("Category", 1, 15))
+    star = build_star(raw, run_ts=RUN_TS, persist_clean=True)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/tables'")
+    try:
+        create_star_tables(spark, database=database)
+        write_star(star, base, "table", database=database)
+        spark.sql(f"INSERT INTO {database}.dim_prod (product_id, product_name, category, brand, standard_cost) "
+                  "VALUES (0, 'one more', 'by hand', 'none', 0.0)")
+        products = spark.table(f"{database}.dim_prod")
+        stamped = (F.col("create_date") == F.lit(RUN_TS)) | (
+            (F.col("product_id") == 0) & (F.abs(F.timestamp_diff("HOUR", F.col("create_date"), F.current_timestamp())) < 2))
+        sold = spark.table(f"{database}.fact_orders").groupBy("product_id").agg(
+            F.count(F.lit(1)).alias("orders"), F.sum("quantity").alias("quantity"))
+        out = products.select(*C.DIM_PROD.names[:5], stamped.alias("stamped")).join(sold, "product_id", "left")
+        out.write.parquet(f"{base}/result")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.parquet(f"{base}/result")
+
+
 def q_job_reports(spark, d):
     """The whole job: extract in files, star published, report written as CSV
     and read back."""
@@ -460,6 +486,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "published_versions": q_published_versions,
         "compacted_fact": q_compacted_fact,
         "clustered_point": q_clustered_point,
+        "ddl_tables": q_ddl_tables,
         "job_reports": q_job_reports,
         "csv_round_trip": q_csv_round_trip,
         "star_parquet_round_trip": partial(q_star_round_trip, fmt="parquet"),
@@ -482,6 +509,48 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # --------------------------------------------------------------------------- DuckDB oracle
 
+# The warehouse DDL once more, so that the oracle doesn't take a
+# rule from the library that it checks.
+_DDL = {
+    "dim_cust": "customer_id INTEGER NOT NULL, customer_name VARCHAR(100), first_name VARCHAR(50), "
+                "last_name VARCHAR(50), create_date TIMESTAMP NOT NULL, update_date TIMESTAMP",
+    "dim_date": "date_full DATE NOT NULL, day_of_week INTEGER NOT NULL, day_name VARCHAR(10) NOT NULL, "
+                "day_of_month INTEGER NOT NULL, day_of_year INTEGER NOT NULL, week_of_year INTEGER NOT NULL, "
+                "month_num INTEGER NOT NULL, month_name VARCHAR(10) NOT NULL, quarter INTEGER NOT NULL, "
+                "year INTEGER NOT NULL, is_weekend BOOLEAN NOT NULL",
+    "dim_emp": "employee_id INTEGER NOT NULL, employee_name VARCHAR(100), employee_first_name VARCHAR(50), "
+               "employee_last_name VARCHAR(50), create_date TIMESTAMP NOT NULL, update_date TIMESTAMP",
+    "dim_geo": "state_id VARCHAR(40) NOT NULL, state_code VARCHAR(2) NOT NULL, country VARCHAR(30) NOT NULL, "
+               "state_name VARCHAR(50) NOT NULL, capital_city VARCHAR(50), status VARCHAR(30), iso_code VARCHAR(10)",
+    "dim_ostatus": "status_id INTEGER NOT NULL, status_name VARCHAR(15) NOT NULL, status_description VARCHAR(50), "
+                   "create_date TIMESTAMP NOT NULL, update_date TIMESTAMP",
+    "dim_prod": "product_id INTEGER NOT NULL, product_name VARCHAR(30) NOT NULL, category VARCHAR(15) NOT NULL, "
+                "brand VARCHAR(20) NOT NULL, standard_cost FLOAT NOT NULL, create_date TIMESTAMP NOT NULL, "
+                "update_date TIMESTAMP",
+    "fact_orders": "order_number INTEGER NOT NULL, order_date DATE NOT NULL, customer_id INTEGER NOT NULL, "
+                   "state_id VARCHAR(40) NOT NULL, product_id INTEGER NOT NULL, status_id INTEGER NOT NULL, "
+                   "employee_id INTEGER NOT NULL, unit_cost FLOAT NOT NULL, unit_sales FLOAT NOT NULL, "
+                   "quantity INTEGER NOT NULL, total_cost FLOAT NOT NULL, total_sales FLOAT NOT NULL, "
+                   "profit FLOAT NOT NULL, profit_margin FLOAT NOT NULL",
+}
+_PRIMARY_KEYS = {"dim_cust": "customer_id", "dim_date": "date_full", "dim_emp": "employee_id", "dim_geo": "state_id",
+                 "dim_ostatus": "status_id", "dim_prod": "product_id", "fact_orders": "order_number"}
+_REFERENCES = {"order_date": ("dim_date", "date_full"), "customer_id": ("dim_cust", "customer_id"),
+               "state_id": ("dim_geo", "state_id"), "product_id": ("dim_prod", "product_id"),
+               "status_id": ("dim_ostatus", "status_id"), "employee_id": ("dim_emp", "employee_id")}
+_CHECKS = [("dim_date", "check_day_of_week", "day_of_week BETWEEN 1 AND 7"),
+           ("dim_date", "check_month_num", "month_num BETWEEN 1 AND 12"),
+           ("dim_date", "check_quarter", "quarter BETWEEN 1 AND 4"),
+           ("fact_orders", "check_quantity_positive", "quantity > 0"),
+           ("fact_orders", "check_profit_margin", "profit_margin >= -1 AND profit_margin <= 1")]
+
+
+def _columns(table: str) -> list[tuple[str, str, bool]]:
+    """(name, type, not null) by the DDL."""
+    specs = [c.strip().split(" ", 2) for c in _DDL[table].split(",")]
+    return [(c[0], c[1], c[2:] == ["NOT NULL"]) for c in specs]
+
+
 _AUDIT = ("TIMESTAMP '2025-03-31 12:00:00' AS create_date, "
           "TIMESTAMP '2025-03-31 12:00:00' AS update_date")
 
@@ -490,7 +559,7 @@ def _lit(v) -> str:
     return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 
 
-def _sql_raw(dirty: bool) -> str:
+def _sql_raw(dirty: bool, category: str = "p.p_type") -> str:
     codes = ", ".join(_lit(c) for c in STATE_CODES)
     ts = "l.l_extendedprice * (1 - l.l_discount)"
     cust = "replace(c.c_name, '#', ' ')"
@@ -516,7 +585,7 @@ SELECT
   {cust} AS "Customer_Name",
   {date} AS "Order_Date",
   {status} AS "Status",
-  p.p_name AS "Product", p.p_type AS "Category", p.p_brand AS "Brand",
+  p.p_name AS "Product", {category} AS "Category", p.p_brand AS "Brand",
   {cost} AS "Cost",
   CASE WHEN l.l_quantity = 0 THEN NULL ELSE l.l_extendedprice / l.l_quantity END AS "Sales",
   {qty} AS "Quantity",
@@ -655,8 +724,8 @@ LEFT JOIN dim_ostatus s ON c.status = s.status_name
 LEFT JOIN dim_emp e ON c."assigned supervisor" = e.employee_name"""
 
 
-def _ctes(dirty: bool, star: bool = True, fact: str | None = None) -> str:
-    parts = [f"raw AS ({_sql_raw(dirty)})", f"clean AS ({_SQL_CLEAN})"]
+def _ctes(dirty: bool, star: bool = True, fact: str | None = None, **raw: str) -> str:
+    parts = [f"raw AS ({_sql_raw(dirty, **raw)})", f"clean AS ({_SQL_CLEAN})"]
     if star:
         parts += [
             f"dim_date AS ({_sql_dim_date('monday')})",
@@ -673,34 +742,23 @@ def _ctes(dirty: bool, star: bool = True, fact: str | None = None) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def _contract_cols(table: str):
-    return list(C.STAR[table].columns)
-
-
 def _sql_not_null() -> str:
-    sel = []
-    for t in C.STAR:
-        for c in _contract_cols(t):
-            if c.not_null:
-                sel.append(f"SELECT '{t}' AS table_name, 'not_null' AS rule, '{c.name}' AS "
-                           f"column_name, count(*) FILTER (WHERE {c.name} IS NULL) AS violations "
-                           f"FROM {t}")
-    return "\nUNION ALL ".join(sel)
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'not_null' AS rule, '{c}' AS column_name, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS violations FROM {t}"
+        for t in _DDL for c, _, required in _columns(t) if required)
 
 
 def _sql_primary_key() -> str:
-    sel = []
-    for t, con in C.STAR.items():
-        k = con.primary_key
-        sel.append(f"SELECT '{t}' AS table_name, 'primary_key' AS rule, '{k}' AS column_name, "
-                   f"CAST(COALESCE(sum(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) AS violations "
-                   f"FROM (SELECT {k}, count(*) AS n FROM {t} GROUP BY {k})")
-    return "\nUNION ALL ".join(sel)
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'primary_key' AS rule, '{k}' AS column_name, "
+        f"CAST(COALESCE(sum(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) AS violations "
+        f"FROM (SELECT {k}, count(*) AS n FROM {t} GROUP BY {k})" for t, k in _PRIMARY_KEYS.items())
 
 
 def _sql_foreign_keys() -> str:
     sel = []
-    for k, (dt, dc) in C.FACT_ORDERS.foreign_keys.items():
+    for k, (dt, dc) in _REFERENCES.items():
         orphan = f"f.{k} IS NOT NULL AND d.{dc} IS NULL"
         for rule, cond in (("foreign_key", "<>"), ("foreign_key_unassigned", "=")):
             sel.append(
@@ -711,31 +769,23 @@ def _sql_foreign_keys() -> str:
 
 
 def _sql_ranges() -> str:
-    sel = []
-    for t, con in C.STAR.items():
-        for rule, pred in con.checks:
-            sel.append(f"SELECT '{t}' AS table_name, '{rule}' AS rule, "
-                       f"CAST(NULL AS VARCHAR) AS column_name, "
-                       f"count(*) FILTER (WHERE NOT ({pred})) AS violations FROM {t}")
-    return "\nUNION ALL ".join(sel)
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{rule}' AS rule, CAST(NULL AS VARCHAR) AS column_name, "
+        f"count(*) FILTER (WHERE NOT ({pred})) AS violations FROM {t}" for t, rule, pred in _CHECKS)
 
 
 def _sql_lengths() -> str:
-    sel = []
-    for t in C.STAR:
-        for c in _contract_cols(t):
-            if c.max_bytes:
-                sel.append(f"SELECT '{t}' AS table_name, 'max_length' AS rule, "
-                           f"'{c.name}' AS column_name, count(*) FILTER (WHERE "
-                           f"strlen({c.name}) > {c.max_bytes}) AS violations FROM {t}")
-    return "\nUNION ALL ".join(sel)
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'max_length' AS rule, '{c}' AS column_name, "
+        f"count(*) FILTER (WHERE strlen({c}) > {kind[8:-1]}) AS violations FROM {t}"
+        for t in _DDL for c, kind, _ in _columns(t) if kind.startswith("VARCHAR("))
 
 
 def _sql_completeness(cols: list[tuple[str, str]]) -> str:
     sel = []
     for col, t in cols:
-        dtype = next(c.dtype for c in C.STAR[t].columns if c.name == col)
-        miss = f"{col} IS NULL" + (f" OR isnan({col})" if dtype == C.DBL else "")
+        kind = next(k for c, k, _ in _columns(t) if c == col)
+        miss = f"{col} IS NULL" + (f" OR isnan({col})" if kind == "FLOAT" else "")
         sel.append(f"SELECT '{col}' AS column_name, '{t}' AS table_name, "
                    f"count(*) FILTER (WHERE NOT ({miss})) AS total_records, "
                    f"count(*) FILTER (WHERE {miss}) AS null_count FROM {t}")
@@ -751,9 +801,8 @@ FROM ({body})"""
 
 def _sql_key_uniqueness() -> str:
     return "\nUNION ALL ".join(
-        f"SELECT '{t}' AS table_name, '{c.primary_key}' AS key_column, count(*) AS row_count, "
-        f"count(DISTINCT {c.primary_key}) AS distinct_keys FROM {t}"
-        for t, c in C.STAR.items())
+        f"SELECT '{t}' AS table_name, '{k}' AS key_column, count(*) AS row_count, "
+        f"count(DISTINCT {k}) AS distinct_keys FROM {t}" for t, k in _PRIMARY_KEYS.items())
 
 
 def _sql_natural_fact() -> str:
@@ -804,7 +853,7 @@ FROM l GROUP BY product, category, brand"""
 
 
 def _sql_both_versions() -> str:
-    cols = ", ".join(C.FACT_ORDERS.names)
+    cols = ", ".join(c for c, _, _ in _columns("fact_orders"))
     one, two = (f"SELECT {v} AS version, {cols} FROM ({_ctes(dirty)} SELECT {cols} FROM fact_orders)"
                 for v, dirty in ((1, False), (2, True)))
     return f"{one}\nUNION ALL {two}"
@@ -815,7 +864,7 @@ def oracle_sql() -> dict[str, str]:
     dirty_only = _ctes(True, star=False)
     star_clean = _ctes(False)
     star_dirty = _ctes(True)
-    fact_cols = ", ".join(C.FACT_ORDERS.names)
+    fact_cols = ", ".join(c for c, _, _ in _columns("fact_orders"))
     emp_first_seen = _sql_person('"assigned supervisor"', "employee_id", "employee_name",
                                  "employee_first_name", "employee_last_name", first_seen=True)
     return {
@@ -874,6 +923,11 @@ def oracle_sql() -> dict[str, str]:
         "compacted_fact": star_clean + f"SELECT {fact_cols} FROM fact_orders",
         "clustered_point": star_clean + f"SELECT {fact_cols} FROM fact_orders WHERE product_id = 7 AND order_date = "
                            "(SELECT min(order_date) FROM fact_orders WHERE product_id = 7)",
+        "ddl_tables": _ctes(False, category="substr(p.p_type, 1, 15)") + (
+            "SELECT p.product_id, product_name, category, brand, standard_cost, true AS stamped, "
+            "count(f.order_number) AS orders, CAST(sum(quantity) AS BIGINT) AS quantity FROM dim_prod p "
+            "LEFT JOIN fact_orders f ON f.product_id = p.product_id GROUP BY ALL "
+            "UNION ALL SELECT 0, 'one more', 'by hand', 'none', 0.0, true, NULL, NULL"),
         "job_reports": star_dirty + _sql_completeness(Q.DIM_COMPLETENESS_COLUMNS + Q.FACT_COMPLETENESS_COLUMNS),
         "csv_round_trip": f"WITH raw AS ({_sql_raw(True)}) SELECT * FROM raw",
         "star_parquet_round_trip": star_dirty + f"SELECT {fact_cols} FROM fact_orders",

@@ -51,7 +51,7 @@ from .. import contracts as C
 from ..functions.dates import date_attributes
 from ..functions.names import first_token, last_token
 from ..operators.dense_keys import extend_key
-from ..operators.lookup import size_of
+from ..operators.lookup import bounded_broadcast, size_of
 from ..plans.dims import STATUS_DESCRIPTIONS, UNKNOWN_STATUS, build_dim_geo
 from ..plans.fact import build_fact_orders
 from ..plans.prep import preprocess
@@ -216,13 +216,14 @@ class _Members:
 
 def _unknown_files(batch: DataFrame, log: StarLog, seen: Snapshot) -> DataFrame:
     """``batch`` without the rows of files that the snapshot knows. The batch's
-    own files are looked up among all that were ever loaded; the rows are only
-    joined with those that were found, at most as many as the batch has files."""
+    own files are looked up among all that were ever loaded, and the rows are
+    joined only if some were found, with those alone."""
     if FILE not in batch.columns or not seen.parts(FILES):
         return batch
     mine = batch.select(FILE).distinct()
-    known = [r[0] for r in mine.join(log.read(FILES, FILES_SCHEMA, seen).select(FILE), FILE, "left_semi").collect()]
-    return batch.where(~F.col(FILE).isin(known)) if known else batch
+    known = mine.join(log.read(FILES, FILES_SCHEMA, seen).select(FILE), FILE, "left_semi")
+    size = size_of(known)
+    return batch.join(bounded_broadcast(known, known_size=size)[0], FILE, "left_anti") if size[0] else batch
 
 
 def _reasons(raw: DataFrame) -> Column:
@@ -288,7 +289,7 @@ def _load(log: StarLog, seen: Snapshot, stored: DataFrame, epoch_id: int, load_i
     own = {"load_id": load_id, "batch_id": epoch_id}
     labels = {"load_id": F.lit(load_id), "batch_id": F.lit(epoch_id).cast("long")}
     fresh = _unknown_files(stored, log, seen)
-    fresh = fresh.withColumn("_reasons", _reasons(fresh)).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = fresh.withColumn("_reasons", _reasons(fresh))  # from the cached batch each time
     good = fresh.where(F.size("_reasons") == 0).drop("_reasons", FILE, CORRUPT)
     clean = preprocess(good).persist(StorageLevel.MEMORY_AND_DISK)
     members = _Members(log, clean, run_ts, week_start, split_mode)
@@ -350,7 +351,6 @@ def _load(log: StarLog, seen: Snapshot, stored: DataFrame, epoch_id: int, load_i
         raise
     finally:
         clean.unpersist()
-        fresh.unpersist()
 
 
 def new_keys(log: StarLog, before: tuple[Part, ...], own: list[Part]) -> int:

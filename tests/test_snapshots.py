@@ -302,11 +302,16 @@ def some_fact(spark, n, products=50, days=40):
 def test_hundred_loads_become_files_of_the_target_size(spark, tmp_dir):
     log = StarLog(spark, tmp_dir)
     whole = some_fact(spark, 20_000).repartition(100).cache()
-    for k in range(100):
-        piece = whole.where(F.col("order_number") % 100 == k).coalesce(1)
-        part = log.write_part(piece, "fact_orders", load_id=f"l{k}", batch_id=0)
-        log.update("load", lambda now, p=part: now.with_parts({"fact_orders": [p]}))
+    # what a hundred loads leave, made in one go: a folder of one small file each
+    load = F.lpad(F.hex(F.col("order_number") % 100), 2, "0")
+    whole.withColumn("part", F.concat(F.lit("a"), F.lower(load))).repartition(50, "part").write.partitionBy("part").parquet(
+        f"{tmp_dir}/fact_orders")
+    parts = [snapshots.Part(os.path.relpath(f, tmp_dir), 200, sum(os.path.getsize(x) for x in glob.glob(f"{f}/*.parquet")), 1)
+             for f in folders(tmp_dir, "fact_orders")]
+    for k in range(0, 100, 10):
+        log.update("load", lambda now, k=k: now.with_parts({"fact_orders": parts[k:k + 10]}))
     before = log.latest().parts("fact_orders")
+    assert len(before) == sum(p.files for p in before) == 100
     total = sum(p.bytes for p in before)
     target = total // 5
     after = compact(spark, tmp_dir, "fact_orders", target_bytes=target)
@@ -316,7 +321,7 @@ def test_hundred_loads_become_files_of_the_target_size(spark, tmp_dir):
     assert max(sizes) <= target * 1.1 and sorted(sizes)[1] >= target * 0.4  # all but one are near the target
     assert bag(read_fact(spark, tmp_dir)) == bag(whole)
     assert compact(spark, tmp_dir, "fact_orders", target_bytes=target) == after  # nothing is left to do
-    assert bag(log.read("fact_orders", C.FACT_ORDERS.schema, log.at(100))) == bag(whole)  # earlier readers go on
+    assert bag(log.read("fact_orders", C.FACT_ORDERS.schema, log.at(10))) == bag(whole)  # earlier readers go on
     whole.unpersist()
 
 
