@@ -80,8 +80,10 @@ def _clean(spark, d, dirty=False) -> DataFrame:
 
 
 def _star(spark, d, dirty=False, **kw) -> dict[str, DataFrame]:
-    # the adapter is a 5-way join read by six builders: keep its cleaned rows
-    return build_star(_raw(spark, d, dirty), run_ts=RUN_TS, persist_clean=True, **kw)
+    # the adapter is a 5-way join and read twice: land its rows once
+    raw, path = _raw(spark, d, dirty), scratch_folder(spark, "extract")
+    raw.write.parquet(path)
+    return build_star(spark.read.schema(raw.schema).parquet(path), run_ts=RUN_TS, **kw)
 
 
 def _shown(dim: DataFrame) -> DataFrame:
@@ -388,8 +390,8 @@ def q_ddl_tables(spark, d):
     (the extract's categories are cut to fit), and the products read back: their
     audit columns have the table's default."""
     base, database = scratch_folder(spark, "ddl"), f"starloom_{uuid.uuid4().hex}"
-    raw = _raw(spark, d).withColumn("Category", F.substring("Category", 1, 15))
-    star = build_star(raw, run_ts=RUN_TS, persist_clean=True)
+    _raw(spark, d).withColumn("Category", F.substring("Category", 1, 15)).write.parquet(f"{base}/extract")
+    star = build_star(spark.read.parquet(f"{base}/extract"), run_ts=RUN_TS)
     spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/tables'")
     try:
         create_star_tables(spark, database=database)

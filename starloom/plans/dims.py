@@ -15,7 +15,7 @@ from ..operators.dense_keys import (FIRST_SEEN, dense_key, first_seen_agg, first
                                    first_seen_order, number_rows)
 from ..operators.single_valued import single_valued
 from ..sources.seeds import geo_seed
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, exists, scratch_folder
 from .prep import require_columns
 
 # Order status descriptions and the label for any other status.
@@ -176,8 +176,9 @@ def dimension_members(clean: DataFrame, *, seen_cols: list[str] | None = None
     """The members of all five data-derived dimensions from ONE scan and ONE
     shuffle of ``clean``: a ``GROUPING SETS`` aggregation (Expand, then
     map-side partial aggregation, so a hot member is one row per task before
-    the exchange). The result, a few rows per member, is checkpointed once;
-    each dimension reads its own slice. Members with a NULL key are dropped.
+    the exchange). The result, a few rows per member, is written once, a folder
+    a dimension, and each dimension reads its own. Members with a NULL key are
+    dropped.
     """
     cols = list(dict.fromkeys(c for keys in MEMBER_SETS.values() for c in keys))
     require_columns(clean, cols + ["cost"])
@@ -190,13 +191,17 @@ def dimension_members(clean: DataFrame, *, seen_cols: list[str] | None = None
     grouped = clean.groupingSets([[F.col(f"`{c}`") for c in keys]
                                   for keys in MEMBER_SETS.values()],
                                  *[F.col(f"`{c}`") for c in cols])
-    ensure_checkpoint_dir(clean.sparkSession)
-    every = grouped.agg(*aggs).checkpoint(eager=True)
+    spark, path = clean.sparkSession, scratch_folder(clean.sparkSession, "members")
+    every = grouped.agg(*aggs)
+    every.write.partitionBy(gid).parquet(path)
+    schema = every.drop(gid).schema
     out = {}
     for dim, keys in MEMBER_SETS.items():
         # grouping_id: one bit per grouping column, set when it is NOT grouped
         bits = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
-        part = every.filter(F.col(gid) == bits).dropna(how="any", subset=keys)
+        folder = f"{path}/{gid}={bits}"  # not there without any row
+        part = spark.read.schema(schema).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], schema)
+        part = part.dropna(how="any", subset=keys)
         extra = [FIRST_SEEN] if seen_cols and dim in ("dim_cust", "dim_emp") else []
         if dim == "dim_prod":
             lo, hi = F.col("_sl_lo"), F.col("_sl_hi")

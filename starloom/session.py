@@ -69,6 +69,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
 _FOLDERS: list[tuple[SparkSession, str]] = []
 
 
@@ -88,7 +99,7 @@ def _delete_folders() -> None:
         if context._jsc is None:  # the session has ended before
             continue
         try:
-            at = context._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+            fs, at = file_system(spark, path)
+            fs.delete(at, True)
         except Exception:  # noqa: BLE001 - the JVM may be gone; the files only take room
             return

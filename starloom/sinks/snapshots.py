@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from .. import contracts as C
 from ..functions.missing import is_missing
+from ..session import file_system
 
 COMMITS = "_commits"
 
@@ -105,17 +106,6 @@ class Snapshot:
 
 # --------------------------------------------------------------- file system
 
-def file_system(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path there."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = file_system(spark, path)
-    return fs.exists(p)
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = file_system(spark, path)
     fs.delete(p, True)

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .snapshots import COMMITS, PROD_COST, Part, Snapshot, StarLog, delete, file_system
+from ..session import file_system
+from .snapshots import COMMITS, PROD_COST, Part, Snapshot, StarLog, delete
 
 TARGET_BYTES = 128 << 20
 

@@ -57,8 +57,8 @@ from ..plans.fact import build_fact_orders
 from ..plans.prep import preprocess
 from ..plans.quality import (DIM_COMPLETENESS_COLUMNS, FACT_COMPLETENESS_COLUMNS, completeness_of_parts,
                              row_violations)
-from ..session import ensure_checkpoint_dir
-from ..sinks.snapshots import PROD_COST, Part, Snapshot, StarLog, delete, exists, part_of
+from ..session import ensure_checkpoint_dir, exists
+from ..sinks.snapshots import PROD_COST, Part, Snapshot, StarLog, delete, part_of
 from ..sources.raw import CORRUPT, RAW_COLUMNS, RAW_SCHEMA, csv_options, csv_schema
 
 FILE = "_sl_file"
