@@ -294,37 +294,55 @@ def _crossing(lists: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
     component only if enough of its lists hold any member of that component;
     this is counted first, from the side of the smaller component, and pairs
     are made only where it holds. So a large component meets its outsiders as
-    a whole and not member by member."""
+    a whole and not member by member. Where it holds, a node is paired either
+    with every member, whose lists are then compared, or with the members in
+    each of its lists, which are then counted: whatever makes fewer rows."""
     known = lists.join(groups, "node", "left").select(
         "kind", "sig", "node", "size", F.coalesce("component", "node").alias("c"))
     sizes = groups.groupBy(F.col("component").alias("c")).agg(F.count("*").alias("members"))
-    parts = known.groupBy("kind", "sig", "c").agg(F.min("size").alias("lo"), F.max("size").alias("hi")).join(
-        sizes, "c", "left").na.fill(1, ["members"])
+    parts = known.groupBy("kind", "sig", "c").agg(
+        F.min("size").alias("lo"), F.max("size").alias("hi"), F.count("*").alias("held")).join(
+            sizes, "c", "left").na.fill(1, ["members"])
     mixed = parts.groupBy("kind", "sig").agg(F.count("*").alias("k")).where("k > 1").select("kind", "sig")
     parts = written(parts.join(mixed, ["kind", "sig"]), "list-parts")
     inside = written(known.join(parts.select("kind", "sig", "c", "members"), ["kind", "sig", "c"]), "list-members")
-    other = parts.select("kind", "sig", F.col("c").alias("oc"), F.col("members").alias("om"), "lo", "hi")
+    other = parts.select("kind", "sig", F.col("c").alias("oc"), F.col("members").alias("om"), "lo", "hi", "held")
     fewer = F.struct("members", "c") < F.struct("om", "oc")
     fits = ((rule.num * F.col("lo") <= rule.den * F.col("size"))
             & (rule.num * F.col("size") <= rule.den * F.col("hi")))
-    meets = inside.join(other, ["kind", "sig"]).where(fewer & fits).groupBy("kind", "node", "size", "oc").agg(
-        F.count("*").alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    meets = inside.join(other, ["kind", "sig"]).where(fewer & fits).groupBy("kind", "node", "size", "oc", "om").agg(
+        F.count("*").alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("held").alias("by_list"))
     # what is needed is least for the smallest partner that fits or one of the largest
     low = F.greatest(F.col("lo"), F.ceil(rule.num * F.col("size") / F.lit(rule.den)))
     high = F.least(F.col("hi"), F.floor(rule.den * F.col("size") / F.lit(rule.num)))
     least = F.least(_least(F.col("size"), low, rule), *[
         _least(F.col("size"), F.greatest(low, high - k), rule) for k in range(rule.steps() + 1)])
-    may = written(meets.where(F.col("shared") >= least).select("kind", "node", "oc"), "crossing")
-    mine = inside.select("kind", "sig", "node", F.col("size").alias("n")).join(may, ["kind", "node"])
+    may = written(meets.where(F.col("shared") >= least).select("kind", "node", "oc", "om", "by_list"), "crossing")
+
+    # every member: a component of one is its own member
+    whole = may.where("om <= by_list")
+    asked = whole.where("om = 1").select("kind", "node", F.col("oc").alias("other")).unionByName(
+        whole.where("om > 1").join(groups.select(F.col("component").alias("oc"), F.col("node").alias("other")), "oc")
+        .select("kind", "node", "other"))
+    own = inside.groupBy("kind", "node").agg(F.first("size").alias("n"), F.collect_list("sig").alias("sigs"))
+    own = written(own, "list-own")
+    theirs = own.select("kind", F.col("node").alias("other"), F.col("n").alias("m"), F.col("sigs").alias("osigs"))
+    fit = rule.num * F.greatest("n", "m") <= rule.den * F.least("n", "m")
+    each = asked.join(own, ["kind", "node"]).join(theirs, ["kind", "other"]).where(fit).select(
+        "kind", "node", "other", "n", "m", F.size(F.array_intersect("sigs", "osigs")).cast("long").alias("shared"))
+
+    # members of the same lists
+    mine = inside.select("kind", "sig", "node", F.col("size").alias("n")).join(
+        may.where("om > by_list").select("kind", "node", "oc"), ["kind", "node"])
     theirs = inside.select("kind", "sig", F.col("c").alias("oc"), F.col("node").alias("other"),
                            F.col("size").alias("m"))
-    pairs = mine.join(theirs, ["kind", "sig", "oc"])
+    met = mine.join(theirs, ["kind", "sig", "oc"]).groupBy("kind", "node", "other", "n", "m").agg(
+        F.count("*").alias("shared"))
     turn = F.col("node") < F.col("other")
-    return pairs.select(
+    return each.unionByName(met).select(
         "kind", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"),
         F.when(turn, F.col("n")).otherwise(F.col("m")).alias("n"),
-        F.when(turn, F.col("m")).otherwise(F.col("n")).alias("m")).groupBy("kind", "a", "b", "n", "m").agg(
-            F.count("*").alias("shared"))
+        F.when(turn, F.col("m")).otherwise(F.col("n")).alias("m"), "shared")
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id",
