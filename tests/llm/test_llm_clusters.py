@@ -133,7 +133,7 @@ def test_tables_miss_no_link():
             for _ in range(200):
                 flip = sum(1 << int(b) for b in rng.choice(64, distance, replace=False))
                 assert any(flip & m == 0 for m in tables)
-    assert [simhash.blocks_for(n, 3) for n in (0, 10**6, 10**9, 10**12)] == [4, 4, 5, 7]
+    assert [simhash.blocks_for(n, 3) for n in (0, 10**6, 10**9, 10**12, 10**14)] == [4, 4, 5, 6, 7]
 
 
 def test_simhash_awkward(awkward):
