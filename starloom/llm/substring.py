@@ -233,10 +233,6 @@ def _bounded(df: DataFrame, size) -> DataFrame:
     return F.broadcast(df) if total <= 32 << 20 else df
 
 
-def _bytes(places: str) -> F.Column:
-    return F.aggregate(places, F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x))
-
-
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, is_null, text_hash, t) and whether the row is a later copy of
     a whole text. Copies need no windows: all of theirs start earlier."""
@@ -288,7 +284,8 @@ def repeated_windows(rows: DataFrame, window: int) -> DataFrame:
     buckets = power_of_two(total * 64 / 1e6, 32)
     shared = written(_collected(rows.mapInArrow(emit_anchors, BLOBS).groupBy("bucket").applyInPandas(
         repeated, DOC_PLACES)), "substring-anchors")
-    marked = rows.join(_bounded(shared, _bytes("places")), keys).select(*keys, "t", "places")
+    # the places grow with the texts, so both sides go through a shuffle at every size
+    marked = rows.join(shared, keys).select(*keys, "t", "places")
 
     def emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -332,7 +329,7 @@ def remove_repeats(docs: DataFrame, *, window: int = 20, doc_id: str = "doc_id",
     keys = ["doc_id", "is_null", "text_hash"]
     rows = _rows(docs, doc_id, text)
     late = repeated_windows(rows, window)
-    marked = rows.join(_bounded(late, _bytes("places")), keys, "left").select(
+    marked = rows.join(late, keys, "left").select(
         F.when(~F.col("is_null"), F.col("doc_id")).alias("doc_id"), "t", "places", "copy")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
