@@ -2,6 +2,7 @@
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -206,16 +207,79 @@ def test_scoring_predicts_held_out_text(spark):
     assert lm_score.score_documents(docs.limit(0)).count() == 0
 
 
+def _blocks(texts_and_ids):
+    raw = lm_score.written(lm_score.blocks_of(texts_and_ids), "lm-test")
+    counts, vocab = lm_score.count_words(raw)
+    return lm_score.written(lm_score.coded(raw, counts, vocab, 3), "lm-test"), vocab
+
+
+def _rows(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, t string").select(
+        "doc_id", F.col("t").cast("binary").alias("t"))
+
+
 def test_every_token_is_a_target(spark):
     # three tokens, each of which must be learnt
-    texts = spark.createDataFrame([("a b c",)], "t string").select(F.col("t").cast("binary").alias("t"))
-    vocab = lm_score.vocabulary(texts)
-    token, around = lm_score.contexts([lm_score.Coder(vocab)(b"a b c")])
+    blocks, vocab = _blocks(_rows(spark, ["a b c"]))
+    token, around = lm_score.contexts([vocab.tokens(lm_score.WordHashes().of(b"a b c"))])
     before = lm_score.Net().log_probability(token, around)
-    after = lm_score.train(texts, vocab, 3).log_probability(token, around)
+    after = lm_score.train(blocks, 3).log_probability(token, around)
     assert len(token) == 3 and (after > before + 0.1).all()
 
 
+def test_scores_equal_brute_force(spark, monkeypatch):
+    """Every word by itself: softmax over the classes, softmax in the class, and the
+    word's share in its bucket by a plain count of all words."""
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(lm_score, "BLOCK", 500)  # several blocks a task
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, rng.integers(1, 80)) % 3000) for _ in range(200)]
+    texts += [None, "", texts[0], "once"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    blocks, vocab = _blocks(docs.select("doc_id", F.col("text").cast("binary").alias("t")))
+    net = lm_score.train(blocks, 3)
+    got = {r.doc_id: r for r in lm_score.score_blocks(blocks, net).collect()}
+    assert len(got) == len(texts)
+    assert blocks.count() > 3
+    hashes, counts = lm_score.WordHashes(), Counter(w for t in texts for w in (t or "").encode().split())
+    assert len(counts) > lm_score.TOKENS
+    order = sorted(counts, key=lambda w: (-counts[w], np.uint64(hashes[w]).view(np.int64)))
+    frequent = order[:lm_score.TOKENS - lm_score.RARE]
+    number = {w: k for k, w in enumerate(frequent)}
+    for w in order[len(frequent):]:
+        number[w] = int(lm_score.bucket_of(np.array([hashes[w]], np.uint64))[0])
+    total = Counter()
+    for w, k in number.items():
+        total[k] += counts[w]
+    assert {k + lm_score.TOKENS - lm_score.RARE: n for k, n in enumerate(vocab.total.tolist()) if n} == {
+        k: n for k, n in total.items() if k >= lm_score.TOKENS - lm_score.RARE}
+
+    def softmax(z):
+        z = np.exp(z - z.max())
+        return z / z.sum()
+
+    for i in (0, 7, 200, 201, 202, 203):
+        words, score = (texts[i] or "").encode().split(), 0.0
+        token = [lm_score.TOKENS] * 2 + [number[w] for w in words] + [lm_score.TOKENS] * 2
+        for j, w in enumerate(words):
+            around = [token[j], token[j + 1], token[j + 3], token[j + 4]]
+            h = np.tanh(net.w["bias"] + sum(net.w["embed"][k][x] for k, x in enumerate(around)))
+            c, m = divmod(number[w], lm_score.MEMBERS)
+            p = softmax(h @ net.w["out"] + net.w["out_bias"])[c]
+            p *= softmax(h @ net.w["word"][c] + net.w["word_bias"][c])[m]
+            score += np.log(p * counts[w] / total[number[w]])
+        assert got[i].n_tokens == len(words)
+        assert abs(got[i].log_likelihood - score) < 1e-4 * len(words) + 1e-9
+
+
+def test_words_said_once_score_below_words_said_twice(spark):
+    common = " ".join(f"w{x}" for x in range(900))
+    texts = [common] * 20 + ["only here once stands this"] + ["these words occur exactly twice"] * 2
+    got = {r.doc_id: r.mean_log_likelihood for r in lm_score.score_documents(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert abs(got[21] - got[22]) < 1e-5
+    assert got[21] > got[20]
+
+
 def test_scores_are_log_probabilities():
     net = lm_score.Net()
     around = np.random.default_rng(6).integers(0, lm_score.TOKENS + 1, (1, 4))
