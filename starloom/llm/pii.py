@@ -9,7 +9,7 @@ good as the share of one kind among its distinct instances that are decided
 (known, or not of that kind by their form; an instance that may be of the kind
 counts as ``OPEN`` of one); an unknown instance is as good as the chance that one of its patterns is right.
 High-confidence patterns make instances known, which may make further patterns
-good, until nothing changes or ``rounds`` are over.
+good, until nothing new is found.
 
 Texts are scanned once; the rounds work on the graph of distinct (pattern,
 instance) edges, which only texts with digits or "@" add to.
@@ -17,6 +17,8 @@ instance) edges, which only texts with digits or "@" add to.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -37,12 +39,14 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
 # identifier-like tokens that may be personal data without meeting a base rule
-_LIKE = re.compile(r"[+(]?[0-9][0-9 ().-]{5,28}[0-9]|[^\s@]{1,64}@[^\s@]{2,64}|"
-                   r"(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{1,4}")
+_NUMBER = re.compile(r"[+(]?[0-9](?:[0-9 ().-]*[0-9])?")
+_HOST = re.compile(r"[^\s@]{2,}")
+_COLONS = re.compile(r"[0-9A-Fa-f:]{7,}")
+_ADDRESS = re.compile(r"(?:[0-9A-Fa-f]{0,4}:){3,7}[0-9A-Fa-f]{1,4}")
 _DIGITS = re.compile(r"[^0-9]+")
 
 SPAN = "struct<start:int,kind:int,stop:int>"
-SCAN = (f"key long, doc_id long, base array<{SPAN}>, "
+SCAN = (f"key binary, doc_id long, base array<{SPAN}>, "
         "seen array<struct<start:int,stop:int,kind:int,instance:string,patterns:array<string>>>")
 
 
@@ -102,6 +106,32 @@ def _like(token: str) -> int:
     return 4 * (13 <= len(digits) <= 19) + 8 * (7 <= len(digits) <= 15)
 
 
+def tokens_like(text: str) -> list[tuple[int, int]]:
+    """(start, stop) of the identifier-like tokens, leftmost and then longest
+    first, without overlaps: whole runs of digits and their separators, of
+    characters around "@", and of hexadecimal digits and colons. In time linear in
+    the text."""
+    out = [m.span() for m in _NUMBER.finditer(text) if m.end() - m.start() >= 7]
+    at, free = text.find("@"), 0
+    while at >= 0:
+        i = at
+        while i > free and not text[i - 1].isspace() and text[i - 1] != "@":
+            i -= 1
+        m = _HOST.match(text, at + 1) if i < at else None
+        if m:
+            out.append((i, m.end()))
+        free = m.end() if m else at + 1
+        at = text.find("@", free)
+    if ":" in text:
+        out += [m.span() for m in _COLONS.finditer(text) if _ADDRESS.fullmatch(text, *m.span())]
+    kept, end = [], 0
+    for i, j in sorted(out, key=lambda x: (x[0], -x[1])):
+        if i >= end:
+            kept.append((i, j))
+            end = j
+    return kept
+
+
 def _word(w: str) -> str:
     return re.sub(r"[0-9]+", "#", w.strip(".,;:!?\"'()[]=*&%$#|<>-").lower())
 
@@ -128,11 +158,15 @@ def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[tuple]]:
         return [], []
     base = base_spans(text)
     seen = [(s, e, k, _key(text[s:e], k), patterns_around(text, s, e)) for s, k, e in base]
-    for m in _LIKE.finditer(text):
-        bits = _like(m[0])
-        if bits and not any(s < m.end() and m.start() < e for s, _, e in base):
-            seen.append((m.start(), m.end(), -1 - bits, _key(m[0]),
-                         patterns_around(text, m.start(), m.end())))
+    first, last = [], 0  # base spans by start, and where the ones so far end
+    for s, _, e in base:
+        last = max(last, e)
+        first.append((s, last))
+    for i, j in tokens_like(text):
+        bits = _like(text[i:j])
+        before = bisect.bisect_left(first, (j,))
+        if bits and not (before and first[before - 1][1] > i):
+            seen.append((i, j, -1 - bits, _key(text[i:j]), patterns_around(text, i, j)))
     return base, seen
 
 
@@ -150,7 +184,7 @@ def _allows(bits: Column, kind: Column) -> Column:
 def _scan(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = pa.schema([
-            ("key", pa.int64()), ("doc_id", pa.int64()),
+            ("key", pa.binary()), ("doc_id", pa.int64()),
             ("base", pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())]))),
             ("seen", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("kind", pa.int32()),
                                          ("instance", pa.string()), ("patterns", pa.list_(pa.string()))])))])
@@ -171,7 +205,8 @@ def _scan(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _row_key(doc_id: str, text: str) -> Column:
-    return F.xxhash64(F.col(doc_id), F.col(text))
+    """128 bits of id and text together; a NULL id differs from every other."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col(text))))
 
 
 def score_patterns(edges: DataFrame, known: DataFrame, least_support: int,
@@ -196,7 +231,7 @@ def score_patterns(edges: DataFrame, known: DataFrame, least_support: int,
         "pattern", F.col("best.kind").alias("kind"), "confidence")
 
 
-def bootstrap(occurrences: DataFrame, *, rounds: int, least_support: int, least_share: float,
+def bootstrap(occurrences: DataFrame, *, rounds: int | None, least_support: int, least_share: float,
               least_instance: float) -> DataFrame | None:
     """(instance, kind) of the identifiers among the unknown tokens: those that
     are other spellings of a seed, and the unseen ones that high-confidence
@@ -212,7 +247,7 @@ def bootstrap(occurrences: DataFrame, *, rounds: int, least_support: int, least_
     open_edges = edges.where("kind < 0").select(
         (-1 - F.col("kind")).alias("bits"), "instance", "pattern").join(known, "instance", "left_anti")
     found: DataFrame | None = None
-    for _ in range(rounds):
+    for _ in range(rounds) if rounds is not None else itertools.count():
         good = score_patterns(edges, known, least_support, least_share)
         good = small_enough(written(good, "pii-patterns"))
         fits = _allows(F.col("bits"), F.col("kind"))
@@ -234,13 +269,14 @@ def bootstrap(occurrences: DataFrame, *, rounds: int, least_support: int, least_
     return found
 
 
-def find_pii(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rounds: int = 3,
+def find_pii(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rounds: int | None = None,
              least_support: int = 5, least_share: float = 0.8, least_instance: float = 0.8) -> DataFrame:
-    """One row per row of ``docs``: doc_id, key (a hash of id and text), base
+    """One row per row of ``docs``: doc_id, key (128 bits of a hash of id and text), base
     and spans, both lists of (start, kind, stop) in code points, by start and
     then kind (a place in ``KINDS``). ``spans`` holds ``base`` and what the
     patterns add, which never overlaps a base span. Every spelling of a seed is
-    marked wherever it occurs.
+    marked wherever it occurs. Discovery goes on until a round finds nothing new,
+    unless ``rounds`` says how many there are to be.
 
     A NULL or empty text has no spans. Repeated rows get equal results. An
     empty table gives an empty one. Other columns are not read."""
@@ -289,7 +325,11 @@ def mask_pii(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **o
 
     # the row travels as one column, so that no name of its own is taken
     whole = docs.select(F.struct("*").alias("row"), F.col(text).alias("t"), _row_key(doc_id, text).alias("_key"))
-    marked = whole.join(small_enough(found), "_key", "left")
+    # lists of any length: their spans are counted, and not only the rows
+    rows, places = found.agg(F.count("*"), F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()
+    if rows <= 500_000 and places <= 2_000_000:  # under 100 MB
+        found = F.broadcast(found)
+    marked = whole.join(found, "_key", "left")
     # texts without spans don't go through Python
     plain = marked.where(F.col("spans").isNull()).select("row.*")
     hit = marked.where(F.col("spans").isNotNull()).withColumn("t", mask("t", "spans"))
