@@ -11,7 +11,7 @@ corpus has a probability of its own. The counts behind the shares are of all wor
 of all documents, in a table that grows with the corpus; no task and not the
 driver holds it whole.
 
-Texts are read once. They become blocks of some 300,000 words; Spark counts the
+Texts are read once. They become blocks of some 100,000 words; Spark counts the
 words by ranges of their hashes, and each block gets the counts of its own words
 back and is written as token numbers. Training and scoring read only those.
 
@@ -42,7 +42,7 @@ CLASSES, MEMBERS, HIDDEN, SIDE = 32, 32, 24, 2
 TOKENS = CLASSES * MEMBERS
 RARE = 256          # hash buckets of the words that are not in the vocabulary
 FAN = 16            # weights summed by one task
-BLOCK = 300_000     # words of a block, unless a single text has more
+BLOCK = 100_000     # words of a block, unless a single text has more
 
 BLOCKS = "block long, ids array<long>, sizes array<long>, tokens binary, keys binary, counts binary"
 CODED = "block long, ids array<long>, sizes array<long>, shares array<double>, tokens binary"
@@ -79,13 +79,13 @@ def blocks_of(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(cut, BLOCKS)
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Numbers below 2**32 as byte planes, whose upper ones compress to little."""
-    return np.asarray(x, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def _planes(x: np.ndarray, width: int = 4) -> bytes:
+    """Numbers of so many bytes as byte planes, whose upper ones compress to little."""
+    return np.asarray(x, f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
 
 
-def _numbers(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def _numbers(b: bytes, width: int = 4) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel()
 
 
 def bucket_of(keys: np.ndarray) -> np.ndarray:
@@ -134,7 +134,7 @@ def count_words(blocks: DataFrame) -> tuple[DataFrame, Vocabulary]:
         own, at = np.unique(np.concatenate(keys), return_inverse=True)
         n = np.bincount(at, np.concatenate([_numbers(x) for x in part["counts"]])).astype(np.int64)
         cuts = np.cumsum([0, *map(len, keys)])
-        rows = [(b, int(p), n[at[i:j]].astype("<i8").tobytes(), None, None, None)
+        rows = [(b, int(p), _planes(n[at[i:j]], 8), None, None, None)
                 for b, p, i, j in zip(part["block"], part["part"], cuts, cuts[1:], strict=False)]
         best = np.lexsort((own, -n))[:TOKENS - RARE]
         rows += [(None, None, None, int(w), None, int(k))
@@ -162,7 +162,7 @@ def coded(blocks: DataFrame, counts: DataFrame, vocab: Vocabulary, tasks: int) -
         rows = part.select(["part", "counts"]).to_pylist()
         whole = part.filter(pc.equal(part["part"], -1))
         keys = unpack_sorted(whole["keys"][0].as_py())
-        n = np.concatenate([np.zeros(0, "<i8"), *[np.frombuffer(r["counts"], "<i8") for r in sorted(
+        n = np.concatenate([np.zeros(0, "<u8"), *[_numbers(r["counts"], 8) for r in sorted(
             rows, key=lambda r: r["part"]) if r["part"] >= 0]])
         token, share = vocab.tokens(keys), np.zeros(len(keys))
         rare = token >= TOKENS - RARE
@@ -268,7 +268,8 @@ class Net:
 
 def _documents(batch: pa.RecordBatch) -> Iterator[tuple[list, list[np.ndarray], list[float]]]:
     """Ids, token numbers and shares of each block's documents."""
-    for ids, sizes, shares, tokens in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3, 4)), strict=True):
+    for row in range(batch.num_rows):  # one block at a time in Python
+        ids, sizes, shares, tokens = (batch.column(c)[row].as_py() for c in (1, 2, 3, 4))
         yield ids, np.split(np.frombuffer(tokens, "<u2"), np.cumsum(sizes)[:-1]), shares
 
 
@@ -351,6 +352,6 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("t"))
     raw = written(blocks_of(rows), "lm-blocks")
     counts, vocab = count_words(raw)
-    blocks = written(coded(raw, counts, vocab, max(1, raw.count() // 5)), "lm-coded")
+    blocks = written(coded(raw, counts, vocab, max(1, raw.count() // 15)), "lm-coded")
     return written(score_blocks(blocks, train(blocks, rounds)), "lm-scores").select("*", F.when(
         F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))
