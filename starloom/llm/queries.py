@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (ann, jaccard, lm_score, mixing, orchard, packing, pii, quality_lines, resample, sharding, simhash,
@@ -43,10 +43,15 @@ def op6_nearest(spark: SparkSession, d: str) -> DataFrame:
     return ann.nearest(_table(spark, d, "embeddings"), top=20, every=20)
 
 
+def _of_kind(spans: str, kind: int) -> Column:
+    """Spans of the kind. (``F.filter`` hands a function of two parameters, a default
+    one included, the place in the list too: this one takes one.)"""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op7_pii(spark: SparkSession, d: str) -> DataFrame:
     found = pii.find_pii(_table(spark, d, "documents"))
-    of_kind = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-               for k, name in enumerate(pii.KINDS)]
+    of_kind = [_of_kind("base", k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     return found.select("doc_id", *of_kind, F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
                         pii.span_text(F.col("spans")).alias("spans"))
 

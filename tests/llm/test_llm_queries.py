@@ -27,3 +27,11 @@ def test_query_matches_oracle(spark, name):
     got = queries.QUERIES[name](spark, SF)
     assert sorted(got.columns) == sorted(columns)
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(found.fetchall())
+
+
+def test_op7_counts_each_kind(spark, tmp_dir):
+    rows = [(1, "mail ann@b.org or bob@c.org"), (2, "host 10.0.0.1"), (3, "4111 1111 1111 1111"), (4, "call +1 (555) 010-1234"),
+            (5, "nothing"), (6, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    got = queries.op7_pii(spark, tmp_dir).orderBy("doc_id").select("n_email", "n_ip", "n_card", "n_phone").collect()
+    assert [tuple(r) for r in got] == [(2, 0, 0, 0), (0, 1, 0, 0), (0, 0, 1, 0), (0, 0, 0, 1), (0, 0, 0, 0), (0, 0, 0, 0)]
