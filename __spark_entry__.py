@@ -79,11 +79,16 @@ def _clean(spark, d, dirty=False) -> DataFrame:
     return preprocess(_raw(spark, d, dirty))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once as files of the shared folder, and read from there."""
+    spark, path = df.sparkSession, scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _star(spark, d, dirty=False, **kw) -> dict[str, DataFrame]:
     # the adapter is a 5-way join and read twice: land its rows once
-    raw, path = _raw(spark, d, dirty), scratch_folder(spark, "extract")
-    raw.write.parquet(path)
-    return build_star(spark.read.schema(raw.schema).parquet(path), run_ts=RUN_TS, **kw)
+    return build_star(_stored(_raw(spark, d, dirty), "extract"), run_ts=RUN_TS, **kw)
 
 
 def _shown(dim: DataFrame) -> DataFrame:
@@ -159,8 +164,8 @@ def q_fact(spark, d, dirty=False, **kw):
 
 
 def q_fact_margin_unguarded(spark, d):
-    star = _star(spark, d, dirty=True)
-    clean = _clean(spark, d, dirty=True)
+    raw = _stored(_raw(spark, d, dirty=True), "extract")
+    star, clean = build_star(raw, run_ts=RUN_TS), preprocess(raw)
     dims = {k: v for k, v in star.items() if k != "fact_orders"}
     return build_fact_orders(clean, dims, margin="unguarded", fill=False)
 
