@@ -1,3 +1,4 @@
+import datetime
 import os
 
 import duckdb
@@ -82,3 +83,48 @@ def test_key_numbering_is_spread_over_tasks(spark):
     sizes = [r["count"] for r in keyed.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2000
     assert keyed.where("k != id + 1").count() == 0 and dict(keyed.dtypes)["k"] == "bigint"
+
+
+@pytest.fixture(scope="module")
+def small_tables(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("tables"))
+    rows = {
+        "lineitem": ([(k, k % 3, k % 2, n, 2.0, 10.0 + k, 0.1, "OF"[k % 2]) for k in range(1, 9) for n in (1, 2)],
+                     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                     "l_extendedprice double, l_discount double, l_linestatus string"),
+        "orders": ([(k, k % 4, "OPF"[k % 3], datetime.datetime(2024, 3, k)) for k in range(1, 9)],
+                   "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz"),
+        "customer": ([(k, f"Customer#{k}", k) for k in range(4)], "c_custkey bigint, c_name string, c_nationkey int"),
+        "part": ([(k, f"part {k}", "KIND", f"Brand#{k}", 5.0 + k) for k in range(3)],
+                 "p_partkey bigint, p_name string, p_type string, p_brand string, p_retailprice double"),
+        "supplier": ([(k, f"Supplier#{k}") for k in range(2)], "s_suppkey bigint, s_name string"),
+    }
+    for name, (data, schema) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{d}/{name}.parquet")
+    return d
+
+
+def test_united_formats_in_one_shuffle(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (2, 0.5), (3, 1.0)], "k int, v double")
+    b = spark.createDataFrame([(1, None), (2, 0.5), (2, 0.5), (4, float("nan"))], "k int, v double")
+    got = E._united(a, b)
+    assert got.columns == ["k", "v"]
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    expected = a.intersectAll(b).unionByName(a.exceptAll(b)).unionByName(b.exceptAll(a))
+    assert _bag(got.columns, got.collect()) == _bag(got.columns, expected.collect()) and got.count() == 6
+
+
+def test_texts_of_one_table_are_made_before_the_joins(spark, small_tables):
+    raw = E.queries()["raw_orders"](spark, small_tables)
+    above = raw._jdf.queryExecution().optimizedPlan().toString().partition("Join")[0]
+    assert "regexp_replace" not in above and "date_format" not in above
+    row = raw.where("Order_Number = 5 AND Total_Cost = 14").first()
+    assert (row["Customer_Name"], row["State_Code"], row["Order_Date"], row["Status"], row["Assigned Supervisor"]) == (
+        "Customer 1", "TN", "05/03/2024", "Delivered", "Supplier 1")
+
+
+def test_star_checks_join_the_tables_once(spark, small_tables, monkeypatch):
+    calls, joined = [], E.orders_from_tables
+    monkeypatch.setattr(E, "orders_from_tables", lambda *a, **kw: calls.append(1) or joined(*a, **kw))
+    assert E.q_fact_margin_unguarded(spark, small_tables).count() == 16
+    assert len(calls) == 1
