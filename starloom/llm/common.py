@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import functools
 import hashlib
 import math
@@ -12,6 +13,7 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,12 +49,34 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Rows that a Python task gets at a time, at most: whole texts, so that Spark's
+#: default of 10,000 would hold tens of MB, several times over, in every task.
+ROWS_AT_ONCE = 1000
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again, so
     that later jobs neither repeat its work nor depend on lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    if not 0 < int(before) <= ROWS_AT_ONCE:
+        spark.conf.set(setting, ROWS_AT_ONCE)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def give_back() -> None:
+    """Hand memory that this Python worker has freed back to the machine: the
+    worker outlives its task, and what it holds on to counts against the
+    executor while other stages run."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
 
 
 def clear_scratch() -> None:

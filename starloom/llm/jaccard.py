@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import (WORD, WordHashes, components, grams_of, pack_sorted, power_of_two, ship, slices,
+from .common import (WORD, WordHashes, components, give_back, grams_of, pack_sorted, power_of_two, ship, slices,
                      small_enough, unpack_sorted, written)
 
 KEY_SHIFT = np.uint64(24)  # shingles are counted by the upper 40 bits of their hashes
@@ -95,6 +95,8 @@ def _each_set(batches, n: int, step: int = 256) -> Iterator[tuple[list, list[np.
         for at in range(0, batch.num_rows, step):
             rows = batch.slice(at, step)
             yield rows, shingle_sets(rows.column(rows.num_columns - 1).to_pylist(), n, hashes)
+    hashes.clear()
+    give_back()
 
 
 def _unseen(batches, n: int) -> Iterator[tuple[int, np.ndarray]]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, small_enough, written
+from .common import give_back, ship, small_enough, written
 
 KINDS = ("email", "ip", "card", "phone")
 OPEN = 0.05  # so much of an error is an unknown instance that may be of the kind
@@ -199,6 +199,7 @@ def _scan(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                      pa.array([[dict(zip(("start", "stop", "kind", "instance", "patterns"), s, strict=True))
                                 for s in seen] for _, seen in found], fields.field(3).type)],
                     schema=fields)
+        give_back()
 
     rows = docs.select(_row_key(doc_id, text), F.col(doc_id).cast("long"), F.col(text))
     return rows.mapInArrow(scan, SCAN)

@@ -7,6 +7,7 @@ import os
 
 import numpy as np
 
+from .common import give_back
 
 #: Stands between words that are encoded in one call: a token of its own.
 MARK = "~"
@@ -17,10 +18,13 @@ class WordEncoder:
     """Token ids of blank-separated words as little-endian unsigned 32-bit
     bytes. The tokenizer drops white space and looks at no text across it, so
     a text's ids are those of its words, one after the other; each distinct
-    word is encoded once. At most ``limit`` words are remembered."""
+    word is encoded once. About ``limit`` words are remembered, in two halves:
+    when the newer one is full, the older one is forgotten but for the words
+    that are met again, so frequent words stay known."""
 
     def __init__(self, path: str, limit: int = 1_200_000):
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one thread a task
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -33,10 +37,9 @@ class WordEncoder:
         """Make sure that all of ``words`` are known. A word is its core and
         the ASCII punctuation behind it, where the tokenizer surely cuts, so
         many words share a core."""
-        new = words.difference(self.known)
-        if len(self.known) + 2 * len(new) > self.limit:
-            self.known.clear()
-            new = words
+        if self.known and 2 * (len(self.known) + len(words)) > self.limit:
+            self.older, self.known = self.known, {}
+        new = self._unknown(words)
         parts, wanted = [], set()
         for w in new:
             core = w.rstrip(_TAIL)
@@ -47,9 +50,17 @@ class WordEncoder:
                 parts.append((w, core, w[len(core):]))
                 wanted.add(core)
                 wanted.add(w[len(core):])
-        self._encode(list(wanted.difference(self.known)))
+        self._encode(list(self._unknown(wanted)))
         self.known.update([(w, self.known[core] + self.known[tail]) for w, core, tail in parts])
 
+    def _unknown(self, words: set[bytes]) -> set[bytes]:
+        """Those of ``words`` that neither half knows. Words of the older half
+        come to the newer one."""
+        new = words.difference(self.known)
+        met = [(w, self.older[w]) for w in new if w in self.older]
+        self.known.update(met)
+        return new.difference([w for w, _ in met])
+
     def _encode(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 1000):  # one call for many words: ten times as fast
             some = words[at:at + 1000]
@@ -95,6 +106,7 @@ class WordEncoder:
 @functools.cache
 def encoder(path: str, limit: int = 1_200_000) -> WordEncoder:
     """One encoder per Python worker. A remembered word takes about 190 bytes."""
+    give_back()
     return WordEncoder(path, limit)
 
 

@@ -5,10 +5,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import ann, lm_score, packing, token_files
+from starloom.llm.common import written
 from starloom.llm.tokens import WordEncoder, public_path
 
 TEXTS = [None, "", " \n ", "one", "one", "Two WORDS, here.", "<|endoftext|>. x<|endoftext|>,", "a\x1cb \x85 x y",
@@ -43,6 +45,29 @@ def test_words_encode_like_whole_texts(ids_of):
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(t) for t in TEXTS]
 
 
+def test_frequent_words_stay_known_when_others_are_forgotten(monkeypatch):
+    encode, asked = WordEncoder(public_path(), limit=400), []
+    inner = encode._encode
+    monkeypatch.setattr(encode, "_encode", lambda ws: (asked.extend(ws), inner(ws)))
+    for k in range(50):
+        encode([b"always here " + b" ".join(b"w%dx%d" % (k, i) for i in range(20))])
+        assert len(encode.known) + len(encode.older) <= 400
+    assert asked.count(b"always") == asked.count(b"here") == 1
+    assert len(asked) == 2 + 50 * 20 and b"w0x0" not in encode.known
+
+
+def test_python_tasks_get_few_texts_at_a_time(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    got = [r.n for r in written(spark.range(0, 2500, 1, 1).mapInArrow(sizes, "n long"), "sizes").collect()]
+    assert sum(got) == 2500 and max(got) <= 1000
+    assert spark.conf.get(setting) == before
+
+
 def test_packing_places_every_piece(docs, ids_of):
     got = packing.pack_documents(docs, length=256, end_id=0).withColumn("crc", F.crc32("ids")).toPandas()
     texts = [(r.doc_id, r.text) for r in docs.collect()]
