@@ -77,7 +77,9 @@ class WordEncoder:
             except UnicodeDecodeError:
                 self.known.update((w, self._ids(w)) for w in some)
                 continue
-            ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            # the fast call makes the same ids without their places in the text
+            coded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+            ids = np.asarray(coded.ids, "<u4")
             ends = np.flatnonzero(ids == self.mark[0])
             if len(ends) != len(some) - 1:  # cannot happen; each word by itself is right anyway
                 self.known.update((w, self._ids(w)) for w in some)
