@@ -38,7 +38,7 @@ from starloom.plans.star import build_star  # noqa: E402
 from starloom.session import ensure_checkpoint_dir, scratch_folder  # noqa: E402
 from starloom.plans.job import run as run_job  # noqa: E402
 from starloom.sinks import StarLog, compact, create_star_tables, publish_star, read_star, write_star  # noqa: E402
-from starloom.sources.harness import STATE_CODES, orders_from_tables  # noqa: E402
+from starloom.sources.harness import STATE_CODES, joined_lines, orders_from_tables, with_defects  # noqa: E402
 from starloom.sources.raw import read_raw_csv  # noqa: E402
 from starloom.sources.seeds import geo_rows  # noqa: E402
 from starloom.streaming import (completeness_so_far, key_uniqueness_so_far, load_counts, load_table, process_batch,  # noqa: E402
@@ -355,8 +355,10 @@ def q_published_versions(spark, d):
     """Two stars published one after the other, each in one step: the fact of
     both versions, the earlier one read after the later was there."""
     root, out = scratch_folder(spark, "published"), None
-    first = publish_star(spark, _star(spark, d), root)
-    publish_star(spark, _star(spark, d, dirty=True), root, expect=first.version)
+    _prep(spark)
+    lines = _stored(joined_lines(spark, d), "lines")  # both extracts are projections of the same rows
+    first = publish_star(spark, build_star(with_defects(lines), run_ts=RUN_TS), root)
+    publish_star(spark, build_star(with_defects(lines, dirty=True), run_ts=RUN_TS), root, expect=first.version)
     for version in (1, 2):
         fact = read_star(spark, root, version)["fact_orders"].withColumn("version", F.lit(version))
         out = fact if out is None else out.unionByName(fact)

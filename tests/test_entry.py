@@ -128,3 +128,38 @@ def test_star_checks_join_the_tables_once(spark, small_tables, monkeypatch):
     monkeypatch.setattr(E, "orders_from_tables", lambda *a, **kw: calls.append(1) or joined(*a, **kw))
     assert E.q_fact_margin_unguarded(spark, small_tables).count() == 16
     assert len(calls) == 1
+
+
+def test_both_published_stars_join_the_tables_once(spark, small_tables, monkeypatch):
+    calls = []
+    for name in ("joined_lines", "orders_from_tables"):
+        made = getattr(E, name)
+        monkeypatch.setattr(E, name, lambda *a, _made=made, **kw: calls.append(1) or _made(*a, **kw))
+    versions = E.q_published_versions(spark, small_tables)
+    assert {r.version: r["count"] for r in versions.groupBy("version").count().collect()} == {1: 16, 2: 16}
+    assert len(calls) == 1
+
+
+def test_the_bookmarked_table_takes_its_rows_where_they_are(spark, small_tables, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    monkeypatch.setattr(DataFrameWriter, "insertInto", lambda *a, **kw: pytest.fail("rows written twice"))
+    assert E.q_table_bookmark(spark, small_tables).count() == 16
+
+
+def test_small_dimensions_are_not_merged_into_the_natural_fact(spark, small_tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the lookups' own bounds decide
+    try:
+        fact = E.q_table_bookmark(spark, small_tables)
+        assert "SortMergeJoin" not in fact._jdf.queryExecution().executedPlan().toString() and fact.count() == 16
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("query, ending", [("incremental_fact", ".zstd.parquet"), ("stream_quarantine", ".csv.gz")])
+def test_landed_rows_are_small(spark, small_tables, monkeypatch, query, ending):
+    folders, scratch = [], E.scratch_folder
+    monkeypatch.setattr(E, "scratch_folder", lambda *a: folders.append(scratch(*a)) or folders[-1])
+    assert E.queries()[query](spark, small_tables).count() > 0
+    at = f"{folders[0].removeprefix('file:')}/landing"
+    landed = [f for f in os.listdir(at) if f.startswith("part-")]
+    assert landed and all(f.endswith(ending) for f in landed)
