@@ -26,7 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from starloom import contracts as C  # noqa: E402
 from starloom.operators.dense_keys import number_rows  # noqa: E402
-from starloom.operators.lookup import lookup_key  # noqa: E402
+from starloom.operators.lookup import bounded_broadcast, lookup_key  # noqa: E402
 from starloom.operators.single_valued import distinct_count, single_valued  # noqa: E402
 from starloom.plans import quality as Q  # noqa: E402
 from starloom.plans.dims import (STATUS_DESCRIPTIONS, UNKNOWN_STATUS,  # noqa: E402
@@ -242,8 +242,8 @@ def _loaded_at_once(spark, d) -> str:
 
 def _natural_fact(spark, root: str) -> DataFrame:
     """The fact with natural keys in place of surrogate ones."""
-    def dim(name, *cols):
-        return read_table(spark, root, name).select(*cols)
+    def dim(name, *cols):  # no broadcast beyond the lookups' bounds, and no merge below them
+        return bounded_broadcast(read_table(spark, root, name).select(*cols))[0]
 
     fact = read_fact(spark, root)
     fact = fact.join(dim("dim_cust", "customer_id", "customer_name"), "customer_id", "left")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from ..operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, size_of
 from .dims import (build_dim_cust, build_dim_date, build_dim_emp, build_dim_geo,
                    build_dim_prod, build_dim_status, dimension_members)
-from .fact import build_fact_orders
+from .fact import LOOKED_UP, build_fact_orders
 from .prep import preprocess
 
 STAR_ORDER = ["dim_date", "dim_cust", "dim_geo", "dim_prod", "dim_ostatus", "dim_emp",
@@ -73,20 +73,20 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
         "dim_emp": lambda: build_dim_emp(clean, key_order=person_key_order, seen_cols=seen,
                                          members=members.get("dim_emp"), **common),
     }
-    def built(fn):
-        # the measured size of each materialized dimension decides broadcast
-        df = fn()
-        return df, size_of(df)
+    def built(name):
+        # the measured size of what is looked up in each materialized dimension decides broadcast
+        df = builders[name]()
+        return df, size_of(df.select(*LOOKED_UP[name])) if name in LOOKED_UP else None
 
     if parallel_dims:
         # The keyed dimensions run a few small jobs each (range sample,
         # checkpoint, partition sizes, row count); submitted from threads they
         # share the executors instead of queueing one after another.
         with ThreadPoolExecutor(max_workers=len(builders)) as pool:
-            futures = {name: pool.submit(built, fn) for name, fn in builders.items()}
+            futures = {name: pool.submit(built, name) for name in builders}
             results = {name: f.result() for name, f in futures.items()}
     else:
-        results = {name: built(fn) for name, fn in builders.items()}
+        results = {name: built(name) for name in builders}
     dims = {name: r[0] for name, r in results.items()}
     dim_sizes = {name: r[1] for name, r in results.items()}
     fact = build_fact_orders(clean, dims, country=country, product_match=product_match,

@@ -138,3 +138,18 @@ def test_moved_rows_leave_their_natural_keys_behind(make_raw):
     assert sorted(map(str, moved.collect())) == sorted(map(str, small.collect()))
     together = _star(make_raw, rows, broadcast_max_rows=0, lookups="together")["fact_orders"]
     assert sorted(map(str, together.collect())) == sorted(map(str, small.collect()))
+
+
+def test_a_dimension_is_as_large_as_what_is_looked_up_in_it(make_raw, monkeypatch):
+    from starloom.operators import lookup
+    from starloom.plans import fact
+    sizes, bounded = {}, lookup.bounded_broadcast
+
+    def recorded(dim, max_rows=None, known_size=None, *more):
+        sizes[dim.columns[0]] = known_size
+        return bounded(dim, max_rows, known_size, *more)
+
+    monkeypatch.setattr(fact, "bounded_broadcast", recorded)
+    star = build_star(make_raw([raw_row(float(i), customer=f"Customer {i}") for i in range(20)]))
+    used = lookup.size_of(star["dim_cust"].select("customer_name", "customer_id"))
+    assert sizes["customer_id"] == used and used[1] < lookup.size_of(star["dim_cust"])[1]
