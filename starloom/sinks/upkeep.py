@@ -65,13 +65,13 @@ def clustered(df: DataFrame, names: list[str], files: int, *, interleave: bool =
     about as many rows each; a value with many rows, which one range couldn't
     hold, is cut along a hash of the row. Min and max of the columns in the
     files' footers then tell readers which files to pass over."""
+    # neither the hash nor the bits move with the rows: both are made of what is in a row
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    keys: list[Column] = [F.col(c) for c in names]
-    if interleave:
-        df = df.withColumn("_z", z_value(df, names))
-        keys = [F.col("_z")]
-    ranged = df.withColumn("_spread", spread).repartitionByRange(files, *keys, "_spread")
-    return ranged.sortWithinPartitions(*keys, *names).drop("_z", "_spread")
+    if not interleave:
+        return df.repartitionByRange(files, *names, spread).sortWithinPartitions(*names)
+    z = z_value(df, names)
+    ranged = df.repartitionByRange(files, z, spread).withColumn("_z", z)
+    return ranged.sortWithinPartitions("_z", *names).drop("_z")
 
 
 # ------------------------------------------------------------------ compaction

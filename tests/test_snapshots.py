@@ -393,6 +393,19 @@ def test_a_hot_value_is_cut_into_several_ranges(spark):
         assert out.columns == fact.columns
 
 
+def test_rows_move_without_the_columns_that_place_them(spark):
+    fact = some_fact(spark, 2_000)
+    for interleave in (False, True):
+        out = clustered(fact, ["order_date", "product_id"], 4, interleave=interleave)
+        plan, moved = out._jdf.queryExecution().optimizedPlan(), []
+        while plan.children().size():
+            if plan.nodeName() == "RepartitionByExpression":
+                moved = [plan.output().apply(i).name() for i in range(plan.output().size())]
+            plan = plan.children().apply(0)
+        assert moved and set(moved) <= set(fact.columns)
+        assert bag(out) == bag(fact)
+
+
 def test_interleaved_bits(spark):
     df = spark.createDataFrame([(0, 0), (3, 0), (0, 3), (3, 3), (None, 3), (1, 2)], "a int, b int")
     got = [r[0] for r in df.select(z_value(df, ["a", "b"], bits=2)).collect()]
