@@ -35,7 +35,7 @@ from starloom.plans.dims import (STATUS_DESCRIPTIONS, UNKNOWN_STATUS,  # noqa: E
 from starloom.plans.fact import build_fact_orders  # noqa: E402
 from starloom.plans.prep import preprocess, preprocess_counts  # noqa: E402
 from starloom.plans.star import build_star  # noqa: E402
-from starloom.session import ensure_checkpoint_dir, scratch_folder  # noqa: E402
+from starloom.session import ensure_checkpoint_dir, exists, scratch_folder  # noqa: E402
 from starloom.plans.job import run as run_job  # noqa: E402
 from starloom.sinks import StarLog, compact, create_star_tables, publish_star, read_star, write_star  # noqa: E402
 from starloom.sources.harness import STATE_CODES, joined_lines, orders_from_tables, with_defects  # noqa: E402
@@ -341,10 +341,10 @@ def q_table_bookmark(spark, d):
     columns = ", ".join(f"`{c}` {t}" for c, t in raw.dtypes)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (turn) LOCATION '{base}/table'")
     try:
-        stored = spark.read.schema(raw.schema).parquet(f"{base}/rows")
         for turns in ([0, 1], [2], []):
-            if turns:
-                stored.where(F.col("turn").isin(turns)).write.insertInto(name)
+            for k in turns:  # a partition's files become the table's where they are
+                if exists(spark, f"{base}/rows/turn={k}"):
+                    spark.sql(f"ALTER TABLE {name} ADD PARTITION (turn={k}) LOCATION '{base}/rows/turn={k}'")
             load_table(spark, name, f"{base}/star", run_ts=RUN_TS)
     finally:
         spark.sql(f"DROP TABLE {name}")
