@@ -66,6 +66,9 @@ MEMBERS = {"dim_cust": ["customer_name"], "dim_emp": ["employee_name"], "dim_ost
 
 # --------------------------------------------------------------------------- Spark side
 
+#: Of rows landed for one query: a quarter smaller than with the star's own snappy.
+SCRATCH = "zstd"
+
 def _prep(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
@@ -82,7 +85,7 @@ def _clean(spark, d, dirty=False) -> DataFrame:
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written once as files of the shared folder, and read from there."""
     spark, path = df.sparkSession, scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", SCRATCH).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -199,7 +202,7 @@ def q_incremental_fact(spark, d):
     numbers members exactly as the full build, so the fact equals
     ``fact_orders``. Files go under the shared checkpoint folder."""
     base = scratch_folder(spark, "incremental")
-    _raw(spark, d).write.mode("overwrite").parquet(f"{base}/landing")
+    _raw(spark, d).write.mode("overwrite").option("compression", SCRATCH).parquet(f"{base}/landing")
     run_incremental(spark, f"{base}/landing", f"{base}/star", f"{base}/stream-checkpoint",
                     source_format="parquet", run_ts=RUN_TS)
     return read_fact(spark, f"{base}/star")
@@ -215,7 +218,8 @@ def _landed(spark, d, name: str) -> tuple[str, list[int]]:
     turns (every task writes its own), and the number of files of each."""
     base = scratch_folder(spark, name)
     raw = _raw(spark, d, dirty=True)
-    raw.withColumn("turn", _turn(F.col("Quantity"))).write.partitionBy("turn").parquet(f"{base}/landing")
+    raw.withColumn("turn", _turn(F.col("Quantity"))).write.partitionBy("turn").option(
+        "compression", SCRATCH).parquet(f"{base}/landing")
     return base, [len(spark.read.parquet(f"{base}/landing/turn={k}").inputFiles()) for k in range(3)]
 
 
@@ -292,7 +296,8 @@ def q_stream_quarantine(spark, d):
     broken = F.pmod(F.col("Quantity").cast("double").cast("int"), F.lit(7)) == 3
     text = text.withColumn("Order_Number", F.when(broken, F.concat(F.coalesce("Order_Number", F.lit("")), F.lit("x")))
                            .otherwise(F.col("Order_Number")))
-    text.write.option("header", True).csv(f"{base}/landing")
+    # half the size for no more time than plain text; one file a task, so the readers stay as many
+    text.write.option("header", True).option("compression", "lz4").csv(f"{base}/landing")
     run_incremental(spark, f"{base}/landing", f"{base}/star", f"{base}/checkpoint", run_ts=RUN_TS)
     counts = load_counts(spark, f"{base}/star").select(F.explode(F.create_map(
         F.lit("read"), "read", F.lit("loaded"), "loaded", F.lit("rejected"), "rejected")).alias("outcome", "n"))
@@ -325,7 +330,8 @@ def q_product_upserts(spark, d):
     raw = _raw(spark, d, dirty=True)
     later = (_turn(F.col("Quantity")) > 0) & (F.pmod(F.col("Quantity").cast("int"), F.lit(5)) == 0)
     raw = raw.withColumn("Cost", F.when(later, F.col("Cost") + 1).otherwise(F.col("Cost")))
-    raw.withColumn("turn", _turn(F.col("Quantity"))).write.partitionBy("turn").parquet(f"{base}/landing")
+    raw.withColumn("turn", _turn(F.col("Quantity"))).write.partitionBy("turn").option(
+        "compression", SCRATCH).parquet(f"{base}/landing")
     for k in range(3):
         rows = spark.read.schema(raw.schema).parquet(f"{base}/landing/turn={k}")
         process_batch(rows, k, f"{base}/star", run_ts=RUN_TS + timedelta(days=k))
@@ -337,7 +343,7 @@ def q_table_bookmark(spark, d):
     third time with nothing new: its rows by natural keys."""
     base, name = scratch_folder(spark, "bookmark"), f"starloom_extract_{uuid.uuid4().hex}"
     raw = _raw(spark, d, dirty=True).withColumn("turn", _turn(F.col("Quantity")))
-    raw.write.partitionBy("turn").parquet(f"{base}/rows")
+    raw.write.partitionBy("turn").option("compression", SCRATCH).parquet(f"{base}/rows")
     columns = ", ".join(f"`{c}` {t}" for c, t in raw.dtypes)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (turn) LOCATION '{base}/table'")
     try:

@@ -155,7 +155,7 @@ def test_small_dimensions_are_not_merged_into_the_natural_fact(spark, small_tabl
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("query, ending", [("incremental_fact", ".zstd.parquet"), ("stream_quarantine", ".csv.gz")])
+@pytest.mark.parametrize("query, ending", [("incremental_fact", ".zstd.parquet"), ("stream_quarantine", ".csv.lz4")])
 def test_landed_rows_are_small(spark, small_tables, monkeypatch, query, ending):
     folders, scratch = [], E.scratch_folder
     monkeypatch.setattr(E, "scratch_folder", lambda *a: folders.append(scratch(*a)) or folders[-1])
