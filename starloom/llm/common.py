@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import functools
 import hashlib
@@ -10,6 +11,7 @@ import math
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -54,18 +56,25 @@ def scratch(spark: SparkSession, name: str) -> str:
 ROWS_AT_ONCE = 1000
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again, so
-    that later jobs neither repeat its work nor depend on lost executors."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+@contextlib.contextmanager
+def few_rows_at_once(spark: SparkSession) -> Iterator[None]:
+    """Python tasks of jobs that run inside get ``ROWS_AT_ONCE`` rows at a time, at most."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)
     if not 0 < int(before) <= ROWS_AT_ONCE:
         spark.conf.set(setting, ROWS_AT_ONCE)
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(setting, before)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read again, so
+    that later jobs neither repeat its work nor depend on lost executors."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    with few_rows_at_once(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

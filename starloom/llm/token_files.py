@@ -38,8 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, ship
-from .tokens import encoder, place
+from .common import few_rows_at_once, scratch, ship
+from .tokens import column_stretches, encoder, place
 
 MAGIC, VERSION = b"TOKZDICT", 1
 INDEX = "doc_id long, part int, file string, start long, n_tokens long, offset long, size long"
@@ -187,9 +187,9 @@ def write_token_files(docs: DataFrame, path: str | None = None, *, end_id: int =
         name = f"part-{part:05d}-{uuid.uuid4().hex[:12]}.bin"
         out, offset, start = None, 48, 0
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                keys = batch.column(0).slice(k, 256)
-                ids = [x + end for x in encode(batch.column(1).slice(k, 256).to_pylist())]
+            for k, to in column_stretches(batch.column(1)):
+                keys = batch.column(0).slice(k, to - k)
+                ids = [x + end for x in encode(batch.column(1).slice(k, to - k).to_pylist())]
                 frames = [compress(x) for x in ids]
                 if out is None:
                     out = fs.open_output_stream(f"{root}/data/{name}")
@@ -211,7 +211,8 @@ def write_token_files(docs: DataFrame, path: str | None = None, *, end_id: int =
     order = [F.col("_id"), F.xxhash64("_text")]
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).cast("binary").alias("_text"))
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows.mapInArrow(write, INDEX).write.parquet(f"{path}/index")
+    with few_rows_at_once(spark):
+        rows.mapInArrow(write, INDEX).write.parquet(f"{path}/index")
     made = TokenFiles(spark, path)
     # one row per part, of which there are as many as tasks
     counts = sorted(made.index().groupBy("part", "file").agg(F.sum("n_tokens")).collect())

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import ann, lm_score, packing, token_files
+from starloom.llm import ann, lm_score, packing, token_files, tokens
 from starloom.llm.common import written
 from starloom.llm.tokens import WordEncoder, public_path
 
@@ -56,6 +56,40 @@ def test_frequent_words_stay_known_when_others_are_forgotten(monkeypatch):
     assert len(asked) == 2 + 50 * 20 and b"w0x0" not in encode.known
 
 
+def test_a_word_is_looked_up_once_for_many_texts(monkeypatch, ids_of):
+    encode, asked = WordEncoder(public_path()), []
+    inner = encode.learn
+    monkeypatch.setattr(encode, "learn", lambda ws: (asked.extend(ws), inner(ws))[1])
+    got = encode([b" Both words, " if k % 2 else b"words both" for k in range(1000)])
+    assert sorted(w for w in asked if w) == [b"both", b"words", b"words,"]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got[:2]] == [ids_of("words both"), ids_of("both words,")]
+    assert got == got[:2] * 500
+
+
+def test_odd_letters_encode_like_whole_texts(ids_of):
+    # marks that only a small letter takes up (once lower-cased it is another one), letters that fall
+    # apart into a letter and a mark, capitals without one small letter, joined letters, new scripts
+    texts = ["H\u0331a T\u0308 W\u030a Y\u030a J\u030c", "J\u0323\u030cx KA\u0300 ka\u0300", "\u0958\u0959 \u0958 ka",
+             "\u0130I \u03a3\u03a3 \u1e9e \ufb03 \u2126\u212a", "\u1112\u1161\u11ab \ud55c", "\U0002ebf0a \U00010d50b \ua7dcc \U0001e5d0",
+             "x\x85y \u2028z\u00a0w", "\u01c5 \u2160 \u00b2a \u0661", "''s 's a's 't"]
+    for limit in (20, 1000):
+        encode = WordEncoder(public_path(), limit)
+        got = encode([t.encode() for t in texts])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(t) for t in texts]
+    assert encode([b"\xff abc \xc3", b"\xffabc"]) == [
+        np.asarray(ids_of(t), "<u4").tobytes() for t in ("\ufffd abc \ufffd", "\ufffdabc")]
+
+
+def test_texts_are_cut_into_stretches_by_bytes(monkeypatch, ids_of):
+    monkeypatch.setattr(tokens, "STRETCH", 10)
+    assert list(tokens.stretches([4, 6, 1, 30, 0, 0, 10, 11])) == [(0, 2), (2, 3), (3, 4), (4, 7), (7, 8)]
+    assert list(tokens.stretches([])) == []
+    column = pa.array([b"aaaaaa", None, b"bbbbbb"], pa.binary())
+    assert list(tokens.column_stretches(column)) == [(0, 2), (2, 3)]
+    got = WordEncoder(public_path())([None if t is None else t.encode() for t in TEXTS])
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(t) for t in TEXTS]
+
+
 def test_python_tasks_get_few_texts_at_a_time(spark):
     def sizes(batches):
         for b in batches:
