@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, small_enough, written
-from .tokens import encoder, place
+from .tokens import column_stretches, encoder, place
 
 #: Words that a worker remembers: about 115 MB.
 WORDS = 600_000
@@ -43,10 +43,10 @@ def token_pieces(docs: DataFrame, *, length: int = 2048, end_id: int = 0, doc_id
         for batch in batches:
             keys = batch.column(0).to_pylist()
             texts = batch.column(1)
-            for at in range(0, len(keys), 256):  # small outputs, whatever the texts' lengths
-                ids = [x + end for x in encode(texts.slice(at, 256).to_pylist())]
+            for at, to in column_stretches(texts):  # small outputs, whatever the texts' lengths
+                ids = [x + end for x in encode(texts.slice(at, to - at).to_pylist())]
                 rows = [(k, p // step, p // 4, x[p:p + step]) for k, x in
-                        zip(keys[at:at + 256], ids, strict=True) for p in range(0, len(x), step)]
+                        zip(keys[at:to], ids, strict=True) for p in range(0, len(x), step)]
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
