@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,6 +16,7 @@ from .common import give_back
 #: Stands between words that are encoded in one call: a token of its own.
 MARK = "~"
 _TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_ALNUM = np.array([k < 128 and chr(k).isalnum() for k in range(256)])
 #: Bytes of text that are encoded at a time, about: 1,000 texts of a usual corpus.
 STRETCH = 4_000_000
 
@@ -42,17 +44,24 @@ def _letters(word: bytes) -> bool:
         return False
 
 
+def _ends_in_letter(word: bytes) -> bool:
+    """Also as the tokenizer sees it: a few letters become a letter and a mark."""
+    last = word.decode("utf-8", "replace")[-1]
+    return unicodedata.normalize("NFC", last).lower()[-1].isalpha()
+
+
 class WordEncoder:
     """Token ids of blank-separated words as little-endian unsigned 32-bit
     bytes. The tokenizer drops white space and looks at no text across it, so
-    a text's ids are those of its words, one after the other; each distinct
-    word is looked up once for many texts, and encoded once. About ``limit``
-    words are remembered, in two halves: when the newer one is full, the older
+    a text's ids are those of its words, one after the other. A word is its core
+    and the punctuation behind it; each distinct one of these is looked up once
+    for many texts, and encoded once. About ``limit`` of
+    them are remembered, in two halves: when the newer one is full, the older
     one is forgotten but for the words that are met again, so frequent words
     stay known."""
 
     def __init__(self, path: str, limit: int = 1_200_000):
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one thread a task
         from tokenizers import Tokenizer
@@ -78,26 +87,13 @@ class WordEncoder:
         return closing
 
     def learn(self, words: list[bytes]) -> list[bytes]:
-        """The ids of ``words``, which are distinct; all are known from now on.
-        A word is its core and the ASCII punctuation behind it, where the
-        tokenizer surely cuts, so many words share a core."""
+        """The ids of ``words``, which are distinct; all are known from now on."""
         ids = list(map(self.known.get, words))
         missing = [k for k, x in enumerate(ids) if x is None]
         if self.known and 2 * (len(self.known) + len(missing)) > self.limit:
             self.older = self.known
             self.known = {w: x for w, x in zip(words, ids, strict=True) if x is not None}
-        parts, wanted = [], set()
-        for w in self._unknown([words[k] for k in missing]):
-            core = w.rstrip(_TAIL)
-            if len(core) == len(w) or not core or b"<|" in w or not (
-                    core[-1:].isalnum() if core[-1] < 128 else core.decode("utf-8", "replace")[-1].isalpha()):
-                wanted.add(w)
-            else:
-                parts.append((w, core, w[len(core):]))
-                wanted.add(core)
-                wanted.add(w[len(core):])
-        self._encode(self._unknown([w for w in wanted if w not in self.known]))
-        self.known.update([(w, self.known[core] + self.known[tail]) for w, core, tail in parts])
+        self._encode(self._unknown([words[k] for k in missing]))
         for k in missing:
             ids[k] = self.known[words[k]]
         return ids
@@ -177,14 +173,36 @@ class WordEncoder:
         # Arrow cuts at the same six characters as ``bytes.split``; the kernel works on bytes
         split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
         words = split.values.dictionary_encode()
-        # white space around a text leaves empty words, which have no ids
-        ids = pa.array(self.learn(words.dictionary.view(pa.binary()).to_pylist()), pa.large_binary()).take(words.indices)
+        parts = _cores_and_tails(words.dictionary).dictionary_encode()
+        ids = pa.array(self.learn(parts.dictionary.to_pylist()), pa.large_binary())
+        of_words = parts.indices.to_numpy().reshape(-1, 2)[words.indices.to_numpy()]
+        ids = ids.take(pa.array(of_words.ravel()))
         _, offsets, data = ids.buffers()
-        ends = np.frombuffer(offsets, np.int64, len(ids) + 1)[split.offsets.to_numpy()].tolist()
+        ends = np.frombuffer(offsets, np.int64, len(ids) + 1)[2 * split.offsets.to_numpy()].tolist()
         raw = memoryview(data or b"")
         return [bytes(raw[i:j]) for i, j in zip(ends, ends[1:], strict=False)]
 
 
+def _cores_and_tails(words: pa.StringArray) -> pa.BinaryArray:
+    """Each word's core and the ASCII punctuation behind it, one after the
+    other, so that many words share a core. The tokenizer surely cuts behind a
+    letter or a digit; any other word is all core and has an empty tail."""
+    _, offsets, data = words.buffers()
+    data = data or pa.py_buffer(b"")
+    starts = np.frombuffer(offsets, np.int32, len(words) + 1, 4 * words.offset)
+    trimmed = pc.binary_length(pc.ascii_rtrim(words, characters=_TAIL.decode())).to_numpy()
+    stops = starts[:-1] + trimmed
+    cut = (trimmed > 0) & (stops < starts[1:]) & ~pc.match_substring(words, "<|").to_numpy(zero_copy_only=False)
+    last = np.frombuffer(data, np.uint8)[stops[cut] - 1]
+    sure = _ALNUM[last]
+    for k, at in zip(np.flatnonzero(last > 127), np.flatnonzero(cut)[last > 127], strict=True):
+        sure[k] = _ends_in_letter(bytes(data[starts[at]:stops[at]]))
+    cut[cut] = sure
+    pairs = np.stack([starts[:-1], np.where(cut, stops, starts[1:])], axis=1).ravel()
+    pairs = np.append(pairs, starts[-1]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(pairs) - 1, [None, pa.py_buffer(pairs), data])
+
+
 def _lower(text: bytes) -> bytes:
     """``text`` with A-Z in lower case, so that fewer words are distinct. The
     tokenizer lower-cases all but its special tokens, but composes letters and
