@@ -35,7 +35,7 @@ from starloom.plans.dims import (STATUS_DESCRIPTIONS, UNKNOWN_STATUS,  # noqa: E
 from starloom.plans.fact import build_fact_orders  # noqa: E402
 from starloom.plans.prep import preprocess, preprocess_counts  # noqa: E402
 from starloom.plans.star import build_star  # noqa: E402
-from starloom.session import ensure_checkpoint_dir, exists, scratch_folder  # noqa: E402
+from starloom.session import ensure_checkpoint_dir, exists, scratch_folder, shuffles_released  # noqa: E402
 from starloom.plans.job import run as run_job  # noqa: E402
 from starloom.sinks import StarLog, compact, create_star_tables, publish_star, read_star, write_star  # noqa: E402
 from starloom.sources.harness import STATE_CODES, joined_lines, orders_from_tables, with_defects  # noqa: E402
@@ -83,15 +83,25 @@ def _clean(spark, d, dirty=False) -> DataFrame:
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written once as files of the shared folder, and read from there."""
-    spark, path = df.sparkSession, scratch_folder(df.sparkSession, name)
-    df.write.option("compression", SCRATCH).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Numbers the rows of the landed extract.
+ROW = "_row"
 
 
-def _star(spark, d, dirty=False, **kw) -> dict[str, DataFrame]:
+def _landed_at(df: DataFrame, path: str) -> DataFrame:
+    """The rows written once as files, and read from there."""
+    with shuffles_released(df.sparkSession):
+        df.write.option("compression", SCRATCH).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+    """The rows as files of the shared folder."""
+    return _landed_at(df, scratch_folder(df.sparkSession, name))
+
+
+def _star(spark, d, dirty=False, path=None, **kw) -> dict[str, DataFrame]:
     # the adapter is a 5-way join and read twice: land its rows once
-    return build_star(_stored(_raw(spark, d, dirty), "extract"), run_ts=RUN_TS, **kw)
+    numbered = _raw(spark, d, dirty).withColumn(ROW, F.monotonically_increasing_id())
+    return build_star(_landed_at(numbered, path or scratch_folder(spark, "extract")), run_ts=RUN_TS, row_id=ROW, **kw)
 
 
 def _shown(dim: DataFrame) -> DataFrame:

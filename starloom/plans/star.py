@@ -29,7 +29,8 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
                parallel_dims: bool = True,
                member_pass: str = "shared", strict_dates: bool = False,
                sentinel: int = -1, hot_share: float | None = None,
-               wide_keys: bool = False, allow_fan_out: bool = False, lookups: str = "each") -> dict[str, DataFrame]:
+               wide_keys: bool = False, allow_fan_out: bool = False, lookups: str = "each",
+               row_id: str | None = None) -> dict[str, DataFrame]:
     """Build the seven tables (lazily, except the checkpointed key numbering).
 
     ``persist_clean`` keeps the cleaned rows (memory, then disk) for the five
@@ -43,7 +44,8 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
     (cheaper only when the source is cached or columnar and tiny).
     ``strict_dates`` raises on an unparsable order date instead of NULL;
     ``sentinel`` is the key given to rows without a dimension member.
-    ``wide_keys`` makes the INTEGER keys BIGINT; ``lookups`` is the fact's
+    ``wide_keys`` makes the INTEGER keys BIGINT; ``lookups`` and ``row_id``, a column
+    that numbers the rows in the files of ``raw``, are the fact's
     (:func:`build_fact_orders`).
     """
     run_ts = run_ts or datetime.now(timezone.utc)
@@ -93,7 +95,7 @@ def build_star(raw: DataFrame, *, run_ts: datetime | None = None, audit: bool =
                              margin=margin, broadcast_max_rows=broadcast_max_rows,
                              salt_buckets=salt_buckets, hot_share=hot_share,
                              dim_sizes=dim_sizes, sentinel=sentinel, wide_keys=wide_keys,
-                             allow_fan_out=allow_fan_out, lookups=lookups)
+                             allow_fan_out=allow_fan_out, lookups=lookups, row_id=row_id)
     return {**dims, "fact_orders": fact}
 
 

@@ -163,3 +163,43 @@ def test_landed_rows_are_small(spark, small_tables, monkeypatch, query, ending):
     at = f"{folders[0].removeprefix('file:')}/landing"
     landed = [f for f in os.listdir(at) if f.startswith("part-")]
     assert landed and all(f.endswith(ending) for f in landed)
+
+
+def _joins(df):
+    plans = [df._jdf.queryExecution().optimizedPlan()]
+    while plans:
+        plan = plans.pop()
+        kids = plan.children()
+        plans += [kids.apply(i) for i in range(kids.size())]
+        if plan.nodeName() == "Join":
+            out = plan.output()
+            yield plan.condition().get().toString(), {out.apply(i).name() for i in range(out.size())}
+
+
+@pytest.mark.parametrize("query", ["fact_orders_shuffled", "fact_orders_salted", "fact_orders_hot_salted"])
+def test_large_lookups_send_numbers_and_natural_keys_alone(spark, small_tables, query):
+    fact = E.queries()[query](spark, small_tables)
+    lookups = [names for condition, names in _joins(fact) if "_sl_salt" in condition]
+    assert len(lookups) == 5 and not any("total_sales" in names for names in lookups)
+    assert fact.count() == 16
+
+
+def test_shuffle_files_of_a_landed_table_are_released(spark, tmp_dir):
+    import time
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = manager.getAllBlocks()
+        return {n for i in range(blocks.size()) if (n := blocks.apply(i).name()).startswith("shuffle_")}
+
+    before, conf = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_before = spark.conf.get(conf)
+    rows = spark.range(1000).repartition(3, "id")
+    landed = E._landed_at(rows, f"{tmp_dir}/landed")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:  # they are deleted in the background
+        time.sleep(0.2)
+    assert not shuffled() - before and landed.count() == rows.count() == 1000
+    with E.shuffles_released(spark), E.shuffles_released(spark):
+        assert spark.conf.get(conf) == "true"
+    assert spark.conf.get(conf) == set_before

@@ -153,3 +153,31 @@ def test_a_dimension_is_as_large_as_what_is_looked_up_in_it(make_raw, monkeypatc
     star = build_star(make_raw([raw_row(float(i), customer=f"Customer {i}") for i in range(20)]))
     used = lookup.size_of(star["dim_cust"].select("customer_name", "customer_id"))
     assert sizes["customer_id"] == used and used[1] < lookup.size_of(star["dim_cust"])[1]
+
+
+def test_numbered_rows_are_looked_up_apart_with_the_same_result(make_raw):
+    from pyspark.sql import functions as F
+    rows = [raw_row(float(i % 50), product=f"P{i % 7}", brand=f"B{i % 3}", customer=None if i % 5 == 0 else f"C{i % 11}",
+                    state=["AP", "TX", None][i % 3], status=None if i % 13 == 0 else "Order") for i in range(80)]
+    numbered = make_raw(rows).withColumn("_row", F.monotonically_increasing_id())
+    for kw in ({}, {"salt_buckets": 4}, {"salt_buckets": 4, "hot_share": 0.2}, {"product_match": "last_wins"},
+               {"product_match": "name", "allow_fan_out": True}, {"lookups": "together"},
+               {"lookups": "together", "product_match": "name", "allow_fan_out": True}):
+        small = build_star(make_raw(rows), **kw)["fact_orders"]
+        apart = build_star(numbered, row_id="_row", broadcast_max_rows=0, **kw)["fact_orders"]
+        assert apart.dtypes == small.dtypes
+        assert sorted(map(str, apart.collect())) == sorted(map(str, small.collect())), kw
+
+
+def test_a_repeated_member_multiplies_numbered_rows_as_others(make_raw):
+    from pyspark.sql import functions as F
+
+    from starloom.plans.fact import build_fact_orders
+    from starloom.plans.prep import preprocess
+    clean = preprocess(make_raw([raw_row(float(i), customer=f"C{i % 4}") for i in range(12)]))
+    dims = {n: t for n, t in build_star(make_raw([raw_row(1.0, customer=f"C{i}") for i in range(3)])).items() if n != "fact_orders"}
+    dims["dim_cust"] = dims["dim_cust"].unionByName(dims["dim_cust"].where("customer_name = 'C1'"))
+    numbered = clean.withColumn("_row", F.monotonically_increasing_id())
+    whole = build_fact_orders(clean, dims, broadcast_max_rows=0)
+    apart = build_fact_orders(numbered, dims, broadcast_max_rows=0, row_id="_row")
+    assert whole.count() == 15 and sorted(map(str, apart.collect())) == sorted(map(str, whole.collect()))
