@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contracts as C
+from ..session import shuffles_released
 from .snapshots import publish_star
 
 FORMATS = ("parquet", "csv", "both", "table", "snapshot")
@@ -42,7 +43,8 @@ def _year_partitioned(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", *,
-                contract: C.Contract | None = None, partition_by: list[str] | None = None) -> None:
+                contract: C.Contract | None = None, partition_by: list[str] | None = None,
+                csv_compression: str = "none") -> None:
     """One dataset at ``path``: Snappy Parquet or headered CSV, optionally in
     one directory per value of ``partition_by`` (readers filtering on it skip
     the other directories)."""
@@ -50,12 +52,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if fmt == "parquet":
-        w.option("compression", "snappy").parquet(path)
-    elif fmt == "csv":
-        w.option("header", True).csv(path)
-    else:
-        raise ValueError(f"unknown format {fmt!r}")
+    with shuffles_released(df.sparkSession):
+        if fmt == "parquet":
+            w.option("compression", "snappy").parquet(path)
+        elif fmt == "csv":
+            w.option("header", True).option("compression", csv_compression).csv(path)
+        else:
+            raise ValueError(f"unknown format {fmt!r}")
 
 
 def write_managed(df: DataFrame, table: str, contract: C.Contract | None, *,
@@ -90,7 +93,7 @@ def write_managed(df: DataFrame, table: str, contract: C.Contract | None, *,
 def write_star(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", *,
                mode: str = "overwrite", database: str | None = None,
                buckets: int = 16, bucketed: bool = False,
-               fact_by_year: bool = False) -> dict[str, str]:
+               fact_by_year: bool = False, csv_compression: str = "none") -> dict[str, str]:
     """Write every table under ``root/<name>`` (or as ``database.<name>``).
 
     Dimensions are written before the fact. ``fmt="both"`` writes Parquet
@@ -100,7 +103,8 @@ def write_star(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", *,
     the rest untouched. ``fact_by_year`` adds
     ``order_year`` to the fact and writes one directory per year, so
     date-filtered readers prune whole years (no shuffle: every task writes
-    the years it holds). Returns the locations written.
+    the years it holds). ``csv_compression`` is the codec of CSV files, each of
+    which one task then reads. Returns the locations written.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
@@ -129,10 +133,11 @@ def write_star(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", *,
             # the CSV comes from what was written: the plan runs once
             stored = df.sparkSession.read.schema(df.schema).parquet(f"{root}/parquet/{name}")
             write_table(stored, f"{root}/csv/{name}", "csv", mode, contract=contract,
-                        partition_by=parts)
+                        partition_by=parts, csv_compression=csv_compression)
             written[name] = f"{root}/parquet/{name}"
         else:
-            write_table(df, f"{root}/{name}", fmt, mode, contract=contract, partition_by=parts)
+            write_table(df, f"{root}/{name}", fmt, mode, contract=contract, partition_by=parts,
+                        csv_compression=csv_compression)
             written[name] = f"{root}/{name}"
     return written
 

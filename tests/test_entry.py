@@ -190,6 +190,30 @@ def test_lookups_together_take_the_landed_extract(spark, small_tables, monkeypat
     assert E.queries()["fact_orders_together"](spark, small_tables).count() == 16
 
 
+@pytest.fixture
+def folders(monkeypatch):
+    made, scratch = {}, E.scratch_folder
+    monkeypatch.setattr(E, "scratch_folder", lambda spark, name: made.setdefault(name, scratch(spark, name)))
+    return made
+
+
+def test_equal_formats_are_compared_without_moving_rows(spark, small_tables, folders):
+    both = E.queries()["star_both_round_trip"](spark, small_tables)
+    assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
+    assert not E.exists(spark, folders["extract"]) and both.count() == 16
+    files = [f for f in os.listdir(f"{folders['star'].removeprefix('file:')}/csv/fact_orders") if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_united_tells_apart_what_hashes_alike(spark):
+    a = spark.createDataFrame([(None, 5, -0.0), (1, 2, 0.5), (1, 2, 0.5), (7, 7, None)], "k int, v int, x double")
+    b = spark.createDataFrame([(5, None, 0.0), (1, 2, 0.5), (7, 7, None)], "k int, v int, x double")
+    expected = [(None, 5, 0.0), (5, None, 0.0), (1, 2, 0.5), (1, 2, 0.5), (7, 7, None)]
+    assert sorted(map(str, map(tuple, E._united(a, b).collect()))) == sorted(map(str, expected))
+    assert sorted(map(str, map(tuple, E._united(a, a).collect()))) == sorted(map(str, [expected[0], *expected[2:]]))
+    assert E._united(a.limit(0), b).count() == E._united(b, a.limit(0)).count() == 3
+
+
 def test_shuffle_files_of_a_landed_table_are_released(spark, tmp_dir):
     import time
     manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
