@@ -384,13 +384,16 @@ def q_published_versions(spark, d):
 
 def _in_small_parts(spark, d, parts: int = 12) -> str:
     """The fact as that many parts of a star, as that many loads would leave it."""
-    root = scratch_folder(spark, "upkeep")
-    publish_star(spark, {"fact_orders": _star(spark, d)["fact_orders"]}, f"{root}/whole")
+    root, extract = scratch_folder(spark, "upkeep"), scratch_folder(spark, "extract")
+    publish_star(spark, {"fact_orders": _star(spark, d, path=extract)["fact_orders"]}, f"{root}/whole",
+                 compression=SCRATCH)
+    delete(spark, extract)
     whole = read_star(spark, f"{root}/whole", names=["fact_orders"])["fact_orders"]
     log = StarLog(spark, f"{root}/star")
     for k in range(parts):
         part = log.write_part(whole.where(F.pmod(F.col("order_number"), F.lit(parts)) == k), "fact_orders")
         log.update("load", lambda now, p=part: now.with_parts({"fact_orders": [p] if p else []}))
+    delete(spark, f"{root}/whole")
     return f"{root}/star"
 
 
@@ -457,16 +460,16 @@ def q_csv_round_trip(spark, d):
     return read_raw_csv(spark, path)
 
 
+#: In how many buckets two tables are compared: as few numbers come to the driver.
+_BUCKETS = 1024
+
+
 def _united(a: DataFrame, b: DataFrame) -> DataFrame:
     """Every row as often as the one of the two that has it more often (what
     intersectAll and exceptAll both ways make together). A first pass deals the
     rows to buckets and compares what both have there: how many rows, and the sums
     of two 64-bit hashes of them. Where all agree, these are ``b``'s rows; those of
     the other buckets are compared themselves, in one shuffle."""
-#: In how many buckets two tables are compared: as few numbers come to the driver.
-_BUCKETS = 1024
-
-
     both = a.withColumn("_in_a", F.lit(1)).unionByName(b.withColumn("_in_a", F.lit(0)))
     content = [F.col(f"`{c}`") for c in a.columns]  # a hash passes over NULLs, so where they are is hashed too
     hashes = [F.xxhash64(F.lit(k), *content, *[c.isNull() for c in content]) for k in range(2)]

@@ -197,6 +197,12 @@ def folders(monkeypatch):
     return made
 
 
+def test_scratch_rows_are_deleted_once_nothing_reads_them(spark, small_tables, folders):
+    fact = E.queries()["compacted_fact"](spark, small_tables)
+    assert not E.exists(spark, folders["extract"]) and not E.exists(spark, f"{folders['upkeep']}/whole")
+    assert fact.count() == 16
+
+
 def test_equal_formats_are_compared_without_moving_rows(spark, small_tables, folders):
     both = E.queries()["star_both_round_trip"](spark, small_tables)
     assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
